@@ -25,10 +25,10 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def unique(df: DataFrame, key: str, name: str) -> DataFrame:
+def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Keys that occur more than once."""
-    repeated = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    return _result(repeated, "unique", f"{name}.{key}", F.count("*"))
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    return _result(repeated, "unique", f"{name}.{'+'.join(keys)}", F.count("*"))
 
 
 def not_null(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:

@@ -43,9 +43,10 @@ class Warehouse:
     span: tuple[date, date] = (CALENDAR_START, CALENDAR_END)
     _tables: dict[str, DataFrame] = field(default_factory=dict)
 
-    def _table(
+    def table(
         self, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
     ) -> DataFrame:
+        """The named table, written on first use."""
         if name not in self._tables:
             snapshot = SnapshotTable(self.spark, f"{self.root}/{name}", partition_by)
             self._tables[name] = snapshot.write(build())
@@ -58,24 +59,24 @@ class Warehouse:
             "customers": self.source_customers,
             "agents": self.source_agents,
         }[name]
-        return self._table(f"raw_{name}", lambda: land(source, self.run_ts, F.lit(f"{name}.csv")))
+        return self.table(f"raw_{name}", lambda: land(source, self.run_ts, F.lit(f"{name}.csv")))
 
     # STG: customers and agents first, because cases look both up
     @property
     def stg_customers(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "stg_customers", lambda: staging.stage_customers(self.raw("customers"), self.run_ts)
         )
 
     @property
     def stg_agents(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "stg_agents", lambda: staging.stage_agents(self.raw("agents"), self.run_ts)
         )
 
     @property
     def stg_cases(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "stg_cases",
             lambda: staging.stage_cases(
                 self.raw("cases"), self.stg_customers, self.stg_agents, self.run_ts
@@ -85,7 +86,7 @@ class Warehouse:
     # DIM: split by is_current, so the fact load does not read expired versions
     @property
     def dim_customer(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "dim_customer",
             lambda: dims.apply_changes(
                 None, self.stg_customers, "customer_id", CUSTOMER_ATTRIBUTES, "sk_customer",
@@ -96,7 +97,7 @@ class Warehouse:
 
     @property
     def dim_agent(self) -> DataFrame:
-        return self._table(
+        return self.table(
             "dim_agent",
             lambda: dims.apply_changes(
                 None, self.stg_agents, "agent_id", AGENT_ATTRIBUTES, "sk_agent",
@@ -120,7 +121,7 @@ class Warehouse:
             rows = fact.fact_source(self.stg_cases, self.dim_customer, self.dim_agent)
             return fact.clustered_by_month(fact.load_fact(None, rows, self.run_ts))
 
-        return self._table("fact_cases", build, ("created_month",))
+        return self.table("fact_cases", build, ("created_month",))
 
     # RPT
     @property

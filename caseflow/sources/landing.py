@@ -25,7 +25,9 @@ CSV_OPTIONS = {
 }
 
 
-def read_text_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_text_rows(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool = True
+) -> DataFrame:
     """The rows as text, with ``_corrupt_record`` holding the line of each damaged row.
 
     Column pruning in the parser is off: with it, whether a row counts as damaged would
@@ -35,6 +37,7 @@ def read_text_rows(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return (
         spark.read.schema(with_corrupt)
         .options(**CSV_OPTIONS)
+        .option("header", header)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", "false")
         .csv(path)
@@ -61,9 +64,9 @@ def land_csv(spark: SparkSession, path: str, schema: T.StructType, run_ts: datet
     return with_audit(cleaned, run_ts, F.col("_source_file"))
 
 
-def quarantine(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Only the damaged rows, with the text of their line."""
-    return read_text_rows(spark, path, schema).filter(F.col(CORRUPT).isNotNull())
+def quarantine(rows: DataFrame) -> DataFrame:
+    """Only the damaged rows of :func:`read_text_rows`, with the text of their line."""
+    return rows.filter(F.col(CORRUPT).isNotNull())
 
 
 def feed_name(source_file):

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from caseflow.operators.incremental import upsert_latest
 from caseflow.workspace import hadoop_path
 
 
@@ -40,6 +41,10 @@ class SnapshotTable:
     def has(self, batch_id: int) -> bool:
         return self._complete(self._folder(batch_id))
 
+    def folders(self, after: int = -1) -> list[str]:
+        """Folders of the complete snapshots with a larger id than ``after``."""
+        return [self._folder(i) for i in self.batches() if i > after]
+
     def read(self, schema: T.StructType | None = None) -> DataFrame:
         """The last complete snapshot; an empty table of ``schema`` before the first one."""
         done = self.batches()
@@ -60,3 +65,44 @@ class SnapshotTable:
                 writer = writer.partitionBy(*self.partition_by)
             writer.parquet(self._folder(target))
         return self.spark.read.schema(df.schema).parquet(self._folder(target))
+
+
+class ChangeTable:
+    """A base snapshot and the change batches since: a batch costs what it holds, and the
+    full table is rewritten only when it is compacted."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
+                 updated_at: str):
+        self.spark = spark
+        self.schema = schema
+        self.keys = list(keys)
+        self.updated_at = updated_at
+        self.base = SnapshotTable(spark, f"{path.rstrip('/')}/base")
+        self.log = SnapshotTable(spark, f"{path.rstrip('/')}/changes")
+
+    def append(self, batch: DataFrame, batch_id: int) -> None:
+        """Add a batch; one that is complete already is left as it is."""
+        if not self.log.has(batch_id):
+            self.log.write(batch, batch_id)
+
+    def read(self) -> DataFrame:
+        """The newest row per key of the base and the changes after it."""
+        based_on = self.base.batches()
+        base = self.base.read(self.schema)
+        pending = self.log.folders(based_on[-1] if based_on else -1)
+        if not pending:
+            return base
+        changes = self.spark.read.schema(self.schema).parquet(*pending)
+        return upsert_latest(base, changes, self.keys, self.updated_at)
+
+    def pending(self) -> int:
+        """Number of change batches not yet in the base."""
+        based_on = self.base.batches()
+        return len(self.log.folders(based_on[-1] if based_on else -1))
+
+    def compact(self) -> DataFrame:
+        """Fold the changes into a new base, named after the last batch it holds."""
+        batches = self.log.batches()
+        if not self.pending():
+            return self.read()
+        return self.base.write(self.read(), batches[-1])
