@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
+def ntz(moment: datetime) -> Column:
+    """A ``timestamp_ntz`` literal; a plain literal would pass through the session zone."""
+    return F.lit(moment.isoformat()).cast("timestamp_ntz")
+
+
 def parse_timestamp(col: Column) -> Column:
     """ISO text to ``timestamp_ntz``; anything else is NULL, never an error.
 

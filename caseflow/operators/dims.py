@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from caseflow.functions.time import ntz
 from caseflow.operators.joins import lookup_join
 from caseflow.schemas import OPEN_END
 
@@ -113,7 +114,7 @@ def apply_changes(
         F.lit(as_of).alias("valid_from"),
         F.lit(OPEN_END).alias("valid_to"),
         F.lit(True).alias("is_current"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("_loaded_at"),
+        ntz(run_ts).alias("_loaded_at"),
     )
     if dim is None:
         return added
@@ -139,9 +140,5 @@ def lookup_as_of(
     versions = effective_ranges(dim, key).select(
         F.col(key).alias("_key"), "_from", F.col("valid_to").alias("_to"), *take
     )
-    on = (
-        (F.col(key) == F.col("_key"))
-        & (F.col("_from") <= on_date)
-        & (on_date <= F.col("_to"))
-    )
-    return lookup_join(rows, versions, on, F.col(key), F.col(spread_by)).drop("_key", "_from", "_to")
+    valid = (F.col("_from") <= on_date) & (on_date <= F.col("_to"))
+    return lookup_join(rows, versions, key, "_key", spread_by, valid).drop("_key", "_from", "_to")

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.functions.time import date_key
+from caseflow.functions.time import date_key, ntz
 from caseflow.operators.dims import current, lookup_as_of
 from caseflow.operators.joins import lookup_join
 from caseflow.operators.upsert import upsert_with_audit
@@ -40,16 +40,8 @@ def fact_source(stg_cases: DataFrame, dim_customer: DataFrame, dim_agent: DataFr
     agents = current(dim_agent).select(
         F.col("agent_id").alias("_agent"), "sk_agent", "agent_name", "team"
     )
-    joined = lookup_join(
-        stg_cases,
-        customers,
-        F.col("customer_id") == F.col("_customer"),
-        F.col("customer_id"),
-        F.col("case_id"),
-    )
-    joined = lookup_join(
-        joined, agents, F.col("agent_id") == F.col("_agent"), F.col("agent_id"), F.col("case_id")
-    )
+    joined = lookup_join(stg_cases, customers, "customer_id", "_customer", "case_id")
+    joined = lookup_join(joined, agents, "agent_id", "_agent", "case_id")
     return _business_columns(joined)
 
 
@@ -71,7 +63,7 @@ def fact_source_as_of(
 def load_fact(target: DataFrame | None, source: DataFrame, run_ts: datetime) -> DataFrame:
     """Upsert by case; a first load needs no join, as there is nothing to merge with."""
     if target is None:
-        now = F.lit(run_ts).cast("timestamp_ntz")
+        now = ntz(run_ts)
         return source.select(*FACT_COLUMNS, now.alias("_loaded_at"), now.alias("_updated_at"))
     return upsert_with_audit(target, source.select(*FACT_COLUMNS), ["case_id"], run_ts)
 

@@ -13,12 +13,14 @@ from caseflow.operators.upsert import one_per_key
 def since_watermark(source: DataFrame, target: DataFrame, updated_at: str) -> DataFrame:
     """Source rows at or after the newest row already loaded.
 
-    The mark is one value, read once and pushed into the scan as a literal. Rows equal to it
-    are taken again, because the last run may have seen only some of them; the upsert makes
-    that harmless.
+    The mark is one value, read once and pushed into the scan as a literal; as text it keeps
+    its meaning in any session zone. Rows equal to it are taken again, because the last run
+    may have seen only some of them; the upsert makes that harmless.
     """
-    mark = target.agg(F.max(updated_at)).first()[0]
-    return source if mark is None else source.filter(F.col(updated_at) >= F.lit(mark))
+    mark = target.agg(F.max(updated_at).cast("string")).first()[0]
+    if mark is None:
+        return source
+    return source.filter(F.col(updated_at) >= F.lit(mark).cast(source.schema[updated_at].dataType))
 
 
 def upsert_latest(
@@ -30,7 +32,7 @@ def upsert_latest(
     broadcast threshold, the rest of the target is passed through without a shuffle.
     """
     keys = list(keys)
-    touched = batch.select(*keys).distinct()
+    touched = batch.select(*keys)
     competing = target.join(touched, keys, "left_semi").select(*batch.columns).unionByName(batch)
     untouched = target.join(touched, keys, "left_anti").select(*batch.columns)
     return untouched.unionByName(one_per_key(competing, keys, order_by=updated_at))

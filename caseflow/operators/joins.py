@@ -16,23 +16,24 @@ NULL_SPREAD = 4096
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
-    on: Column,
-    key: Column,
-    spread_by: Column,
-    how: str = "left",
+    key: str,
+    lookup_key: str,
+    spread_by: str,
+    condition: Column | None = None,
 ) -> DataFrame:
-    """``rows`` left-joined to ``lookup`` on ``on``, where ``key`` is the row-side key.
+    """``rows`` left-joined to ``lookup`` on text keys; unmatched rows keep NULLs.
 
-    Rows with a NULL key would all hash to one partition. They get a salt from ``spread_by``
-    instead; the lookup side carries the constant 0, so nothing is replicated.
+    Rows with a NULL key would all hash to one partition. A second join key replaces NULL by
+    one of many texts drawn from ``spread_by``, so they spread; the plain key comparison
+    stays, so such a text can never match.
     """
-    salt = F.when(key.isNull(), F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD))).otherwise(
-        F.lit(0).cast("long")
+    filler = F.concat(
+        F.lit("none-"), F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD)).cast("string")
     )
-    left = rows.withColumn("_row_salt", salt)
-    right = lookup.withColumn("_lookup_salt", F.lit(0).cast("long"))
-    joined = left.join(right, on & (F.col("_row_salt") == F.col("_lookup_salt")), how)
-    return joined.drop("_row_salt", "_lookup_salt")
+    on = (F.col(key) == F.col(lookup_key)) & (F.coalesce(F.col(key), filler) == F.col(lookup_key))
+    if condition is not None:
+        on = on & condition
+    return rows.join(lookup, on, "left")
 
 
 def unmatched_counts(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

@@ -1,9 +1,10 @@
-"""Grouped aggregation with an exact median that never holds a group in one task.
+"""Grouped aggregation with an exact median that never gathers the rows of a group.
 
 The built-in exact percentile keeps a value-to-count map per group in one buffer. Here the
-values are counted first, then summed up per whole hour, and only one row per group and
-hour meets the others of its group to find the middle. One scan, three shuffles, each of
-already aggregated rows; a group with a third of all rows shrinks before the first.
+values are counted before anything is gathered, and the counts are walked in order by a
+window that streams and can spill. One scan, two shuffles, each of aggregated rows: a group
+with a third of all rows shrinks to its distinct values on the map side. For hours with two
+decimals these are bounded by time, not by data: 876,600 values per year of duration range.
 """
 
 from __future__ import annotations
@@ -15,71 +16,38 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def _value_at(rank: Column, below: Column, cells: Column) -> Column:
-    """The value with 0-based ``rank`` among sorted ``(value, count)`` cells."""
-    start = F.struct(below.alias("seen"), F.lit(None).cast("decimal(10,2)").alias("value"))
-
-    def step(acc: Column, cell: Column) -> Column:
-        here = (acc["seen"] <= rank) & (rank < acc["seen"] + cell["n"])
-        return F.struct(
-            (acc["seen"] + cell["n"]).alias("seen"),
-            F.when(here, cell["value"]).otherwise(acc["value"]).alias("value"),
-        )
-
-    return F.aggregate(cells, start, step)["value"]
-
-
 def aggregate_with_median(
     rows: DataFrame, keys: Sequence[str], value: Column, counts: dict[str, Column]
 ) -> DataFrame:
-    """Per ``keys``: ``n_values``, ``sum_value``, ``min_value``, ``max_value``, ``median``
-    of a decimal(10,2) column, and the number of rows where each of ``counts`` is TRUE.
+    """Per ``keys``: ``n_values``, ``sum_value``, ``min_value``, ``max_value`` and ``median``
+    of a decimal column, and the number of rows where each of ``counts`` is TRUE.
 
-    An hour has at most 100 distinct values at two decimals, which bounds the cells of a
-    band. NULL values count for ``counts`` only.
+    Rows with a NULL value count for ``counts`` only.
     """
     names = list(counts)
-    keys = list(keys)
-    valued = F.col("_value").isNotNull()
-    cells = (
+    value_counts = (
         rows.select(*keys, value.alias("_value"), *[counts[n].alias(n) for n in names])
         .groupBy(*keys, "_value")
-        .agg(F.count("*").alias("_n"), *[F.count_if(F.col(n)).alias(n) for n in names])
-    )
-    bands = (
-        cells.withColumn("_band", F.floor("_value"))
-        .groupBy(*keys, "_band")
-        .agg(
-            F.sum(F.when(valued, F.col("_n")).otherwise(0)).alias("_n"),
-            F.sum(F.col("_value") * F.col("_n").cast("decimal(18,0)")).alias("_sum"),
-            F.min("_value").alias("_min"),
-            F.max("_value").alias("_max"),
-            F.sort_array(
-                F.collect_list(F.when(valued, F.struct(F.col("_value").alias("value"), F.col("_n").alias("n"))))
-            ).alias("_cells"),
-            *[F.sum(n).alias(n) for n in names],
-        )
+        .agg(F.count("_value").alias("_n"), *[F.count_if(F.col(n)).alias(n) for n in names])
     )
     group = W.partitionBy(*keys)
-    ordered = group.orderBy(F.asc_nulls_last("_band")).rowsBetween(W.unboundedPreceding, 0)
-    placed = bands.withColumns(
-        {
-            "_below": F.sum("_n").over(ordered) - F.col("_n"),
-            "_total": F.sum("_n").over(group),
-        }
+    ordered = group.orderBy(F.asc_nulls_last("_value")).rowsBetween(W.unboundedPreceding, 0)
+    placed = value_counts.withColumns(
+        {"_upto": F.sum("_n").over(ordered), "_total": F.sum("_n").over(group)}
     )
-    low = F.floor((F.col("_total") - 1) / 2)
-    high = F.floor(F.col("_total") / 2)
 
-    def middle(rank: Column) -> Column:
-        inside = (F.col("_below") <= rank) & (rank < F.col("_below") + F.col("_n"))
-        return F.max(F.when(inside, _value_at(rank, F.col("_below"), F.col("_cells"))))
+    def at(rank: Column) -> Column:
+        """The value that covers a 0-based rank."""
+        covers = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
+        return F.max(F.when(covers, F.col("_value")))
 
+    low = F.floor((F.col("_total") - 1) / 2)
+    high = F.floor(F.col("_total") / 2)
     return placed.groupBy(*keys).agg(
         F.sum("_n").alias("n_values"),
-        F.sum("_sum").alias("sum_value"),
-        F.min("_min").alias("min_value"),
-        F.max("_max").alias("max_value"),
-        ((middle(low) + middle(high)) / 2).alias("median"),
+        F.sum(F.col("_value") * F.col("_n").cast("decimal(18,0)")).alias("sum_value"),
+        F.min("_value").alias("min_value"),
+        F.max("_value").alias("max_value"),
+        ((at(low) + at(high)) / 2).alias("median"),
         *[F.sum(n).alias(n) for n in names],
     )

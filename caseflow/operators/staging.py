@@ -14,6 +14,7 @@ from caseflow.functions.measures import any_flag
 from caseflow.functions.time import (
     duration_bucket,
     hours_between,
+    ntz,
     parse_date,
     parse_timestamp,
     rounded_hours,
@@ -23,7 +24,7 @@ from caseflow.schemas import DQ_FLAGS, RESOLVED_STATUS, UNRESOLVED_STATUSES
 
 
 def _loaded(run_ts: datetime):
-    return F.lit(run_ts).cast("timestamp_ntz").alias("_loaded_at")
+    return ntz(run_ts).alias("_loaded_at")
 
 
 def stage_customers(raw: DataFrame, run_ts: datetime) -> DataFrame:
@@ -81,16 +82,8 @@ def with_orphans(parsed: DataFrame, customers: DataFrame, agents: DataFrame) ->
     """Mark the cases whose customer or agent is not staged; distinct keys cannot fan out."""
     customer_keys = customers.select(F.col("customer_id").alias("_customer")).distinct()
     agent_keys = agents.select(F.col("agent_id").alias("_agent")).distinct()
-    found = lookup_join(
-        parsed,
-        customer_keys,
-        F.col("customer_id") == F.col("_customer"),
-        F.col("customer_id"),
-        F.col("case_id"),
-    )
-    found = lookup_join(
-        found, agent_keys, F.col("agent_id") == F.col("_agent"), F.col("agent_id"), F.col("case_id")
-    )
+    found = lookup_join(parsed, customer_keys, "customer_id", "_customer", "case_id")
+    found = lookup_join(found, agent_keys, "agent_id", "_agent", "case_id")
     return found.withColumns(
         {
             "dq_flag_orphan_customer": F.col("_customer").isNull(),

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseflow.functions.time import ntz
+
 AUDIT = ("_loaded_at", "_updated_at")
 
 
@@ -41,12 +43,11 @@ def upsert(
 ) -> DataFrame:
     """Source rows replace target rows of the same key; other target rows stay.
 
-    The anti join needs only the source keys. A batch below Spark's broadcast threshold
-    therefore merges without shuffling the target.
+    The anti join needs only the source keys, repeated or not. A batch below Spark's
+    broadcast threshold therefore merges without shuffling the target.
     """
-    source = one_per_key(source, keys, order_by)
     untouched = target.join(source.select(*keys), list(keys), "left_anti")
-    return untouched.select(*source.columns).unionByName(source)
+    return untouched.select(*source.columns).unionByName(one_per_key(source, keys, order_by))
 
 
 def upsert_with_audit(
@@ -58,7 +59,7 @@ def upsert_with_audit(
     on both sides, so one full outer join on them cannot skew.
     """
     business = [c for c in source.columns if c not in keys]
-    now = F.lit(run_ts).cast("timestamp_ntz")
+    now = ntz(run_ts)
     src = one_per_key(source, keys).select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.struct(*business).alias("_src")
     )

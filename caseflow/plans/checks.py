@@ -140,12 +140,8 @@ def recomputed_cases(
             "priority": F.trim("priority"),
         }
     )
-    joined = lookup_join(
-        cases, customers, F.col("customer_id") == F.col("_cu"), F.col("customer_id"), F.col("case_id")
-    )
-    joined = lookup_join(
-        joined, agents, F.col("agent_id") == F.col("_ag"), F.col("agent_id"), F.col("case_id")
-    )
+    joined = lookup_join(cases, customers, "customer_id", "_cu", "case_id")
+    joined = lookup_join(joined, agents, "agent_id", "_ag", "case_id")
     closed = F.coalesce(F.col("_status") == RESOLVED_STATUS, F.lit(False))
     open_like = F.coalesce(F.col("_status").isin(*UNRESOLVED_STATUSES), F.lit(False))
     flagged = (

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.functions.text import clean_strings
-from caseflow.functions.time import date_key
+from caseflow.functions.time import date_key, ntz
 from caseflow.operators import calendar as cal
 from caseflow.operators import contracts, dims, staging
 from caseflow.operators.fact import FACT_COLUMNS, fact_source_as_of, load_fact
@@ -309,7 +309,7 @@ def merge_upsert(w: Warehouse) -> DataFrame:
 def merge_audit_columns(w: Warehouse) -> DataFrame:
     """Load the first extract on one day and the second on the next."""
     first, second = case_extracts(w)
-    day_one = F.lit(RUN_TS).cast("timestamp_ntz")
+    day_one = ntz(RUN_TS)
     loaded = first.withColumns({"_loaded_at": day_one, "_updated_at": day_one})
     merged = upsert_with_audit(loaded, second, ["case_id"], RUN_TS + timedelta(days=1))
     return merged.select(
@@ -336,15 +336,15 @@ def _versioned_cases(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     columns = ["case_id", "status", "priority"]
     opened = w.stg_cases.select(
         "case_id", F.lit("Open").alias("status"), "priority",
-        F.lit(datetime(2001, 1, 1)).cast("timestamp_ntz").alias("updated_at"),
+        ntz(datetime(2001, 1, 1)).alias("updated_at"),
     )
     closed = w.stg_cases.filter(F.col("closed_at").isNotNull())
     moved = closed.select(
-        *columns, F.lit(datetime(2001, 2, 1)).cast("timestamp_ntz").alias("updated_at")
+        *columns, ntz(datetime(2001, 2, 1)).alias("updated_at")
     )
     stale = closed.select(
         "case_id", F.lit("Stale").alias("status"), "priority",
-        F.lit(datetime(2000, 12, 1)).cast("timestamp_ntz").alias("updated_at"),
+        ntz(datetime(2000, 12, 1)).alias("updated_at"),
     )
     return opened, moved.unionByName(stale)
 

@@ -18,6 +18,7 @@ from caseflow.functions.measures import (
     status_count,
     total_cases,
 )
+from caseflow.functions.time import ntz
 from caseflow.plans.analytics import agent_stats
 from caseflow.schemas import RESOLVED_STATUS, SLA_SCHEMA, SLA_TARGETS
 
@@ -140,7 +141,7 @@ def dq_monitor(fact: DataFrame, checked_at: datetime) -> DataFrame:
         & (F.col("orphan_agents") == 0)
     )
     return checks.select(
-        F.lit(checked_at).cast("timestamp_ntz").alias("checked_at"),
+        ntz(checked_at).alias("checked_at"),
         "*",
         healthy.alias("pipeline_healthy"),
     )

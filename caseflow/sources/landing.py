@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow.functions.text import clean_strings
+from caseflow.functions.time import ntz
 
 CORRUPT = "_corrupt_record"
 
@@ -46,7 +47,7 @@ def read_text_rows(
 
 def with_audit(rows: DataFrame, run_ts: datetime, source_file) -> DataFrame:
     return rows.withColumns(
-        {"_loaded_at": F.lit(run_ts).cast("timestamp_ntz"), "_source_file": source_file}
+        {"_loaded_at": ntz(run_ts), "_source_file": source_file}
     )
 
 
