@@ -7,16 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseflow.functions.measures import (
-    clean_resolved,
-    closure_rate,
     count_where,
+    mean,
     mean_of,
     pct,
     resolved_cases,
     total_cases,
 )
 from caseflow.functions.time import parse_timestamp
-from caseflow.operators.contracts import rows_where, union_all
+from caseflow.operators.contracts import rows_where
 from caseflow.operators.joins import lookup_join
 from caseflow.plans.analytics import created_period
 from caseflow.schemas import RESOLVED_STATUS, UNRESOLVED_STATUSES
@@ -93,31 +92,62 @@ def dq_drift_monthly(fact: DataFrame, spike_points: float = 5.0) -> DataFrame:
 # --- reconciliation ---------------------------------------------------------
 
 
-def _by(df: DataFrame, metric: str, key: str | None, value: Column) -> DataFrame:
-    keys = [key] if key else []
-    label = F.coalesce(F.col(key), F.lit("(none)")) if key else F.lit("all")
-    return df.groupBy(*keys).agg(value.cast("double").alias("value")).select(
-        F.lit(metric).alias("metric"), label.alias("slice"), "value"
+def _profile(cases: DataFrame, hours: Column, clean: Column) -> DataFrame:
+    """Counts and hours per priority, team and region: all headline numbers in one pass.
+
+    The three are enumerations, so the result is small however many cases there are.
+    """
+    timed = clean & F.col("is_resolved") & hours.isNotNull()
+    return cases.groupBy("priority", "team", "region").agg(
+        F.count("*").alias("cases"),
+        F.count_if(~clean).alias("flagged"),
+        F.count_if(F.col("is_resolved")).alias("closed"),
+        F.count_if(timed).alias("timed"),
+        F.sum(F.when(timed, hours)).alias("hours"),
+    )
+
+
+def _unfold(profile: DataFrame, metrics: dict[str, tuple[str | None, str, str | None]]) -> DataFrame:
+    """``metric, slice, total, n`` of each metric ``name: (slice column, total, count)``."""
+    cells = [
+        F.struct(
+            F.lit(name).alias("metric"),
+            (F.col(by) if by else F.lit("all")).alias("slice"),
+            F.col(total).cast("decimal(38,6)").alias("total"),
+            (F.col(n) if n else F.lit(None)).cast("long").alias("n"),
+        )
+        for name, (by, total, n) in metrics.items()
+    ]
+    return (
+        profile.select(F.explode(F.array(*cells)).alias("c"))
+        .groupBy("c.metric", "c.slice")
+        .agg(F.sum("c.total").alias("total"), F.sum("c.n").alias("n"))
     )
 
 
+# metric: slice column, total, and for averages the count
+HEADLINES = {
+    "cases": (None, "cases", None),
+    "flagged": (None, "flagged", None),
+    "clean_resolved": (None, "timed", None),
+    "avg_hours": (None, "hours", "timed"),
+    "avg_hours_by_priority": ("priority", "hours", "timed"),
+    "avg_hours_by_team": ("team", "hours", "timed"),
+    "cases_by_region": ("region", "cases", None),
+    "closed_by_region": ("region", "closed", None),
+    "closed_by_priority": ("priority", "closed", None),
+}
+
+
 def headline_metrics(cases: DataFrame, hours: Column, clean: Column) -> DataFrame:
     """The headline numbers as ``metric, slice, value`` from any case frame."""
-    timed = cases.filter(clean & F.col("is_resolved") & hours.isNotNull())
-    avg = F.round(F.avg(hours.cast("double")), 1)
-    closed = F.count_if(F.col("is_resolved"))
-    return union_all(
-        [
-            _by(cases, "cases", None, F.count("*")),
-            _by(cases, "flagged", None, F.count_if(~clean)),
-            _by(timed, "clean_resolved", None, F.count("*")),
-            _by(timed, "avg_hours", None, avg),
-            _by(timed, "avg_hours_by_priority", "priority", avg),
-            _by(timed, "avg_hours_by_team", "team", avg),
-            _by(cases, "cases_by_region", "region", F.count("*")),
-            _by(cases, "closed_by_region", "region", closed),
-            _by(cases, "closed_by_priority", "priority", closed),
-        ]
+    value = F.when(F.col("n").isNull(), F.col("total").cast("double")).otherwise(
+        mean(F.col("total"), F.col("n"))
+    )
+    return (
+        _unfold(_profile(cases, hours, clean), HEADLINES)
+        .filter(F.col("n").isNull() | (F.col("n") > 0))
+        .select("metric", F.coalesce("slice", F.lit("(none)")).alias("slice"), value.alias("value"))
     )
 
 
@@ -189,31 +219,41 @@ def metric_reconciliation(
     )
 
 
+# family: slice column, total, divisor, and the names of its two ends
+EXTREMES = {
+    "priority_hours": ("priority", "hours", "timed", "fastest_priority", "slowest_priority"),
+    "team_hours": ("team", "hours", "timed", "fastest_team", "slowest_team"),
+    "region_cases": ("region", "cases", None, "smallest_region", "largest_region"),
+    "priority_closure": ("priority", "closed", "cases", "lowest_closure_priority", "highest_closure_priority"),
+}
+
+
 def metric_extremes(fact: DataFrame) -> DataFrame:
     """Slowest and fastest slices, and the ends of volume and closure; ties go by name."""
-
-    def ends(df: DataFrame, key: str, value: Column, low: str, high: str) -> DataFrame:
-        grouped = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("slice"))
-        values = grouped.agg(value.alias("v")).filter(F.col("v").isNotNull())
-        both = values.agg(
-            F.min(F.struct(F.col("v"), F.col("slice"))).alias("lo"),
-            F.min(F.struct((-F.col("v")).alias("v"), F.col("slice"))).alias("hi"),
-        )
-        rows = F.explode(
-            F.array(
-                F.struct(F.lit(low).alias("metric"), F.col("lo.slice").alias("slice"), F.col("lo.v").alias("value")),
-                F.struct(F.lit(high).alias("metric"), F.col("hi.slice").alias("slice"), (-F.col("hi.v")).alias("value")),
-            )
-        )
-        return both.select(rows.alias("r")).select("r.metric", "r.slice", "r.value")
-
-    timed = fact.filter(clean_resolved())
-    hours = mean_of(F.col("resolution_hours"))
-    return union_all(
-        [
-            ends(timed, "priority", hours, "fastest_priority", "slowest_priority"),
-            ends(timed, "team", hours, "fastest_team", "slowest_team"),
-            ends(fact, "region", F.count("*").cast("double"), "smallest_region", "largest_region"),
-            ends(fact, "priority", closure_rate(), "lowest_closure_priority", "highest_closure_priority"),
-        ]
+    clean = F.col("has_any_dq_flag") == F.lit(False)
+    slices = _unfold(
+        _profile(fact, F.col("resolution_hours"), clean),
+        {name: (by, total, n) for name, (by, total, n, _, _) in EXTREMES.items()},
+    ).filter(F.col("slice").isNotNull())
+    value = (
+        F.when(F.col("metric") == "priority_closure", pct(F.col("total"), F.col("n")))
+        .when(F.col("n").isNull(), F.col("total").cast("double"))
+        .otherwise(mean(F.col("total"), F.col("n")))
+    )
+    valued = slices.select("metric", "slice", value.alias("value")).filter(F.col("value").isNotNull())
+    ends = valued.groupBy("metric").agg(
+        F.min(F.struct("value", "slice")).alias("low"),
+        F.min(F.struct((-F.col("value")).alias("value"), F.col("slice"))).alias("high"),
+    )
+    low_name, high_name = (
+        F.create_map(*[F.lit(x) for name, e in EXTREMES.items() for x in (name, e[i])]) for i in (3, 4)
+    )
+    both = F.array(
+        F.struct(
+            low_name[F.col("metric")].alias("metric"), F.col("low.slice"), F.col("low.value").alias("value")
+        ),
+        F.struct(
+            high_name[F.col("metric")].alias("metric"), F.col("high.slice"), (-F.col("high.value")).alias("value")
+        ),
     )
+    return ends.select(F.explode(both).alias("e")).select("e.metric", "e.slice", "e.value")

@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseflow.functions.text import clean_strings
 from caseflow.functions.time import date_key, ntz
@@ -16,7 +17,7 @@ from caseflow.operators.fact import FACT_COLUMNS, fact_source_as_of, load_fact
 from caseflow.operators.incremental import since_watermark, upsert_latest
 from caseflow.operators.upsert import changes, upsert, upsert_with_audit
 from caseflow.plans import analytics, checks, reporting
-from caseflow.plans.warehouse import RUN_TS, Warehouse, warehouse
+from caseflow.plans.warehouse import RUN_TS, SPAN, Warehouse, landed, source_feeds, warehouse
 from caseflow.schemas import (
     ACCEPTED_CATEGORIES,
     ACCEPTED_PRIORITIES,
@@ -29,7 +30,7 @@ from caseflow.schemas import (
     RAW_CASES,
     RAW_CUSTOMERS,
 )
-from caseflow.sources import landing
+from caseflow.sources import casemodel, landing
 from caseflow.sources.casemodel import table
 from caseflow.sources.snapshots import ChangeTable
 from caseflow.streaming.ingest import ingest_new_files
@@ -62,30 +63,31 @@ def _on_warehouse(report: Callable[[Warehouse], DataFrame]) -> Query:
 # --- RAW --------------------------------------------------------------------
 
 
-def _landing_files(w: Warehouse) -> str:
-    """The three source feeds as CSV folders; absent close times are written as any token."""
-    root = scratch(w.spark, "landing")
-    token = F.element_at(
-        F.array(*[F.lit(t) for t in NULL_TOKENS]), (F.length("case_id") % len(NULL_TOKENS) + 1).cast("int")
-    )
-    absent = F.coalesce(F.col("closed_at"), F.lit("")) == ""
-    cases = w.source_cases.withColumn("closed_at", F.when(absent, token).otherwise(F.col("closed_at")))
-    feeds = {"cases": cases, "customers": w.source_customers, "agents": w.source_agents}
-    for name, feed in feeds.items():
-        (
-            feed.write.option("header", True)
-            .option("escape", '"')
-            .option("quoteAll", name == "customers")
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(f"{root}/{name}.csv")
+def _landing_feed(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A source feed as a folder of CSV files; absent close times are written as any token."""
+    feed = source_feeds(spark, sf_dir)[name]
+    if name == "cases":
+        token = F.element_at(
+            F.array(*[F.lit(t) for t in NULL_TOKENS]),
+            (F.length("case_id") % len(NULL_TOKENS) + 1).cast("int"),
         )
-    return root
+        absent = F.coalesce(F.col("closed_at"), F.lit("")) == ""
+        feed = feed.withColumn("closed_at", F.when(absent, token).otherwise(F.col("closed_at")))
+    path = f"{scratch(spark, 'landing')}/{name}.csv"
+    (
+        feed.write.option("header", True)
+        .option("escape", '"')
+        .option("quoteAll", name == "customers")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return path
 
 
 def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _landing_files(warehouse(spark, sf_dir))
-    customers = landing.land_csv(spark, f"{root}/customers.csv", RAW_CUSTOMERS, RUN_TS)
+    feed = _landing_feed(spark, sf_dir, "customers")
+    customers = landing.land_csv(spark, feed, RAW_CUSTOMERS, RUN_TS)
     return customers.select(
         *RAW_CUSTOMERS.names,
         *_text("_loaded_at"),
@@ -94,14 +96,13 @@ def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _landing_files(warehouse(spark, sf_dir))
-    cases = landing.land_csv(spark, f"{root}/cases.csv", RAW_CASES, RUN_TS)
+    feed = _landing_feed(spark, sf_dir, "cases")
+    cases = landing.land_csv(spark, feed, RAW_CASES, RUN_TS)
     return cases.select("case_id", "closed_at", "agent_id", "status")
 
 
 def raw_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of category Other lack the status, those of Billing have a field too many."""
-    w = warehouse(spark, sf_dir)
     path = scratch(spark, "ragged")
     text = [F.coalesce(F.col(c), F.lit("")) for c in RAW_CASES.names]
     line = (
@@ -109,17 +110,16 @@ def raw_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("category") == "Billing", F.concat_ws(",", *text, F.lit("extra")))
         .otherwise(F.concat_ws(",", *text))
     )
-    w.source_cases.select(line.alias("value")).write.text(path)
+    casemodel.source_cases(spark, sf_dir).select(line.alias("value")).write.text(path)
     rows = landing.read_text_rows(spark, path, RAW_CASES, header=False)
     kept = clean_strings(rows.select(*RAW_CASES.names, F.col(landing.CORRUPT).isNotNull().alias("damaged")))
     return kept.select("case_id", "customer_id", "category", "priority", "status", "damaged")
 
 
 def raw_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _landing_files(warehouse(spark, sf_dir))
     feeds = {"cases": RAW_CASES, "customers": RAW_CUSTOMERS, "agents": RAW_AGENTS}
     tables = {
-        name: landing.land_csv(spark, f"{root}/{name}.csv", schema, RUN_TS).withColumn(
+        name: landing.land_csv(spark, _landing_feed(spark, sf_dir, name), schema, RUN_TS).withColumn(
             "_source_file", landing.feed_name(F.col("_source_file"))
         )
         for name, schema in feeds.items()
@@ -129,13 +129,13 @@ def raw_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files arrive twice, the load runs three times, and each row is there once."""
-    w = warehouse(spark, sf_dir)
+    cases = casemodel.source_cases(spark, sf_dir)
     root = scratch(spark, "ingest")
     early = F.col("category").isin("Technical", "Account")
     loaded = None
     for arrival in (early, ~early, None):
         if arrival is not None:
-            w.source_cases.filter(arrival).write.mode("append").option("header", True).csv(f"{root}/in")
+            cases.filter(arrival).write.mode("append").option("header", True).csv(f"{root}/in")
         loaded = ingest_new_files(
             spark, f"{root}/in", RAW_CASES, f"{root}/raw_cases", f"{root}/checkpoint", RUN_TS
         )
@@ -201,10 +201,10 @@ def second_extract(w: Warehouse) -> DataFrame:
 def _history(w: Warehouse, name: str, dim: DataFrame | None, source: DataFrame, as_of: date) -> DataFrame:
     return w.table(
         name,
-        lambda: dims.apply_changes(
+        lambda _: dims.apply_changes(
             dim, source, "customer_id", CUSTOMER_ATTRIBUTES, "sk_customer", as_of, RUN_TS
         ),
-        ("is_current",),
+        {"is_current": T.BooleanType()},
     )
 
 
@@ -330,6 +330,24 @@ def fact_reload_idempotent(w: Warehouse) -> DataFrame:
     return changes(w.fact.select(*kept), again.select(*kept), ["case_id"])
 
 
+def pipeline_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over one root: early cases first, then an extract of all of them.
+
+    The second run merges every layer; cases of the first keep their load time.
+    """
+    root = scratch(spark, "runs")
+    feeds = source_feeds(spark, sf_dir)
+    early = {**feeds, "cases": feeds["cases"].filter(F.col("created_at") < "1998")}
+    second_ts = RUN_TS + timedelta(days=1)
+    Warehouse(spark, landed(early, RUN_TS), root, RUN_TS, RUN_TS.date(), SPAN).fact  # noqa: B018
+    second = Warehouse(spark, landed(feeds, second_ts), root, second_ts, second_ts.date(), SPAN, run_id=1)
+    return second.fact.groupBy("region", "status", *_text("_loaded_at", "_updated_at")).agg(
+        F.count("*").alias("cases"),
+        F.count_if("has_any_dq_flag").alias("flagged"),
+        F.sum("resolution_hours").cast("double").alias("hours"),
+    )
+
+
 def _versioned_cases(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     """Change feeds with an update time: all cases as opened, then every case with a close
     time as staged, together with a stale repeat of its opening."""
@@ -597,6 +615,7 @@ def all_queries() -> dict[str, Query]:
         "raw_load_audit": raw_load_audit,
         "incremental_file_load": incremental_file_load,
         "incremental_upsert": incremental_upsert,
+        "pipeline_second_run": pipeline_second_run,
         "date_spine": date_spine,
         "dim_date": dim_date,
         "date_dim_bounds": date_dim_bounds,

@@ -30,7 +30,7 @@ def sla_policy(spark: SparkSession) -> DataFrame:
 def policy_coverage(fact: DataFrame, sla: DataFrame) -> DataFrame:
     """The policy against the priorities in use: those without a target show up as NULL."""
     used = fact.groupBy("priority").agg(total_cases())
-    return used.join(F.broadcast(sla), "priority", "full").select(
+    return used.join(sla, "priority", "full").select(
         "priority",
         "target_resolution_hrs",
         F.coalesce("total_cases", F.lit(0)).alias("total_cases"),

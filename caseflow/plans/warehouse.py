@@ -1,8 +1,9 @@
-"""The layers RAW -> STG -> DIM -> FACT as tables written once per source state.
+"""The layers RAW -> STG -> DIM -> FACT as tables, loaded by numbered runs.
 
 Each layer is written as Parquet into the shared workspace on first use and read back, so a
 report scans a few columns of the fact instead of deriving it again, and a lost executor
-costs a re-read rather than a recomputation of the chain.
+costs a re-read rather than a recomputation of the chain. A later run over the same root
+merges its extract into the tables of the run before it; repeating a run changes nothing.
 """
 
 from __future__ import annotations
@@ -13,97 +14,122 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseflow.operators import calendar as cal
 from caseflow.operators import dims, fact, staging
+from caseflow.operators.upsert import upsert
 from caseflow.plans import reporting
-from caseflow.schemas import AGENT_ATTRIBUTES, CALENDAR_END, CALENDAR_START, CUSTOMER_ATTRIBUTES
+from caseflow.schemas import (
+    AGENT_ATTRIBUTES,
+    CALENDAR_END,
+    CALENDAR_START,
+    CUSTOMER_ATTRIBUTES,
+    RAW_AGENTS,
+    RAW_CASES,
+    RAW_CUSTOMERS,
+)
 from caseflow.sources import casemodel
-from caseflow.sources.landing import land
+from caseflow.sources.landing import land, land_csv
 from caseflow.sources.snapshots import SnapshotTable
 from caseflow.workspace import hadoop_path, scratch
 
-# Run parameters of the order-derived warehouse: fixed, so that runs repeat exactly.
-RUN_TS = datetime(2001, 9, 1)
-AS_OF = date(2001, 9, 1)
-SPAN = (date(1995, 1, 1), date(2002, 12, 31))
-
 
 @dataclass
 class Warehouse:
-    """Tables by layer; each is built from the layers before it when first asked for."""
+    """Tables by layer; each is built from the layers before it when first asked for.
+
+    ``extract`` holds the landed frames of this run: cases, customers and agents.
+    """
 
     spark: SparkSession
-    source_cases: DataFrame
-    source_customers: DataFrame
-    source_agents: DataFrame
+    extract: dict[str, DataFrame]
     root: str
     run_ts: datetime
     as_of: date
     span: tuple[date, date] = (CALENDAR_START, CALENDAR_END)
+    run_id: int = 0
     _tables: dict[str, DataFrame] = field(default_factory=dict)
 
+    @classmethod
+    def from_csv(
+        cls, spark: SparkSession, paths: dict[str, str], root: str, run_ts: datetime, **options
+    ) -> Warehouse:
+        """A run over CSV files of cases, customers and agents."""
+        schemas = {"cases": RAW_CASES, "customers": RAW_CUSTOMERS, "agents": RAW_AGENTS}
+        extract = {n: land_csv(spark, paths[n], schema, run_ts) for n, schema in schemas.items()}
+        return cls(spark, extract, root, run_ts, run_ts.date(), **options)
+
     def table(
-        self, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
+        self,
+        name: str,
+        build: Callable[[DataFrame | None], DataFrame],
+        partition_by: dict[str, T.DataType] | None = None,
     ) -> DataFrame:
-        """The named table, written on first use."""
+        """The named table after this run; ``build`` gets it as the run before left it."""
         if name not in self._tables:
             snapshot = SnapshotTable(self.spark, f"{self.root}/{name}", partition_by)
-            self._tables[name] = snapshot.write(build())
+            previous = snapshot.read_before(self.run_id)
+            self._tables[name] = snapshot.write(build(previous), self.run_id)
         return self._tables[name]
 
-    # RAW
+    # RAW: the landed text of this run
     def raw(self, name: str) -> DataFrame:
-        source = {
-            "cases": self.source_cases,
-            "customers": self.source_customers,
-            "agents": self.source_agents,
-        }[name]
-        return self.table(f"raw_{name}", lambda: land(source, self.run_ts, F.lit(f"{name}.csv")))
+        return self.table(f"raw_{name}", lambda _: self.extract[name])
 
     # STG: customers and agents first, because cases look both up
+    def _staged(self, name: str, key: str, rows: Callable[[], DataFrame]) -> DataFrame:
+        def build(previous: DataFrame | None) -> DataFrame:
+            return rows() if previous is None else upsert(previous, rows(), [key])
+
+        return self.table(name, build)
+
     @property
     def stg_customers(self) -> DataFrame:
-        return self.table(
-            "stg_customers", lambda: staging.stage_customers(self.raw("customers"), self.run_ts)
+        return self._staged(
+            "stg_customers",
+            "customer_id",
+            lambda: staging.stage_customers(self.raw("customers"), self.run_ts),
         )
 
     @property
     def stg_agents(self) -> DataFrame:
-        return self.table(
-            "stg_agents", lambda: staging.stage_agents(self.raw("agents"), self.run_ts)
+        return self._staged(
+            "stg_agents", "agent_id", lambda: staging.stage_agents(self.raw("agents"), self.run_ts)
         )
 
     @property
     def stg_cases(self) -> DataFrame:
-        return self.table(
+        return self._staged(
             "stg_cases",
+            "case_id",
             lambda: staging.stage_cases(
                 self.raw("cases"), self.stg_customers, self.stg_agents, self.run_ts
             ),
         )
 
     # DIM: split by is_current, so the fact load does not read expired versions
-    @property
-    def dim_customer(self) -> DataFrame:
+    def _dimension(
+        self, name: str, source: DataFrame, key: str, attributes: tuple[str, ...], surrogate: str
+    ) -> DataFrame:
         return self.table(
-            "dim_customer",
-            lambda: dims.apply_changes(
-                None, self.stg_customers, "customer_id", CUSTOMER_ATTRIBUTES, "sk_customer",
-                self.as_of, self.run_ts,
+            name,
+            lambda previous: dims.apply_changes(
+                previous, source, key, attributes, surrogate, self.as_of, self.run_ts
             ),
-            ("is_current",),
+            {"is_current": T.BooleanType()},
+        )
+
+    @property
+    def dim_customer(self) -> DataFrame:
+        return self._dimension(
+            "dim_customer", self.stg_customers, "customer_id", CUSTOMER_ATTRIBUTES, "sk_customer"
         )
 
     @property
     def dim_agent(self) -> DataFrame:
-        return self.table(
-            "dim_agent",
-            lambda: dims.apply_changes(
-                None, self.stg_agents, "agent_id", AGENT_ATTRIBUTES, "sk_agent",
-                self.as_of, self.run_ts,
-            ),
-            ("is_current",),
+        return self._dimension(
+            "dim_agent", self.stg_agents, "agent_id", AGENT_ATTRIBUTES, "sk_agent"
         )
 
     @property
@@ -114,14 +140,14 @@ class Warehouse:
     def sla(self) -> DataFrame:
         return reporting.sla_policy(self.spark)
 
-    # FACT
+    # FACT: every run refreshes all cases, so they follow the current dimension versions
     @property
     def fact(self) -> DataFrame:
-        def build() -> DataFrame:
+        def build(previous: DataFrame | None) -> DataFrame:
             rows = fact.fact_source(self.stg_cases, self.dim_customer, self.dim_agent)
-            return fact.clustered_by_month(fact.load_fact(None, rows, self.run_ts))
+            return fact.clustered_by_month(fact.load_fact(previous, rows, self.run_ts))
 
-        return self.table("fact_cases", build, ("created_month",))
+        return self.table("fact_cases", build, {"created_month": T.IntegerType()})
 
     # RPT
     @property
@@ -142,10 +168,31 @@ class Warehouse:
         )
 
 
+# --- the case model over the order tables -------------------------------------
+
+# Run parameters of the order-derived warehouse: fixed, so that runs repeat exactly.
+RUN_TS = datetime(2001, 9, 1)
+AS_OF = date(2001, 9, 1)
+SPAN = (date(1995, 1, 1), date(2002, 12, 31))
+
 _SOURCES = ("orders", "lineitem", "customer", "supplier", "nation", "region")
+_roots: dict[tuple, str] = {}
 _built: dict[tuple, Warehouse] = {}
 
 
+def source_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three source feeds as text, damage included."""
+    return {
+        "cases": casemodel.source_cases(spark, sf_dir),
+        "customers": casemodel.source_customers(spark, sf_dir),
+        "agents": casemodel.source_agents(spark, sf_dir),
+    }
+
+
+def landed(feeds: dict[str, DataFrame], run_ts: datetime) -> dict[str, DataFrame]:
+    return {name: land(feed, run_ts, F.lit(f"{name}.csv")) for name, feed in feeds.items()}
+
+
 def _state(spark: SparkSession, sf_dir: str) -> tuple:
     """Size and time of the source tables: a changed input gets a new warehouse."""
     state = []
@@ -159,17 +206,15 @@ def _state(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of the case model over the order tables in ``sf_dir``."""
+    """The warehouse of the case model over the order tables in ``sf_dir``.
+
+    Its tables are written once per application; another session of the application gets its
+    own frames over the same tables.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
-    if key not in _built:
-        _built[key] = Warehouse(
-            spark,
-            casemodel.source_cases(spark, sf_dir),
-            casemodel.source_customers(spark, sf_dir),
-            casemodel.source_agents(spark, sf_dir),
-            scratch(spark, "warehouse"),
-            RUN_TS,
-            AS_OF,
-            SPAN,
-        )
-    return _built[key]
+    session = (*key, spark._jsparkSession.hashCode())
+    if session not in _built:
+        root = _roots.setdefault(key, scratch(spark, "warehouse"))
+        extract = landed(source_feeds(spark, sf_dir), RUN_TS)
+        _built[session] = Warehouse(spark, extract, root, RUN_TS, AS_OF, SPAN)
+    return _built[session]

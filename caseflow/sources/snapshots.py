@@ -17,10 +17,14 @@ from caseflow.workspace import hadoop_path
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
+    """``partition_by`` maps the columns to split by to their types, which folder names lose."""
+
+    def __init__(
+        self, spark: SparkSession, path: str, partition_by: dict[str, T.DataType] | None = None
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.partition_by = tuple(partition_by)
+        self.partition_by = partition_by or {}
 
     def _folder(self, batch_id: int) -> str:
         return f"{self.path}/batch-{batch_id:012d}"
@@ -55,6 +59,16 @@ class SnapshotTable:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self._folder(done[-1]))
 
+    def read_before(self, batch_id: int) -> DataFrame | None:
+        """The last complete snapshot with a smaller id, None if there is none."""
+        earlier = [i for i in self.batches() if i < batch_id]
+        if not earlier:
+            return None
+        folder = self._folder(earlier[-1])
+        found = self.spark.read.parquet(folder).schema
+        typed = [T.StructField(f.name, self.partition_by.get(f.name, f.dataType)) for f in found]
+        return self.spark.read.schema(T.StructType(typed)).parquet(folder)
+
     def write(self, df: DataFrame, batch_id: int | None = None) -> DataFrame:
         """Write the next snapshot (or that of ``batch_id``) and return it as read back."""
         done = self.batches()

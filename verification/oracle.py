@@ -447,6 +447,12 @@ FROM first_cases WHERE case_id NOT IN (SELECT case_id FROM second_cases)""",
         ),
         "fact_reload_idempotent": "SELECT count(*) AS rows_before, count(*) AS rows_after,"
         " CAST(0 AS BIGINT) AS changed_rows FROM orders",
+        "pipeline_second_run": _q(
+            FACT,
+            """SELECT region, status, CASE WHEN created_text < '1998' THEN '2001-09-01 00:00:00' ELSE '2001-09-02 00:00:00' END
+  AS _loaded_at, '2001-09-02 00:00:00' AS _updated_at, count(*) AS cases, count(*) FILTER (has_any_dq_flag) AS flagged,
+  sum(cents) / 100.0 AS hours FROM fact GROUP BY 1, 2, 3""",
+        ),
         "incremental_upsert": _q(
             STG,
             "SELECT case_id, CASE WHEN shut IS NULL THEN 'Open' ELSE status END AS status, priority,"
