@@ -410,7 +410,7 @@ def case_enriched(w: Warehouse) -> DataFrame:
 
 
 def priority_sla(w: Warehouse) -> DataFrame:
-    return reporting.priority_sla(w.enriched).withColumn(
+    return reporting.priority_sla(w.fact, w.sla).withColumn(
         "target_resolution_hrs", F.col("target_resolution_hrs").cast("double")
     )
 
@@ -597,7 +597,7 @@ def all_queries() -> dict[str, Query]:
         "sla_policy": sla_policy,
         "case_enriched": case_enriched,
         "priority_sla": priority_sla,
-        "monthly_trend": lambda w: reporting.monthly_trend(w.enriched),
+        "monthly_trend": lambda w: reporting.monthly_trend(w.fact, w.dim_date),
         "dq_monitor": _monitor,
         "open_health_alert": lambda w: reporting.open_health_alert(_monitor(w)),
         "pruned_date_range": lambda w: analytics.created_range_trend(w.fact, 19970101, 19991231),

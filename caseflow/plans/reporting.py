@@ -37,11 +37,11 @@ def policy_coverage(fact: DataFrame, sla: DataFrame) -> DataFrame:
     )
 
 
-def case_enriched(fact: DataFrame, dim_date: DataFrame, sla: DataFrame) -> DataFrame:
-    """One row per case with both calendar roles and the SLA verdict.
+def with_created_date(cases: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Calendar columns of the day a case was created.
 
-    The calendar has one row per day of its span and the policy one per priority: both are
-    bounded whatever the number of cases, so they are broadcast.
+    The calendar has one row per day of its span, whatever the number of cases, so it is
+    broadcast; the same holds for the other role and for the policy.
     """
     created = dim_date.select(
         F.col("date_key").alias("_created_key"),
@@ -51,26 +51,39 @@ def case_enriched(fact: DataFrame, dim_date: DataFrame, sla: DataFrame) -> DataF
         F.col("month_name").alias("created_month"),
         F.col("is_weekend").alias("created_on_weekend"),
     )
+    on = F.col("created_date_key") == F.col("_created_key")
+    return cases.join(F.broadcast(created), on, "left").drop("_created_key")
+
+
+def with_closed_date(cases: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Calendar columns of the day a case was closed, NULL while it is open."""
     closed = dim_date.select(
         F.col("date_key").alias("_closed_key"),
         F.col("full_date").alias("closed_date"),
         F.col("quarter_label").alias("closed_quarter"),
     )
-    base = fact.select(
+    on = F.col("closed_date_key") == F.col("_closed_key")
+    return cases.join(F.broadcast(closed), on, "left").drop("_closed_key")
+
+
+def with_sla(cases: DataFrame, sla: DataFrame) -> DataFrame:
+    """Target hours, and whether a clean and resolved case met them."""
+    met = F.when(clean_resolved(), F.col("resolution_hours") <= F.col("target_resolution_hrs"))
+    return cases.join(F.broadcast(sla), "priority", "left").withColumn("sla_met", met)
+
+
+def case_base(fact: DataFrame) -> DataFrame:
+    return fact.select(
         "case_id", "status", "priority", "category", "region", "team", "agent_name",
         "customer_name", "created_at", "closed_at", "resolution_hours", "resolution_bucket",
         "is_resolved", "has_any_dq_flag", "created_date_key", "closed_date_key",
     )
-    return (
-        base.join(F.broadcast(created), F.col("created_date_key") == F.col("_created_key"), "left")
-        .join(F.broadcast(closed), F.col("closed_date_key") == F.col("_closed_key"), "left")
-        .join(F.broadcast(sla), "priority", "left")
-        .withColumn(
-            "sla_met",
-            F.when(clean_resolved(), F.col("resolution_hours") <= F.col("target_resolution_hrs")),
-        )
-        .drop("_created_key", "_closed_key", "created_date_key", "closed_date_key")
-    )
+
+
+def case_enriched(fact: DataFrame, dim_date: DataFrame, sla: DataFrame) -> DataFrame:
+    """One row per case with both calendar roles and the SLA verdict."""
+    dated = with_closed_date(with_created_date(case_base(fact), dim_date), dim_date)
+    return with_sla(dated, sla).drop("created_date_key", "closed_date_key")
 
 
 def agent_scorecard(fact: DataFrame) -> DataFrame:
@@ -98,11 +111,14 @@ def region_summary(fact: DataFrame) -> DataFrame:
     )
 
 
-def priority_sla(enriched: DataFrame) -> DataFrame:
-    """A priority without a target stays in the denominator, neither met nor breached."""
+def priority_sla(fact: DataFrame, sla: DataFrame) -> DataFrame:
+    """SLA attainment; joins the policy only, as a left join on the calendar would stay.
+
+    A priority without a target stays in the denominator, neither met nor breached.
+    """
     met = count_where(F.col("sla_met"))
     return (
-        enriched.filter(clean_resolved())
+        with_sla(case_base(fact).filter(clean_resolved()), sla)
         .groupBy("priority", "target_resolution_hrs")
         .agg(
             F.count("*").alias("resolved_clean_cases"),
@@ -114,9 +130,12 @@ def priority_sla(enriched: DataFrame) -> DataFrame:
     )
 
 
-def monthly_trend(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy("created_year", "created_month").agg(
-        total_cases(), resolved_cases(), avg_resolution()
+def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Volume and resolution by calendar month of creation."""
+    return (
+        with_created_date(case_base(fact), dim_date)
+        .groupBy("created_year", "created_month")
+        .agg(total_cases(), resolved_cases(), avg_resolution())
     )
 
 

@@ -161,8 +161,8 @@ class Warehouse:
                 "case_enriched": self.enriched,
                 "agent_scorecard": reporting.agent_scorecard(self.fact),
                 "region_summary": reporting.region_summary(self.fact),
-                "priority_sla": reporting.priority_sla(self.enriched),
-                "monthly_trend": reporting.monthly_trend(self.enriched),
+                "priority_sla": reporting.priority_sla(self.fact, self.sla),
+                "monthly_trend": reporting.monthly_trend(self.fact, self.dim_date),
                 "data_quality_monitor": reporting.dq_monitor(self.fact, self.run_ts),
             }
         )

@@ -65,11 +65,12 @@ def test_sla_boundaries(spark):
         case("equal", 24), case("over", 25), case("none", 10, "Odd"), case("open", None, status="Open"),
         case("orphan", 10, customer="CU9"),
     ]
-    enriched = reporting.case_enriched(make_fact(spark, cases), calendar(spark), reporting.sla_policy(spark))
+    fact = make_fact(spark, cases)
+    enriched = reporting.case_enriched(fact, calendar(spark), reporting.sla_policy(spark))
     assert rows(enriched, "case_id", "sla_met") == [
         ("equal", True), ("none", None), ("open", None), ("orphan", None), ("over", False),
     ]
-    sla = reporting.priority_sla(enriched)
+    sla = reporting.priority_sla(fact, reporting.sla_policy(spark))
     assert rows(sla, "priority", "resolved_clean_cases", "met_sla", "breached_sla", "sla_attainment_pct") == [
         ("High", 2, 1, 1, 50.0), ("Odd", 1, 0, 0, 0.0),
     ]

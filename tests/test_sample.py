@@ -58,7 +58,7 @@ def test_volume_and_closure(w):
 
 
 def test_sla_and_health(w):
-    assert rows(reporting.priority_sla(w.enriched), "priority", "met_sla", "resolved_clean_cases") == [
+    assert rows(reporting.priority_sla(w.fact, w.sla), "priority", "met_sla", "resolved_clean_cases") == [
         ("High", 4, 11), ("Low", 4, 9), ("Medium", 3, 13), ("Urgent", 0, 5),
     ]
     assert reporting.dq_monitor(w.fact, TS).first().pipeline_healthy
