@@ -45,7 +45,8 @@ def aggregate_with_median(
     high = F.floor(F.col("_total") / 2)
     return placed.groupBy(*keys).agg(
         F.sum("_n").alias("n_values"),
-        F.sum(F.col("_value") * F.col("_n").cast("decimal(18,0)")).alias("sum_value"),
+        # narrow enough to leave a quotient of it room for its digits
+        F.sum(F.col("_value") * F.col("_n").cast("decimal(18,0)")).cast("decimal(24,2)").alias("sum_value"),
         F.min("_value").alias("min_value"),
         F.max("_value").alias("max_value"),
         ((at(low) + at(high)) / 2).alias("median"),

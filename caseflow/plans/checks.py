@@ -12,6 +12,7 @@ from caseflow.functions.measures import (
     mean_of,
     pct,
     resolved_cases,
+    rounded,
     total_cases,
 )
 from caseflow.functions.time import parse_timestamp
@@ -121,7 +122,7 @@ def _unfold(profile: DataFrame, metrics: dict[str, tuple[str | None, str, str |
     return (
         profile.select(F.explode(F.array(*cells)).alias("c"))
         .groupBy("c.metric", "c.slice")
-        .agg(F.sum("c.total").alias("total"), F.sum("c.n").alias("n"))
+        .agg(F.sum("c.total").cast("decimal(26,6)").alias("total"), F.sum("c.n").alias("n"))
     )
 
 
@@ -140,9 +141,9 @@ HEADLINES = {
 
 
 def headline_metrics(cases: DataFrame, hours: Column, clean: Column) -> DataFrame:
-    """The headline numbers as ``metric, slice, value`` from any case frame."""
-    value = F.when(F.col("n").isNull(), F.col("total").cast("double")).otherwise(
-        mean(F.col("total"), F.col("n"))
+    """The headline numbers as ``metric, slice, value`` (unrounded) from any case frame."""
+    value = F.when(F.col("n").isNull(), F.col("total")).otherwise(
+        F.try_divide(F.col("total"), F.col("n").cast("decimal(20,0)"))
     )
     return (
         _unfold(_profile(cases, hours, clean), HEADLINES)
@@ -205,7 +206,10 @@ def metric_reconciliation(
     raw_agents: DataFrame,
     tolerance: float = 0.05,
 ) -> DataFrame:
-    """Headline numbers of the fact against their recomputation from RAW."""
+    """Headline numbers of the fact against their recomputation from RAW.
+
+    The difference is taken before rounding, since the fact stores hours with two decimals.
+    """
     expected = headline_metrics(
         recomputed_cases(raw_cases, raw_customers, raw_agents), F.col("hours"), ~F.col("flagged")
     )
@@ -214,8 +218,14 @@ def metric_reconciliation(
     return (
         expected.withColumnRenamed("value", "expected")
         .join(actual.withColumnRenamed("value", "actual"), ["metric", "slice"], "full")
-        .withColumn("abs_diff", F.round(difference, 6))
-        .withColumn("ok", F.coalesce(difference <= tolerance, F.lit(False)))
+        .select(
+            "metric",
+            "slice",
+            rounded(F.col("expected")).alias("expected"),
+            rounded(F.col("actual")).alias("actual"),
+            rounded(difference, 2).alias("abs_diff"),
+            F.coalesce(difference <= tolerance, F.lit(False)).alias("ok"),
+        )
     )
 
 

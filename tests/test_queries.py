@@ -34,3 +34,37 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+def scan_of(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 1
+    return scans[0]
+
+
+def read_columns(scan):
+    return {c.split(":")[0] for c in scan.split("ReadSchema: struct<")[1].split(">")[0].split(",") if ":" in c}
+
+
+def test_reports_read_only_their_columns(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        assert read_columns(scan_of(spark, "closure_by_priority")) == {"priority", "is_resolved"}
+        scan = scan_of(spark, "resolution_by_team")
+        assert read_columns(scan) == {"team", "resolution_hours", "is_resolved", "has_any_dq_flag"}
+        pushed = scan.split("PushedFilters: [")[1].split("]")[0]
+        assert "EqualTo(has_any_dq_flag,true)" in pushed and "IsNotNull(resolution_hours)" in pushed
+        # a filter above the aggregate reaches the scan
+        assert "EqualTo(category,Account)" in scan_of(spark, "segment_drilldown")
+        assert "created_month" in scan_of(spark, "pruned_date_range").split("PartitionFilters: [")[1].split("]")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_lazy_filter_prunes_expired_versions(spark):
+    from caseflow.operators.dims import current
+    from caseflow.plans.warehouse import warehouse
+
+    plan = current(warehouse(spark, SMALL).dim_customer)._jdf.queryExecution().executedPlan().toString()
+    assert "is_current" in plan.split("PartitionFilters: [")[1].split("]")[0]
