@@ -38,15 +38,22 @@ def one_per_key(source: DataFrame, keys: Sequence[str], order_by: str | None = N
     )
 
 
+def with_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
+    """``target`` with the columns only ``source`` has, as NULLs: additive schema changes."""
+    known = set(target.columns)
+    added = [f for f in source.schema.fields if f.name not in known]
+    return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+
+
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: str | None = None
 ) -> DataFrame:
     """Source rows replace target rows of the same key; other target rows stay.
 
-    The anti join needs only the source keys, repeated or not. A batch below Spark's
+    A column that is new in the source is NULL in the rows that stay. The anti join needs only the source keys, repeated or not. A batch below Spark's
     broadcast threshold therefore merges without shuffling the target.
     """
-    untouched = target.join(source.select(*keys), list(keys), "left_anti")
+    untouched = with_new_columns(target, source).join(source.select(*keys), list(keys), "left_anti")
     return untouched.select(*source.columns).unionByName(one_per_key(source, keys, order_by))
 
 
@@ -63,7 +70,7 @@ def upsert_with_audit(
     src = one_per_key(source, keys).select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.struct(*business).alias("_src")
     )
-    tgt = target.select(
+    tgt = with_new_columns(target, source).select(
         *[F.col(k).alias(f"_t_{k}") for k in keys], F.struct(*business).alias("_tgt"), *AUDIT
     )
     on = [F.col(f"_s_{k}") == F.col(f"_t_{k}") for k in keys]

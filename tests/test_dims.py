@@ -1,9 +1,12 @@
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseflow.operators import dims
+from caseflow.sources.snapshots import SnapshotTable
 from tests.conftest import rows
 
 KEY, ATTRS, SK = "id", ("name", "region"), "sk"
@@ -129,3 +132,24 @@ def test_second_change_on_one_day_is_never_looked_up(spark, first):
 def test_one_current_version_per_key(spark, first):
     dim = load(spark, load(spark, first, DAY[1], *SECOND), DAY[2], ("moved", None, None), ("new", "n", "EU"))
     assert dims.current(dim).groupBy("id").count().filter("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_run_of_loads_matches_a_history_kept_by_hand(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    table = SnapshotTable(spark, str(tmp_path), {"is_current": T.BooleanType()})
+    history = {}  # key -> list of [name, region, valid_from, valid_to]
+    for step in range(4):
+        day = date(2025, 1 + step, 1)
+        source = {f"k{i}": (rng.choice(["n", None]), rng.choice(["EU", "US", None])) for i in range(8) if rng.random() < 0.7}
+        for key, values in source.items():
+            past = history.setdefault(key, [])
+            if past and tuple(past[-1][:2]) == values:
+                continue
+            if past:
+                past[-1][3] = day - timedelta(days=1)
+            past.append([*values, day, OPEN])
+        dim = table.write(load(spark, table.read_before(step), day, *[(k, *v) for k, v in source.items()]), step)
+        want = [(k, *v, v[3] == OPEN) for k, past in history.items() for v in past]
+        assert versions(dim) == sorted(want, key=lambda r: [(x is None, str(x)) for x in r])
+        assert sorted(r.sk for r in dim.collect()) == list(range(1, len(want) + 1))

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -104,3 +105,28 @@ def test_watermark_keeps_rows_at_the_mark(spark, target):
     assert rows(since_watermark(feed, target, "n"), "k") == [("y",), ("z",)]
     empty = spark.createDataFrame([], SCHEMA)
     assert since_watermark(feed, empty, "n").count() == 3
+
+
+def test_a_new_source_column_is_null_in_the_rows_that_stay(spark, target):
+    source = spark.createDataFrame([("b", "new", 2, "extra")], SCHEMA + ", e string")
+    assert rows(upsert(target, source, ["k"])) == [
+        ("a", "old", 1, None), ("b", "new", 2, "extra"), ("c", None, None, None),
+    ]
+    stamp = ntz(T1)
+    loaded = target.withColumns({"_loaded_at": stamp, "_updated_at": stamp})
+    merged = upsert_with_audit(loaded, source, ["k"], T2)
+    assert rows(merged, "k", "e", "_loaded_at", "_updated_at") == [
+        ("a", None, T1, T1), ("b", "extra", T1, T2), ("c", None, T1, T1),
+    ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_run_of_batches_matches_a_dictionary(spark, seed):
+    rng = random.Random(seed)
+    state, table = {}, spark.createDataFrame([], SCHEMA)
+    for step in range(4):
+        batch = {f"k{rng.randrange(12)}": (rng.choice(["x", "y", None]), step) for _ in range(rng.randrange(8))}
+        state.update(batch)
+        source = spark.createDataFrame([(k, *v) for k, v in batch.items()], SCHEMA)
+        table = upsert(table, source, ["k"])
+    assert rows(table) == sorted((k, *v) for k, v in state.items())

@@ -550,7 +550,7 @@ FROM enriched WHERE NOT has_any_dq_flag AND is_resolved AND cents IS NOT NULL GR
         ),
         "top3_agents_per_team": _q(
             FACT,
-            f"""SELECT * FROM (SELECT *, rank() OVER (PARTITION BY team ORDER BY avg_resolution_hours ASC NULLS LAST) AS rank_in_team
+            f"""SELECT * FROM (SELECT *, CAST(rank() OVER (PARTITION BY team ORDER BY avg_resolution_hours ASC NULLS LAST) AS INT) AS rank_in_team
 FROM (SELECT agent_name, team, {TOTAL}, {RESOLVED}, {AVG_RESOLVED}, {CLOSURE} FROM fact GROUP BY agent_name, team) a) r
 WHERE rank_in_team <= 3""",
         ),
