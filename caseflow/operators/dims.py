@@ -129,7 +129,8 @@ def effective_ranges(dim: DataFrame, key: str) -> DataFrame:
     """
     valid = dim.filter(F.col("valid_from") <= F.col("valid_to"))
     first = F.min("valid_from").over(W.partitionBy(key))
-    start = F.when(F.col("valid_from") == first, F.make_date(F.lit(1), F.lit(1), F.lit(1))).otherwise(F.col("valid_from"))
+    past = F.make_date(F.lit(1), F.lit(1), F.lit(1))
+    start = F.when(F.col("valid_from") == first, past).otherwise(F.col("valid_from"))
     return valid.withColumn("_from", start)
 
 

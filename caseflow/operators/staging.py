@@ -19,7 +19,7 @@ from caseflow.functions.time import (
     parse_timestamp,
     rounded_hours,
 )
-from caseflow.operators.joins import lookup_join
+from caseflow.operators.joins import lookup_join, unmatched_counts
 from caseflow.schemas import DQ_FLAGS, RESOLVED_STATUS, UNRESOLVED_STATUSES
 
 
@@ -78,16 +78,28 @@ def with_resolution(parsed: DataFrame) -> DataFrame:
     )
 
 
-def with_orphans(parsed: DataFrame, customers: DataFrame, agents: DataFrame) -> DataFrame:
-    """Mark the cases whose customer or agent is not staged; distinct keys cannot fan out."""
-    customer_keys = customers.select(F.col("customer_id").alias("_customer")).distinct()
-    agent_keys = agents.select(F.col("agent_id").alias("_agent")).distinct()
-    found = lookup_join(parsed, customer_keys, "customer_id", "_customer", "case_id")
-    found = lookup_join(found, agent_keys, "agent_id", "_agent", "case_id")
+def orphan_keys(raw: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """The distinct keys the cases use and no parent has.
+
+    Only this narrow column is shuffled, and counted per key before it is. Written as a table
+    of known size, it lets Spark broadcast the orphans, which are few, where the whole parent
+    would be too large and every case would have to be shuffled to meet it.
+    """
+    return unmatched_counts(raw, fk, parent, pk).filter(F.col("fk").isNotNull()).select("fk")
+
+
+def with_orphans(
+    parsed: DataFrame, customer_orphans: DataFrame, agent_orphans: DataFrame
+) -> DataFrame:
+    """Mark the cases whose customer or agent is missing or not staged."""
+    customers = customer_orphans.select(F.col("fk").alias("_customer"))
+    agents = agent_orphans.select(F.col("fk").alias("_agent"))
+    found = lookup_join(parsed, customers, "customer_id", "_customer", "case_id")
+    found = lookup_join(found, agents, "agent_id", "_agent", "case_id")
     return found.withColumns(
         {
-            "dq_flag_orphan_customer": F.col("_customer").isNull(),
-            "dq_flag_orphan_agent": F.col("_agent").isNull(),
+            "dq_flag_orphan_customer": F.col("customer_id").isNull() | F.col("_customer").isNotNull(),
+            "dq_flag_orphan_agent": F.col("agent_id").isNull() | F.col("_agent").isNotNull(),
         }
     ).drop("_customer", "_agent")
 
@@ -104,15 +116,13 @@ def with_flags(parsed: DataFrame) -> DataFrame:
     return parsed.withColumns({n: F.coalesce(p, F.lit(False)) for n, p in flags.items()})
 
 
-def flag_cases(raw: DataFrame, customers: DataFrame, agents: DataFrame) -> DataFrame:
-    flagged = with_flags(with_resolution(with_orphans(parse_cases(raw), customers, agents)))
-    return flagged.withColumn("has_any_dq_flag", any_flag())
-
-
 def stage_cases(
-    raw: DataFrame, customers: DataFrame, agents: DataFrame, run_ts: datetime
+    raw: DataFrame, customer_orphans: DataFrame, agent_orphans: DataFrame, run_ts: datetime
 ) -> DataFrame:
-    return flag_cases(raw, customers, agents).select(
+    """Staged cases; the orphans come from :func:`orphan_keys`."""
+    parsed = with_orphans(parse_cases(raw), customer_orphans, agent_orphans)
+    flagged = with_flags(with_resolution(parsed)).withColumn("has_any_dq_flag", any_flag())
+    return flagged.select(
         "case_id",
         "created_at",
         "closed_at",

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseflow.functions.time import ntz
@@ -14,28 +15,23 @@ AUDIT = ("_loaded_at", "_updated_at")
 
 
 def one_per_key(source: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
-    """At most one row per key: the latest by ``order_by``, else a duplicate is an error.
+    """At most one row per key: the latest by ``order_by``, else a second row is an error.
 
-    Both forms combine on the map side, so a key that fills a third of the batch reaches
-    its reducer as one row per map task.
+    The latest row is picked on the map side first, so a key that fills a third of the batch
+    reaches its reducer as one row per map task. The check numbers the rows of a key as they
+    stream by; the merge that follows reuses its partitioning and order.
     """
+    if order_by is None:
+        nth = F.row_number().over(W.partitionBy(*keys).orderBy(*keys))
+        key_text = F.to_json(F.struct(*keys))
+        duplicate = F.raise_error(F.concat(F.lit("duplicate merge key: "), key_text)).cast("boolean")
+        checked = F.when(F.col("_nth") > 1, duplicate).otherwise(F.lit(True))
+        return source.withColumn("_nth", nth).filter(checked).drop("_nth")
     rest = [c for c in source.columns if c not in keys]
-    row = F.struct(*rest)
-    if order_by is not None:
-        # The whole row breaks ties, so a repeated run keeps the same one.
-        picked = source.groupBy(*keys).agg(F.max(F.struct(F.col(order_by), row.alias("r"))).alias("_m"))
-        kept = F.col("_m.r")
-    else:
-        picked = source.groupBy(*keys).agg(F.count("*").alias("_n"), F.first(row).alias("_r"))
-        duplicate = F.raise_error(
-            F.concat(F.lit("duplicate merge key: "), F.to_json(F.struct(*keys)))
-        )
-        kept = F.when(F.col("_n") > 1, duplicate.cast(source.select(row).schema[0].dataType)).otherwise(
-            F.col("_r")
-        )
-    return picked.select(*keys, kept.alias("_row")).select(
-        *[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in source.columns]
-    )
+    # The whole row breaks ties, so a repeated run keeps the same one.
+    latest = F.max(F.struct(F.col(order_by), F.struct(*rest).alias("row"))).alias("_latest")
+    picked = source.groupBy(*keys).agg(latest)
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_latest.row.{c}") for c in source.columns])
 
 
 def with_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -50,8 +46,9 @@ def upsert(
 ) -> DataFrame:
     """Source rows replace target rows of the same key; other target rows stay.
 
-    A column that is new in the source is NULL in the rows that stay. The anti join needs only the source keys, repeated or not. A batch below Spark's
-    broadcast threshold therefore merges without shuffling the target.
+    A column that is new in the source is NULL in the rows that stay. The anti join needs only
+    the source keys, repeated or not. A batch below Spark's broadcast threshold therefore
+    merges without shuffling the target.
     """
     untouched = with_new_columns(target, source).join(source.select(*keys), list(keys), "left_anti")
     return untouched.select(*source.columns).unionByName(one_per_key(source, keys, order_by))

@@ -98,15 +98,21 @@ class Warehouse:
             "stg_agents", "agent_id", lambda: staging.stage_agents(self.raw("agents"), self.run_ts)
         )
 
+    def _orphans(self, fk: str, parent: DataFrame) -> DataFrame:
+        return self.table(
+            f"orphans_{fk}", lambda _: staging.orphan_keys(self.raw("cases"), fk, parent, fk)
+        )
+
     @property
     def stg_cases(self) -> DataFrame:
-        return self._staged(
-            "stg_cases",
-            "case_id",
-            lambda: staging.stage_cases(
-                self.raw("cases"), self.stg_customers, self.stg_agents, self.run_ts
-            ),
-        )
+        def rows() -> DataFrame:
+            customer_orphans = self._orphans("customer_id", self.stg_customers)
+            agent_orphans = self._orphans("agent_id", self.stg_agents)
+            return staging.stage_cases(
+                self.raw("cases"), customer_orphans, agent_orphans, self.run_ts
+            )
+
+        return self._staged("stg_cases", "case_id", rows)
 
     # DIM: split by is_current, so the fact load does not read expired versions
     def _dimension(
@@ -132,9 +138,12 @@ class Warehouse:
             "dim_agent", self.stg_agents, "agent_id", AGENT_ATTRIBUTES, "sk_agent"
         )
 
+    # replaced as a whole by every run
     @property
     def dim_date(self) -> DataFrame:
-        return cal.calendar(cal.date_spine(self.spark, *self.span))
+        return self.table(
+            "dim_date", lambda _: cal.calendar(cal.date_spine(self.spark, *self.span))
+        )
 
     @property
     def sla(self) -> DataFrame:

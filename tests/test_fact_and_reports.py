@@ -22,7 +22,10 @@ def closed_after(hours):
 def make_fact(spark, cases, customers=(("CU1", "Ann", "eu", "2021-01-01"),), agents=(("AG1", "Bo", "T1"),)):
     sc = staging.stage_customers(spark.createDataFrame(list(customers), RAW_CUSTOMERS), TS)
     sa = staging.stage_agents(spark.createDataFrame(list(agents), RAW_AGENTS), TS)
-    staged = staging.stage_cases(spark.createDataFrame(list(cases), RAW_CASES), sc, sa, TS)
+    raw = spark.createDataFrame(list(cases), RAW_CASES)
+    customer_orphans = staging.orphan_keys(raw, "customer_id", sc, "customer_id")
+    agent_orphans = staging.orphan_keys(raw, "agent_id", sa, "agent_id")
+    staged = staging.stage_cases(raw, customer_orphans, agent_orphans, TS)
     dc = dims.apply_changes(None, sc, "customer_id", CUSTOMER_ATTRIBUTES, "sk_customer", date(2025, 1, 1), TS)
     da = dims.apply_changes(None, sa, "agent_id", AGENT_ATTRIBUTES, "sk_agent", date(2025, 1, 1), TS)
     return load_fact(None, fact_source(staged, dc, da), TS)

@@ -27,7 +27,9 @@ def agents(spark):
 
 def stage(spark, customers, agents, *cases):
     raw = spark.createDataFrame(list(cases), RAW_CASES)
-    return staging.stage_cases(raw, customers, agents, TS)
+    customer_orphans = staging.orphan_keys(raw, "customer_id", customers, "customer_id")
+    agent_orphans = staging.orphan_keys(raw, "agent_id", agents, "agent_id")
+    return staging.stage_cases(raw, customer_orphans, agent_orphans, TS)
 
 
 def case(id="C1", opened=OPEN, closed=CLOSE, customer="CU1", agent="AG1", status="Closed"):
