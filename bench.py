@@ -27,6 +27,7 @@ HEADLINE = (
     " monthly_trend dq_monitor top10_agents_by_closure open_health_alert dq_summary"
     " contract_unique contract_relationships scd2_apply merge_upsert merge_audit_columns"
     " asof_region_volume incremental_batch pruned_date_range metric_reconciliation"
+    " raw_null_tokens incremental_file_load incremental_upsert"
 ).split()
 
 

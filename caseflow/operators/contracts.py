@@ -31,22 +31,31 @@ def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return _result(repeated, "unique", f"{name}.{'+'.join(keys)}", F.count("*"))
 
 
-def not_null(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    """NULL or blank values per column, all columns in one pass."""
-    blanks = df.agg(
-        *[F.count_if(F.coalesce(F.trim(c) == "", F.lit(True))).alias(c) for c in columns]
-    )
-    named = F.explode(
-        F.array(*[F.struct(F.lit(f"{name}.{c}").alias("object"), F.col(c).alias("n")) for c in columns])
-    )
-    return blanks.select(named.alias("r")).select(
-        F.lit("not_null").alias("check"),
-        F.col("r.object").alias("object"),
-        F.col("r.n").alias("violations"),
-        (F.col("r.n") == 0).alias("ok"),
+def _per_column(df: DataFrame, check: str, name: str, violations: dict[str, Column]) -> DataFrame:
+    """Rows that break a rule, for each column, from one pass."""
+    counted = df.agg(*[F.count_if(v).alias(c) for c, v in violations.items()])
+    entries = [
+        F.struct(F.lit(f"{name}.{c}").alias("object"), F.col(c).alias("violations")) for c in violations
+    ]
+    return counted.select(F.explode(F.array(*entries)).alias("r")).select(
+        F.lit(check).alias("check"),
+        "r.object",
+        "r.violations",
+        (F.col("r.violations") == 0).alias("ok"),
     )
 
 
+def not_null(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """NULL or blank values per column."""
+    blank = {c: F.coalesce(F.trim(c) == "", F.lit(True)) for c in columns}
+    return _per_column(df, "not_null", name, blank)
+
+
+def max_length(df: DataFrame, widths: dict[str, int], name: str) -> DataFrame:
+    """Values longer than their column may be; Spark strings have no width of their own."""
+    return _per_column(df, "max_length", name, {c: F.char_length(c) > n for c, n in widths.items()})
+
+
 def unexpected_values(df: DataFrame, accepted: dict[str, Sequence[str]], name: str) -> DataFrame:
     """Rows per value outside the accepted set, for all enumerated columns in one pass."""
     pairs = F.explode(

@@ -27,6 +27,11 @@ from caseflow.functions.measures import (
 from caseflow.operators.fact import created_between
 from caseflow.operators.median import aggregate_with_median
 
+def _by_name(*columns: str) -> list[Column]:
+    """Ascending order with NULL last, whatever Spark's default."""
+    return [F.asc_nulls_last(c) for c in columns]
+
+
 # --- resolution time: clean and resolved ------------------------------------
 
 
@@ -52,7 +57,7 @@ def resolution_by(fact: DataFrame, key: str, with_range: bool = False) -> DataFr
             rounded(F.col("min_value")).alias("min_hours"),
             rounded(F.col("max_value")).alias("max_hours"),
         ]
-    return stats.select(*columns).orderBy(F.asc_nulls_last("avg_resolution_hours"), key)
+    return stats.select(*columns).orderBy(*_by_name("avg_resolution_hours", key))
 
 
 def resolution_by_priority(fact: DataFrame) -> DataFrame:
@@ -84,7 +89,7 @@ def resolution_distribution(fact: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("resolved_cases"))
     )
     return with_share(counted, "resolved_cases", "pct_of_resolved").orderBy(
-        F.desc("resolved_cases"), "resolution_bucket"
+        F.desc("resolved_cases"), *_by_name("resolution_bucket")
     )
 
 
@@ -95,7 +100,7 @@ def closure_by(fact: DataFrame, *keys: str) -> DataFrame:
     return (
         fact.groupBy(*keys)
         .agg(total_cases(), resolved_cases(), closure_rate())
-        .orderBy(F.desc("total_cases"), *keys)
+        .orderBy(F.desc("total_cases"), *_by_name(*keys))
     )
 
 
@@ -109,7 +114,9 @@ def closure_by_priority(fact: DataFrame) -> DataFrame:
 
 def status_share(fact: DataFrame) -> DataFrame:
     counted = fact.groupBy("status").agg(total_cases())
-    return with_share(counted, "total_cases", "pct_of_total").orderBy(F.desc("total_cases"), "status")
+    return with_share(counted, "total_cases", "pct_of_total").orderBy(
+        F.desc("total_cases"), *_by_name("status")
+    )
 
 
 def segment_drilldown(
@@ -132,7 +139,7 @@ def status_pivot(fact: DataFrame, key: str) -> DataFrame:
             status_count("Open", "open_cases"),
             total_cases(),
         )
-        .orderBy(F.desc("total_cases"), key)
+        .orderBy(F.desc("total_cases"), *_by_name(key))
     )
 
 
@@ -173,7 +180,7 @@ def agent_scorecard_full(fact: DataFrame) -> DataFrame:
             "on_hold_cases": F.col("status") == "On Hold",
             "dq_flagged_cases": F.col("has_any_dq_flag"),
         },
-    ).orderBy(F.desc("closure_rate_pct"), F.desc("total_cases"), "agent_name", "team")
+    ).orderBy(F.desc("closure_rate_pct"), F.desc("total_cases"), *_by_name("agent_name", "team"))
 
 
 def team_rollup(fact: DataFrame) -> DataFrame:
@@ -195,7 +202,7 @@ def team_rollup(fact: DataFrame) -> DataFrame:
             agent_count.alias("agent_count"),
             ratio(total.cast("decimal(20,0)"), agent_count, 1).alias("cases_per_agent"),
         )
-        .orderBy(F.asc_nulls_last("avg_resolution_hours"), "team")
+        .orderBy(*_by_name("avg_resolution_hours", "team"))
     )
 
 
@@ -208,7 +215,7 @@ def top3_agents_per_team(fact: DataFrame) -> DataFrame:
     return (
         agents.withColumn("rank_in_team", F.rank().over(fastest))
         .filter(F.col("rank_in_team") <= 3)
-        .orderBy(F.asc_nulls_last("team"), "rank_in_team", "agent_name")
+        .orderBy(*_by_name("team", "rank_in_team", "agent_name"))
     )
 
 
@@ -226,7 +233,7 @@ def region_volume(fact: DataFrame) -> DataFrame:
             status_count("On Hold", "on_hold_cases"),
             status_count("Open", "open_cases"),
         )
-        .orderBy(F.desc("total_cases"), "region")
+        .orderBy(F.desc("total_cases"), *_by_name("region"))
     )
 
 
@@ -234,7 +241,7 @@ def region_by_category(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy("region", "category")
         .agg(total_cases(), avg_resolution())
-        .orderBy(F.asc_nulls_last("region"), F.desc("total_cases"), "category")
+        .orderBy(*_by_name("region"), F.desc("total_cases"), *_by_name("category"))
     )
 
 
@@ -247,7 +254,7 @@ def top10_customers(fact: DataFrame) -> DataFrame:
             avg_resolution(),
             count_where(F.col("priority") == "Urgent").alias("urgent_cases"),
         )
-        .orderBy(F.desc("total_cases"), F.asc_nulls_last("customer_name"), F.asc_nulls_last("region"))
+        .orderBy(F.desc("total_cases"), *_by_name("customer_name", "region"))
         .limit(10)
     )
 
@@ -261,7 +268,7 @@ def monthly_volume(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy(created_period("month").alias("month"))
         .agg(total_cases(), resolved_cases(), avg_resolution())
-        .orderBy(F.asc_nulls_last("month"))
+        .orderBy(*_by_name("month"))
     )
 
 
@@ -269,7 +276,7 @@ def region_quarter(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy("region", created_period("quarter").alias("quarter"))
         .agg(total_cases(), avg_resolution())
-        .orderBy(F.asc_nulls_last("quarter"), F.asc_nulls_last("region"))
+        .orderBy(*_by_name("quarter", "region"))
     )
 
 

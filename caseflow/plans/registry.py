@@ -23,7 +23,10 @@ from caseflow.schemas import (
     ACCEPTED_PRIORITIES,
     ACCEPTED_STATUSES,
     ACCEPTED_TEAMS,
+    AGENT_WIDTHS,
+    CASE_WIDTHS,
     CUSTOMER_ATTRIBUTES,
+    CUSTOMER_WIDTHS,
     DQ_FLAGS,
     NULL_TOKENS,
     RAW_AGENTS,
@@ -460,6 +463,16 @@ def contract_not_null(w: Warehouse) -> DataFrame:
     )
 
 
+def contract_widths(w: Warehouse) -> DataFrame:
+    return contracts.union_all(
+        [
+            contracts.max_length(w.raw("cases"), CASE_WIDTHS, "cases"),
+            contracts.max_length(w.raw("customers"), CUSTOMER_WIDTHS, "customers"),
+            contracts.max_length(w.raw("agents"), AGENT_WIDTHS, "agents"),
+        ]
+    )
+
+
 def contract_accepted_values(w: Warehouse) -> DataFrame:
     return contracts.union_all(
         [
@@ -602,6 +615,7 @@ def all_queries() -> dict[str, Query]:
         "open_health_alert": lambda w: reporting.open_health_alert(_monitor(w)),
         "pruned_date_range": lambda w: analytics.created_range_trend(w.fact, 19970101, 19991231),
         "contract_not_null": contract_not_null,
+        "contract_widths": contract_widths,
         "contract_accepted_values": contract_accepted_values,
         "contract_relationships": contract_relationships,
         "layer_row_counts": layer_row_counts,

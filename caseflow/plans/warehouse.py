@@ -8,6 +8,7 @@ merges its extract into the tables of the run before it; repeating a run changes
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -34,6 +35,9 @@ from caseflow.sources.landing import land, land_csv
 from caseflow.sources.snapshots import SnapshotTable
 from caseflow.workspace import hadoop_path, scratch
 
+# Threads that ask for the same table must not write it twice.
+_building = threading.RLock()
+
 
 @dataclass
 class Warehouse:
@@ -67,11 +71,12 @@ class Warehouse:
         partition_by: dict[str, T.DataType] | None = None,
     ) -> DataFrame:
         """The named table after this run; ``build`` gets it as the run before left it."""
-        if name not in self._tables:
-            snapshot = SnapshotTable(self.spark, f"{self.root}/{name}", partition_by)
-            previous = snapshot.read_before(self.run_id)
-            self._tables[name] = snapshot.write(build(previous), self.run_id)
-        return self._tables[name]
+        with _building:
+            if name not in self._tables:
+                snapshot = SnapshotTable(self.spark, f"{self.root}/{name}", partition_by)
+                previous = snapshot.read_before(self.run_id)
+                self._tables[name] = snapshot.write(build(previous), self.run_id)
+            return self._tables[name]
 
     # RAW: the landed text of this run
     def raw(self, name: str) -> DataFrame:
@@ -222,8 +227,9 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """
     key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     session = (*key, spark._jsparkSession.hashCode())
-    if session not in _built:
-        root = _roots.setdefault(key, scratch(spark, "warehouse"))
-        extract = landed(source_feeds(spark, sf_dir), RUN_TS)
-        _built[session] = Warehouse(spark, extract, root, RUN_TS, AS_OF, SPAN)
-    return _built[session]
+    with _building:
+        if session not in _built:
+            root = _roots.setdefault(key, scratch(spark, "warehouse"))
+            extract = landed(source_feeds(spark, sf_dir), RUN_TS)
+            _built[session] = Warehouse(spark, extract, root, RUN_TS, AS_OF, SPAN)
+        return _built[session]

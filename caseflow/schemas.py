@@ -30,6 +30,14 @@ UNRESOLVED_STATUSES = ("Open", "On Hold", "In Progress")
 # Resolution buckets: label and exclusive upper bound in hours.
 BUCKETS = (("<24h", 24), ("1-3 days", 72), (">3 days", None))
 
+# Longest text each landed column may hold.
+CASE_WIDTHS = {
+    "case_id": 10, "created_at": 50, "closed_at": 50, "customer_id": 10, "agent_id": 10,
+    "category": 50, "priority": 20, "status": 20,
+}
+CUSTOMER_WIDTHS = {"customer_id": 10, "customer_name": 100, "region": 50, "signup_date": 20}
+AGENT_WIDTHS = {"agent_id": 10, "agent_name": 100, "team": 50}
+
 # Accepted values of the enumerated columns.
 ACCEPTED_PRIORITIES = ("Low", "Medium", "High", "Urgent")
 ACCEPTED_STATUSES = ("Open", "Closed", "In Progress", "On Hold")

@@ -23,6 +23,11 @@ def test_not_null(child):
     ]
 
 
+def test_max_length(child):
+    found = contracts.max_length(child, {"fk": 1, "v": 1, "id": 5}, "t")
+    assert rows(found, "object", "violations", "ok") == [("t.fk", 4, False), ("t.id", 0, True), ("t.v", 0, True)]
+
+
 def test_unexpected_values(child):
     found = contracts.unexpected_values(child, {"v": ["x", "y", "z"], "id": ["a", "b", "c"]}, "t")
     assert rows(found) == [("t.id", None, 1), ("t.v", " ", 1), ("t.v", None, 1)]

@@ -298,6 +298,14 @@ def _not_null(name: str, table: str, column: str) -> str:
     )
 
 
+def _widths(name: str, table: str, widths: dict[str, int]) -> list[str]:
+    return [
+        f"SELECT 'max_length' AS \"check\", '{name}.{c}' AS object, count(*) FILTER (length({c}) > {n}) AS violations,"
+        f" count(*) FILTER (length({c}) > {n}) = 0 AS ok FROM {table}"
+        for c, n in widths.items()
+    ]
+
+
 def _accepted(name: str, table: str, column: str, values: str) -> str:
     return (
         f"SELECT '{name}.{column}' AS object, {column} AS value, count(*) AS row_count FROM {table}"
@@ -653,6 +661,21 @@ FROM (SELECT CAST(date_trunc('month', opened) AS DATE) AS month, {TOTAL}, count(
                 ]
             ),
         ),
+        "contract_widths": _q(
+            RAW,
+            " UNION ALL ".join(
+                _widths(
+                    "cases", "raw_cases",
+                    {"case_id": 10, "created_at": 50, "closed_at": 50, "customer_id": 10, "agent_id": 10,
+                     "category": 50, "priority": 20, "status": 20},
+                )
+                + _widths(
+                    "customers", "raw_customers",
+                    {"customer_id": 10, "customer_name": 100, "region": 50, "signup_date": 20},
+                )
+                + _widths("agents", "src_agents", {"agent_id": 10, "agent_name": 100, "team": 50})
+            ),
+        ),
         "contract_accepted_values": _q(
             RAW,
             " UNION ALL ".join(
