@@ -66,6 +66,13 @@ def date_key(col: Column) -> Column:
     return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
+def key_date(key: Column) -> Column:
+    """The date of an integer ``yyyymmdd`` key."""
+    return F.make_date(
+        F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100
+    )
+
+
 def iso_text(ts: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ss`` text of a ``timestamp_ntz``."""
     return F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))

@@ -11,6 +11,7 @@ from caseflow.functions.time import (
     duration_bucket,
     hours_between,
     iso_text,
+    key_date,
     parse_date,
     parse_timestamp,
     rounded_hours,
@@ -107,6 +108,12 @@ def test_date_key_and_iso_text(spark):
     )
 
 
+def test_key_date_is_the_inverse(spark):
+    df = spark.sql("select explode(array(20240229, 20251231, 19950101, null)) k")
+    back = df.select("k", date_key(key_date(F.col("k"))).alias("again"))
+    assert all(r.k == r.again for r in back.collect())
+
+
 def test_rates_round_half_away_from_zero(spark):
     df = spark.createDataFrame([(1, 16), (1, 8), (1, 0), (7, 14)], "p long, w long")
     got = rows(df.select(pct(F.col("p"), F.col("w"), 1)))
