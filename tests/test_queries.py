@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from tests.conftest import SMALL
-from verification.compare import difference, duck
+from caseflow.verification.compare import difference, duck
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
 
