@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -35,8 +36,8 @@ from caseflow.sources.landing import land, land_csv
 from caseflow.sources.snapshots import SnapshotTable
 from caseflow.workspace import hadoop_path, scratch
 
-# Threads that ask for the same table must not write it twice.
-_building = threading.RLock()
+# Guards the shared registries below and the locks of the single tables.
+_registry = threading.Lock()
 
 
 @dataclass
@@ -54,6 +55,7 @@ class Warehouse:
     span: tuple[date, date] = (CALENDAR_START, CALENDAR_END)
     run_id: int = 0
     _tables: dict[str, DataFrame] = field(default_factory=dict)
+    _locks: dict[str, threading.Lock] = field(default_factory=dict)
 
     @classmethod
     def from_csv(
@@ -70,8 +72,13 @@ class Warehouse:
         build: Callable[[DataFrame | None], DataFrame],
         partition_by: dict[str, T.DataType] | None = None,
     ) -> DataFrame:
-        """The named table after this run; ``build`` gets it as the run before left it."""
-        with _building:
+        """The named table after this run; ``build`` gets it as the run before left it.
+
+        A second thread that asks for the table waits for the first instead of writing it too.
+        """
+        with _registry:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:
             if name not in self._tables:
                 snapshot = SnapshotTable(self.spark, f"{self.root}/{name}", partition_by)
                 previous = snapshot.read_before(self.run_id)
@@ -154,10 +161,18 @@ class Warehouse:
     def sla(self) -> DataFrame:
         return reporting.sla_policy(self.spark)
 
+    def _prepare(self) -> None:
+        """Build what the fact needs and what does not depend on each other side by side."""
+        steps = (lambda: self.raw("cases"), lambda: self.dim_customer, lambda: self.dim_agent)
+        with ThreadPoolExecutor(len(steps)) as pool:
+            for step in [pool.submit(s) for s in steps]:
+                step.result()
+
     # FACT: every run refreshes all cases, so they follow the current dimension versions
     @property
     def fact(self) -> DataFrame:
         def build(previous: DataFrame | None) -> DataFrame:
+            self._prepare()
             rows = fact.fact_source(self.stg_cases, self.dim_customer, self.dim_agent)
             return fact.clustered_by_month(fact.load_fact(previous, rows, self.run_ts))
 
@@ -227,7 +242,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """
     key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     session = (*key, spark._jsparkSession.hashCode())
-    with _building:
+    with _registry:
         if session not in _built:
             root = _roots.setdefault(key, scratch(spark, "warehouse"))
             extract = landed(source_feeds(spark, sf_dir), RUN_TS)

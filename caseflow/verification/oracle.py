@@ -455,6 +455,7 @@ FROM first_cases WHERE case_id NOT IN (SELECT case_id FROM second_cases)""",
         ),
         "fact_reload_idempotent": "SELECT count(*) AS rows_before, count(*) AS rows_after,"
         " CAST(0 AS BIGINT) AS changed_rows FROM orders",
+        "pipeline_from_csv": _q(FACT, REGION),
         "pipeline_second_run": _q(
             FACT,
             """SELECT region, status, CASE WHEN created_text < '1998' THEN '2001-09-01 00:00:00' ELSE '2001-09-02 00:00:00' END
