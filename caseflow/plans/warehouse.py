@@ -40,6 +40,12 @@ from caseflow.workspace import hadoop_path, scratch
 _registry = threading.Lock()
 
 
+def _side_by_side(*steps: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Build tables that do not depend on each other at the same time."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [started.result() for started in [pool.submit(step) for step in steps]]
+
+
 @dataclass
 class Warehouse:
     """Tables by layer; each is built from the layers before it when first asked for.
@@ -118,8 +124,10 @@ class Warehouse:
     @property
     def stg_cases(self) -> DataFrame:
         def rows() -> DataFrame:
-            customer_orphans = self._orphans("customer_id", self.stg_customers)
-            agent_orphans = self._orphans("agent_id", self.stg_agents)
+            customer_orphans, agent_orphans = _side_by_side(
+                lambda: self._orphans("customer_id", self.stg_customers),
+                lambda: self._orphans("agent_id", self.stg_agents),
+            )
             return staging.stage_cases(
                 self.raw("cases"), customer_orphans, agent_orphans, self.run_ts
             )
@@ -161,18 +169,11 @@ class Warehouse:
     def sla(self) -> DataFrame:
         return reporting.sla_policy(self.spark)
 
-    def _prepare(self) -> None:
-        """Build what the fact needs and what does not depend on each other side by side."""
-        steps = (lambda: self.raw("cases"), lambda: self.dim_customer, lambda: self.dim_agent)
-        with ThreadPoolExecutor(len(steps)) as pool:
-            for step in [pool.submit(s) for s in steps]:
-                step.result()
-
     # FACT: every run refreshes all cases, so they follow the current dimension versions
     @property
     def fact(self) -> DataFrame:
         def build(previous: DataFrame | None) -> DataFrame:
-            self._prepare()
+            _side_by_side(lambda: self.raw("cases"), lambda: self.dim_customer, lambda: self.dim_agent)
             rows = fact.fact_source(self.stg_cases, self.dim_customer, self.dim_agent)
             return fact.clustered_by_month(fact.load_fact(previous, rows, self.run_ts))
 
