@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bpe_tree, token_counts, token_files
+from caseflow.llm import bpe_tree, simhash, token_counts, token_files
 from caseflow.llm.common import table
 from caseflow.workspace import scratch
 
@@ -17,6 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 MODEL_LIMIT = 2048
+SIMHASH_SHINGLE, SIMHASH_RADIUS = 3, 3
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids_le").alias("ids_crc32"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_SHINGLE, SIMHASH_RADIUS)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe_tree.decode(bpe_tree.encode(docs, TOKENIZER), TOKENIZER)
@@ -46,6 +51,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_token_files, op8_bpe, op10_token_counts)
+    f.__name__: f for f in (op3_token_files, op6_simhash, op8_bpe, op10_token_counts)
 }
 ORACLE_SQL: dict[str, str] = {}
