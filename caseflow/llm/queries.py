@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bpe_tree, simhash, token_counts, token_files
+from caseflow.llm import bpe_tree, decontaminate, simhash, token_counts, token_files
 from caseflow.llm.common import table
 from caseflow.workspace import scratch
 
@@ -20,6 +20,10 @@ MODEL_LIMIT = 2048
 SIMHASH_SHINGLE, SIMHASH_RADIUS = 3, 3
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "token-files")
     docs = table(spark, sf_dir, "documents")
@@ -51,6 +55,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_token_files, op6_simhash, op8_bpe, op10_token_counts)
+    f.__name__: f for f in (op1_decontaminate, op3_token_files, op6_simhash, op8_bpe, op10_token_counts)
 }
 ORACLE_SQL: dict[str, str] = {}
