@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bpe_tree, decontaminate, simhash, token_counts, token_files
+from caseflow.llm import bpe_tree, decontaminate, fingerprints, language, simhash, token_counts, token_files
 from caseflow.llm.common import table
 from caseflow.workspace import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 MODEL_LIMIT = 2048
 SIMHASH_SHINGLE, SIMHASH_RADIUS = 3, 3
@@ -24,6 +25,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return fingerprints.sensitivity(table(spark, sf_dir, "documents"), buckets)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "token-files")
     docs = table(spark, sf_dir, "documents")
@@ -36,6 +42,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_SHINGLE, SIMHASH_RADIUS)
 
 
+def held_out(doc_id: Column) -> Column:
+    """Rows that no language model may learn from."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    test = held_out(F.col("doc_id"))
+    model = language.train(docs.filter(~test).select("doc_id", "text", "lang"), PIECES)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", test.alias("held_out"), "lang_pred", "score")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe_tree.decode(bpe_tree.encode(docs, TOKENIZER), TOKENIZER)
@@ -55,6 +74,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_decontaminate, op3_token_files, op6_simhash, op8_bpe, op10_token_counts)
+    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op6_simhash, op7_language, op8_bpe, op10_token_counts)
 }
 ORACLE_SQL: dict[str, str] = {}
