@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bpe_tree, decontaminate, fingerprints, language, simhash, token_counts, token_files
+from caseflow.llm import bpe_tree, chat, decontaminate, fingerprints, language, simhash, token_counts, token_files, warc
 from caseflow.llm.common import table
 from caseflow.workspace import scratch
 
@@ -38,6 +38,42 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids_le").alias("ids_crc32"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    page_id = warc.page_of(F.col("record_id")).alias("page_id")
+    responses = warc.read_warc(spark, folder).filter(F.col("record_type") == "response")
+    revisits = warc.read_warc(spark, folder, payload=False).filter(F.col("record_type") == "revisit")
+    return responses.select(
+        page_id,
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
+        "record_type",
+        F.lit(None).cast("long").alias("refers_to"),
+    ).unionByName(
+        revisits.select(
+            page_id,
+            F.col("payload_length").alias("payload_bytes"),
+            F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
+            "record_type",
+            warc.page_of(F.col("refers_to")).alias("refers_to"),
+        )
+    )
+
+
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages
+), q AS (
+  SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d, n) ELSE page_id END AS original FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN original = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN original <> page_id THEN original END AS refers_to
+FROM q
+"""
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_SHINGLE, SIMHASH_RADIUS)
 
@@ -67,6 +103,56 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OWN_CONVERSATION = "</s>[INST] ok [/INST]"
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").cast(said.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(OWN_CONVERSATION).alias("text"),
+    )
+    messages = said.unionByName(own).withColumn("parts", chat.text_part(F.col("text")))
+    formatted = chat.format_chat(messages)
+    read = formatted.select(
+        "conv_id", "formatted", chat.parse_chat(F.col("formatted")).alias("turns"),
+        F.array_join(chat.loss_texts(F.col("formatted"), F.col("loss_spans")), "").alias("loss"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), chat.unescape(t["content"]), F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP9_SQL = f"""
+WITH m AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{OWN_CONVERSATION}'
+  UNION ALL SELECT -1, 1, 'assistant', '{OWN_CONVERSATION}'
+), t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         regexp_replace(coalesce(role, ''), '<(\\\\*)\\|', '<\\\\\\1|', 'g') AS role_out,
+         regexp_replace(coalesce(text, ''), '<(\\\\*)\\|', '<\\\\\\1|', 'g') AS text_out
+  FROM m
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text_out)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text_out)
+              FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(role_out) + length(text_out) + {len(chat.TURN + chat.SAYS + chat.END)}) AS BIGINT)
+         AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, TOKENIZER)
@@ -74,6 +160,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op6_simhash, op7_language, op8_bpe, op10_token_counts)
+    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op5_warc, op6_simhash, op7_language, op8_bpe, op9_chat, op10_token_counts)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_warc": OP5_SQL, "op9_chat": OP9_SQL}
