@@ -165,7 +165,14 @@ def parse_chat(formatted: Column) -> Column:
 
 def loss_texts(formatted: Column, spans: Column) -> Column:
     """The texts under the loss mask, unescaped, in order."""
-    return F.transform(
-        spans,
-        lambda s: unescape(F.substring(formatted, (s["begin"] + 1).cast("int"), (s["end"] - s["begin"]).cast("int"))),
-    )
+    mark = F.unhex(F.lit("0000FEFF"))  # decoding takes one byte-order mark away
+
+    def cut(points: Column) -> Column:
+        # four bytes for each code point, so that a slice costs what it holds
+        def one(s: Column) -> Column:
+            begin, size = (s["begin"] * 4 + 1).cast("int"), ((s["end"] - s["begin"]) * 4).cast("int")
+            return unescape(F.decode(F.concat(mark, F.substring(points, begin, size)), "UTF-32"))
+
+        return F.transform(spans, one)
+
+    return F.transform(F.array(F.encode(formatted, "UTF-32")), cut)[0]

@@ -16,7 +16,7 @@ import sys
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -310,6 +310,22 @@ def passages(block: Block, table: np.ndarray, texts: list[bytes]) -> list[tuple]
     return out
 
 
+def blocks(benchmark: DataFrame, window: int, share: float) -> list:
+    """Broadcast blocks of the benchmark; see ``contaminated``."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(
+        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
+    ).filter("text is not null")
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = -(-2 * total // BLOCK_CHARS) if total > BLOCK_CHARS else 1
+    held = []
+    for i in range(n):
+        rows = items.filter(F.expr(f"pmod(xxhash64(text), {n}) = {i}")).collect()
+        block = build_block([(r["item_id"], r["text"]) for r in sorted(rows, key=str)], window, share)
+        held.append(spark.sparkContext.broadcast(block))
+    return held
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -327,24 +343,12 @@ def contaminated(
     Q letters and digits matches only a document that consists of it. Repeated documents give repeated
     rows; an empty table on either side gives none.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).filter("text is not null")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = -(-2 * total // BLOCK_CHARS) if total > BLOCK_CHARS else 1
-    schema = (
-        "doc_id long, item_id long, doc_start long, doc_end long, item_start long, edits long"
-    )
+    schema = "doc_id long, item_id long, doc_start long, doc_end long, item_start long, edits long"
     names = [part.split()[0] for part in schema.split(", ")]
-    found = None
-    for n in range(n_blocks):
-        rows = items.filter(F.expr(f"pmod(xxhash64(text), {n_blocks}) = {n}")).collect()
-        block = spark.sparkContext.broadcast(
-            build_block([(r["item_id"], r["text"]) for r in sorted(rows, key=str)], window, share)
-        )
-
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+    given = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
+
+    def compare(block) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = block.value
             table = _filter_table(items)
             for batch in batches:
@@ -353,11 +357,33 @@ def contaminated(
                 for a, b in chunks(texts, TEXT_AT_ONCE):
                     hits = passages(items, table, texts[a:b])
                     columns = list(zip(*[(ids[a + h[0]], *h[1:]) for h in hits], strict=True)) or [()] * 6
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in columns], names
-                    )
-
-        given = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
-        part = map_arrow(given, run, schema)
-        found = part if found is None else found.unionByName(part)
-    return found
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+        return map_arrow(given, run, schema)
+
+    return reduce(DataFrame.unionByName, [compare(b) for b in blocks(benchmark, window, share)])
+
+
+def uncontaminated(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, share: float = EDIT_SHARE
+) -> DataFrame:
+    """The rows of ``docs`` that share no passage with the benchmark, with all their columns; nothing is
+    joined or shuffled, and a null doc_id or a repeated row is no special case."""
+
+    def compare(rows: DataFrame, block) -> DataFrame:
+        at = rows.columns.index(text)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = block.value
+            table = _filter_table(items)
+            for batch in batches:
+                texts = text_bytes(batch.column(at))
+                clean = np.ones(len(texts), bool)
+                for a, b in chunks(texts, TEXT_AT_ONCE):
+                    for hit in passages(items, table, texts[a:b]):
+                        clean[a + hit[0]] = False
+                yield batch.filter(pa.array(clean))
+
+        return map_arrow(rows, run, rows.schema)
+
+    return reduce(compare, blocks(benchmark, window, share), docs)

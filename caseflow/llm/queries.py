@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bpe_tree, chat, decontaminate, fingerprints, language, simhash, token_counts, token_files, warc
+from caseflow.llm import bpe_tree, chat, decontaminate, fingerprints, language, secrets, simhash, token_counts, token_files, warc
 from caseflow.llm.common import table
 from caseflow.workspace import scratch
 
@@ -38,6 +38,18 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids_le").alias("ids_crc32"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(secrets.training_samples(docs)))
+    base = F.col("base")
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(base, kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS],
+        F.sha2(secrets.as_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), folder)
@@ -160,6 +172,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op5_warc, op6_simhash, op7_language, op8_bpe, op9_chat, op10_token_counts)
+    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op4_secrets, op5_warc, op6_simhash, op7_language, op8_bpe, op9_chat, op10_token_counts)
 }
 ORACLE_SQL: dict[str, str] = {"op5_warc": OP5_SQL, "op9_chat": OP9_SQL}
