@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow.llm.common import chunks, map_arrow, text_bytes
-from caseflow.llm.wordbpe import WordBpe, WordCache, word_bpe
+from caseflow.llm.wordbpe import WordBpe, WordCache, as_bytes, word_bpe
 
 # Bytes of a word from which it is looked at as possibly unsplit; symbols of a leaf; tokens of each
 # side in the first window.
@@ -135,11 +135,8 @@ def _cache(path: str, long_word: int, leaf: int) -> WordCache:
     bpe = word_bpe(path)
     tree = TreeEncoder(bpe, leaf)
 
-    def compute(words: list[str]) -> list[bytes]:
-        long = [len(w) > long_word for w in words]
-        short_ids = iter(bpe.ids_of_words([w for w, is_long in zip(words, long) if not is_long]))
-        long_ids = iter(tree.words([w for w, is_long in zip(words, long) if is_long]))
-        return [np.array(next(long_ids if is_long else short_ids), "<u4").tobytes() for is_long in long]
+    def compute(word: str) -> bytes:
+        return as_bytes(tree.words([word])[0]) if len(word) > long_word else bpe.word(word)
 
     return WordCache(compute)
 
@@ -158,13 +155,11 @@ def encode(
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = _cache(path, long_word, leaf)
+        known = _cache(path, long_word, leaf).__getitem__
         for batch in batches:
             texts = text_bytes(batch.column(len(names)))
             for a, b in chunks(texts):
-                words = [t.split() for t in texts[a:b]]
-                known = words_of.look_up(words).__getitem__
-                coded = [b"".join(map(known, w)) for w in words]
+                coded = [b"".join(map(known, t.split())) for t in texts[a:b]]
                 ends = np.cumsum([0, *[len(c) // 4 for c in coded]], dtype=np.int32)
                 values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(ends), values)

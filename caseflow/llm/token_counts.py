@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.llm.common import chunks, map_arrow, text_bytes
+from caseflow.llm.common import map_arrow, text_bytes
 from caseflow.llm.wordbpe import WordBpe, WordCache, to_symbols, word_bpe
 
 
@@ -43,7 +43,7 @@ class Counter:
         self.whole = whole_tokens(self.bpe)
         specials = sorted(self.bpe.specials, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
-        self.cache = WordCache(lambda words: [self.word(w) for w in words])
+        self.cache = WordCache(self.word)
 
     def pre_token(self, symbols: str) -> int:
         return 1 if symbols in self.whole else len(self.bpe.model.tokenize(symbols))
@@ -82,14 +82,10 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     schema = T.StructType([*kept, *[T.StructField(n, T.LongType()) for n in results]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(path)
+        known = _counter(path).cache.__getitem__
         for batch in batches:
             texts = text_bytes(batch.column(len(names)))
-            counts: list[int] = []
-            for a, b in chunks(texts):
-                words = [t.split() for t in texts[a:b]]
-                known = counter.cache.look_up(words).__getitem__
-                counts.extend(sum(map(known, w)) for w in words)
+            counts = [sum(map(known, t.split())) for t in texts]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(names)], sizes, pa.array(counts, pa.int64())], [*names, *results]

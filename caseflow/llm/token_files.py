@@ -36,7 +36,7 @@ HEADER = "<8s4Q"
 HEADER_BYTES = struct.calcsize(HEADER)
 NO_ID = -(1 << 63)
 # Tokens a reader decodes at once, so that a file of any size is read in bounded memory.
-DECODE_TOKENS = 1 << 22
+DECODE_TOKENS = 1 << 20
 
 
 # --- the code -----------------------------------------------------------------
@@ -49,15 +49,39 @@ def _lengths() -> np.ndarray:
     return (control >> (2 * np.arange(4)) & 3).astype(np.uint8) + 1
 
 
-def encode(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of one document."""
+def encode(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control and data bytes of consecutive documents with ``counts`` values each, and how many bytes
+    of either each document has."""
     ranks = np.ascontiguousarray(ranks, "<u4")
-    length = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[: len(ranks)] = length - 1
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    kept = np.arange(4) < length[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[kept].tobytes()
+    widest = 1 + sum(bool(len(ranks)) and int(ranks.max()) > top for top in (0xFF, 0xFFFF, 0xFFFFFF))
+    less = np.zeros(len(ranks), np.uint8)  # length less one
+    for n in range(1, widest):
+        less += ranks >= np.uint32(1 << (8 * n))
+    control_sizes = -(-counts // 4)
+    slot = np.arange(len(ranks)) + np.repeat(np.cumsum(control_sizes * 4 - counts) - (control_sizes * 4 - counts), counts)
+    padded = np.zeros(int(control_sizes.sum()) * 4, np.uint8)
+    padded[slot] = less
+    four = padded.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    kept = np.arange(widest, dtype=np.uint8) <= less[:, None]
+    data = ranks.view(np.uint8).reshape(-1, 4)[:, :widest][kept]
+    ends = np.cumsum(counts)
+    total = np.append(0, np.cumsum(less, dtype=np.int64))
+    return control, data, control_sizes, counts + total[ends] - total[ends - counts]
+
+
+def binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Consecutive runs of bytes as an Arrow column, without a Python object for each."""
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+    )
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, and the size of each value."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8), sizes
 
 
 def byte_lengths(control: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -106,7 +130,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
             texts = text_bytes(batch.column(1))
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, 16 << 20):
                 ids = [i.astype(kind).tobytes() + end for i in encode_texts(path, texts[a:b])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], ["doc_id", "ids"]
@@ -122,10 +146,10 @@ def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                got = np.bincount(np.frombuffer(ids, kind), minlength=len(total))
-                got[: len(total)] += total
-                total = got
+            ids, _ = bytes_of(batch.column(0))
+            got = np.bincount(ids.view(kind), minlength=len(total))
+            got[: len(total)] += total
+            total = got
         (ids,) = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "count"])
 
@@ -169,14 +193,15 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFr
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.frombuffer(x, kind) for x in batch.column(1).to_pylist()]
-            coded = [encode(ranks[x]) for x in ids]
+            ids, sizes = bytes_of(batch.column(1))
+            counts = sizes // np.dtype(kind).itemsize
+            control, data, control_sizes, data_sizes = encode(ranks[ids.view(kind)], counts)
             yield pa.RecordBatch.from_arrays(
                 [
                     pc.fill_null(batch.column(0), NO_ID),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([c for c, _ in coded], pa.binary()),
-                    pa.array([d for _, d in coded], pa.binary()),
+                    pa.array(counts),
+                    binary(control, control_sizes),
+                    binary(data, data_sizes),
                 ],
                 ["doc_id", "n", "control", "data"],
             )
@@ -258,14 +283,13 @@ def read_file(uri: str, ranks_uri: str, start: int) -> Iterator[pa.RecordBatch]:
             data_at += size
             ids = ids_by_rank[decode(control, data, n)].astype("<u4")
             ends = np.cumsum(n)
-            pieces = [ids[e - k : e].tobytes() for e, k in zip(ends.tolist(), n.tolist())]
             given = doc_id[a:b]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(given, mask=given == NO_ID),
                     pa.array(start + ends - n),
                     pa.array(n),
-                    pa.array(pieces, pa.binary()),
+                    binary(ids.view(np.uint8), 4 * n),
                 ],
                 ["doc_id", "start", "n_tokens", "ids_le"],
             )

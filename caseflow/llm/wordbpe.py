@@ -9,14 +9,16 @@ and only new words reach the library.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable
+import struct
+from collections.abc import Callable
 from functools import cache
+from string import punctuation
 
 import numpy as np
 from tokenizers import Tokenizer
 
-# Words kept by a worker before it starts afresh, and the longest word worth keeping, in bytes.
-CACHED_WORDS = 400_000
+# Words of a generation of a worker's cache, and the longest word worth keeping, in bytes.
+CACHED_WORDS = 300_000
 CACHED_WORD_BYTES = 256
 
 
@@ -46,8 +48,9 @@ class WordBpe:
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        self.tokenizer = Tokenizer.from_str(json.dumps(spec))
+            self._text = file.read()
+        spec = json.loads(self._text)
+        self.tokenizer = Tokenizer.from_str(self._text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
@@ -59,50 +62,50 @@ class WordBpe:
         for token, i in vocabulary.items():
             self.tokens[i] = token
 
-        self._spec = spec
         self._parts: dict[str | None, Tokenizer] = {}
-        self._letters: dict[str, list[int]] = {}
-        self._tails = {t: [x.id for x in self.model.tokenize(t)] for t in ".,"}
+        self._pre_tokens: dict[str, bytes] = {}
 
     def part(self, at_end: bool) -> Tokenizer:
         """Encodes byte-level symbols as one unsplit piece, at the end of a word or inside one."""
         suffix = self.end_of_word if at_end else None
         if suffix not in self._parts:
-            model = self._spec["model"] | {"end_of_word_suffix": suffix}
+            spec = json.loads(self._text)
+            model = spec["model"] | {"end_of_word_suffix": suffix}
             bare = dict.fromkeys(("normalizer", "pre_tokenizer")) | {"added_tokens": [], "model": model}
-            self._parts[suffix] = Tokenizer.from_str(json.dumps(self._spec | bare))
+            self._parts[suffix] = Tokenizer.from_str(json.dumps(spec | bare))
         return self._parts[suffix]
 
     def plain(self, word: str) -> tuple[str, str] | None:
-        """``(letters, tail)`` of a word of Latin letters, lower case, and maybe a stop or comma.
+        """``(letters, tail)`` of a word of Latin letters, lower case, and maybe ASCII punctuation behind.
 
         None for any other word. Below U+0130 lower case maps one letter to one, nothing composes,
-        and the letters are one pre-token; a single stop or comma behind a letter is another.
+        and the letters are one pre-token; punctuation without a letter or digit behind it is another.
         """
-        if not word or max(word) >= "İ":
-            return None
-        core, tail = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
-        return (core.lower(), tail) if core.isalpha() else None
-
-    def ids_of_words(self, words: list[str]) -> list[list[int]]:
-        """Token ids of words without white space, as the library gives them."""
-        if len(self._letters) > CACHED_WORDS:
-            self._letters = {}
-        letters, tokenize = self._letters, self.model.tokenize
-        found: list[list[int] | None] = []
-        other: list[str] = []
-        for word in words:
-            plain = self.plain(word)
-            if plain is None:
-                found.append(None)
-                other.append(word)
-                continue
-            core, tail = plain
-            if (ids := letters.get(core)) is None:
-                ids = letters[core] = [t.id for t in tokenize(to_symbols(core))]
-            found.append(ids + self._tails[tail] if tail else ids)
-        encoded = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
-        return [next(encoded).ids if ids is None else ids for ids in found]
+        core = word.rstrip(punctuation)
+        if core.isalpha() and (core.isascii() or max(core) < "İ"):
+            return core.lower(), word[len(core) :]
+        return None
+
+    def _symbols(self, symbols: str) -> bytes:
+        """Token ids of one pre-token."""
+        if (ids := self._pre_tokens.get(symbols)) is None:
+            if len(self._pre_tokens) >= CACHED_WORDS:
+                self._pre_tokens.clear()
+            ids = as_bytes([t.id for t in self.model.tokenize(symbols)])
+            if len(symbols) <= CACHED_WORD_BYTES:
+                self._pre_tokens[symbols] = ids
+        return ids
+
+    def word(self, word: str) -> bytes:
+        """Token ids of a word without white space, as the library gives them: little-endian, four bytes each."""
+        if plain := self.plain(word):
+            ids = self._symbols(to_symbols(plain[0]))
+            return ids + self._symbols(plain[1]) if plain[1] else ids
+        return as_bytes(self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids)
+
+
+def as_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @cache
@@ -111,35 +114,36 @@ def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-class WordCache:
-    """Values of words, computed once while they stay in the bounded cache."""
+class WordCache(dict):
+    """Values of words, each computed when it is first asked for.
+
+    When the cache is full it becomes the older generation, from which words that come again are
+    taken over; so it stays bounded and keeps the words that are frequent. Long words are not kept.
+    """
 
-    def __init__(self, compute: Callable[[list[str]], Iterable]) -> None:
+    def __init__(self, compute: Callable[[str], object]) -> None:
+        super().__init__()
         self.compute = compute
-        self.values: dict[bytes, object] = {}
-        self.long: list[bytes] = []  # held for one call only
-
-    def look_up(self, words: list[list[bytes]]) -> dict[bytes, object]:
-        """A mapping that holds every word of the given texts."""
-        if len(self.values) > CACHED_WORDS:
-            self.values = {}
-        values = self.values
-        for word in self.long:
-            values.pop(word, None)
-        new = list({w for text in words for w in text if w not in values})
-        values.update(zip(new, self.compute([w.decode("utf-8", "replace") for w in new]), strict=True))
-        self.long = [w for w in new if len(w) > CACHED_WORD_BYTES]
-        return values
+        self.older: dict[bytes, object] = {}
+
+    def __missing__(self, word: bytes) -> object:
+        value = self.older.get(word)
+        if value is None:
+            value = self.compute(word.decode("utf-8", "replace"))
+        if len(word) <= CACHED_WORD_BYTES:
+            if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = value
+        return value
 
 
 @cache
 def _id_cache(path: str) -> WordCache:
-    bpe = word_bpe(path)
-    return WordCache(lambda words: [np.array(i, "<u4").tobytes() for i in bpe.ids_of_words(words)])
+    return WordCache(word_bpe(path).word)
 
 
 def encode_texts(path: str, texts: list[bytes]) -> list[np.ndarray]:
     """Token ids of every text, as unsigned 32-bit integers."""
-    words = [text.split() for text in texts]
-    known = _id_cache(path).look_up(words).__getitem__
-    return [np.frombuffer(b"".join(map(known, text)), "<u4") for text in words]
+    known = _id_cache(path).__getitem__
+    return [np.frombuffer(b"".join(map(known, text.split())), "<u4") for text in texts]
