@@ -130,7 +130,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
             texts = text_bytes(batch.column(1))
-            for a, b in chunks(texts, 16 << 20):
+            for a, b in chunks(texts, 8 << 20):
                 ids = [i.astype(kind).tobytes() + end for i in encode_texts(path, texts[a:b])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], ["doc_id", "ids"]

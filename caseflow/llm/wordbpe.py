@@ -18,7 +18,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 # Words of a generation of a worker's cache, and the longest word worth keeping, in bytes.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 CACHED_WORD_BYTES = 256
 
 
