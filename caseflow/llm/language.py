@@ -266,13 +266,16 @@ class Scorer:
         parts = list({r for rs in runs for r in rs})
         scores = log_likelihoods(self.vocabulary, self.model.probability, [MARK + p for p in parts])
         at = {p: i for i, p in enumerate(parts)}
-        sums = np.array([scores[[at[r] for r in rs]].sum(axis=0) for rs in runs]).reshape(len(new), -1)
+        sums = np.array([scores[[at[r] for r in rs]].sum(axis=0) for rs in runs])
+        sums = sums.reshape(len(new), self.values.shape[1])
         begin = len(self.values)
         if len(new):
             self.values = np.concatenate([self.values, sums])
             self.row.update(zip(new, range(begin, begin + len(new)), strict=True))
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], list[float]]:
+        if not self.model.languages:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
         words = [t.decode("utf-8", "replace").lower().split() for t in texts]
         self.add([w for ws in words for w in ws])
         languages, scores = [], []
