@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseflow.operators.joins import unmatched_counts
@@ -129,10 +130,9 @@ def rows_preserved(layers: dict[str, DataFrame], key: str) -> DataFrame:
         for i, (name, df) in enumerate(layers.items())
     ]
     all_counts = union_all(counts)
-    before = all_counts.select(
-        (F.col("position") + 1).alias("position"), F.col("keyed").alias("expected_rows")
-    )
-    return all_counts.join(before, "position", "left").select(
+    # one row for each layer
+    before = F.lag("keyed").over(W.partitionBy().orderBy("position"))
+    return all_counts.withColumn("expected_rows", before).select(
         "layer",
         F.col("n").alias("row_count"),
         F.coalesce(F.col("expected_rows"), F.col("n")).alias("expected_rows"),

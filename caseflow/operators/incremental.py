@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.operators.upsert import one_per_key
+from caseflow.operators.upsert import one_per_key, same_columns
 
 
 def since_watermark(source: DataFrame, target: DataFrame, updated_at: str) -> DataFrame:
@@ -32,6 +32,7 @@ def upsert_latest(
     broadcast threshold, the rest of the target is passed through without a shuffle.
     """
     keys = list(keys)
+    target, batch = same_columns(target, batch, keys)
     touched = batch.select(*keys)
     competing = target.join(touched, keys, "left_semi").select(*batch.columns).unionByName(batch)
     untouched = target.join(touched, keys, "left_anti").select(*batch.columns)

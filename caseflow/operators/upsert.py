@@ -41,6 +41,25 @@ def with_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
 
 
+def same_columns(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], apart: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the union of their columns, so that no merge loses one.
+
+    A column new in the source is NULL in target rows. A column the source lacks is taken from the
+    target row of the same key, NULL for a new key; ``apart`` names target columns that the merge
+    itself fills. Where the source has all columns, nothing is joined.
+    """
+    target = with_new_columns(target, source)
+    lacking = [c for c in target.columns if c not in source.columns and c not in apart]
+    if not lacking:
+        return target, source
+    kept = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys], *lacking)
+    on = [F.col(f"_t_{k}") == F.col(k) for k in keys]
+    whole = source.join(kept, on, "left").drop(*[f"_t_{k}" for k in keys])
+    return target, whole.select(*source.columns, *lacking)
+
+
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: str | None = None
 ) -> DataFrame:
@@ -50,7 +69,8 @@ def upsert(
     the source keys, repeated or not. A batch below Spark's broadcast threshold therefore
     merges without shuffling the target.
     """
-    untouched = with_new_columns(target, source).join(source.select(*keys), list(keys), "left_anti")
+    target, source = same_columns(target, source, keys)
+    untouched = target.join(source.select(*keys), list(keys), "left_anti")
     return untouched.select(*source.columns).unionByName(one_per_key(source, keys, order_by))
 
 
@@ -62,12 +82,13 @@ def upsert_with_audit(
     ``target`` has the columns of ``source`` plus the two audit columns. The keys are unique
     on both sides, so one full outer join on them cannot skew.
     """
+    target, source = same_columns(target, source, keys, AUDIT)
     business = [c for c in source.columns if c not in keys]
     now = ntz(run_ts)
     src = one_per_key(source, keys).select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.struct(*business).alias("_src")
     )
-    tgt = with_new_columns(target, source).select(
+    tgt = target.select(
         *[F.col(k).alias(f"_t_{k}") for k in keys], F.struct(*business).alias("_tgt"), *AUDIT
     )
     on = [F.col(f"_s_{k}") == F.col(f"_t_{k}") for k in keys]

@@ -74,7 +74,8 @@ def sanity_by_priority(fact: DataFrame) -> DataFrame:
 def dq_drift_monthly(fact: DataFrame, spike_points: float = 5.0) -> DataFrame:
     """Flag rate per month of creation and its change; a rise above the limit is a spike.
 
-    The window runs over one row per month, bounded by the span of the calendar.
+    A month is compared with the calendar month before it, if that has cases; rows without a readable
+    creation time have no month before them. The window runs over one row per month, bounded by the span of the calendar.
     """
     flagged = count_where(F.col("has_any_dq_flag"))
     monthly = fact.groupBy(created_period("month").alias("month")).agg(
@@ -82,9 +83,10 @@ def dq_drift_monthly(fact: DataFrame, spike_points: float = 5.0) -> DataFrame:
         flagged.alias("dq_flagged"),
         pct(flagged, F.count("*")).alias("dq_flag_pct"),
     )
-    previous = F.lag("dq_flag_pct").over(W.partitionBy().orderBy(F.asc_nulls_last("month")))
+    in_order = W.partitionBy().orderBy(F.asc_nulls_last("month"))
+    follows = F.lag("month").over(in_order) == F.add_months("month", -1)
     return (
-        monthly.withColumn("previous_pct", previous)
+        monthly.withColumn("previous_pct", F.when(follows, F.lag("dq_flag_pct").over(in_order)))
         .withColumn("change_points", F.round(F.col("dq_flag_pct") - F.col("previous_pct"), 1))
         .withColumn("spike", F.coalesce(F.col("change_points") > spike_points, F.lit(False)))
     )

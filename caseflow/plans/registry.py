@@ -320,6 +320,27 @@ def merge_audit_columns(w: Warehouse) -> DataFrame:
     )
 
 
+def merge_schema_change(w: Warehouse) -> DataFrame:
+    """A batch with a column more and one less than the target, through each of the three merges."""
+    first, second = case_extracts(w)
+    day_one, day_two = ntz(RUN_TS), ntz(RUN_TS + timedelta(days=1))
+    target = first.select("case_id", "status", "priority")
+    batch = second.select("case_id", "status", F.lit("web").alias("channel"))
+    audited = target.withColumns({"_loaded_at": day_one, "_updated_at": day_one})
+    merged = {
+        "upsert": upsert(target, batch, ["case_id"]),
+        "audit": upsert_with_audit(audited, batch, ["case_id"], RUN_TS + timedelta(days=1)),
+        "latest": upsert_latest(
+            target.withColumn("at", day_one), batch.withColumn("at", day_two), ["case_id"], "at"
+        ),
+    }
+    shown = [
+        df.select(F.lit(name).alias("merge"), "case_id", "status", "priority", "channel")
+        for name, df in merged.items()
+    ]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
+
+
 def merge_idempotent(w: Warehouse) -> DataFrame:
     first, second = case_extracts(w)
     once = upsert(first, second, ["case_id"])
@@ -609,6 +630,7 @@ def all_queries() -> dict[str, Query]:
         "surrogate_keys": surrogate_keys,
         "merge_upsert": merge_upsert,
         "merge_audit_columns": merge_audit_columns,
+        "merge_schema_change": merge_schema_change,
         "merge_idempotent": merge_idempotent,
         "fact_reload_idempotent": fact_reload_idempotent,
         "incremental_batch": incremental_batch,

@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,9 +42,9 @@ _registry = threading.Lock()
 
 
 def _side_by_side(*steps: Callable[[], DataFrame]) -> list[DataFrame]:
-    """Build tables that do not depend on each other at the same time."""
+    """Build tables that do not depend on each other at the same time, under the caller's job group and tags."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [started.result() for started in [pool.submit(step) for step in steps]]
+        return [started.result() for started in [pool.submit(inheritable_thread_target(step)) for step in steps]]
 
 
 @dataclass

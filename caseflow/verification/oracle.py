@@ -439,6 +439,15 @@ UNION ALL SELECT 'agents', 'agents.csv', count(*) FROM supplier""",
             "SELECT * FROM first_cases WHERE case_id NOT IN (SELECT case_id FROM second_cases)"
             " UNION ALL SELECT * FROM second_cases",
         ),
+        "merge_schema_change": _q(
+            EXTRACTS,
+            """SELECT k.merge, m.* FROM (
+  SELECT s.case_id, s.status, f.priority, 'web' AS channel
+  FROM second_cases s LEFT JOIN first_cases f USING (case_id)
+  UNION ALL SELECT case_id, status, priority, NULL FROM first_cases
+  WHERE case_id NOT IN (SELECT case_id FROM second_cases)) m
+CROSS JOIN (VALUES ('upsert'), ('audit'), ('latest')) k(merge)""",
+        ),
         "merge_audit_columns": _q(
             EXTRACTS,
             """SELECT s.case_id, s.status, s.resolution_hours,
@@ -636,7 +645,8 @@ WHERE rank_in_team <= 3""",
             FACT,
             f"""SELECT *, round(dq_flag_pct - previous_pct, 1) AS change_points,
   coalesce(round(dq_flag_pct - previous_pct, 1) > 5, FALSE) AS spike
-FROM (SELECT *, lag(dq_flag_pct) OVER (ORDER BY month ASC NULLS LAST) AS previous_pct
+FROM (SELECT *, CASE WHEN lag(month) OVER (ORDER BY month ASC NULLS LAST) = CAST(month - INTERVAL 1 MONTH AS DATE)
+  THEN lag(dq_flag_pct) OVER (ORDER BY month ASC NULLS LAST) END AS previous_pct
 FROM (SELECT CAST(date_trunc('month', opened) AS DATE) AS month, {TOTAL}, count(*) FILTER (has_any_dq_flag) AS dq_flagged,
   {pct("count(*) FILTER (has_any_dq_flag)", "count(*)")} AS dq_flag_pct FROM fact GROUP BY 1) m) p""",
         ),

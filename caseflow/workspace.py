@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -20,9 +23,10 @@ def workspace(spark: SparkSession) -> str:
     if app not in _roots:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            if not spark.sparkContext.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all nodes")
             root = tempfile.mkdtemp(prefix="caseflow-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
         _roots[app] = f"{root.rstrip('/')}/caseflow/{app}-{uuid.uuid4().hex[:8]}"
     return _roots[app]
 
