@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.llm.common import chunks, map_arrow, text_bytes
+from caseflow.llm.common import chunks, map_arrow, text_bytes, worker_cache
 from caseflow.llm.wordbpe import WordBpe, WordCache, as_bytes, word_bpe
 
 # Bytes of a word from which it is looked at as possibly unsplit; symbols of a leaf; tokens of each
@@ -130,7 +129,6 @@ class TreeEncoder:
         return [[i for kind, x in steps for i in (x if kind == "ids" else trees[x])] for steps in plan]
 
 
-@cache
 def _cache(path: str, long_word: int, leaf: int) -> WordCache:
     bpe = word_bpe(path)
     tree = TreeEncoder(bpe, leaf)
@@ -155,7 +153,9 @@ def encode(
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _cache(path, long_word, leaf).__getitem__
+        known = worker_cache(
+            "bpe", ("tree", path, long_word, leaf), lambda: _cache(path, long_word, leaf)
+        ).__getitem__
         for batch in batches:
             texts = text_bytes(batch.column(len(names)))
             for a, b in chunks(texts):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import threading
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -85,7 +86,29 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+# Text that a Python worker gets at once; with it a worker's working set stays small whatever the rows.
+BATCH_BYTES = "8m"
+
+
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
-    """``mapInArrow`` with the library at hand in the workers."""
+    """``mapInArrow`` with the library at hand in the workers, over batches of bounded size."""
     ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(run, schema)
+
+
+_held: dict[object, object] = {}
+_family: list[str] = []
+
+
+def worker_cache(family: str, key: object, make: Callable[[], object]):
+    """What ``make`` gives, kept in the process between tasks until another family of operators runs in
+    it: a worker that serves several operators holds the caches of one."""
+    if _family != [family]:
+        _held.clear()
+        _family[:] = [family]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.llm.common import chunks, map_arrow, materialise, text_bytes
+from caseflow.llm.common import chunks, map_arrow, materialise, text_bytes, worker_cache
 
 UNDETERMINED = "und"
 # Longest piece in characters, with the word-start mark; other pieces of the vocabulary are not used.
@@ -32,7 +32,7 @@ ROUNDS = 2
 # Expected counts added to every piece; keeps unseen pieces possible in every language.
 SMOOTHING = 0.05
 MARK = "▁"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 WORDS_AT_ONCE = 1 << 15
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -291,9 +291,6 @@ class Scorer:
         return languages, scores
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the posterior of that language under equal priors.
 
@@ -309,12 +306,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from caseflow.llm import language
-
-        if key not in language._scorers:
-            language._scorers.clear()
-            language._scorers[key] = Scorer(held.value)
-        scorer = language._scorers[key]
+        scorer = worker_cache("language", key, lambda: Scorer(held.value))
         for batch in batches:
             languages, scores = [], []
             texts = text_bytes(batch.column(at))

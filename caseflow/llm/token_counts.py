@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.llm.common import map_arrow, text_bytes
+from caseflow.llm.common import map_arrow, text_bytes, worker_cache
 from caseflow.llm.wordbpe import WordBpe, WordCache, to_symbols, word_bpe
 
 
@@ -64,11 +63,6 @@ class Counter:
         return n
 
 
-@cache
-def _counter(path: str) -> Counter:
-    return Counter(path)
-
-
 def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_bytes`` (UTF-8) and ``n_tokens`` in place of ``text``.
 
@@ -82,7 +76,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     schema = T.StructType([*kept, *[T.StructField(n, T.LongType()) for n in results]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _counter(path).cache.__getitem__
+        known = worker_cache("bpe", ("counts", path), lambda: Counter(path)).cache.__getitem__
         for batch in batches:
             texts = text_bytes(batch.column(len(names)))
             counts = [sum(map(known, t.split())) for t in texts]

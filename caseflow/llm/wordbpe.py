@@ -17,8 +17,10 @@ from string import punctuation
 import numpy as np
 from tokenizers import Tokenizer
 
+from caseflow.llm.common import worker_cache
+
 # Words of a generation of a worker's cache, and the longest word worth keeping, in bytes.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 200_000
 CACHED_WORD_BYTES = 256
 
 
@@ -108,10 +110,9 @@ def as_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@cache
 def word_bpe(path: str) -> WordBpe:
-    """One instance for each worker process."""
-    return WordBpe(path)
+    """One instance for each process."""
+    return worker_cache("bpe", ("file", path), lambda: WordBpe(path))
 
 
 class WordCache(dict):
@@ -138,12 +139,9 @@ class WordCache(dict):
         return value
 
 
-@cache
-def _id_cache(path: str) -> WordCache:
-    return WordCache(word_bpe(path).word)
 
 
 def encode_texts(path: str, texts: list[bytes]) -> list[np.ndarray]:
     """Token ids of every text, as unsigned 32-bit integers."""
-    known = _id_cache(path).__getitem__
+    known = worker_cache("bpe", ("ids", path), lambda: WordCache(word_bpe(path).word)).__getitem__
     return [np.frombuffer(b"".join(map(known, text.split())), "<u4") for text in texts]
