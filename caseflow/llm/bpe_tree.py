@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -182,15 +183,18 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     schema = T.StructType([*kept, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = dict(enumerate(word_bpe(path).tokens))
+        token = np.array([*word_bpe(path).tokens, ""], object)  # the last stands for ids outside
         for batch in batches:
             step = max(1, (4 << 20) * len(batch) // max(1, batch.nbytes))
             for a in range(0, len(batch), step):
                 part = batch.slice(a, step)
-                texts = [
-                    " ".join([token[i] for i in ids or () if i in token])
-                    for ids in part.column(at).to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts)], [*names, "decoded"])
+                column = part.column(at)
+                ids = column.flatten().to_numpy(zero_copy_only=False)
+                sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+                known = (ids >= 0) & (ids < len(token) - 1)
+                tokens = token[np.where(known, ids, -1)].tolist()
+                ends = np.cumsum(sizes, dtype=np.int64).tolist()
+                texts = [" ".join(filter(None, tokens[e - n : e])) for e, n in zip(ends, sizes.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, "decoded"])
 
     return map_arrow(encoded.select(*[F.col(f"`{n}`") for n in names]), run, schema)
