@@ -140,32 +140,59 @@ def _cache(path: str, long_word: int, leaf: int) -> WordCache:
     return WordCache(compute)
 
 
+def _joined(token: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+    """The texts of rows of ids, laid end to end; ``token`` has the string of each id and, last, the
+    empty string for ids outside the vocabulary."""
+    known = (ids >= 0) & (ids < len(token) - 1)
+    tokens = token[np.where(known, ids, -1)].tolist()
+    ends = np.cumsum(sizes, dtype=np.int64).tolist()
+    return [" ".join(filter(None, tokens[e - n : e])) for e, n in zip(ends, sizes.tolist(), strict=True)]
+
+
+def _strings(path: str) -> np.ndarray:
+    return np.array([*word_bpe(path).tokens, ""], object)
+
+
 def encode(
-    docs: DataFrame, path: str, text: str = "text", long_word: int = LONG_WORD, leaf: int = LEAF
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    long_word: int = LONG_WORD,
+    leaf: int = LEAF,
+    decoded: bool = False,
 ) -> DataFrame:
     """``docs`` with ``ids`` (array of int) in place of ``text``: the library's ids of each whole text,
     without added special tokens; special strings inside texts count as special, as its default.
 
-    A null or empty text has no ids. Other columns are kept as they are; a column that is named
-    ``ids`` is replaced. Rows and their order within a partition stay; nothing is shuffled.
+    With ``decoded``, also what ``decode`` gives for these ids, in the same pass: a task then needs one
+    Python worker rather than two. A null or empty text has no ids and decodes to an empty text. Other
+    columns are kept as they are; columns named like a result are replaced. Rows and their order within
+    a partition stay; nothing is shuffled.
     """
-    kept = [f for f in docs.schema.fields if f.name not in (text, "ids")]
-    schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    results = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    if decoded:
+        results.append(T.StructField("decoded", T.StringType()))
+    kept = [f for f in docs.schema.fields if f.name not in (text, *[r.name for r in results])]
+    schema = T.StructType([*kept, *results])
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = worker_cache(
             "bpe", ("tree", path, long_word, leaf), lambda: _cache(path, long_word, leaf)
         ).__getitem__
+        strings = _strings(path) if decoded else None
         for batch in batches:
             texts = text_bytes(batch.column(len(names)))
             for a, b in chunks(texts):
                 coded = [b"".join(map(known, t.split())) for t in texts[a:b]]
-                ends = np.cumsum([0, *[len(c) // 4 for c in coded]], dtype=np.int32)
-                values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
-                ids = pa.ListArray.from_arrays(pa.array(ends), values)
-                rest = [batch.column(i).slice(a, b - a) for i in range(len(names))]
-                yield pa.RecordBatch.from_arrays([*rest, ids], [*names, "ids"])
+                sizes = np.array([len(c) // 4 for c in coded], np.int32)
+                values = np.frombuffer(b"".join(coded), "<i4")
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                columns = [batch.column(i).slice(a, b - a) for i in range(len(names))]
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values)))
+                if decoded:
+                    columns.append(pa.array(_joined(strings, values, sizes), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     given = docs.select(*[F.col(f"`{n}`") for n in names], F.col(text).cast("string"))
     return map_arrow(given, run, schema)
@@ -183,7 +210,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     schema = T.StructType([*kept, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = np.array([*word_bpe(path).tokens, ""], object)  # the last stands for ids outside
+        strings = _strings(path)
         for batch in batches:
             step = max(1, (4 << 20) * len(batch) // max(1, batch.nbytes))
             for a in range(0, len(batch), step):
@@ -191,10 +218,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 column = part.column(at)
                 ids = column.flatten().to_numpy(zero_copy_only=False)
                 sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-                known = (ids >= 0) & (ids < len(token) - 1)
-                tokens = token[np.where(known, ids, -1)].tolist()
-                ends = np.cumsum(sizes, dtype=np.int64).tolist()
-                texts = [" ".join(filter(None, tokens[e - n : e])) for e, n in zip(ends, sizes.tolist(), strict=True)]
+                texts = _joined(strings, ids, sizes)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, "decoded"])
 
     return map_arrow(encoded.select(*[F.col(f"`{n}`") for n in names]), run, schema)

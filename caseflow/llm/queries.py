@@ -105,7 +105,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe_tree.decode(bpe_tree.encode(docs, TOKENIZER), TOKENIZER)
+    coded = bpe_tree.encode(docs, TOKENIZER, decoded=True)
     plain_ids = F.translate(F.col("ids").cast("string"), "[],", "")
     return coded.select(
         "doc_id",

@@ -50,7 +50,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, and the digest of the decoded text."""
     given = docs.select("doc_id", "lang", "source", "text")
-    coded = bpe_tree.decode(bpe_tree.encode(given, TOKENIZER), TOKENIZER)
+    coded = bpe_tree.encode(given, TOKENIZER, decoded=True)
     return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

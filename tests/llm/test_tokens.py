@@ -48,6 +48,10 @@ def test_tree_joins_exactly(leaf):
 def test_encode_decode_and_counts(spark, docs):
     table = docs([(i, t) for i, t in enumerate(ODD)] + [(3, "tie"), (3, "tie"), (None, "no id")])
     coded = bpe_tree.decode(bpe_tree.encode(table, TOKENIZER, long_word=64, leaf=16), TOKENIZER).collect()
+    at_once = bpe_tree.encode(table, TOKENIZER, long_word=64, leaf=16, decoded=True)
+    assert at_once.columns == [*[c for c in table.columns if c not in ("text", "ids")], "ids", "decoded"]
+    assert sorted(map(repr, at_once.collect())) == sorted(map(repr, coded))
+    assert bpe_tree.encode(table.limit(0), TOKENIZER, decoded=True).collect() == []
     tokenizer = word_bpe(TOKENIZER).tokenizer
     assert len(coded) == len(ODD) + 3
     for row in coded[: len(ODD)]:
