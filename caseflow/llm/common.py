@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import io
 import os
@@ -101,6 +102,13 @@ _held: dict[object, object] = {}
 _family: list[str] = []
 
 
+def _return_free_memory() -> None:
+    """Freed small objects go back to the system, where the C library can do that."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def worker_cache(family: str, key: object, make: Callable[[], object]):
     """What ``make`` gives, kept in the process between tasks until another family of operators runs in
     it: a worker that serves several operators holds the caches of one."""
@@ -109,6 +117,7 @@ def worker_cache(family: str, key: object, make: Callable[[], object]):
         _family[:] = [family]
         gc.collect()
         pa.default_memory_pool().release_unused()
+        _return_free_memory()
     if key not in _held:
         _held[key] = make()
     return _held[key]

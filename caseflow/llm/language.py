@@ -33,7 +33,9 @@ ROUNDS = 2
 SMOOTHING = 0.05
 MARK = "▁"
 CACHED_WORDS = 200_000
-WORDS_AT_ONCE = 1 << 15
+WORDS_AT_ONCE = 1 << 13
+# Bytes of text whose words a worker holds at once; a longer text is held alone.
+CHUNK_BYTES = 1 << 20
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -310,7 +312,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             languages, scores = [], []
             texts = text_bytes(batch.column(at))
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK_BYTES):
                 some = scorer.predict(texts[a:b])
                 languages += some[0]
                 scores += some[1]
