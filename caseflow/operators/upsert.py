@@ -34,6 +34,18 @@ def one_per_key(source: DataFrame, keys: Sequence[str], order_by: str | None = N
     return picked.select(*[F.col(c) if c in keys else F.col(f"_latest.row.{c}") for c in source.columns])
 
 
+def require_unique(rows: DataFrame, keys: Sequence[str], what: str = "rows") -> DataFrame:
+    """``rows``, once a job has found no key twice; it reads and shuffles the key columns alone.
+
+    For a table that is written as it comes, with no merge that would check its rows on the way.
+    """
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    repeated = counts.filter(F.col("_n") > 1).drop("_n").limit(1).collect()
+    if repeated:
+        raise ValueError(f"duplicate key in {what}: {repeated[0].asDict()}")
+    return rows
+
+
 def with_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
     """``target`` with the columns only ``source`` has, as NULLs: additive schema changes."""
     known = set(target.columns)

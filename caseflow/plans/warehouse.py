@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from caseflow.operators import calendar as cal
 from caseflow.operators import dims, fact, staging
-from caseflow.operators.upsert import upsert
+from caseflow.operators.upsert import require_unique, upsert
 from caseflow.plans import reporting
 from caseflow.schemas import (
     AGENT_ATTRIBUTES,
@@ -31,6 +31,7 @@ from caseflow.schemas import (
     RAW_AGENTS,
     RAW_CASES,
     RAW_CUSTOMERS,
+    SLA_SCHEMA,
 )
 from caseflow.sources import casemodel
 from caseflow.sources.landing import land, land_csv
@@ -51,7 +52,8 @@ def _side_by_side(*steps: Callable[[], DataFrame]) -> list[DataFrame]:
 class Warehouse:
     """Tables by layer; each is built from the layers before it when first asked for.
 
-    ``extract`` holds the landed frames of this run: cases, customers and agents.
+    ``extract`` holds the landed frames of this run: cases, customers and agents. ``policy`` replaces
+    the built-in SLA targets: priority and target_resolution_hrs, one row per priority.
     """
 
     spark: SparkSession
@@ -61,6 +63,7 @@ class Warehouse:
     as_of: date
     span: tuple[date, date] = (CALENDAR_START, CALENDAR_END)
     run_id: int = 0
+    policy: DataFrame | None = None
     _tables: dict[str, DataFrame] = field(default_factory=dict)
     _locks: dict[str, threading.Lock] = field(default_factory=dict)
 
@@ -97,16 +100,21 @@ class Warehouse:
         return self.table(f"raw_{name}", lambda _: self.extract[name])
 
     # STG: customers and agents first, because cases look both up
-    def _staged(self, name: str, key: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    def _staged(self, feed: str, key: str, rows: Callable[[], DataFrame]) -> DataFrame:
+        """One row per key from the first run on: a key that an extract repeats is an error."""
+
         def build(previous: DataFrame | None) -> DataFrame:
-            return rows() if previous is None else upsert(previous, rows(), [key])
+            if previous is not None:
+                return upsert(previous, rows(), [key])
+            require_unique(self.raw(feed).filter(F.col(key).isNotNull()), [key], feed)
+            return rows()
 
-        return self.table(name, build)
+        return self.table(f"stg_{feed}", build)
 
     @property
     def stg_customers(self) -> DataFrame:
         return self._staged(
-            "stg_customers",
+            "customers",
             "customer_id",
             lambda: staging.stage_customers(self.raw("customers"), self.run_ts),
         )
@@ -114,7 +122,7 @@ class Warehouse:
     @property
     def stg_agents(self) -> DataFrame:
         return self._staged(
-            "stg_agents", "agent_id", lambda: staging.stage_agents(self.raw("agents"), self.run_ts)
+            "agents", "agent_id", lambda: staging.stage_agents(self.raw("agents"), self.run_ts)
         )
 
     def _orphans(self, fk: str, parent: DataFrame) -> DataFrame:
@@ -133,7 +141,7 @@ class Warehouse:
                 self.raw("cases"), customer_orphans, agent_orphans, self.run_ts
             )
 
-        return self._staged("stg_cases", "case_id", rows)
+        return self._staged("cases", "case_id", rows)
 
     # DIM: split by is_current, so the fact load does not read expired versions
     def _dimension(
@@ -168,7 +176,10 @@ class Warehouse:
 
     @property
     def sla(self) -> DataFrame:
-        return reporting.sla_policy(self.spark)
+        if self.policy is None:
+            return reporting.sla_policy(self.spark)
+        policy = self.policy.select(*[F.col(f.name).cast(f.dataType) for f in SLA_SCHEMA])
+        return self.table("sla_policy", lambda _: require_unique(policy, ["priority"], "the SLA policy"))
 
     # FACT: every run refreshes all cases, so they follow the current dimension versions
     @property
@@ -186,9 +197,14 @@ class Warehouse:
         return reporting.case_enriched(self.fact, self.dim_date, self.sla)
 
     def publish(self) -> None:
-        """Register the reporting views by name."""
+        """Register the fact, the dimensions, the SLA targets and the reporting views by name."""
         reporting.publish(
             {
+                "fact_cases": self.fact,
+                "dim_customer": self.dim_customer,
+                "dim_agent": self.dim_agent,
+                "dim_date": self.dim_date,
+                "sla_policy": self.sla,
                 "case_enriched": self.enriched,
                 "agent_scorecard": reporting.agent_scorecard(self.fact),
                 "region_summary": reporting.region_summary(self.fact),

@@ -7,6 +7,7 @@ from caseflow.operators import calendar as cal
 from caseflow.operators import dims, staging
 from caseflow.operators.fact import FACT_COLUMNS, created_between, fact_source, load_fact
 from caseflow.plans import analytics, checks, reporting
+from caseflow.plans.warehouse import Warehouse, landed
 from caseflow.schemas import AGENT_ATTRIBUTES, CUSTOMER_ATTRIBUTES, RAW_AGENTS, RAW_CASES, RAW_CUSTOMERS
 from tests.conftest import rows
 
@@ -182,3 +183,41 @@ def test_views_are_published(spark):
     fact = make_fact(spark, [case("C1")])
     reporting.publish({"region_summary": reporting.region_summary(fact)})
     assert spark.sql("select region, total_cases from region_summary").collect() == [("EU", 1)]
+
+
+def make_warehouse(spark, root, cases, customers=(("CU1", "Ann", "eu", "2021-01-01"),), run_ts=TS, **options):
+    feeds = {
+        "cases": spark.createDataFrame(list(cases), RAW_CASES),
+        "customers": spark.createDataFrame(list(customers), RAW_CUSTOMERS),
+        "agents": spark.createDataFrame([("AG1", "Bo", "T1")], RAW_AGENTS),
+    }
+    return Warehouse(
+        spark, landed(feeds, run_ts), str(root), run_ts, run_ts.date(),
+        (date(2025, 1, 1), date(2025, 12, 31)), **options,
+    )
+
+
+def test_a_repeated_key_is_an_error_on_the_first_load(spark, tmp_path):
+    twice = [("CU1", "Ann", "eu", "2021-01-01"), ("CU1", "Eve", "eu", "2021-01-01"), (None, "x", "eu", None)]
+    with pytest.raises(ValueError, match="duplicate key in customers: .*CU1"):
+        make_warehouse(spark, tmp_path / "a", [case("C1")], twice).fact.count()
+    with pytest.raises(ValueError, match="duplicate key in cases: .*C1"):
+        make_warehouse(spark, tmp_path / "b", [case("C1"), case("C1", 20)]).fact.count()
+
+
+def test_own_policy_and_sql_names_follow_the_run(spark, tmp_path):
+    policy = spark.createDataFrame([("High", 5, "x")], "priority string, target_resolution_hrs int, note string")
+    make_warehouse(spark, tmp_path, [case("C1", 10)], policy=policy).publish()
+    met = "select case_id, target_resolution_hrs, sla_met from case_enriched order by 1"
+    assert rows(spark.sql(met)) == [("C1", 5, False)]
+    longer = policy.withColumn("target_resolution_hrs", F.lit(12))
+    make_warehouse(
+        spark, tmp_path, [case("C2", 15)], run_ts=LATER, run_id=1, policy=longer
+    ).publish()
+    assert rows(spark.sql(met)) == [("C1", 12, True), ("C2", 12, False)]
+    joined = "select c.region, count(*) from fact_cases f join dim_customer c using (sk_customer) group by 1"
+    assert rows(spark.sql(joined)) == [("EU", 2)]
+    assert rows(spark.sql("select * from sla_policy")) == [("High", 12)]
+    repeated = policy.union(policy)
+    with pytest.raises(ValueError, match="duplicate key in the SLA policy"):
+        make_warehouse(spark, tmp_path, [], policy=repeated, run_id=2).sla
