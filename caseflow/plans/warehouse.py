@@ -42,10 +42,10 @@ from caseflow.workspace import hadoop_path, scratch
 _registry = threading.Lock()
 
 
-def _side_by_side(*steps: Callable[[], DataFrame]) -> list[DataFrame]:
+def _side_by_side(spark: SparkSession, *steps: Callable[[], DataFrame]) -> list[DataFrame]:
     """Build tables that do not depend on each other at the same time, under the caller's job group and tags."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [started.result() for started in [pool.submit(inheritable_thread_target(step)) for step in steps]]
+        return [started.result() for started in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
 
 
 @dataclass
@@ -134,6 +134,7 @@ class Warehouse:
     def stg_cases(self) -> DataFrame:
         def rows() -> DataFrame:
             customer_orphans, agent_orphans = _side_by_side(
+                self.spark,
                 lambda: self._orphans("customer_id", self.stg_customers),
                 lambda: self._orphans("agent_id", self.stg_agents),
             )
@@ -185,7 +186,9 @@ class Warehouse:
     @property
     def fact(self) -> DataFrame:
         def build(previous: DataFrame | None) -> DataFrame:
-            _side_by_side(lambda: self.raw("cases"), lambda: self.dim_customer, lambda: self.dim_agent)
+            _side_by_side(
+                self.spark, lambda: self.raw("cases"), lambda: self.dim_customer, lambda: self.dim_agent
+            )
             rows = fact.fact_source(self.stg_cases, self.dim_customer, self.dim_agent)
             return fact.clustered_by_month(fact.load_fact(previous, rows, self.run_ts))
 
