@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,14 @@ from pyspark.sql import functions as F
 from caseflow.operators.upsert import one_per_key, same_columns
 
 
-def since_watermark(source: DataFrame, target: DataFrame, updated_at: str) -> DataFrame:
-    """Source rows at or after the newest row already loaded.
+def since_watermark(
+    source: DataFrame, target: DataFrame, updated_at: str, overlap: timedelta = timedelta(0)
+) -> DataFrame:
+    """Source rows at or after the newest row already loaded, less ``overlap``.
+
+    Rows later than their time by up to ``overlap`` are still taken, and rows without a time are
+    taken always; the upsert, in which a row without a time gives way to any other of its key,
+    makes both harmless.
 
     The mark is one value, read once and pushed into the scan as a literal; as text it keeps
     its meaning in any session zone. Rows equal to it are taken again, because the last run
@@ -20,7 +27,8 @@ def since_watermark(source: DataFrame, target: DataFrame, updated_at: str) -> Da
     mark = target.agg(F.max(updated_at).cast("string")).first()[0]
     if mark is None:
         return source
-    return source.filter(F.col(updated_at) >= F.lit(mark).cast(source.schema[updated_at].dataType))
+    start = F.lit(mark).cast(source.schema[updated_at].dataType) - F.lit(overlap)
+    return source.filter((F.col(updated_at) >= start) | F.col(updated_at).isNull())
 
 
 def upsert_latest(

@@ -104,6 +104,15 @@ def with_orphans(
     ).drop("_customer", "_agent")
 
 
+def with_current_orphans(
+    staged: DataFrame, customer_orphans: DataFrame, agent_orphans: DataFrame
+) -> DataFrame:
+    """Staged cases with their orphan flags looked up again; parents may have arrived since."""
+    bare = staged.drop("dq_flag_orphan_customer", "dq_flag_orphan_agent", "has_any_dq_flag")
+    found = with_orphans(bare, customer_orphans, agent_orphans)
+    return found.withColumn("has_any_dq_flag", any_flag()).select(*staged.columns)
+
+
 def with_flags(parsed: DataFrame) -> DataFrame:
     """The three flags of the row itself; status is trusted over the timestamps."""
     flags = {

@@ -34,6 +34,16 @@ def one_per_key(source: DataFrame, keys: Sequence[str], order_by: str | None = N
     return picked.select(*[F.col(c) if c in keys else F.col(f"_latest.row.{c}") for c in source.columns])
 
 
+def last_delivered(rows: DataFrame, key: str, run: str) -> DataFrame:
+    """``rows`` without those whose key a later ``run`` holds again; rows without a key stay.
+
+    Only keys that several runs hold take part in the anti join, and they are counted first.
+    """
+    runs = rows.groupBy(F.col(key).alias("_key")).agg(F.max(run).alias("_last"), F.min(run).alias("_first"))
+    again = runs.filter(F.col("_first") < F.col("_last")).select("_key", "_last")
+    return rows.join(again, (F.col(key) == F.col("_key")) & (F.col(run) < F.col("_last")), "left_anti")
+
+
 def require_unique(rows: DataFrame, keys: Sequence[str], what: str = "rows") -> DataFrame:
     """``rows``, once a job has found no key twice; it reads and shuffles the key columns alone.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,7 +164,7 @@ def stage_customers(w: Warehouse) -> DataFrame:
 
 
 def parse_timestamps(w: Warehouse) -> DataFrame:
-    return staging.parse_cases(w.raw("cases")).select(
+    return staging.parse_cases(w.source("cases")).select(
         "case_id", *_text("created_at", "closed_at"), F.col("_created_text").alias("created_text")
     )
 
@@ -379,6 +379,54 @@ def pipeline_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _later_parents(spark: SparkSession, sf_dir: str, again: Column) -> Warehouse:
+    """The second of two runs: the first lacks a third of the customers, the second delivers only
+    these, the cases that are new and those that ``again`` selects, and no agent."""
+    root = scratch(spark, "parents")
+    feeds = source_feeds(spark, sf_dir)
+    known = F.coalesce(F.col("created_at") < "1998", F.lit(False))
+    withheld = F.pmod(F.xxhash64("customer_id"), F.lit(3)) == 0
+    cases, customers = feeds["cases"], feeds["customers"]
+    first = {**feeds, "cases": cases.filter(known), "customers": customers.filter(~withheld)}
+    second = {
+        "cases": cases.filter(~known | again),
+        "customers": customers.filter(withheld),
+        "agents": feeds["agents"].filter(F.lit(False)),
+    }
+    later = RUN_TS + timedelta(days=1)
+    Warehouse(spark, landed(first, RUN_TS), root, RUN_TS, RUN_TS.date(), SPAN).fact  # noqa: B018
+    return Warehouse(spark, landed(second, later), root, later, later.date(), SPAN, run_id=1)
+
+
+def pipeline_late_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that arrive a run after their cases: flags and figures as of one load of all."""
+    w = _later_parents(spark, sf_dir, F.lit(False))
+    return w.fact.groupBy("region", "status").agg(
+        F.count("*").alias("cases"),
+        F.count_if("has_any_dq_flag").alias("flagged"),
+        F.count_if("dq_flag_orphan_customer").alias("orphans"),
+        F.count_if(F.col("sk_customer").isNotNull()).alias("matched"),
+        F.sum(F.when(~F.col("has_any_dq_flag"), F.col("resolution_hours"))).cast("double").alias("hours"),
+    )
+
+
+def pipeline_delta_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of the layers after a second run that delivers changes only, some cases again."""
+    w = _later_parents(spark, sf_dir, F.col("category") == "Technical")
+    violations = contract_relationships(w).select("object", F.col("violations").alias("n"), "ok")
+    layers = check_rows_preserved(w).select(F.col("layer").alias("object"), F.col("row_count").alias("n"), "ok")
+    figures = metric_reconciliation(w).agg(F.count("*").alias("n"), F.bool_and("ok").alias("ok"))
+    landed_rows = w.raw("cases").agg(F.count("*").alias("n"))
+    return contracts.union_all(
+        [
+            violations,
+            layers,
+            figures.select(F.lit("figures").alias("object"), "n", "ok"),
+            landed_rows.select(F.lit("landed").alias("object"), "n", F.lit(True).alias("ok")),
+        ]
+    )
+
+
 def _versioned_cases(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     """Change feeds with an update time: all cases as opened, then every case with a close
     time as staged, together with a stale repeat of its opening."""
@@ -419,6 +467,18 @@ def incremental_batch(w: Warehouse) -> DataFrame:
     return merged.select("case_id", "status", "priority", *_text("updated_at"))
 
 
+def incremental_late_rows(w: Warehouse) -> DataFrame:
+    """Cases of Billing are not yet in the target; they come with a time before its mark or none."""
+    columns = ["case_id", "status", "priority"]
+    billing = F.coalesce(F.col("category") == "Billing", F.lit(False))
+    target = w.stg_cases.filter(~billing).select(*columns, ntz(datetime(2001, 1, 1)).alias("updated_at"))
+    late = F.when(F.col("closed_at").isNotNull(), ntz(datetime(2000, 12, 30)))
+    feed = w.stg_cases.filter(billing).select(*columns, late.alias("updated_at"))
+    fresh = since_watermark(feed, target, "updated_at", timedelta(days=3))
+    merged = upsert_latest(target, fresh, ["case_id"], "updated_at")
+    return merged.select(*columns, *_text("updated_at"))
+
+
 # --- fact and views ---------------------------------------------------------
 
 
@@ -471,9 +531,9 @@ def contract_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
     return contracts.union_all(
         [
-            contracts.unique(w.raw("cases"), ["case_id"], "cases"),
-            contracts.unique(w.raw("customers"), ["customer_id"], "customers"),
-            contracts.unique(w.raw("agents"), ["agent_id"], "agents"),
+            contracts.unique(w.source("cases"), ["case_id"], "cases"),
+            contracts.unique(w.source("customers"), ["customer_id"], "customers"),
+            contracts.unique(w.source("agents"), ["agent_id"], "agents"),
             contracts.unique(
                 table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem"
             ),
@@ -484,9 +544,9 @@ def contract_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contract_not_null(w: Warehouse) -> DataFrame:
     return contracts.union_all(
         [
-            contracts.not_null(w.raw("cases"), ["case_id", "customer_id", "agent_id"], "cases"),
-            contracts.not_null(w.raw("customers"), ["customer_id"], "customers"),
-            contracts.not_null(w.raw("agents"), ["agent_id"], "agents"),
+            contracts.not_null(w.source("cases"), ["case_id", "customer_id", "agent_id"], "cases"),
+            contracts.not_null(w.source("customers"), ["customer_id"], "customers"),
+            contracts.not_null(w.source("agents"), ["agent_id"], "agents"),
         ]
     )
 
@@ -494,9 +554,9 @@ def contract_not_null(w: Warehouse) -> DataFrame:
 def contract_widths(w: Warehouse) -> DataFrame:
     return contracts.union_all(
         [
-            contracts.max_length(w.raw("cases"), CASE_WIDTHS, "cases"),
-            contracts.max_length(w.raw("customers"), CUSTOMER_WIDTHS, "customers"),
-            contracts.max_length(w.raw("agents"), AGENT_WIDTHS, "agents"),
+            contracts.max_length(w.source("cases"), CASE_WIDTHS, "cases"),
+            contracts.max_length(w.source("customers"), CUSTOMER_WIDTHS, "customers"),
+            contracts.max_length(w.source("agents"), AGENT_WIDTHS, "agents"),
         ]
     )
 
@@ -505,7 +565,7 @@ def contract_accepted_values(w: Warehouse) -> DataFrame:
     return contracts.union_all(
         [
             contracts.unexpected_values(
-                w.raw("cases"),
+                w.source("cases"),
                 {
                     "priority": ACCEPTED_PRIORITIES,
                     "status": ACCEPTED_STATUSES,
@@ -514,21 +574,21 @@ def contract_accepted_values(w: Warehouse) -> DataFrame:
                 "cases",
             ),
             contracts.unexpected_values(
-                w.raw("customers"), {"region": ACCEPTED_SOURCE_REGIONS}, "customers"
+                w.source("customers"), {"region": ACCEPTED_SOURCE_REGIONS}, "customers"
             ),
-            contracts.unexpected_values(w.raw("agents"), {"team": ACCEPTED_TEAMS}, "agents"),
+            contracts.unexpected_values(w.source("agents"), {"team": ACCEPTED_TEAMS}, "agents"),
         ]
     )
 
 
 def contract_relationships(w: Warehouse) -> DataFrame:
-    cases = w.raw("cases")
+    cases = w.source("cases")
     return contracts.union_all(
         [
             contracts.relationship(
-                cases, "customer_id", w.raw("customers"), "customer_id", "cases", "customers"
+                cases, "customer_id", w.source("customers"), "customer_id", "cases", "customers"
             ),
-            contracts.relationship(cases, "agent_id", w.raw("agents"), "agent_id", "cases", "agents"),
+            contracts.relationship(cases, "agent_id", w.source("agents"), "agent_id", "cases", "agents"),
         ]
     )
 
@@ -559,13 +619,13 @@ def layer_row_counts(w: Warehouse) -> DataFrame:
 
 def check_rows_preserved(w: Warehouse) -> DataFrame:
     return contracts.rows_preserved(
-        {"raw": w.raw("cases"), "staged": w.stg_cases, "fact": w.fact}, "case_id"
+        {"raw": w.source("cases"), "staged": w.stg_cases, "fact": w.fact}, "case_id"
     )
 
 
 def metric_reconciliation(w: Warehouse) -> DataFrame:
     return checks.metric_reconciliation(
-        w.fact, w.raw("cases"), w.raw("customers"), w.raw("agents")
+        w.fact, w.source("cases"), w.source("customers"), w.source("agents")
     )
 
 
@@ -615,7 +675,7 @@ def all_queries() -> dict[str, Query]:
               for n, f in (("min_hours", F.min), ("max_hours", F.max))],
         ),
         "dq_flags": lambda w: w.stg_cases.select("case_id", *DQ_FLAGS, "has_any_dq_flag"),
-        "dq_flags_extended": lambda w: staging.extended_flags(w.raw("cases")),
+        "dq_flags_extended": lambda w: staging.extended_flags(w.source("cases")),
         "orphan_flags": lambda w: w.stg_cases.groupBy(
             "dq_flag_orphan_customer", "dq_flag_orphan_agent", "status"
         ).agg(F.count("*").alias("cases")),
@@ -634,6 +694,7 @@ def all_queries() -> dict[str, Query]:
         "merge_idempotent": merge_idempotent,
         "fact_reload_idempotent": fact_reload_idempotent,
         "incremental_batch": incremental_batch,
+        "incremental_late_rows": incremental_late_rows,
         "fact_cases": fact_cases,
         "asof_region_volume": asof_region_volume,
         "sla_policy": sla_policy,
@@ -660,6 +721,8 @@ def all_queries() -> dict[str, Query]:
         "incremental_upsert": incremental_upsert,
         "pipeline_from_csv": pipeline_from_csv,
         "pipeline_second_run": pipeline_second_run,
+        "pipeline_late_parent": pipeline_late_parent,
+        "pipeline_delta_checks": pipeline_delta_checks,
         "date_spine": date_spine,
         "dim_date": dim_date,
         "date_dim_bounds": date_dim_bounds,

@@ -2,8 +2,9 @@
 
 Each layer is written as Parquet into the shared workspace on first use and read back, so a
 report scans a few columns of the fact instead of deriving it again, and a lost executor
-costs a re-read rather than a recomputation of the chain. A later run over the same root
-merges its extract into the tables of the run before it; repeating a run changes nothing.
+costs a re-read rather than a recomputation of the chain. A later run over the same root adds
+its extract to RAW and merges it into the other tables of the run before it; repeating a run
+changes nothing. A parent that arrives after its cases clears their orphan flags.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 
 from caseflow.operators import calendar as cal
 from caseflow.operators import dims, fact, staging
-from caseflow.operators.upsert import require_unique, upsert
+from caseflow.operators.upsert import last_delivered, require_unique, upsert
 from caseflow.plans import reporting
 from caseflow.schemas import (
     AGENT_ATTRIBUTES,
@@ -38,6 +39,9 @@ from caseflow.sources.landing import land, land_csv
 from caseflow.sources.snapshots import SnapshotTable
 from caseflow.workspace import hadoop_path, scratch
 
+# Business key of each feed.
+KEYS = {"cases": "case_id", "customers": "customer_id", "agents": "agent_id"}
+
 # Guards the shared registries below and the locks of the single tables.
 _registry = threading.Lock()
 
@@ -95,54 +99,82 @@ class Warehouse:
                 self._tables[name] = snapshot.write(build(previous), self.run_id)
             return self._tables[name]
 
-    # RAW: the landed text of this run
-    def raw(self, name: str) -> DataFrame:
-        return self.table(f"raw_{name}", lambda _: self.extract[name])
+    # RAW: the landed text of every run, each in its own folder that no later run touches
+    def landed(self, feed: str) -> DataFrame:
+        """The rows of this run's extract."""
+        return self.table(
+            f"raw_{feed}", lambda _: self.extract[feed].withColumn("_run_id", F.lit(self.run_id).cast("long"))
+        )
+
+    def _earlier(self, table: str) -> SnapshotTable | None:
+        """The table if runs before this one have written it."""
+        snapshot = SnapshotTable(self.spark, f"{self.root}/{table}")
+        return snapshot if snapshot.before(self.run_id) else None
+
+    def raw(self, feed: str) -> DataFrame:
+        """The rows of all extracts up to this run's."""
+        landed, earlier = self.landed(feed), self._earlier(f"raw_{feed}")
+        if earlier is None:
+            return landed
+        return earlier.read_all_before(self.run_id).unionByName(landed, allowMissingColumns=True)
+
+    def source(self, feed: str) -> DataFrame:
+        """RAW without the rows whose key a later run delivered again; rows without a key stay."""
+        if self._earlier(f"raw_{feed}") is None:
+            return self.landed(feed)
+        return last_delivered(self.raw(feed), KEYS[feed], "_run_id")
 
     # STG: customers and agents first, because cases look both up
-    def _staged(self, feed: str, key: str, rows: Callable[[], DataFrame]) -> DataFrame:
-        """One row per key from the first run on: a key that an extract repeats is an error."""
+    def _staged(
+        self, feed: str, rows: DataFrame, settle: Callable[[DataFrame], DataFrame] = lambda merged: merged
+    ) -> DataFrame:
+        """One row per key from the first run on: a key that an extract repeats is an error.
+
+        ``settle`` brings the merged rows up to date with what this run has changed around them.
+        """
+        key = KEYS[feed]
 
         def build(previous: DataFrame | None) -> DataFrame:
             if previous is not None:
-                return upsert(previous, rows(), [key])
-            require_unique(self.raw(feed).filter(F.col(key).isNotNull()), [key], feed)
-            return rows()
+                return settle(upsert(previous, rows, [key]))
+            require_unique(self.landed(feed).filter(F.col(key).isNotNull()), [key], feed)
+            return rows
 
         return self.table(f"stg_{feed}", build)
 
     @property
     def stg_customers(self) -> DataFrame:
         return self._staged(
-            "customers",
-            "customer_id",
-            lambda: staging.stage_customers(self.raw("customers"), self.run_ts),
+            "customers", staging.stage_customers(self.landed("customers"), self.run_ts)
         )
 
     @property
     def stg_agents(self) -> DataFrame:
-        return self._staged(
-            "agents", "agent_id", lambda: staging.stage_agents(self.raw("agents"), self.run_ts)
-        )
+        return self._staged("agents", staging.stage_agents(self.landed("agents"), self.run_ts))
 
     def _orphans(self, fk: str, parent: DataFrame) -> DataFrame:
-        return self.table(
-            f"orphans_{fk}", lambda _: staging.orphan_keys(self.raw("cases"), fk, parent, fk)
-        )
+        """Keys without a parent among the cases of this run and of the runs before it."""
+
+        def build(_: DataFrame | None) -> DataFrame:
+            used, earlier = self.landed("cases").select(fk), self._earlier("stg_cases")
+            if earlier is not None:
+                used = used.unionByName(earlier.read_before(self.run_id).select(fk))
+            return staging.orphan_keys(used, fk, parent, fk)
+
+        return self.table(f"orphans_{fk}", build)
 
     @property
     def stg_cases(self) -> DataFrame:
-        def rows() -> DataFrame:
-            customer_orphans, agent_orphans = _side_by_side(
-                self.spark,
-                lambda: self._orphans("customer_id", self.stg_customers),
-                lambda: self._orphans("agent_id", self.stg_agents),
-            )
-            return staging.stage_cases(
-                self.raw("cases"), customer_orphans, agent_orphans, self.run_ts
-            )
-
-        return self._staged("cases", "case_id", rows)
+        orphans = _side_by_side(
+            self.spark,
+            lambda: self._orphans("customer_id", self.stg_customers),
+            lambda: self._orphans("agent_id", self.stg_agents),
+        )
+        return self._staged(
+            "cases",
+            staging.stage_cases(self.landed("cases"), *orphans, self.run_ts),
+            lambda merged: staging.with_current_orphans(merged, *orphans),
+        )
 
     # DIM: split by is_current, so the fact load does not read expired versions
     def _dimension(
@@ -187,7 +219,7 @@ class Warehouse:
     def fact(self) -> DataFrame:
         def build(previous: DataFrame | None) -> DataFrame:
             _side_by_side(
-                self.spark, lambda: self.raw("cases"), lambda: self.dim_customer, lambda: self.dim_agent
+                self.spark, lambda: self.landed("cases"), lambda: self.dim_customer, lambda: self.dim_agent
             )
             rows = fact.fact_source(self.stg_cases, self.dim_customer, self.dim_agent)
             return fact.clustered_by_month(fact.load_fact(previous, rows, self.run_ts))

@@ -59,9 +59,18 @@ class SnapshotTable:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self._folder(done[-1]))
 
+    def before(self, batch_id: int) -> list[int]:
+        """Ids of the complete snapshots smaller than ``batch_id``, oldest first."""
+        return [i for i in self.batches() if i < batch_id]
+
+    def read_all_before(self, batch_id: int) -> DataFrame:
+        """All complete snapshots with a smaller id together, for a table that only appends."""
+        folders = [self._folder(i) for i in self.before(batch_id)]
+        return self.spark.read.option("mergeSchema", True).parquet(*folders)
+
     def read_before(self, batch_id: int) -> DataFrame | None:
         """The last complete snapshot with a smaller id, None if there is none."""
-        earlier = [i for i in self.batches() if i < batch_id]
+        earlier = self.before(batch_id)
         if not earlier:
             return None
         folder = self._folder(earlier[-1])

@@ -471,6 +471,29 @@ FROM first_cases WHERE case_id NOT IN (SELECT case_id FROM second_cases)""",
   AS _loaded_at, '2001-09-02 00:00:00' AS _updated_at, count(*) AS cases, count(*) FILTER (has_any_dq_flag) AS flagged,
   sum(cents) / 100.0 AS hours FROM fact GROUP BY 1, 2, 3""",
         ),
+        "pipeline_late_parent": _q(
+            FACT,
+            """SELECT region, status, count(*) AS cases, count(*) FILTER (has_any_dq_flag) AS flagged,
+  count(*) FILTER (dq_flag_orphan_customer) AS orphans, count(*) FILTER (has_customer) AS matched,
+  sum(cents) FILTER (NOT has_any_dq_flag) / 100.0 AS hours FROM fact GROUP BY 1, 2""",
+        ),
+        "pipeline_delta_checks": _q(
+            FACT,
+            "SELECT object, violations AS n, ok FROM ("
+            + _relationship("customer_id", "raw_customers", "customers")
+            + " UNION ALL "
+            + _relationship("agent_id", "src_agents", "agents")
+            + f""") r UNION ALL SELECT layer, count(*), TRUE
+FROM orders, (VALUES ('raw'), ('staged'), ('fact')) l(layer) GROUP BY layer
+UNION ALL SELECT 'figures', count(*), TRUE FROM ({RECONCILED}) f
+UNION ALL SELECT 'landed', count(*) + count(*) FILTER (category = 'Technical' AND created_at < '1998'), TRUE
+FROM src_cases""",
+        ),
+        "incremental_late_rows": _q(
+            STG,
+            "SELECT case_id, status, priority, CASE WHEN category <> 'Billing' THEN '2001-01-01 00:00:00'"
+            " WHEN shut IS NOT NULL THEN '2000-12-30 00:00:00' END AS updated_at FROM stg_cases",
+        ),
         "incremental_upsert": _q(
             STG,
             "SELECT case_id, CASE WHEN shut IS NULL THEN 'Open' ELSE status END AS status, priority,"

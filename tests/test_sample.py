@@ -63,7 +63,7 @@ def test_sla_and_health(w):
     ]
     assert reporting.dq_monitor(w.fact, TS).first().pipeline_healthy
     assert checks.metric_reconciliation(
-        w.fact, w.raw("cases"), w.raw("customers"), w.raw("agents")
+        w.fact, w.source("cases"), w.source("customers"), w.source("agents")
     ).filter("not ok").count() == 0
 
 
