@@ -12,7 +12,7 @@ from caseflow.operators.upsert import one_per_key, same_columns
 
 
 def since_watermark(
-    source: DataFrame, target: DataFrame, updated_at: str, overlap: timedelta = timedelta(0)
+    source: DataFrame, target: DataFrame, updated_at: str, overlap: timedelta | None = None
 ) -> DataFrame:
     """Source rows at or after the newest row already loaded, less ``overlap``.
 
@@ -27,7 +27,9 @@ def since_watermark(
     mark = target.agg(F.max(updated_at).cast("string")).first()[0]
     if mark is None:
         return source
-    start = F.lit(mark).cast(source.schema[updated_at].dataType) - F.lit(overlap)
+    start = F.lit(mark).cast(source.schema[updated_at].dataType)
+    if overlap is not None:
+        start = start - F.lit(overlap)
     return source.filter((F.col(updated_at) >= start) | F.col(updated_at).isNull())
 
 
