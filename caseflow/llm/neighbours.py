@@ -16,39 +16,50 @@ NO_KEY = -(1 << 63)
 
 
 def cut_points(df: DataFrame, key: str, buckets: int) -> list[int]:
-    """Keys of ``df`` that cut it into at most ``buckets`` even ranges; the first is the smallest."""
+    """Values that cut ``df`` into at most ``buckets`` about even ranges; the first is the smallest key. The
+    others need not be keys: quantiles are taken in double precision."""
     shares = [i / buckets for i in range(1, buckets)] or [0.5]
     some = F.percentile_approx(key, shares, max(10_000, 4 * buckets))
     least, cuts = df.agg(F.min(key), some).first()
     return sorted({x for x in [least, *(cuts or [])] if x is not None}) if buckets > 1 else [least or 0]
 
 
+def first_keys(ranged: DataFrame) -> dict[int, tuple[int, int]]:
+    """The exact first key of every range that has rows, and the range before it that has some (before the
+    first of all, the last): one row for each range visits the driver."""
+    firsts = sorted((r["range"], r["first"]) for r in ranged.groupBy("range").agg(F.min("key").alias("first")).collect())
+    return {where: (first, firsts[i - 1][0]) for i, (where, first) in enumerate(firsts)}
+
+
 def map_with_next(
     df: DataFrame, key: str, value: str, function: Callable[[object, object], tuple], schema: str, buckets: int
 ) -> DataFrame:
     """``function`` results for pairs of a row's and the next row's prepared value, by ascending key.
 
     ``function`` has two parts: ``prepare(value)`` for each row and ``pair(key, prepared, next)`` for
-    each pair. Rows are dealt to ranges of the key and sorted there; cut points are keys of the table, so
-    the first row of a range is known and goes to the range before it as well, the first of all to the
-    last range. Only the key visits the driver, as quantiles. A null key comes first; rows of equal
+    each pair. Rows are dealt to ranges of the key and sorted there; the first row of a range goes to the
+    last range before it that has rows as well, the first of all to the last range. Only the key visits
+    the driver, as quantiles and as the first of each range. A null key comes first; rows of equal
     keys follow each other by value; the only row of a table is its own next.
     """
     prepare, pair = function
     rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(value).alias("value"))
     cuts = cut_points(rows.select("key"), "key", buckets)
-    n = max(1, len(cuts))
+
+    @F.pandas_udf("int")
+    def range_of(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(cuts, np.int64), keys.to_numpy(), side="right") - 1).astype("int32")
+
+    firsts = first_keys(rows.select("key", range_of("key").alias("range")))
 
     @F.pandas_udf("array<struct<range:int,guest:boolean>>")
     def places(keys: pd.Series) -> pd.Series:
-        at = np.searchsorted(np.array(cuts), keys.to_numpy(), side="right") - 1
-        first = np.array(cuts)[at] == keys.to_numpy()
-        return pd.Series(
-            [
-                [{"range": int(r), "guest": False}, *([{"range": int(r - 1) % n, "guest": True}] if f else [])]
-                for r, f in zip(at, first, strict=True)
-            ]
-        )
+        at = np.searchsorted(np.array(cuts, np.int64), keys.to_numpy(), side="right") - 1
+        out = []
+        for where, key in zip(at.tolist(), keys.tolist(), strict=True):
+            first, before = firsts[where]
+            out.append([{"range": where, "guest": False}, *([{"range": before, "guest": True}] if key == first else [])])
+        return pd.Series(out)
 
     dealt = rows.withColumn("place", F.explode(places("key"))).select("place.range", "place.guest", "key", "value")
     ordered = dealt.repartition(buckets, "range").sortWithinPartitions("range", "guest", "key", "value")

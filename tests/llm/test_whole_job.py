@@ -1,0 +1,20 @@
+"""Cases in which an operator once did less than the whole job."""
+
+import hashlib
+
+import xxhash
+
+from caseflow.llm import fingerprints
+
+
+def test_sensitivity_with_hash_ids(spark, docs):
+    ids = [xxhash.xxh64_intdigest(str(i)) - (1 << 63) for i in range(400)]
+    rows = [(i, f"text of {n} " * (n % 5 + 1)) for n, i in enumerate(ids)] + [(None, "no id"), (ids[3], "repeated")]
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1]))
+    want = []
+    for n, (i, text) in enumerate(ordered):
+        half, after = len(text) // 2, ordered[(n + 1) % len(ordered)][1]
+        want.append((i, hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()))
+    for buckets in (1, 8, 64):
+        got = [(r["doc_id"], r["edited_sha256"]) for r in fingerprints.sensitivity(docs(rows), buckets).collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
