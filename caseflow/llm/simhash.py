@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseflow.llm.common import map_arrow, materialise, text_bytes
 from caseflow.llm.components import connected_components
@@ -64,6 +65,22 @@ def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: st
     return map_arrow(given, run, "doc_id long, fp long")
 
 
+def with_fingerprints(docs: DataFrame, shingle: int, text: str = "text") -> DataFrame:
+    """``docs`` with ``fp`` of every whole text; other columns are kept, one named ``fp`` is replaced."""
+    kept = [f for f in docs.schema.fields if f.name != "fp"]
+    names = [f.name for f in kept]
+    at = names.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [fingerprint(t, shingle) for t in text_bytes(batch.column(at))]
+            fps = pa.array(np.array(values, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, fps], [*names, "fp"])
+
+    schema = T.StructType([*kept, T.StructField("fp", T.LongType())])
+    return map_arrow(docs.select(*[F.col(f"`{n}`") for n in names]), run, schema)
+
+
 def _offsets(radius: int) -> list[list[int]]:
     """Differences of the words' counts within the radius, one of each pair of opposite ones."""
     steps = range(-radius, radius + 1)
@@ -151,3 +168,23 @@ def near_duplicates(
     return prints.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def representatives(
+    docs: DataFrame, shingle: int, radius: int, doc_id: str = "doc_id", text: str = "text", tile: int = TILE
+) -> DataFrame:
+    """One row of each component of near-duplicates, whatever its doc_id: the first by doc_id (nulls last),
+    then text, then the other columns as they stand.
+
+    Rows of one fingerprint collapse within tasks before anything is shuffled; only linked fingerprints
+    are compared again by component.
+    """
+    names = docs.columns
+    others = [F.col(f"`{n}`").alias(n) for n in names if n not in (doc_id, text)]
+    order = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id), F.col(text), *others)
+    rows = with_fingerprints(docs, shingle, text).select("fp", order.alias("row"))
+    best = materialise(rows.groupBy("fp").agg(F.min("row").alias("row")), "first-rows")
+    roots = connected_components(links(best.select("fp"), radius, tile)).withColumnRenamed("node", "fp")
+    alone = best.join(roots, "fp", "left_anti").select("row")
+    linked = best.join(roots, "fp").groupBy("root").agg(F.min("row").alias("row")).select("row")
+    return alone.unionByName(linked).select(*[F.col("row").getField(n).alias(n) for n in names])

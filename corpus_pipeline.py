@@ -27,12 +27,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id. Repeated rows of a doc_id are one
-    document; rows without a doc_id stay as one, if their whole group has none."""
-    classes = simhash.near_duplicates(docs, SIMHASH_SHINGLE, SIMHASH_RADIUS)
-    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept"))
-    kept = docs.select(*DOCUMENT_COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each group: the one with the smallest doc_id, rows without one last, then by text and the
+    other columns. Rows of different groups stay, whether they share a doc_id or have none."""
+    return simhash.representatives(docs.select(*DOCUMENT_COLUMNS), SIMHASH_SHINGLE, SIMHASH_RADIUS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

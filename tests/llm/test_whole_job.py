@@ -4,7 +4,9 @@ import hashlib
 
 import xxhash
 
-from caseflow.llm import fingerprints
+import corpus_pipeline
+from caseflow.llm import fingerprints, simhash
+from tests.llm.test_matching import brute_simhash
 
 
 def test_sensitivity_with_hash_ids(spark, docs):
@@ -18,3 +20,25 @@ def test_sensitivity_with_hash_ids(spark, docs):
     for buckets in (1, 8, 64):
         got = [(r["doc_id"], r["edited_sha256"]) for r in fingerprints.sensitivity(docs(rows), buckets).collect()]
         assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    words = [" ".join(f"{a}{n}" for n in range(40)) for a in "abcde"]
+    near = words[4].replace("e7 ", "e7 e7 ")
+    rows = [
+        (None, words[0]), (None, words[0]), (None, words[1]), (5, words[2]), (5, words[3]), (2, words[2]),
+        (None, words[4]), (9, words[4]), (9, words[4].upper()),
+    ]
+    want = sorted([(None, words[0]), (None, words[1]), (2, words[2]), (5, words[3]), (9, words[4].upper())], key=repr)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for deal in (1, 5):
+        given = spark.createDataFrame([(i, t, "en", None, len(t)) for i, t in rows], schema).repartition(deal)
+        got = corpus_pipeline.near_duplicates(spark, given, "")
+        assert got.columns == given.columns
+        assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == want
+    # a linked group with different fingerprints, one of its rows without an id
+    group = spark.createDataFrame([(None, words[4], "en", "a", 1), (3, near, "en", "b", 2)], schema)
+    radius = (brute_simhash(near) ^ brute_simhash(words[4])).bit_count()
+    assert radius > 0
+    assert [r["doc_id"] for r in simhash.representatives(group, 3, radius).collect()] == [3]
+    assert simhash.representatives(given.limit(0), 3, 3).count() == 0
