@@ -241,16 +241,39 @@ def ratio(token: Column, table: list[float]) -> Column:
     )
 
 
+def _apart(candidate: Column, base: Column) -> Column:
+    """The parts of a candidate outside the base spans (by start) that are candidates themselves."""
+    touching = F.filter(base, lambda s: (s["start"] < candidate["end"]) & (candidate["start"] < s["end"]))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    first = F.struct(candidate["start"].alias("at"), none.alias("out"))
+
+    def grown(out: Column, start: Column, end: Column) -> Column:
+        part = F.array(F.struct(start.alias("start"), end.alias("end")))
+        return F.when(end - start >= CANDIDATE_CHARS, F.concat(out, part)).otherwise(out)
+
+    def add(state: Column, span: Column) -> Column:
+        at = F.greatest(state["at"], span["end"])
+        return F.struct(at.alias("at"), grown(state["out"], state["at"], span["start"]).alias("out"))
+
+    def named(part: Column) -> Column:
+        begin, size = part["start"] - candidate["start"] + 1, part["end"] - part["start"]
+        text = F.substring(candidate["text"], begin.cast("int"), size.cast("int"))
+        text = F.regexp_replace(text, "^[^A-Za-z0-9]+", "")  # a candidate begins with a letter or digit
+        return F.struct((part["end"] - F.length(text)).alias("start"), part["end"].alias("end"), text.alias("text"))
+
+    parts = F.aggregate(touching, first, add, lambda state: grown(state["out"], state["at"], candidate["end"]))
+    return F.filter(F.transform(parts, named), lambda m: F.length(m["text"]) >= CANDIDATE_CHARS)
+
+
 def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
-    """Candidates outside the base spans whose ratio reaches RATIO."""
-    likely = F.filter(matches(text, CANDIDATE), lambda m: ratio(m["text"], table) >= RATIO)
+    """Candidates whose ratio reaches RATIO; one that touches base spans is cut there, and what remains of
+    it on either side is scored by itself."""
 
-    def apart(base_set: Column) -> Column:
-        return F.filter(
-            likely, lambda m: ~F.exists(base_set, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"]))
-        )
+    def likely(base_set: Column) -> Column:
+        parts = F.flatten(F.transform(matches(text, CANDIDATE), lambda m: _apart(m, base_set)))
+        return F.filter(parts, lambda m: ratio(m["text"], table) >= RATIO)
 
-    found = F.when(text.rlike(CANDIDATE), _spans(let(base, apart), MARKOV))
+    found = F.when(text.rlike(CANDIDATE), _spans(let(base, likely), MARKOV))
     return found.otherwise(F.array().cast(_SPANS))
 
 
