@@ -24,8 +24,6 @@ from pyspark.sql import types as T
 from caseflow.llm.common import chunks, map_arrow, materialise, text_bytes, worker_cache
 
 UNDETERMINED = "und"
-# Longest piece in characters, with the word-start mark; other pieces of the vocabulary are not used.
-PIECE_CHARS = 8
 # Rows of each language that the fit reads, on average; which ones follows from a hash of doc_id.
 TRAIN_ROWS = 1500
 ROUNDS = 2
@@ -42,7 +40,8 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass
 class Pieces:
-    """The vocabulary as sorted hashes by length; an unknown single character is the last piece."""
+    """All pieces of letters, the longest included, as sorted hashes by length; an unknown single character
+    is the last piece."""
 
     by_length: list[tuple[np.ndarray, np.ndarray]]  # hashes, piece numbers
     size: int
@@ -63,12 +62,12 @@ def pieces(path: str) -> Pieces:
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i).lower()
         letters = piece.removeprefix(MARK)
-        if (letters.isalpha() or piece == MARK) and len(piece) <= PIECE_CHARS:
+        if letters.isalpha() or piece == MARK:
             kept.add(piece)
     kept.add(MARK)
     ordered = sorted(kept)
     by_length = []
-    for length in range(1, PIECE_CHARS + 1):
+    for length in range(1, max(map(len, ordered)) + 1):
         own = [(n, p) for n, p in enumerate(ordered) if len(p) == length]
         columns = [np.array([ord(p[i]) for _, p in own], np.uint64) for i in range(length)]
         hashes = _hash(columns) if own else np.zeros(0, np.uint64)
@@ -81,10 +80,10 @@ def lattice(vocabulary: Pieces, points: np.ndarray) -> dict[tuple[int, int], tup
     """For words of one length (rows of code points), the pieces found at each (begin, length): the
     rows and their piece numbers."""
     found = {}
-    width = points.shape[1]
+    width, longest = points.shape[1], len(vocabulary.by_length)
     for begin in range(width):
         value = np.zeros(len(points), np.uint64)
-        for length in range(1, min(PIECE_CHARS, width - begin) + 1):
+        for length in range(1, min(longest, width - begin) + 1):
             value = (value + points[:, begin + length - 1]) * _FACTOR
             value ^= value >> np.uint64(29)
             hashes, numbers = vocabulary.by_length[length - 1]
@@ -108,12 +107,13 @@ def forward(
     """Scaled forward sums (width + 1, n, languages) and log scales by position: the sum over all
     segmentations of what lies before each position. Scaling keeps words of any length representable."""
     languages = probability.shape[1]
+    longest = max((length for _, length in cells), default=1)
     sums = np.zeros((width + 1, n, languages))
     scale = np.zeros((width + 1, n, 1))
     sums[0] = 1
     for end in range(1, width + 1):
         total = sums[end]
-        for length in range(1, min(PIECE_CHARS, end) + 1):
+        for length in range(1, min(longest, end) + 1):
             if (end - length, length) not in cells:
                 continue
             rows, numbers = cells[end - length, length]
@@ -160,11 +160,12 @@ def expected_counts(vocabulary: Pieces, probability: np.ndarray, words: list[str
         points = _code_rows(some)
         width, n = points.shape[1], len(some)
         cells = lattice(vocabulary, points)
+        longest = max((length for _, length in cells), default=1)
         sums, scale = forward(cells, n, width, probability)
         ahead = np.zeros_like(sums)  # what lies behind each position, relative to the whole word
         ahead[width] = weight[places] / np.maximum(sums[width], 1e-300)
         for begin in range(width - 1, -1, -1):
-            for length in range(1, min(PIECE_CHARS, width - begin) + 1):
+            for length in range(1, min(longest, width - begin) + 1):
                 if (begin, length) not in cells:
                     continue
                 rows, numbers = cells[begin, length]

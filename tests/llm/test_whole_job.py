@@ -2,11 +2,13 @@
 
 import hashlib
 
+import numpy as np
+import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from caseflow.llm import fingerprints, queries, secrets, simhash
+from caseflow.llm import fingerprints, language, queries, secrets, simhash
 from caseflow.llm.common import table
 from tests.llm.test_matching import brute_simhash
 
@@ -59,3 +61,32 @@ def test_secrets_joined_to_base_spans(spark, small, docs):
     assert [[h.rstrip("_/=-") for h in hs] for hs in held] == [[key], [key], [key], [key, key], [], [], [key]]
     assert not any(key in r["text"] for r in rows.values())
     assert [len(r["base"]) for _, r in sorted(rows.items())] == [1, 1, 1, 1, 1, 1, 0]
+
+
+def test_forward_sums_over_every_piece_of_the_model():
+    model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    held = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
+    held = {p for p in held if p.removeprefix(language.MARK).isalpha()} | {language.MARK}
+    number = {p: n for n, p in enumerate(sorted(held))}
+    vocabulary = language.pieces(queries.PIECES)
+    assert vocabulary.size == len(held) + 1
+    longest = max(held, key=len)
+    assert len(longest) == len(vocabulary.by_length) > 8
+    probability = np.random.default_rng(2).random((vocabulary.size, 2))
+    words = [language.MARK + w for w in ("international", "government", "xqé", longest.strip(language.MARK))]
+    got = np.exp(language.log_likelihoods(vocabulary, probability, words))
+    for word, sums in zip(words, got, strict=True):
+        ahead = [np.ones(2)]  # of every suffix, by its length
+        for begin in range(len(word) - 1, -1, -1):
+            total = np.zeros(2)
+            for end in range(begin + 1, len(word) + 1):
+                unknown = len(held) if end == begin + 1 else None
+                piece = number.get(word[begin:end], unknown)
+                if piece is not None:
+                    total = total + probability[piece] * ahead[len(word) - end]
+            ahead.append(total)
+        assert np.allclose(sums, ahead[-1])
+        # expected uses of pieces, each by its letters, make up the word in every language
+        uses = language.expected_counts(vocabulary, probability, [word], np.ones((1, 2)))
+        size = np.array([len(p) for p in sorted(held)] + [1])
+        assert np.allclose(size @ uses, len(word))
