@@ -197,7 +197,8 @@ def align(
     """Banded alignments of item windows with the document, all of one length and budget at once.
 
     An alignment may begin and end anywhere in the document but stays on the diagonals of its band and
-    ``edits`` to either side. Returns the fewest edits of each, and the begin and end of the aligned part.
+    ``edits`` to either side. Returns the fewest edits of each, and the begin and end of the aligned part:
+    among several alignments with the fewest edits the one that begins first, then ends first.
     """
     width = 2 * (edits + 1) + 2 * edits
     far = window + width
@@ -207,42 +208,35 @@ def align(
     base = np.clip(base, -far, len(chars)) + far
     n = len(begins)
     columns = np.arange(width)
-    cost = np.zeros((n, width), np.int32)
-    start = np.broadcast_to(columns, (n, width)).astype(np.int32)  # begin relative to base
-    big = np.int32(1 << 20)
+    # edits and begin in one number: an edit counts ``one``, the begin (a column) less than that
+    one, never = width, window + 1
+    big = one * never
+    cost = np.broadcast_to(columns, (n, width)).astype(np.int64)
     gaps = np.append(0, np.cumsum(padded == _DOC_GAP))  # no alignment crosses from one document to another
     for i in range(window):
         text = padded[base[:, None] + i + columns]
-        differs = np.where(text == _DOC_GAP, big, text != block.chars[begins + i][:, None]).astype(np.int32)
-        step = cost + differs  # same diagonal: same column
-        step_start = start
+        # same diagonal: same column
+        step = cost + np.where(text == _DOC_GAP, big, np.where(text != block.chars[begins + i][:, None], one, 0))
         # an item character without a document character: from column j + 1 of the row above
-        skip = np.full_like(cost, big)
-        skip[:, :-1] = cost[:, 1:] + 1
-        better = skip < step
-        step = np.where(better, skip, step)
-        moved = np.empty_like(start)
-        moved[:, :-1] = start[:, 1:]
-        moved[:, -1] = start[:, -1]
-        step_start = np.where(better, moved, step_start)
+        step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + one)
         # document characters without an item character: along the row
         crossed = gaps[base[:, None] + i + 1 + columns]
-        along = columns + (crossed - crossed[:, :1]) * big
-        level = step - along
-        best = np.minimum.accumulate(level, axis=1)
-        source = np.maximum.accumulate(np.where(level == best, columns, 0), axis=1)
-        cost = np.minimum(best + along, big).astype(np.int32)
-        start = np.take_along_axis(step_start, source, axis=1)
+        along = columns * one + (crossed - crossed[:, :1]) * big
+        cost = np.minimum.accumulate(step - along, axis=1) + along
+        cost = np.where(cost >= big, big + cost % one, cost)
     end = cost.argmin(axis=1)
     rows = np.arange(n)
     zero = base - far
-    return cost[rows, end], zero + start[rows, end], zero + window + end
+    least = cost[rows, end]
+    return least // one, zero + least % one, zero + window + end
 
 
-def passages(block: Block, table: np.ndarray, texts: list[bytes]) -> list[tuple]:
+def passages(block: Block, table: np.ndarray, texts: list[bytes], best_only: bool = True) -> list[tuple]:
     """(text number, item_id, doc_start, doc_end, item_start, edits) for every text and item that share a
     passage; positions are code points of the text and characters of the normalised item, and among
-    several windows the one with the fewest edits, then the first, is given."""
+    several windows the one with the fewest edits, then the first, is given, where it begins first in
+    the text, then ends first. Every window of every region is aligned, so neither the other texts nor
+    their order matter. Without ``best_only`` any window may stand for a text and item: enough for a yes."""
     parts, places = [], []
     for text in texts:
         chars, at = normalised(text)
@@ -291,11 +285,8 @@ def passages(block: Block, table: np.ndarray, texts: list[bytes]) -> list[tuple]
                     best[key] = min(best.get(key, row), row)
 
     regions = candidates(block, position, place)
-    # first the window with the most q-grams of each region, then every window of the regions of
-    # items and documents without a passage yet
     if regions.shape[1]:
         merged = _merged(regions)
-        take(merged, lambda r: ((r[2] + r[3]) // 2,))
 
         def open_region(r: tuple[int, int, int, int]) -> bool:
             item, diagonal, low, high = r
@@ -304,7 +295,12 @@ def passages(block: Block, table: np.ndarray, texts: list[bytes]) -> list[tuple]
             first, last = np.searchsorted(begin, ends, side="right") - 1
             return any((doc, item) not in best for doc in range(first, last + 1))
 
-        take([r for r in merged if open_region(r)], lambda r: range(r[2], r[3] + 1))
+        if not best_only:
+            # first the middle window of each region, then every window of the regions of items and
+            # documents without a passage yet
+            take(merged, lambda r: ((r[2] + r[3]) // 2,))
+            merged = [r for r in merged if open_region(r)]
+        take(merged, lambda r: range(r[2], r[3] + 1))
     for (doc, item), (c, item_start, s, e) in best.items():
         out.append((doc, block.item_id[item], s, e, item_start, c))
     return out
@@ -380,7 +376,7 @@ def uncontaminated(
                 texts = text_bytes(batch.column(at))
                 clean = np.ones(len(texts), bool)
                 for a, b in chunks(texts, TEXT_AT_ONCE):
-                    for hit in passages(items, table, texts[a:b]):
+                    for hit in passages(items, table, texts[a:b], best_only=False):
                         clean[a + hit[0]] = False
                 yield batch.filter(pa.array(clean))
 

@@ -1,6 +1,7 @@
 """Cases in which an operator once did less than the whole job."""
 
 import hashlib
+import random
 
 import numpy as np
 import sentencepiece
@@ -8,6 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from caseflow.llm import decontaminate as dc
 from caseflow.llm import fingerprints, language, queries, secrets, simhash
 from caseflow.llm.common import table
 from tests.llm.test_matching import brute_simhash
@@ -90,3 +92,56 @@ def test_forward_sums_over_every_piece_of_the_model():
         uses = language.expected_counts(vocabulary, probability, [word], np.ones((1, 2)))
         size = np.array([len(p) for p in sorted(held)] + [1])
         assert np.allclose(size @ uses, len(word))
+
+
+def brute_passage(item, text, window, share):
+    """(doc_start, doc_end, item_start, edits) of the best window by the plain recurrence, or None."""
+    w = min(window, len(item))
+    found = []
+    for at in range(len(item) - w + 1):
+        row = [(0, j) for j in range(len(text) + 1)]  # edits, begin
+        for i, c in enumerate(item[at : at + w]):
+            new = [(row[0][0] + 1, row[0][1])]
+            for j, d in enumerate(text):
+                steps = [(row[j][0] + (c != d), row[j][1]), (row[j + 1][0] + 1, row[j + 1][1]), (new[j][0] + 1, new[j][1])]
+                new.append(min(steps))
+            row = new
+        found += [(e, at, begin, j) for j, (e, begin) in enumerate(row) if e <= dc.budget(w, share)]
+    return next(((s, j, at, e) for e, at, s, j in sorted(found)), None)
+
+
+def test_passages_report_the_best_window_in_any_order():
+    rng = random.Random(4)
+    window, share = 40, 0.1
+    for letters in ("abc", "abcdefghij"):
+
+        def some(n):
+            return "".join(rng.choices(letters, k=n))
+
+        items = [(k, some(n)) for k, n in enumerate((14, 30, 55, 90, 120))]
+        texts = [some(11) + items[4][1] + some(9), items[3][1], items[2][1] + some(3) + items[2][1]]
+        for _ in range(17):
+            piece = list(rng.choice(items)[1])
+            for _ in range(rng.randint(0, 6)):
+                at = rng.randrange(len(piece) + 1)
+                piece[at : at + rng.randint(0, 1)] = rng.choice([[], [rng.choice(letters)]])
+            texts.append(some(rng.randint(0, 30)) + "".join(piece) + some(rng.choice([0, 20])))
+        want = {}
+        for n, text in enumerate(texts):
+            for k, item in items:
+                if best := brute_passage(item, text, window, share):
+                    want[n, k] = best
+        assert want[0, 4] == (11, 51, 0, 0)
+        block = dc.build_block(items, window, share)
+        held = dc._filter_table(block)
+        for turn in range(4):
+            order = rng.sample(range(len(texts)), len(texts)) if turn else list(range(len(texts)))
+            for some_of in ([order], [order[:7], order[7:]], [[n] for n in order]):
+                got = {}
+                for ns in some_of:
+                    for hit in dc.passages(block, held, [texts[n].encode() for n in ns]):
+                        assert (ns[hit[0]], hit[1]) not in got
+                        got[ns[hit[0]], hit[1]] = hit[2:]
+                assert got == want
+            yes = {(order[h[0]], h[1]) for h in dc.passages(block, held, [texts[n].encode() for n in order], best_only=False)}
+            assert yes == set(want)
