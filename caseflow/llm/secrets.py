@@ -32,7 +32,7 @@ CANDIDATE = r"[A-Za-z0-9][A-Za-z0-9+/_=-]{19,}"
 CANDIDATE_CHARS = 20
 RATIO = 10.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# Documents, on average, whose words are the sample of ordinary identifiers, and rows of random strings.
+# Different texts, on average, whose words are the sample of ordinary identifiers, and rows of random strings.
 TRAIN_DOCUMENTS = 2000
 REDACTED = "[REDACTED]"
 SCAN_BLOCK = 256
@@ -161,17 +161,17 @@ def _pairs(samples: DataFrame) -> DataFrame:
 def training_samples(docs: DataFrame, text: str = "text", train_documents: int = TRAIN_DOCUMENTS) -> DataFrame:
     """label (random, ordinary), word, n: the labelled samples of the two models.
 
-    Ordinary identifiers are the words of about ``train_documents`` documents, chosen by a hash of the
-    text, that are shorter than a candidate: as written, in capitals, and in pairs joined as names are.
+    Ordinary identifiers are the words of about ``train_documents`` different texts, chosen by a hash of the
+    text and read once however many copies there are, that are shorter than a candidate: as written, in
+    capitals, and in pairs joined as names are.
     Random strings are SHA-256 values of the same texts in hex and in base 64, and what the base
     patterns find there.
     """
-    total = docs.count()
-    share = min(1.0, train_documents / max(1, total))
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    chosen = docs.select(body.alias("text")).filter(
-        F.pmod(F.xxhash64("text", F.lit("fit")), F.lit(1 << 20)) < share * (1 << 20)
-    )
+    texts = docs.select(body.alias("text"))
+    total = texts.select(F.xxhash64("text").alias("h")).distinct().count()
+    share = min(1.0, train_documents / max(1, total))
+    chosen = texts.filter(F.pmod(F.xxhash64("text", F.lit("fit")), F.lit(1 << 20)) < share * (1 << 20)).distinct()
     chosen = materialise(chosen, "secret-samples")
     words = chosen.select(
         F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9]+"), F.lit(0))).alias("word")

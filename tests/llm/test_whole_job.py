@@ -145,3 +145,14 @@ def test_passages_report_the_best_window_in_any_order():
                 assert got == want
             yes = {(order[h[0]], h[1]) for h in dc.passages(block, held, [texts[n].encode() for n in order], best_only=False)}
             assert yes == set(want)
+
+
+def test_secret_samples_read_copies_once(docs):
+    rows = [(i, f"plain text number {i}") for i in range(60)] + [(100 + i, "hot copy") for i in range(600)]
+    everything = secrets.training_samples(docs(rows), train_documents=1000).collect()
+    assert {r["n"] for r in everything if r["word"] == "hot"} == {1}
+    assert sum(r["label"] == "random" for r in everything) == 4 * 61
+    for hot in ("hot copy", "another copy", "third"):
+        given = docs([(i, hot if t == "hot copy" else t) for i, t in rows])
+        some = secrets.training_samples(given, train_documents=20)
+        assert 4 * 8 <= some.filter("label = 'random'").count() <= 4 * 36
