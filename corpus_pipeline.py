@@ -19,7 +19,10 @@ MIN_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without text or a letter go, and those no language explains."""
+    """Documents with a language; those without text or a letter go, and those whose best learned language is
+    less likely than all others together. That is relative: a longer text in a language that was not
+    learned, or of letter junk, usually stays under the least unlikely one, and a short text that several
+    languages share may go."""
     model = language.train(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), PIECES)
     found = language.identify(docs.select(*DOCUMENT_COLUMNS), model)
     kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MIN_SCORE)
