@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bpe_tree, chat, decontaminate, fingerprints, language, secrets, simhash, token_counts, token_files, warc
+from caseflow.llm import bpe_tree, chat, decontaminate, fingerprints, language, secrets, simhash, token_alignment, token_counts, token_files, warc
 from caseflow.llm.common import table
 from caseflow.workspace import scratch
 
@@ -171,7 +171,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > MODEL_LIMIT)
 
 
+BYTE_LEVEL, BYTE_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.align_documents(docs, BYTE_LEVEL, BYTE_RANKS, PIECES, shuffle_partitions(spark))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op4_secrets, op5_warc, op6_simhash, op7_language, op8_bpe, op9_chat, op10_token_counts)
+    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op4_secrets, op5_warc, op6_simhash, op7_language, op8_bpe, op9_chat, op10_token_counts, op13_alignment)
 }
 ORACLE_SQL: dict[str, str] = {"op5_warc": OP5_SQL, "op9_chat": OP9_SQL}
