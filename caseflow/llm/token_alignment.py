@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -31,9 +33,9 @@ from caseflow.llm.wordbpe import as_bytes, byte_symbols
 
 # Keys of the shorter list that share one gallop; the binary search then stays inside its range.
 GALLOP_KEYS = 512
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # Words a worker keeps the ids of.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 150_000
 _SPACED = re.compile(rb" *[^ ]+| +")
 
 
@@ -106,15 +108,16 @@ class Tokenizers:
     """
 
     def __init__(self, byte_level: str, ranks: str, pieces: str) -> None:
-        self.exact = Tokenizer.from_file(byte_level)
-        self.exact.encode_special_tokens = True
+        self._file = byte_level
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}
         )
         byte_of = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
-        vocabulary = self.exact.get_vocab(with_added_tokens=True)
+        with open(byte_level, encoding="utf-8") as file:
+            spec = json.load(file)
+        vocabulary = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
         a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             a[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
@@ -128,6 +131,13 @@ class Tokenizers:
         self.splits = not any("▁" in name.lstrip("▁") for name in names)
         self.known: dict[bytes, bytes] = {}
 
+    @cached_property
+    def exact(self) -> Tokenizer:
+        """The library of the JSON file; its special strings count as plain text."""
+        library = Tokenizer.from_file(self._file)
+        library.encode_special_tokens = True
+        return library
+
     def encode_a(self, text: str) -> list[int]:
         try:
             return self.fast.encode_ordinary(text)
@@ -305,6 +315,7 @@ def _gather(size_b: int):
     schema = _arrow(_GATHERED)
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("gather", "align", dict)  # tokenizers and words of earlier tasks go
         held: list[dict] = []
         for batch in given:
             is_block = pc.is_valid(batch.column("pairs"))
