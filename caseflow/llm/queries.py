@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bpe_tree, chat, decontaminate, fingerprints, language, secrets, simhash, token_alignment, token_counts, token_files, warc
+from caseflow.llm import bpe_tree, chat, decontaminate, fingerprints, language, phrases, secrets, simhash, token_alignment, token_counts, token_files, warc
 from caseflow.llm.common import table
 from caseflow.workspace import scratch
 
@@ -171,6 +171,52 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > MODEL_LIMIT)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), at_least=30, percent=80, top=2000)
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM worded, (VALUES (1), (2), (3), (4)) AS lengths(m) WHERE len(w) >= m
+), counted AS (
+  SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE m = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE m > 1 AND f >= 30
+), cuts AS (
+  SELECT lang, phrase, a, w, unnest(range(1, m)) AS k FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         CAST(CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, a AS over, w, unnest(range(2, m)) AS size FROM candidates WHERE m > 2
+), covers AS (
+  SELECT lang, over, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM inside
+), kept AS (
+  SELECT * FROM lowest c WHERE NOT EXISTS (
+    SELECT 1 FROM covers o WHERE o.lang = c.lang AND o.phrase = c.phrase AND 100 * o.over >= 80 * c.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
+
+
 BYTE_LEVEL, BYTE_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
 
 
@@ -184,6 +230,6 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op4_secrets, op5_warc, op6_simhash, op7_language, op8_bpe, op9_chat, op10_token_counts, op13_alignment)
+    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op4_secrets, op5_warc, op6_simhash, op7_language, op8_bpe, op9_chat, op10_token_counts, op11_phrases, op13_alignment)
 }
-ORACLE_SQL: dict[str, str] = {"op5_warc": OP5_SQL, "op9_chat": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_warc": OP5_SQL, "op9_chat": OP9_SQL, "op11_phrases": OP11_SQL}
