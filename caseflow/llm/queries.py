@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bpe_tree, chat, decontaminate, fingerprints, language, phrases, secrets, simhash, token_alignment, token_counts, token_files, warc
+from caseflow.llm import bpe_tree, chat, decontaminate, fingerprints, language, phrases, pitman_yor, secrets, simhash, token_alignment, token_counts, token_files, warc
 from caseflow.llm.common import table
 from caseflow.workspace import scratch
 
@@ -171,6 +171,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > MODEL_LIMIT)
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), at_least=30, percent=80, top=2000)
 
@@ -217,11 +221,13 @@ SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN
 """
 
 
-BYTE_LEVEL, BYTE_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+def op12_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", test.alias("held_out"))
+    return pitman_yor.score_documents(docs, shuffle_partitions(spark))
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+BYTE_LEVEL, BYTE_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
 
 
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,6 +236,6 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op4_secrets, op5_warc, op6_simhash, op7_language, op8_bpe, op9_chat, op10_token_counts, op11_phrases, op13_alignment)
+    f.__name__: f for f in (op1_decontaminate, op2_order_minhash, op3_token_files, op4_secrets, op5_warc, op6_simhash, op7_language, op8_bpe, op9_chat, op10_token_counts, op11_phrases, op12_pitman_yor, op13_alignment)
 }
 ORACLE_SQL: dict[str, str] = {"op5_warc": OP5_SQL, "op9_chat": OP9_SQL, "op11_phrases": OP11_SQL}
