@@ -8,6 +8,9 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+from caseflow.llm.common import map_arrow
 
 _FAST = zstandard.ZstdCompressor(level=1)
 
@@ -59,3 +62,34 @@ def batches(rows: list[dict], schema: pa.Schema, limit: int = 8 << 20) -> Iterat
             held, size = [], 0
     if held:
         yield pa.RecordBatch.from_pylist(held, schema)
+
+
+SUMS = "chunk long, sums binary"
+SUMS_ARROW = pa.schema([("chunk", pa.int64()), ("sums", pa.binary())])
+
+
+def document_sums(blocks: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``chunk, at`` and a sum for each of ``names`` (name to type), from blocks of (documents, a value of each name).
+
+    The blocks of a chunk meet at one task, and what is there are as many numbers as its documents.
+    """
+    kinds = {"long": np.int64, "double": np.float64}
+    schema = "chunk long, at int, " + ", ".join(f"{name} {kind}" for name, kind in names.items())
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in given:
+            for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                docs, *values = unpack(packed)
+                sums = held.setdefault(chunk, [np.zeros(0, np.int64), *(np.zeros(0, kinds[k]) for k in names.values())])
+                if (missing := int(docs[-1]) + 1 - len(sums[0])) > 0:
+                    sums[:] = [np.concatenate([x, np.zeros(missing, x.dtype)]) for x in sums]
+                sums[0][docs] = 1
+                for total, value in zip(sums[1:], values, strict=True):
+                    total[docs] += value
+        for chunk, (present, *values) in held.items():
+            at = np.flatnonzero(present)
+            columns = [np.full(len(at), chunk, np.int64), at.astype(np.int32), *(v[at] for v in values)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["chunk", "at", *names])
+
+    return map_arrow(blocks.repartition("chunk"), run, schema)

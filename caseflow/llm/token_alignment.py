@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from caseflow.llm.blocks import batches, chunk_numbers, narrow, pack, runs, unpack
+from caseflow.llm.blocks import SUMS, SUMS_ARROW, batches, chunk_numbers, document_sums, narrow, pack, runs, unpack
 from caseflow.llm.common import chunks, map_arrow, materialise, text_bytes, worker_cache
 from caseflow.llm.wordbpe import as_bytes, byte_symbols
 
@@ -348,7 +348,6 @@ def _gather(size_b: int):
 
 def _sums(highest):
     """For every document of a block the links at their B id's highest count, and the sum of the counts."""
-    schema = pa.schema([("chunk", pa.int64()), ("at", pa.int32()), ("n_best", pa.int64()), ("count_sum", pa.int64())])
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = highest.value
@@ -360,10 +359,7 @@ def _sums(highest):
                 starts = (np.cumsum(sizes.astype(np.int64)) - sizes).astype(np.int64)
                 n_best = np.add.reduceat(links * (counts == best[b_ids])[rank], starts)
                 total = np.add.reduceat(links * counts[rank], starts)
-                chunk = np.full(len(docs), row["chunk"], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(chunk), pa.array(docs.astype(np.int32)), pa.array(n_best), pa.array(total)], schema=schema
-                )
+                yield from batches([{"chunk": row["chunk"], "sums": pack(docs, n_best, total)}], SUMS_ARROW)
 
     return run
 
@@ -392,10 +388,10 @@ def align_documents(docs: DataFrame, byte_level: str, ranks: str, pieces: str, b
         ids, counts = unpack(bytes(row["best"]))
         best[ids] = np.maximum(best[ids], counts)
     blocks = held.filter("pairs is not null").select("chunk", "pairs", "entries")
-    sums = map_arrow(blocks, _sums(spark.sparkContext.broadcast(best)), "chunk long, at int, n_best long, count_sum long")
+    sums = map_arrow(blocks, _sums(spark.sparkContext.broadcast(best)), SUMS)
     names = [part.split()[0] for part in _DOCUMENT.split(", ")]
     documents = held.filter("pairs is null and best is null").select("chunk", "at", *names)
-    summed = sums.groupBy("chunk", "at").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    summed = document_sums(sums, {"n_best": "long", "count_sum": "long"})
     of_links = [F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in ("n_best", "count_sum")]
     return documents.join(summed, ["chunk", "at"], "left").select(*names[:-1], *of_links, names[-1])
 
