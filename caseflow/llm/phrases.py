@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,19 +85,23 @@ class HatTrie:
             for key, count in node.items():
                 burst.setdefault(key >> shift, {})[key & ((1 << shift) - 1)] = count
 
-    def _walk(self, node: dict, path: tuple[int, ...], left: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    def _walk(self, node: dict, path: tuple[int, ...], left: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Word ids, a row for each phrase, and counts of every container below ``node``."""
         if isinstance(node, Branch):
             for word, child in node.items():
                 yield from self._walk(child, (*path, word), left - 1)
         else:
-            shifts = range(_ID_BITS * (left - 1), -1, -_ID_BITS)
-            for key, count in node.items():
-                yield (*path, *((key >> s) & ((1 << _ID_BITS) - 1) for s in shifts)), count
+            keys = np.fromiter(node.keys(), np.int64, len(node))
+            ids = np.empty((len(node), len(path) + left), np.int32)
+            ids[:, : len(path)] = path
+            for i in range(left):
+                ids[:, len(path) + i] = (keys >> (_ID_BITS * (left - 1 - i))) & ((1 << _ID_BITS) - 1)
+            yield ids, np.fromiter(node.values(), np.int64, len(node))
 
     def _size(self, node: dict) -> int:
         return sum(map(self._size, node.values())) if isinstance(node, Branch) else len(node)
 
-    def take(self, keep: int) -> Iterator[list[tuple[tuple[int, ...], int]]]:
+    def take(self, keep: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
         """Removes whole subtrees, the largest first, until at most ``keep`` phrases are left, and gives each."""
         for size, word in sorted(((self._size(child), word) for word, child in self.root.items()), reverse=True):
             if self.phrases <= keep:
@@ -213,26 +218,33 @@ class Counter:
 
     def spill(self, share: float) -> Iterator[pa.RecordBatch]:
         """Subtrees as sorted runs until at most ``share`` of the phrases is left."""
-        names, hashes = self.words.names, self.words.hashes()
+        names = pa.array(self.words.names, pa.binary())
         for trie in self.tries.values():
-            run: list[tuple[bytes, int, tuple[int, ...]]] = []
+            run: list[tuple[np.ndarray, np.ndarray]] = []
+            phrases = 0
             for subtree in trie.take(int(share * trie.phrases)):
-                run += sorted((b" ".join([names[w] for w in ids]), count, ids) for ids, count in subtree)
-                if len(run) >= 100_000:
-                    yield self._batch(run, hashes)
-                    run = []
+                run += subtree
+                phrases += sum(len(counts) for _, counts in subtree)
+                if phrases >= 100_000:
+                    yield self._run(run, names)
+                    run, phrases = [], 0
             if run:
-                yield self._batch(run, hashes)
-
-    def _batch(self, run: list[tuple[bytes, int, tuple[int, ...]]], hashes: np.ndarray) -> pa.RecordBatch:
-        first = hashes[[ids[0] for _, _, ids in run]]
-        second = hashes[[ids[1] for _, _, ids in run]] if len(run[0][2]) > 1 else first
-        phrases = pa.array([phrase for phrase, _, _ in run], pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(pair_hash(first, second).view(np.int64)), pa.array([self.language] * len(run)), phrases,
-             pa.array([count for _, count, _ in run], pa.int64())],
-            names=["prefix", "lang", "phrase", "f"],
-        )
+                yield self._run(run, names)
+
+    def _run(self, parts: list[tuple[np.ndarray, np.ndarray]], names: pa.Array) -> pa.RecordBatch:
+        """Whole subtrees in the order of their phrases."""
+        ids = np.concatenate([ids for ids, _ in parts])
+        counts = np.concatenate([counts for _, counts in parts])
+        words = [pc.take(names, pa.array(ids[:, i])) for i in range(ids.shape[1])]
+        phrases = pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0]
+        order = pc.sort_indices(phrases)
+        columns = {"lang": pa.array([self.language] * len(ids)), "phrase": pc.take(phrases, order).cast(pa.string())}
+        if len(words) > 2:
+            hashes = self.words.hashes()
+            prefix = pair_hash(hashes[ids[:, 0]], hashes[ids[:, 1]]).view(np.int64)
+            columns = {"prefix": pa.array(prefix[order.to_numpy()])} | columns
+        columns["f"] = pa.array(counts[order.to_numpy()])
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def _counting(lengths: tuple[int, ...], frequent, limits: Limits):
@@ -262,10 +274,13 @@ def _counting(lengths: tuple[int, ...], frequent, limits: Limits):
 
 
 def _count(texts: DataFrame, lengths: tuple[int, ...], limits: Limits, frequent=None) -> DataFrame:
-    """``lang, phrase, f``: runs of all tasks, merged per prefix partition."""
-    runs_of_tasks = map_arrow(texts, _counting(lengths, frequent, limits), "prefix long, lang string, phrase string, f long")
-    merged = runs_of_tasks.repartition("prefix").groupBy("prefix", "lang", "phrase").agg(F.sum("f").alias("f"))
-    return merged.drop("prefix")
+    """``lang, phrase, f``: runs of all tasks, merged per prefix partition. The prefix is the first two words: of a
+    shorter phrase it is the phrase, and of a longer one a hash that travels with it."""
+    prefix = ["prefix"] if max(lengths) > 2 else []
+    schema = "".join(f"{name} long, " for name in prefix) + "lang string, phrase string, f long"
+    dealt = map_arrow(texts, _counting(lengths, frequent, limits), schema)
+    dealt = dealt.repartition(*(prefix or ["lang", "phrase"]))
+    return dealt.groupBy(*prefix, "lang", "phrase").agg(F.sum("f").alias("f")).drop(*prefix)
 
 
 def _bits_of(size: int):

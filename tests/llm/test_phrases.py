@@ -89,11 +89,12 @@ def test_trie_keeps_counts_through_bursts_and_spills():
         ids = np.array(keys)
         trie.add(ids[:, 0], (ids[:, 1] << 21) | ids[:, 2], np.ones(len(keys), np.int64))
         for subtree in trie.take(60):
-            assert len({ids[0] for ids, _ in subtree}) == 1
-            out.update(dict(subtree))
+            found = {tuple(i): n for ids, counts in subtree for i, n in zip(ids.tolist(), counts.tolist(), strict=True)}
+            assert len({ids[0] for ids in found}) == 1
+            out.update(found)
     assert any(isinstance(node, phrases.Branch) for node in trie.root.values())
     for subtree in trie.take(0):
-        out.update(dict(subtree))
+        out.update({tuple(i): n for ids, counts in subtree for i, n in zip(ids.tolist(), counts.tolist(), strict=True)})
     assert trie.phrases == 0 and out == want
 
 
