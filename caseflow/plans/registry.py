@@ -14,7 +14,7 @@ from caseflow.functions.time import date_key, ntz
 from caseflow.operators import calendar as cal
 from caseflow.operators import contracts, dims, staging
 from caseflow.operators.fact import FACT_COLUMNS, fact_source_as_of, load_fact
-from caseflow.operators.incremental import since_watermark, upsert_latest
+from caseflow.operators.incremental import since_mark, since_watermark, upsert_latest
 from caseflow.operators.upsert import changes, upsert, upsert_with_audit
 from caseflow.plans import analytics, checks, reporting
 from caseflow.plans.warehouse import RUN_TS, SPAN, Warehouse, landed, source_feeds, warehouse
@@ -35,6 +35,7 @@ from caseflow.schemas import (
 )
 from caseflow.sources import casemodel, landing
 from caseflow.sources.casemodel import table
+from caseflow.sources.marks import Marks
 from caseflow.sources.snapshots import ChangeTable
 from caseflow.streaming.ingest import ingest_new_files
 from caseflow.streaming.upsert import upsert_new_files
@@ -148,6 +149,67 @@ def incremental_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the customer names hold a line break, a quote and a comma."""
+    feed = source_feeds(spark, sf_dir)["customers"]
+    number = F.substring("customer_id", 3, 20).cast("long")
+    long_name = F.concat("customer_name", F.lit('\nDept "x", 2'))
+    path = f"{scratch(spark, 'quoted')}/customers.csv"
+    for broken, several in ((number % 3 == 0, 4), (number % 3 != 0, 2)):
+        named = feed.filter(broken).withColumn("customer_name", F.when(number % 3 == 0, long_name).otherwise(F.col("customer_name")))
+        named.repartition(several).write.mode("append").option("header", True).option("escape", '"').csv(path)
+    return landing.land_csv(spark, path, RAW_CUSTOMERS, RUN_TS).select(*RAW_CUSTOMERS.names)
+
+
+def _ragged_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Case files of three kinds: lines of category Other lack the status, those of Billing have a field too many."""
+    root = scratch(spark, "ragged_feeds")
+    cases = source_feeds(spark, sf_dir)["cases"]
+    kinds = {
+        "short": cases.filter(F.col("category") == "Other").drop("status"),
+        "long": cases.filter(F.col("category") == "Billing").withColumn("extra", F.lit("extra")),
+        "whole": cases.filter(~F.col("category").isin("Other", "Billing")),
+    }
+    for name, rows in kinds.items():
+        writer = rows.write.option("header", True).option("emptyValue", "")
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/{name}")
+    paths = {"cases": f"{root}/*"} | {n: _landing_feed(spark, sf_dir, n) for n in ("customers", "agents")}
+    return Warehouse.from_csv(spark, paths, scratch(spark, "ragged_runs"), RUN_TS, span=SPAN)
+
+
+def load_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged lines of a load, as they stand in the files."""
+    lines = _ragged_warehouse(spark, sf_dir).quarantine("cases")
+    return lines.select(landing.feed_name(F.col("_source_file")).alias("_source_file"), "line")
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and damaged lines of a load, by the folder of their file."""
+    counts = _ragged_warehouse(spark, sf_dir).load_counts()
+    by_folder = counts.groupBy("tbl", landing.feed_name(F.col("_source_file")).alias("_source_file"))
+    return by_folder.agg(F.sum("row_count").alias("row_count"), F.sum("damaged_lines").alias("damaged_lines"))
+
+
+def pipeline_file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs over folders that grow twice: the third finds nothing new, the last repeats the second."""
+    feeds, root = source_feeds(spark, sf_dir), scratch(spark, "ledger")
+    folders = {name: f"{root}/in/{name}" for name in feeds}
+    early = F.col("category").isin("Technical", "Account")
+    w = None
+    for run, arrival in ((0, early), (1, ~early), (2, None), (1, None)):
+        if arrival is not None:
+            came = feeds | {"cases": feeds["cases"].filter(arrival)} if run == 0 else {"cases": feeds["cases"].filter(arrival)}
+            for name, rows in came.items():
+                writer = rows.write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False)
+                writer.option("ignoreTrailingWhiteSpace", False).csv(folders[name])
+        run_ts = RUN_TS + timedelta(days=run)
+        w = Warehouse.from_folders(spark, folders, f"{root}/tables", run_ts, run_id=run, span=SPAN)
+        w.fact  # noqa: B018
+    w = Warehouse.from_folders(spark, folders, f"{root}/tables", run_ts, run_id=3, span=SPAN)
+    landed_rows = w.raw("cases").groupBy("category", F.col("_run_id").alias("run"))
+    return landed_rows.agg(F.count("*").alias("row_count"), F.count_distinct("case_id").alias("case_count"))
+
+
 # --- staging ----------------------------------------------------------------
 
 
@@ -427,6 +489,30 @@ def pipeline_delta_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def touched_runs(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The second of two runs: the first has the cases of 1998 as open, the second delivers these again and
+    gives three customers a new name."""
+    feeds, root = source_feeds(spark, sf_dir), scratch(spark, "touched")
+    of_1998 = F.coalesce(F.substring("created_at", 1, 4) == "1998", F.lit(False))
+    first = feeds["cases"].withColumn("status", F.when(of_1998, "Open").otherwise(F.col("status")))
+    renamed = F.col("customer_id").isin("CU1", "CU2", "CU3")
+    named = feeds["customers"].withColumn("customer_name", F.when(renamed, F.lit("Renamed")).otherwise(F.col("customer_name")))
+    later = RUN_TS + timedelta(days=1)
+    Warehouse(spark, landed(feeds | {"cases": first}, RUN_TS), root, RUN_TS, RUN_TS.date(), SPAN).fact  # noqa: B018
+    second = {"cases": feeds["cases"].filter(of_1998), "customers": named.filter(renamed), "agents": feeds["agents"].limit(0)}
+    return Warehouse(spark, landed(second, later), root, later, later.date(), SPAN, run_id=1)
+
+
+def pipeline_touched_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that writes the months it touches, against a load of everything at once."""
+    w = touched_runs(spark, sf_dir)
+    return w.fact.groupBy("created_month", "status", (F.col("customer_name") == "Renamed").alias("renamed")).agg(
+        F.count("*").alias("cases"),
+        F.count_if("has_any_dq_flag").alias("flagged"),
+        F.sum("resolution_hours").cast("double").alias("hours"),
+    )
+
+
 def _versioned_cases(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     """Change feeds with an update time: all cases as opened, then every case with a close
     time as staged, together with a stale repeat of its opening."""
@@ -467,6 +553,27 @@ def incremental_batch(w: Warehouse) -> DataFrame:
     return merged.select("case_id", "status", "priority", *_text("updated_at"))
 
 
+def incremental_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that each take what came since the mark the run before has stored, and a third without news."""
+    root = scratch(spark, "marks")
+    marks = Marks(spark, f"{root}/marks")
+    feeds = _versioned_cases(warehouse(spark, sf_dir))
+    cases = ChangeTable(spark, f"{root}/cases", feeds[0].schema, ["case_id"], "updated_at")
+    taken = []
+    source = feeds[0].limit(0)
+    for run in range(3):
+        if run < 2:
+            source = source.unionByName(feeds[run])
+        fresh = since_mark(source, marks.before("cases", run), "updated_at")
+        cases.append(fresh, run)
+        taken.append(fresh.agg(F.lit(run).alias("run"), F.count("*").alias("taken")))
+        marks.advance("cases", fresh, "updated_at", run)
+    newest = cases.read().groupBy("status").agg(F.count("*").alias("cases"))
+    return contracts.union_all(taken).select(
+        F.concat(F.lit("run "), F.col("run").cast("string")).alias("object"), F.col("taken").alias("n")
+    ).unionByName(newest.select(F.col("status").alias("object"), F.col("cases").alias("n")))
+
+
 def incremental_late_rows(w: Warehouse) -> DataFrame:
     """Cases of Billing are not yet in the target; they come with a time before its mark or none."""
     columns = ["case_id", "status", "priority"]
@@ -717,6 +824,12 @@ def all_queries() -> dict[str, Query]:
         "raw_null_tokens": raw_null_tokens,
         "raw_bad_rows": raw_bad_rows,
         "raw_load_audit": raw_load_audit,
+        "raw_quoted_lines": raw_quoted_lines,
+        "load_quarantine": load_quarantine,
+        "load_counts": load_counts,
+        "incremental_marks": incremental_marks,
+        "pipeline_file_ledger": pipeline_file_ledger,
+        "pipeline_touched_months": pipeline_touched_months,
         "incremental_file_load": incremental_file_load,
         "incremental_upsert": incremental_upsert,
         "pipeline_from_csv": pipeline_from_csv,

@@ -4,7 +4,10 @@ Each layer is written as Parquet into the shared workspace on first use and read
 report scans a few columns of the fact instead of deriving it again, and a lost executor
 costs a re-read rather than a recomputation of the chain. A later run over the same root adds
 its extract to RAW and merges it into the other tables of the run before it; repeating a run
-changes nothing. A parent that arrives after its cases clears their orphan flags.
+changes nothing. A parent that arrives after its cases clears their orphan flags. Staged cases and
+the fact are split by month of creation, and a run reads and writes the months it touches: those of its
+cases, also where they were before, those of cases whose parent has come, and in the fact those of
+cases whose customer or agent has a new version.
 """
 
 from __future__ import annotations
@@ -34,14 +37,18 @@ from caseflow.schemas import (
     RAW_CUSTOMERS,
     SLA_SCHEMA,
 )
-from caseflow.sources import casemodel
-from caseflow.sources.landing import land, land_csv
+from caseflow.sources import casemodel, landing, ledger
+from caseflow.sources.landing import land
+from caseflow.sources.months import MONTH, MonthTable, in_months, month_of, months_of
 from caseflow.sources.snapshots import SnapshotTable
 from caseflow.workspace import hadoop_path, scratch
 
 # Business key of each feed.
 KEYS = {"cases": "case_id", "customers": "customer_id", "agents": "agent_id"}
 
+# Landed columns of each feed.
+FEEDS = {"cases": RAW_CASES, "customers": RAW_CUSTOMERS, "agents": RAW_AGENTS}
+
 # Guards the shared registries below and the locks of the single tables.
 _registry = threading.Lock()
 
@@ -75,11 +82,35 @@ class Warehouse:
     def from_csv(
         cls, spark: SparkSession, paths: dict[str, str], root: str, run_ts: datetime, **options
     ) -> Warehouse:
-        """A run over CSV files of cases, customers and agents."""
-        schemas = {"cases": RAW_CASES, "customers": RAW_CUSTOMERS, "agents": RAW_AGENTS}
-        extract = {n: land_csv(spark, paths[n], schema, run_ts) for n, schema in schemas.items()}
+        """A run over CSV files of cases, customers and agents. Damaged lines stay beside the rows they gave."""
+        extract = {
+            n: landing.land_csv(spark, paths[n], schema, run_ts, keep_damaged=True) for n, schema in FEEDS.items()
+        }
         return cls(spark, extract, root, run_ts, run_ts.date(), **options)
 
+    @classmethod
+    def from_folders(
+        cls, spark: SparkSession, folders: dict[str, str], root: str, run_ts: datetime, run_id: int = 0, **options
+    ) -> Warehouse:
+        """A run over the files that came to the folders of the feeds since the runs before it.
+
+        The ledger of a feed lists each file once, by path, length and time, and is written with the run;
+        a file that was replaced counts as new. A run without a new file of a feed lands no row of it.
+        """
+        w = cls(spark, {}, root, run_ts, run_ts.date(), run_id=run_id, **options)
+        for name, schema in FEEDS.items():
+            fresh = w.table(
+                f"files_{name}", lambda _, f=folders[name], n=name: ledger.new_files(spark, f, w.loaded_files(n), run_id)
+            )
+            paths = [r["path"] for r in fresh.select("path").toLocalIterator()]
+            w.extract[name] = landing.land_csv(spark, sorted(paths), schema, run_ts, keep_damaged=True)
+        return w
+
+    def loaded_files(self, feed: str) -> DataFrame | None:
+        """The ledger of a feed before this run, None before the first."""
+        earlier = self._earlier(f"files_{feed}")
+        return earlier.read_all_before(self.run_id) if earlier else None
+
     def table(
         self,
         name: str,
@@ -99,6 +130,19 @@ class Warehouse:
                 self._tables[name] = snapshot.write(build(previous), self.run_id)
             return self._tables[name]
 
+    def _by_month(
+        self, name: str, build: Callable[[DataFrame | None], tuple[DataFrame, set[int | None] | None]]
+    ) -> DataFrame:
+        """Like :meth:`table` for a table split by month: ``build`` gives rows, and the months they replace."""
+        with _registry:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:
+            if name not in self._tables:
+                months = MonthTable(self.spark, f"{self.root}/{name}")
+                rows, touched = build(months.before(self.run_id))
+                self._tables[name] = months.write(rows, self.run_id, touched)
+            return self._tables[name]
+
     # RAW: the landed text of every run, each in its own folder that no later run touches
     def landed(self, feed: str) -> DataFrame:
         """The rows of this run's extract."""
@@ -124,20 +168,33 @@ class Warehouse:
             return self.landed(feed)
         return last_delivered(self.raw(feed), KEYS[feed], "_run_id")
 
-    # STG: customers and agents first, because cases look both up
-    def _staged(
-        self, feed: str, rows: DataFrame, settle: Callable[[DataFrame], DataFrame] = lambda merged: merged
-    ) -> DataFrame:
-        """One row per key from the first run on: a key that an extract repeats is an error.
+    def quarantine(self, feed: str) -> DataFrame:
+        """The damaged lines of this run's files, apart from the rows they gave: file, line, run."""
 
-        ``settle`` brings the merged rows up to date with what this run has changed around them.
-        """
+        def build(_: DataFrame | None) -> DataFrame:
+            rows = self.landed(feed)
+            if landing.CORRUPT not in rows.columns:
+                rows = rows.withColumn(landing.CORRUPT, F.lit(None).cast("string"))
+            lines = landing.quarantine(rows).withColumnRenamed(landing.CORRUPT, "line")
+            return lines.select("_source_file", "line", "_run_id", "_loaded_at")
+
+        return self.table(f"quarantine_{feed}", build)
+
+    def load_counts(self) -> DataFrame:
+        """Rows and damaged lines of every file this run has landed."""
+        return landing.load_counts({feed: self.landed(feed) for feed in KEYS}, {feed: self.quarantine(feed) for feed in KEYS})
+
+    # STG: customers and agents first, because cases look both up. One row per key from the first run on: a key
+    # that an extract repeats is an error
+    def _unique(self, feed: str) -> None:
         key = KEYS[feed]
+        require_unique(self.landed(feed).filter(F.col(key).isNotNull()), [key], feed)
 
+    def _staged(self, feed: str, rows: DataFrame) -> DataFrame:
         def build(previous: DataFrame | None) -> DataFrame:
             if previous is not None:
-                return settle(upsert(previous, rows, [key]))
-            require_unique(self.landed(feed).filter(F.col(key).isNotNull()), [key], feed)
+                return upsert(previous, rows, [KEYS[feed]])
+            self._unique(feed)
             return rows
 
         return self.table(f"stg_{feed}", build)
@@ -156,25 +213,40 @@ class Warehouse:
         """Keys without a parent among the cases of this run and of the runs before it."""
 
         def build(_: DataFrame | None) -> DataFrame:
-            used, earlier = self.landed("cases").select(fk), self._earlier("stg_cases")
+            used = self.landed("cases").select(fk)
+            earlier = MonthTable(self.spark, f"{self.root}/stg_cases").before(self.run_id)
             if earlier is not None:
-                used = used.unionByName(earlier.read_before(self.run_id).select(fk))
+                used = used.unionByName(earlier.select(fk))
             return staging.orphan_keys(used, fk, parent, fk)
 
         return self.table(f"orphans_{fk}", build)
 
+    def _settled(self, cases: DataFrame, fk: str, orphans: DataFrame) -> DataFrame:
+        """``cases`` that were orphans before this run and have a parent now."""
+        known = self._earlier(f"orphans_{fk}")
+        came = known.read_before(self.run_id).join(orphans, "fk", "left_anti")
+        return cases.join(came, F.col(fk) == F.col("fk"), "left_semi")
+
     @property
     def stg_cases(self) -> DataFrame:
-        orphans = _side_by_side(
-            self.spark,
-            lambda: self._orphans("customer_id", self.stg_customers),
-            lambda: self._orphans("agent_id", self.stg_agents),
-        )
-        return self._staged(
-            "cases",
-            staging.stage_cases(self.landed("cases"), *orphans, self.run_ts),
-            lambda merged: staging.with_current_orphans(merged, *orphans),
-        )
+        def build(previous: DataFrame | None) -> tuple[DataFrame, set[int | None] | None]:
+            keys = ("customer_id", "agent_id")
+            parents = (lambda: self.stg_customers, lambda: self.stg_agents)
+            orphans = _side_by_side(
+                self.spark, *[lambda k=k, p=p: self._orphans(k, p()) for k, p in zip(keys, parents, strict=True)]
+            )
+            staged = staging.stage_cases(self.landed("cases"), *orphans, self.run_ts)
+            staged = staged.withColumn(MONTH, month_of(F.col("created_at")))
+            if previous is None:
+                self._unique("cases")
+                return staged.hint("rebalance", MONTH), None
+            moved = previous.select("case_id", MONTH).join(staged.select("case_id"), "case_id", "left_semi")
+            settled = [self._settled(previous.select(k, MONTH), k, o) for k, o in zip(keys, orphans, strict=True)]
+            touched = set().union(*map(months_of, (staged, moved, *settled)))
+            merged = upsert(previous.filter(in_months(touched)), staged, ["case_id"])
+            return staging.with_current_orphans(merged, *orphans).hint("rebalance", MONTH), touched
+
+        return self._by_month("stg_cases", build)
 
     # DIM: split by is_current, so the fact load does not read expired versions
     def _dimension(
@@ -214,17 +286,35 @@ class Warehouse:
         policy = self.policy.select(*[F.col(f.name).cast(f.dataType) for f in SLA_SCHEMA])
         return self.table("sla_policy", lambda _: require_unique(policy, ["priority"], "the SLA policy"))
 
-    # FACT: every run refreshes all cases, so they follow the current dimension versions
+    # FACT: follows the staged cases and the current dimension versions
+    def _new_versions(self, name: str, dim: DataFrame, key: str, surrogate: str) -> DataFrame:
+        """Keys whose current version began in this run."""
+        now = dims.current(dim).select(key, surrogate)
+        return now.join(self._earlier(name).read_before(self.run_id).select(surrogate), surrogate, "left_anti").select(key)
+
     @property
     def fact(self) -> DataFrame:
-        def build(previous: DataFrame | None) -> DataFrame:
+        def build(previous: DataFrame | None) -> tuple[DataFrame, set[int | None] | None]:
             _side_by_side(
                 self.spark, lambda: self.landed("cases"), lambda: self.dim_customer, lambda: self.dim_agent
             )
-            rows = fact.fact_source(self.stg_cases, self.dim_customer, self.dim_agent)
-            return fact.clustered_by_month(fact.load_fact(previous, rows, self.run_ts))
+            cases, touched = self.stg_cases, None
+            if previous is not None:
+                touched = MonthTable(self.spark, f"{self.root}/stg_cases").touched(self.run_id)
+            if touched is not None:
+                for name, dim, key, surrogate in (
+                    ("dim_customer", self.dim_customer, "customer_id", "sk_customer"),
+                    ("dim_agent", self.dim_agent, "agent_id", "sk_agent"),
+                ):
+                    changed = self._new_versions(name, dim, key, surrogate)
+                    touched |= months_of(cases.select(key, MONTH).join(changed, key, "left_semi"))
+                cases, previous = cases.filter(in_months(touched)), previous.filter(in_months(touched))
+            rows = fact.fact_source(cases, self.dim_customer, self.dim_agent)
+            if previous is not None:
+                previous = previous.drop(MONTH)
+            return fact.clustered_by_month(fact.load_fact(previous, rows, self.run_ts)), touched
 
-        return self.table("fact_cases", build, {"created_month": T.IntegerType()})
+        return self._by_month("fact_cases", build)
 
     # RPT
     @property

@@ -488,6 +488,43 @@ FROM orders, (VALUES ('raw'), ('staged'), ('fact')) l(layer) GROUP BY layer
 UNION ALL SELECT 'figures', count(*), TRUE FROM ({RECONCILED}) f
 UNION ALL SELECT 'landed', count(*) + count(*) FILTER (category = 'Technical' AND created_at < '1998'), TRUE
 FROM src_cases""",
+        ),
+        "raw_quoted_lines": _q(
+            RAW,
+            """SELECT customer_id, customer_name || CASE WHEN CAST(substr(customer_id, 3) AS BIGINT) % 3 = 0
+  THEN chr(10) || 'Dept "x", 2' ELSE '' END AS customer_name, region, signup_date FROM raw_customers""",
+        ),
+        "load_quarantine": _q(
+            RAW,
+            """SELECT CASE category WHEN 'Other' THEN 'short' ELSE 'long' END AS _source_file,
+  concat_ws(',', case_id, created_at, coalesce(closed_at, ''), customer_id, coalesce(agent_id, ''), category, priority,
+    CASE category WHEN 'Billing' THEN status || ',extra' END) AS line
+FROM src_cases WHERE category IN ('Other', 'Billing')""",
+        ),
+        "load_counts": _q(
+            RAW,
+            """SELECT 'cases' AS tbl, CASE category WHEN 'Other' THEN 'short' WHEN 'Billing' THEN 'long' ELSE 'whole' END AS _source_file,
+  count(*) AS row_count, count(*) FILTER (category IN ('Other', 'Billing')) AS damaged_lines FROM src_cases GROUP BY 2
+UNION ALL SELECT 'customers', 'customers.csv', count(*), 0 FROM customer
+UNION ALL SELECT 'agents', 'agents.csv', count(*), 0 FROM supplier""",
+        ),
+        "pipeline_file_ledger": _q(
+            RAW,
+            "SELECT category, CASE WHEN category IN ('Technical', 'Account') THEN 0 ELSE 1 END AS run, count(*) AS row_count,"
+            " count(DISTINCT case_id) AS case_count FROM raw_cases GROUP BY 1, 2",
+        ),
+        "pipeline_touched_months": _q(
+            FACT,
+            """SELECT created_date_key // 100 AS created_month, status,
+  CASE WHEN customer_name IS NOT NULL THEN customer_id IN ('CU1', 'CU2', 'CU3') END AS renamed,
+  count(*) AS cases, count(*) FILTER (has_any_dq_flag) AS flagged, sum(cents) / 100.0 AS hours FROM fact GROUP BY 1, 2, 3""",
+        ),
+        "incremental_marks": _q(
+            STG,
+            """SELECT 'run 0' AS object, count(*) AS n FROM stg_cases
+UNION ALL SELECT 'run 1', count(*) + count(shut) FROM stg_cases
+UNION ALL SELECT 'run 2', count(shut) FROM stg_cases
+UNION ALL SELECT CASE WHEN shut IS NULL THEN 'Open' ELSE status END, count(*) FROM stg_cases GROUP BY 1""",
         ),
         "incremental_late_rows": _q(
             STG,
