@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -22,18 +23,21 @@ FACT_COLUMNS = (
 )
 
 
-def _business_columns(cases: DataFrame) -> DataFrame:
+def _business_columns(cases: DataFrame, flags: Sequence[str] = ()) -> DataFrame:
     return cases.withColumns(
         {
             "created_date_key": date_key(F.col("created_at")),
             "closed_date_key": date_key(F.col("closed_at")),
             "is_resolved": F.col("status") == RESOLVED_STATUS,
         }
-    ).select(*FACT_COLUMNS)
+    ).select(*FACT_COLUMNS, *flags)
 
 
-def fact_source(stg_cases: DataFrame, dim_customer: DataFrame, dim_agent: DataFrame) -> DataFrame:
-    """Fact rows against the current dimension versions; cases without one keep NULLs."""
+def fact_source(
+    stg_cases: DataFrame, dim_customer: DataFrame, dim_agent: DataFrame, flags: Sequence[str] = ()
+) -> DataFrame:
+    """Fact rows against the current dimension versions; cases without one keep NULLs. ``flags`` names
+    the staged flags beyond the built-in ones."""
     customers = current(dim_customer).select(
         F.col("customer_id").alias("_customer"), "sk_customer", "customer_name", "region"
     )
@@ -42,7 +46,7 @@ def fact_source(stg_cases: DataFrame, dim_customer: DataFrame, dim_agent: DataFr
     )
     joined = lookup_join(stg_cases, customers, "customer_id", "_customer", "case_id")
     joined = lookup_join(joined, agents, "agent_id", "_agent", "case_id")
-    return _business_columns(joined)
+    return _business_columns(joined, flags)
 
 
 def fact_source_as_of(
@@ -60,12 +64,15 @@ def fact_source_as_of(
     return _business_columns(joined)
 
 
-def load_fact(target: DataFrame | None, source: DataFrame, run_ts: datetime) -> DataFrame:
+def load_fact(
+    target: DataFrame | None, source: DataFrame, run_ts: datetime, flags: Sequence[str] = ()
+) -> DataFrame:
     """Upsert by case; a first load needs no join, as there is nothing to merge with."""
+    source = source.select(*FACT_COLUMNS, *flags)
     if target is None:
         now = ntz(run_ts)
-        return source.select(*FACT_COLUMNS, now.alias("_loaded_at"), now.alias("_updated_at"))
-    return upsert_with_audit(target, source.select(*FACT_COLUMNS), ["case_id"], run_ts)
+        return source.select("*", now.alias("_loaded_at"), now.alias("_updated_at"))
+    return upsert_with_audit(target, source, ["case_id"], run_ts)
 
 
 def clustered_by_month(fact: DataFrame) -> DataFrame:

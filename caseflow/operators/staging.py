@@ -5,9 +5,13 @@ Rows are flagged, never dropped; only a row without its business key is left out
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.functions.measures import any_flag
@@ -23,6 +27,28 @@ from caseflow.operators.joins import lookup_join, unmatched_counts
 from caseflow.schemas import DQ_FLAGS, RESOLVED_STATUS, UNRESOLVED_STATUSES
 
 
+class Rule(NamedTuple):
+    """A data-quality flag as data: ``when`` is a predicate on the columns of :func:`parse_cases`, NULL being false.
+    A rule that ``counts`` takes the case out of the clean population."""
+
+    name: str
+    when: Column
+    counts: bool = True
+
+
+def further_rules() -> tuple[Rule, Rule]:
+    """A close time that cannot be read, and one not after the opening."""
+    return (
+        Rule("invalid_closed_at", F.col("_closed_text").isNotNull() & F.col("closed_at").isNull()),
+        Rule("invalid_resolution_order", F.col("closed_at") <= F.col("created_at")),
+    )
+
+
+def _any_flag(rules: Sequence[Rule]) -> Column:
+    """The built-in flags and the rules that count."""
+    return reduce(or_, [F.col(r.name) for r in rules if r.counts], any_flag())
+
+
 def _loaded(run_ts: datetime):
     return ntz(run_ts).alias("_loaded_at")
 
@@ -105,12 +131,12 @@ def with_orphans(
 
 
 def with_current_orphans(
-    staged: DataFrame, customer_orphans: DataFrame, agent_orphans: DataFrame
+    staged: DataFrame, customer_orphans: DataFrame, agent_orphans: DataFrame, rules: Sequence[Rule] = ()
 ) -> DataFrame:
     """Staged cases with their orphan flags looked up again; parents may have arrived since."""
     bare = staged.drop("dq_flag_orphan_customer", "dq_flag_orphan_agent", "has_any_dq_flag")
     found = with_orphans(bare, customer_orphans, agent_orphans)
-    return found.withColumn("has_any_dq_flag", any_flag()).select(*staged.columns)
+    return found.withColumn("has_any_dq_flag", _any_flag(rules)).select(*staged.columns)
 
 
 def with_flags(parsed: DataFrame) -> DataFrame:
@@ -126,11 +152,14 @@ def with_flags(parsed: DataFrame) -> DataFrame:
 
 
 def stage_cases(
-    raw: DataFrame, customer_orphans: DataFrame, agent_orphans: DataFrame, run_ts: datetime
+    raw: DataFrame, customer_orphans: DataFrame, agent_orphans: DataFrame, run_ts: datetime,
+    rules: Sequence[Rule] = (),
 ) -> DataFrame:
-    """Staged cases; the orphans come from :func:`orphan_keys`."""
+    """Staged cases; the orphans come from :func:`orphan_keys`. Each of ``rules`` adds a flag."""
     parsed = with_orphans(parse_cases(raw), customer_orphans, agent_orphans)
-    flagged = with_flags(with_resolution(parsed)).withColumn("has_any_dq_flag", any_flag())
+    flagged = with_flags(with_resolution(parsed))
+    flagged = flagged.withColumns({r.name: F.coalesce(r.when, F.lit(False)) for r in rules}) if rules else flagged
+    flagged = flagged.withColumn("has_any_dq_flag", _any_flag(rules))
     return flagged.select(
         "case_id",
         "created_at",
@@ -143,17 +172,13 @@ def stage_cases(
         "resolution_hours",
         "resolution_bucket",
         *DQ_FLAGS,
+        *[r.name for r in rules],
         "has_any_dq_flag",
         _loaded(run_ts),
     )
 
 
 def extended_flags(raw: DataFrame) -> DataFrame:
-    """Two further flags: a close time that cannot be read, and one not after the opening."""
-    return parse_cases(raw).select(
-        "case_id",
-        (F.col("_closed_text").isNotNull() & F.col("closed_at").isNull()).alias("invalid_closed_at"),
-        F.coalesce(F.col("closed_at") <= F.col("created_at"), F.lit(False)).alias(
-            "invalid_resolution_order"
-        ),
-    )
+    """The flags of :func:`further_rules` alone, by case."""
+    flags = [F.coalesce(r.when, F.lit(False)).alias(r.name) for r in further_rules()]
+    return parse_cases(raw).select("case_id", *flags)

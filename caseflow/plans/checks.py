@@ -92,6 +92,20 @@ def dq_drift_monthly(fact: DataFrame, spike_points: float = 5.0) -> DataFrame:
     )
 
 
+def dq_drift_by_load(history: DataFrame, spike_points: float = 5.0) -> DataFrame:
+    """Flag rate after each run and its change from the run before; a rise above the limit is a spike.
+
+    The window runs over one row per run.
+    """
+    previous = F.lag("dq_flag_pct").over(W.partitionBy().orderBy("run_id"))
+    changed = F.round(F.col("dq_flag_pct") - F.col("previous_pct"), 1)
+    return (
+        history.select("run_id", "fact_rows", "dq_flagged", "dq_flag_pct", previous.alias("previous_pct"))
+        .withColumn("change_points", changed)
+        .withColumn("spike", F.coalesce(F.col("change_points") > spike_points, F.lit(False)))
+    )
+
+
 # --- reconciliation ---------------------------------------------------------
 
 
@@ -159,7 +173,7 @@ def recomputed_cases(
 ) -> DataFrame:
     """A second derivation, straight from RAW and without staging, dimensions or fact.
 
-    Hours come from interval arithmetic and stay unrounded floating point numbers.
+    Hours come from interval arithmetic, to a millionth of an hour.
     """
     customers = raw_customers.select(
         F.col("customer_id").alias("_cu"), F.upper(F.trim("region")).alias("region")
@@ -184,13 +198,16 @@ def recomputed_cases(
         | F.col("_cu").isNull()
         | F.col("_ag").isNull()
     )
-    elapsed = F.col("_close") - F.col("_open")
-    hours = (
-        F.extract(F.lit("DAY"), elapsed) * 24
-        + F.extract(F.lit("HOUR"), elapsed)
-        + F.extract(F.lit("MINUTE"), elapsed) / 60
-        + F.extract(F.lit("SECOND"), elapsed).cast("double") / 3600
+    # whole seconds of both ends, as an exact decimal: no sum depends on the order of its rows
+    opened, shut = (F.date_trunc("second", F.col(c)).cast("timestamp_ntz") for c in ("_open", "_close"))
+    elapsed = shut - opened
+    seconds = (
+        F.extract(F.lit("DAY"), elapsed).cast("decimal(12,0)") * 86400
+        + F.extract(F.lit("HOUR"), elapsed).cast("decimal(4,0)") * 3600
+        + F.extract(F.lit("MINUTE"), elapsed).cast("decimal(4,0)") * 60
+        + F.extract(F.lit("SECOND"), elapsed).cast("decimal(4,0)")
     )
+    hours = (seconds / F.lit(3600)).cast("decimal(18,6)")
     return joined.select(
         "priority",
         "region",

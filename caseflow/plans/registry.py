@@ -204,7 +204,8 @@ def pipeline_file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                 writer.option("ignoreTrailingWhiteSpace", False).csv(folders[name])
         run_ts = RUN_TS + timedelta(days=run)
         w = Warehouse.from_folders(spark, folders, f"{root}/tables", run_ts, run_id=run, span=SPAN)
-        w.fact  # noqa: B018
+        for name in feeds:
+            w.landed(name)
     w = Warehouse.from_folders(spark, folders, f"{root}/tables", run_ts, run_id=3, span=SPAN)
     landed_rows = w.raw("cases").groupBy("category", F.col("_run_id").alias("run"))
     return landed_rows.agg(F.count("*").alias("row_count"), F.count_distinct("case_id").alias("case_count"))
@@ -513,6 +514,56 @@ def pipeline_touched_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_rules_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven flags in the fact and the monitor: of the two further ones, one counts and one does not."""
+    closed, order = staging.further_rules()
+    rules = (closed, order._replace(counts=False))
+    extract = landed(source_feeds(spark, sf_dir), RUN_TS)
+    w = Warehouse(spark, extract, scratch(spark, "rules"), RUN_TS, RUN_TS.date(), SPAN, rules=rules)
+    counted = w.fact.groupBy(*[r.name for r in rules], "has_any_dq_flag").agg(F.count("*").alias("cases"))
+    monitored = w.monitor.select("dq_flagged", *[F.col(r.name).alias(f"all_{r.name}") for r in rules])
+    return counted.join(monitored, F.lit(True))
+
+
+def dq_drift_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads by category; all customers of the last one are unknown."""
+    feeds, root = source_feeds(spark, sf_dir), scratch(spark, "loads")
+    cases = feeds["cases"]
+    lost = F.concat(F.lit("lost-"), "customer_id")
+    for run, category in enumerate(("Technical", "Account", "Billing")):
+        came = cases.filter(F.col("category") == category)
+        came = came.withColumn("customer_id", lost) if run == 2 else came
+        run_ts = RUN_TS + timedelta(days=run)
+        given = landed(feeds | {"cases": came}, run_ts)
+        w = Warehouse(spark, given, root, run_ts, run_ts.date(), SPAN, run_id=run)
+        w.monitor_history  # noqa: B018
+    return checks.dq_drift_by_load(w.monitor_history)
+
+
+def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published views by SQL: after a first run, and again after a second that adds the later cases."""
+    root = scratch(spark, "published")
+    early = F.coalesce(F.col("created_at") < "1998", F.lit(False))
+    found = []
+    for run in range(2):
+        run_ts = RUN_TS + timedelta(days=run)
+        session = spark.newSession()
+        given = landed(source_feeds(session, sf_dir), run_ts)
+        if run == 0:
+            given["cases"] = given["cases"].filter(early)
+        Warehouse(session, given, root, run_ts, run_ts.date(), SPAN, run_id=run).publish()
+        rows = session.sql(
+            f"""SELECT {run} AS run, e.region, count(*) AS cases, sum(int(e.has_any_dq_flag)) AS flagged,
+              max(m.fact_rows) AS fact_rows, max(s.total_cases) AS summary_cases
+            FROM case_enriched e JOIN data_quality_monitor m ON true LEFT JOIN region_summary s ON s.region <=> e.region
+            GROUP BY e.region"""
+        )
+        path = f"{root}/shown-{run}"
+        rows.write.parquet(path)
+        found.append(spark.read.parquet(path))
+    return contracts.union_all(found)
+
+
 def _versioned_cases(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     """Change feeds with an update time: all cases as opened, then every case with a close
     time as staged, together with a stale repeat of its opening."""
@@ -825,6 +876,9 @@ def all_queries() -> dict[str, Query]:
         "raw_bad_rows": raw_bad_rows,
         "raw_load_audit": raw_load_audit,
         "raw_quoted_lines": raw_quoted_lines,
+        "dq_rules_custom": dq_rules_custom,
+        "dq_drift_by_load": dq_drift_by_load,
+        "sql_views": sql_views,
         "load_quarantine": load_quarantine,
         "load_counts": load_counts,
         "incremental_marks": incremental_marks,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -139,8 +140,8 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def dq_monitor(fact: DataFrame, checked_at: datetime) -> DataFrame:
-    """One row of health checks from one pass; an empty fact still gives a row."""
+def dq_monitor(fact: DataFrame, checked_at: datetime, flags: Sequence[str] = ()) -> DataFrame:
+    """One row of health checks from one pass; an empty fact still gives a row. ``flags`` are counted too."""
     flagged = count_where(F.col("has_any_dq_flag"))
     checks = fact.agg(
         F.count("*").alias("fact_rows"),
@@ -152,6 +153,7 @@ def dq_monitor(fact: DataFrame, checked_at: datetime) -> DataFrame:
         count_where(
             (F.col("status") == RESOLVED_STATUS) & F.col("resolution_hours").isNull()
         ).alias("closed_missing_resolution"),
+        *[count_where(F.col(flag)).alias(flag) for flag in flags],
     )
     healthy = (
         (F.col("fact_rows") > 0)

@@ -64,7 +64,8 @@ class Warehouse:
     """Tables by layer; each is built from the layers before it when first asked for.
 
     ``extract`` holds the landed frames of this run: cases, customers and agents. ``policy`` replaces
-    the built-in SLA targets: priority and target_resolution_hrs, one row per priority.
+    the built-in SLA targets: priority and target_resolution_hrs, one row per priority. ``rules`` are flags
+    beyond the built-in ones; they reach staging, the fact and the monitor.
     """
 
     spark: SparkSession
@@ -75,6 +76,7 @@ class Warehouse:
     span: tuple[date, date] = (CALENDAR_START, CALENDAR_END)
     run_id: int = 0
     policy: DataFrame | None = None
+    rules: tuple[staging.Rule, ...] = ()
     _tables: dict[str, DataFrame] = field(default_factory=dict)
     _locks: dict[str, threading.Lock] = field(default_factory=dict)
 
@@ -235,7 +237,7 @@ class Warehouse:
             orphans = _side_by_side(
                 self.spark, *[lambda k=k, p=p: self._orphans(k, p()) for k, p in zip(keys, parents, strict=True)]
             )
-            staged = staging.stage_cases(self.landed("cases"), *orphans, self.run_ts)
+            staged = staging.stage_cases(self.landed("cases"), *orphans, self.run_ts, self.rules)
             staged = staged.withColumn(MONTH, month_of(F.col("created_at")))
             if previous is None:
                 self._unique("cases")
@@ -244,7 +246,7 @@ class Warehouse:
             settled = [self._settled(previous.select(k, MONTH), k, o) for k, o in zip(keys, orphans, strict=True)]
             touched = set().union(*map(months_of, (staged, moved, *settled)))
             merged = upsert(previous.filter(in_months(touched)), staged, ["case_id"])
-            return staging.with_current_orphans(merged, *orphans).hint("rebalance", MONTH), touched
+            return staging.with_current_orphans(merged, *orphans, self.rules).hint("rebalance", MONTH), touched
 
         return self._by_month("stg_cases", build)
 
@@ -309,10 +311,11 @@ class Warehouse:
                     changed = self._new_versions(name, dim, key, surrogate)
                     touched |= months_of(cases.select(key, MONTH).join(changed, key, "left_semi"))
                 cases, previous = cases.filter(in_months(touched)), previous.filter(in_months(touched))
-            rows = fact.fact_source(cases, self.dim_customer, self.dim_agent)
+            flags = [r.name for r in self.rules]
+            rows = fact.fact_source(cases, self.dim_customer, self.dim_agent, flags)
             if previous is not None:
                 previous = previous.drop(MONTH)
-            return fact.clustered_by_month(fact.load_fact(previous, rows, self.run_ts)), touched
+            return fact.clustered_by_month(fact.load_fact(previous, rows, self.run_ts, flags)), touched
 
         return self._by_month("fact_cases", build)
 
@@ -321,6 +324,17 @@ class Warehouse:
     def enriched(self) -> DataFrame:
         return reporting.case_enriched(self.fact, self.dim_date, self.sla)
 
+    @property
+    def monitor(self) -> DataFrame:
+        return reporting.dq_monitor(self.fact, self.run_ts, [r.name for r in self.rules])
+
+    @property
+    def monitor_history(self) -> DataFrame:
+        """The monitor as every run up to this one has seen it, one row each."""
+        seen = self.table("monitor", lambda _: self.monitor.withColumn("run_id", F.lit(self.run_id).cast("long")))
+        earlier = self._earlier("monitor")
+        return seen if earlier is None else earlier.read_all_before(self.run_id).unionByName(seen, allowMissingColumns=True)
+
     def publish(self) -> None:
         """Register the fact, the dimensions, the SLA targets and the reporting views by name."""
         reporting.publish(
@@ -335,7 +349,8 @@ class Warehouse:
                 "region_summary": reporting.region_summary(self.fact),
                 "priority_sla": reporting.priority_sla(self.fact, self.sla),
                 "monthly_trend": reporting.monthly_trend(self.fact, self.dim_date),
-                "data_quality_monitor": reporting.dq_monitor(self.fact, self.run_ts),
+                "data_quality_monitor": self.monitor,
+                "data_quality_history": self.monitor_history,
             }
         )
 

@@ -488,6 +488,30 @@ FROM orders, (VALUES ('raw'), ('staged'), ('fact')) l(layer) GROUP BY layer
 UNION ALL SELECT 'figures', count(*), TRUE FROM ({RECONCILED}) f
 UNION ALL SELECT 'landed', count(*) + count(*) FILTER (category = 'Technical' AND created_at < '1998'), TRUE
 FROM src_cases""",
+        ),
+        "dq_rules_custom": _q(
+            FACT,
+            """SELECT *, CAST(coalesce(sum(cases) FILTER (has_any_dq_flag) OVER (), 0) AS BIGINT) AS dq_flagged,
+  CAST(coalesce(sum(cases) FILTER (invalid_closed_at) OVER (), 0) AS BIGINT) AS all_invalid_closed_at,
+  CAST(coalesce(sum(cases) FILTER (invalid_resolution_order) OVER (), 0) AS BIGINT) AS all_invalid_resolution_order
+FROM (SELECT closed_text IS NOT NULL AND shut IS NULL AS invalid_closed_at, coalesce(shut <= opened, FALSE) AS invalid_resolution_order,
+  has_any_dq_flag OR (closed_text IS NOT NULL AND shut IS NULL) AS has_any_dq_flag, count(*) AS cases FROM fact GROUP BY 1, 2, 3) c""",
+        ),
+        "dq_drift_by_load": _q(
+            FACT,
+            f"""SELECT *, round(dq_flag_pct - previous_pct, 1) AS change_points,
+  coalesce(round(dq_flag_pct - previous_pct, 1) > 5, FALSE) AS spike
+FROM (SELECT *, lag(dq_flag_pct) OVER (ORDER BY run_id) AS previous_pct
+FROM (SELECT run_id, count(*) AS fact_rows, count(*) FILTER (has_any_dq_flag OR category = 'Billing') AS dq_flagged,
+  {pct("count(*) FILTER (has_any_dq_flag OR category = 'Billing')", "count(*)")} AS dq_flag_pct
+  FROM fact JOIN (VALUES ('Technical', 0::BIGINT), ('Technical', 1), ('Technical', 2), ('Account', 1), ('Account', 2), ('Billing', 2))
+    loads(of_load, run_id) ON category = of_load GROUP BY run_id) m) p""",
+        ),
+        "sql_views": _q(
+            FACT,
+            """SELECT run, region, count(*) AS cases, CAST(count(*) FILTER (has_any_dq_flag) AS BIGINT) AS flagged,
+  CAST(sum(count(*)) OVER (PARTITION BY run) AS BIGINT) AS fact_rows, count(*) AS summary_cases
+FROM fact JOIN (VALUES (0), (1)) runs(run) ON run = 1 OR created_text < '1998' GROUP BY run, region""",
         ),
         "raw_quoted_lines": _q(
             RAW,
@@ -510,7 +534,7 @@ UNION ALL SELECT 'agents', 'agents.csv', count(*), 0 FROM supplier""",
         ),
         "pipeline_file_ledger": _q(
             RAW,
-            "SELECT category, CASE WHEN category IN ('Technical', 'Account') THEN 0 ELSE 1 END AS run, count(*) AS row_count,"
+            "SELECT category, CASE WHEN category IN ('Technical', 'Account') THEN 0::BIGINT ELSE 1 END AS run, count(*) AS row_count,"
             " count(DISTINCT case_id) AS case_count FROM raw_cases GROUP BY 1, 2",
         ),
         "pipeline_touched_months": _q(

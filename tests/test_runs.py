@@ -6,8 +6,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseflow.operators import staging
 from caseflow.operators.incremental import since_mark, upsert_latest
-from caseflow.plans import registry
+from caseflow.plans import checks, registry
 from caseflow.plans.warehouse import Warehouse
 from caseflow.schemas import strings
 from caseflow.sources import landing, ledger
@@ -79,6 +80,33 @@ def test_a_case_that_moves_to_another_month_is_there_once(spark, tmp_path):
     assert rows(again.fact, "case_id", "created_month") == rows(moved.fact, "case_id", "created_month")
 
 
+def test_rules_reach_the_fact_the_monitor_and_later_runs(spark, tmp_path):
+    schema = "case_id string, created_at string, closed_at string, customer_id string, agent_id string, category string, priority string, status string"
+    closed, order = staging.further_rules()
+    rules = (closed, order._replace(counts=False), staging.Rule("vip", F.col("priority") == "Urgent", counts=False))
+
+    def run(number, data):
+        ts = TS + timedelta(days=number)
+        feeds = {"cases": spark.createDataFrame(data, schema),
+                 "customers": spark.createDataFrame([("u", "n", "r", None)], strings("customer_id", "customer_name", "region", "signup_date")),
+                 "agents": spark.createDataFrame([("a", "n", "t")], strings("agent_id", "agent_name", "team"))}
+        extract = {name: landing.land(df, ts, F.lit("f")) for name, df in feeds.items()}
+        return Warehouse(spark, extract, str(tmp_path), ts, ts.date(), run_id=number, rules=rules)
+
+    w = run(0, [
+        ("1", "2024-01-05", "soon", "u", "a", "c", "Urgent", "Closed"), ("2", "2024-01-06", "2024-01-06", "u", "a", "c", None, "Closed"),
+        ("3", "2024-01-06", "2024-01-07", "u", "a", "c", "Low", "Closed"),
+    ])
+    flags = ("case_id", "invalid_closed_at", "invalid_resolution_order", "vip", "has_any_dq_flag")
+    want = [("1", True, False, True, True), ("2", False, True, False, False), ("3", False, False, False, False)]
+    assert rows(w.fact, *flags) == want
+    assert w.monitor.select("dq_flagged", *[r.name for r in rules]).first() == (1, 1, 1, 1)
+    later = run(1, [("3", "2024-01-06", "??", "u", "a", "c", "Low", "Closed")])
+    assert rows(later.fact, *flags) == [*want[:2], ("3", True, False, False, True)]
+    history = checks.dq_drift_by_load(later.monitor_history)
+    assert rows(history, "run_id", "dq_flagged", "dq_flag_pct", "previous_pct", "spike") == [(0, 1, 33.3, None, False), (1, 2, 66.7, 33.3, True)]
+
+
 def test_upsert_latest_reads_the_target_once_in_full(spark, tmp_path):
     data = [(i, "x", TS) for i in range(50)]
     spark.createDataFrame(data, "id int, wide string, at timestamp_ntz").write.parquet(f"{tmp_path}/t")
