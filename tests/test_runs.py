@@ -101,6 +101,7 @@ def test_rules_reach_the_fact_the_monitor_and_later_runs(spark, tmp_path):
     want = [("1", True, False, True, True), ("2", False, True, False, False), ("3", False, False, False, False)]
     assert rows(w.fact, *flags) == want
     assert w.monitor.select("dq_flagged", *[r.name for r in rules]).first() == (1, 1, 1, 1)
+    assert w.monitor_history.count() == 1
     later = run(1, [("3", "2024-01-06", "??", "u", "a", "c", "Low", "Closed")])
     assert rows(later.fact, *flags) == [*want[:2], ("3", True, False, False, True)]
     history = checks.dq_drift_by_load(later.monitor_history)
