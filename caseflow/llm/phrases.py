@@ -59,9 +59,29 @@ class HatTrie:
 
     def add(self, first: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> None:
         """Phrases as first id and packed rest, each once, in ascending order."""
-        bounds = [*runs(first).tolist(), len(first)]
-        for begin, end in zip(bounds, bounds[1:], strict=False):
-            self._into(self.root, int(first[begin]), rest[begin:end], counts[begin:end], self.left)
+        begins = runs(first)
+        bounds = [*begins.tolist(), len(first)]
+        keys, numbers = rest.tolist(), counts.tolist()
+        for word, begin, end in zip(first[begins].tolist(), bounds, bounds[1:], strict=False):
+            node = self.root.get(word)
+            if isinstance(node, Branch):
+                self._into(self.root, word, rest[begin:end], counts[begin:end], self.left)
+                continue
+            if node is None:
+                node = self.root[word] = {}
+            before = len(node)
+            for key, count in zip(keys[begin:end], numbers[begin:end], strict=True):
+                node[key] = node.get(key, 0) + count
+            self.phrases += len(node) - before
+            if self.left > 1 and len(node) > self.burst:
+                self._burst(self.root, word, self.left)
+
+    def _burst(self, branch: Branch, word: int, left: int) -> None:
+        shift = _ID_BITS * (left - 1)
+        burst = Branch()
+        for key, count in branch[word].items():
+            burst.setdefault(key >> shift, {})[key & ((1 << shift) - 1)] = count
+        branch[word] = burst
 
     def _into(self, branch: Branch, word: int, rest: np.ndarray, counts: np.ndarray, left: int) -> None:
         node = branch.get(word)
@@ -80,10 +100,7 @@ class HatTrie:
             node[key] = node.get(key, 0) + count
         self.phrases += len(node) - before
         if left > 1 and len(node) > self.burst:
-            shift = _ID_BITS * (left - 1)
-            burst = branch[word] = Branch()
-            for key, count in node.items():
-                burst.setdefault(key >> shift, {})[key & ((1 << shift) - 1)] = count
+            self._burst(branch, word, left)
 
     def _walk(self, node: dict, path: tuple[int, ...], left: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Word ids, a row for each phrase, and counts of every container below ``node``."""
@@ -101,13 +118,35 @@ class HatTrie:
     def _size(self, node: dict) -> int:
         return sum(map(self._size, node.values())) if isinstance(node, Branch) else len(node)
 
-    def take(self, keep: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
-        """Removes whole subtrees, the largest first, until at most ``keep`` phrases are left, and gives each."""
+    def pop(self, keep: int) -> Iterator[tuple[int, dict]]:
+        """Removes whole subtrees, the largest first, until at most ``keep`` phrases are left, and gives each
+        with its first word."""
         for size, word in sorted(((self._size(child), word) for word, child in self.root.items()), reverse=True):
             if self.phrases <= keep:
                 return
-            yield list(self._walk(self.root.pop(word), (word,), self.left))
             self.phrases -= size
+            yield word, self.root.pop(word)
+
+    def unpacked(self, word: int, node: dict) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Word ids and counts of the containers of a subtree."""
+        return list(self._walk(node, (word,), self.left))
+
+    def take(self, keep: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+        """The subtrees of :meth:`pop`, unpacked."""
+        return (self.unpacked(word, node) for word, node in self.pop(keep))
+
+    def together(self, nodes: list[tuple[int, dict]]) -> tuple[np.ndarray, np.ndarray]:
+        """Word ids and counts of many subtrees that are single containers."""
+        keys, counts = [], []
+        for _, node in nodes:
+            keys.extend(node)
+            counts.extend(node.values())
+        rest = np.array(keys, np.int64)
+        ids = np.empty((len(rest), self.left + 1), np.int32)
+        ids[:, 0] = np.repeat([word for word, _ in nodes], [len(node) for _, node in nodes])
+        for i in range(self.left):
+            ids[:, i + 1] = (rest >> (_ID_BITS * (self.left - 1 - i))) & ((1 << _ID_BITS) - 1)
+        return ids, np.array(counts, np.int64)
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -208,9 +247,15 @@ class Counter:
         first, rest = ids[at], np.zeros(len(at), np.int64)
         for i in range(1, length):
             rest = (rest << _ID_BITS) | ids[at + i]
-        order = np.lexsort((rest, first))
-        first, rest = first[order], rest[order]
-        begins = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])]))
+        if length < LONGEST:  # the whole phrase in one number
+            bits = _ID_BITS * (length - 1)
+            key = np.sort((first << bits) | rest)
+            first, rest = key >> bits, key & ((1 << bits) - 1)
+            begins = runs(key)
+        else:
+            order = np.lexsort((rest, first))
+            first, rest = first[order], rest[order]
+            begins = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])]))
         self.tries[length].add(first[begins], rest[begins], np.diff(np.append(begins, len(first))))
 
     def phrases(self) -> int:
@@ -220,16 +265,19 @@ class Counter:
         """Subtrees as sorted runs until at most ``share`` of the phrases is left."""
         names = pa.array(self.words.names, pa.binary())
         for trie in self.tries.values():
-            run: list[tuple[np.ndarray, np.ndarray]] = []
-            phrases = 0
-            for subtree in trie.take(int(share * trie.phrases)):
-                run += subtree
-                phrases += sum(len(counts) for _, counts in subtree)
-                if phrases >= 100_000:
-                    yield self._run(run, names)
-                    run, phrases = [], 0
-            if run:
-                yield self._run(run, names)
+            nodes: list[tuple[int, dict]] = []
+            waiting = 0
+            for word, node in trie.pop(int(share * trie.phrases)):
+                if isinstance(node, Branch):
+                    yield self._run(trie.unpacked(word, node), names)
+                    continue
+                nodes.append((word, node))
+                waiting += len(node)
+                if waiting >= 100_000:
+                    yield self._run([trie.together(nodes)], names)
+                    nodes, waiting = [], 0
+            if nodes:
+                yield self._run([trie.together(nodes)], names)
 
     def _run(self, parts: list[tuple[np.ndarray, np.ndarray]], names: pa.Array) -> pa.RecordBatch:
         """Whole subtrees in the order of their phrases."""
