@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,31 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme that Spark resolves it to, so that Arrow finds the same file system in every worker."""
+    fs, path = hadoop_path(spark, folder)
+    return fs.makeQualified(path).toString()
+
+
+# Schemes of Hadoop's connectors that Arrow knows by another name.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(uri: str) -> str:
+    """A qualified folder under the scheme that Arrow knows."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        raise ValueError(f"{uri} has no scheme")
+    if scheme == "file":
+        return f"file:///{rest.lstrip('/')}"
+    return f"{_ARROW_SCHEMES.get(scheme, scheme)}:{rest}"
+
+
+def store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
+    """Arrow's file system of a qualified folder, and the path there."""
+    return arrow_fs.FileSystem.from_uri(arrow_uri(uri))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a derived table that nothing reads any more."""
     fs, where = hadoop_path(spark, path)

@@ -6,35 +6,37 @@ document starts a control byte. Control bytes and data bytes are separate stream
 finds all lengths in a 256-row table and gathers all values with array operations.
 
 A folder holds ``ranks.bin`` (ids by rank, unsigned 32-bit) and ``part-NNNNN.tok`` files in ascending
-order of doc_id. All integers are little-endian:
+order of doc_id. A file is its magic number and blocks of whole documents. All integers are little-endian:
 
-    magic 8 bytes | documents u64 | tokens u64 | control bytes u64 | data bytes u64
-    doc_id i64 per document (null: the smallest) | tokens u64 per document | control | data
+    magic 8 bytes, then blocks:
+    documents u64 | null doc_ids u64 | tokens u64 | control bytes u64 | data bytes u64
+    doc_id i64 per document (the null ones first, as 0) | tokens u64 per document | control | data
 """
 
 from __future__ import annotations
 
 import struct
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import chunks, map_arrow, materialise, text_bytes
+from caseflow.llm.common import chunks, map_arrow, materialise, qualified, store, text_bytes
 from caseflow.llm.wordbpe import encode_texts, word_bpe
 
-MAGIC = b"VBTOKEN1"
-HEADER = "<8s4Q"
-HEADER_BYTES = struct.calcsize(HEADER)
-NO_ID = -(1 << 63)
+MAGIC = b"VBTOKEN2"
+BLOCK = "<5Q"
+BLOCK_BYTES = struct.calcsize(BLOCK)
+SMALLEST = -(1 << 63)
 # Tokens a reader decodes at once, so that a file of any size is read in bounded memory.
 DECODE_TOKENS = 1 << 20
 
@@ -115,122 +117,158 @@ def decode(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndar
 # --- writing ------------------------------------------------------------------
 
 
+def _size(path: str, end_id: int) -> int:
+    return max(word_bpe(path).size, end_id + 1)
+
+
 def _width(path: str, end_id: int) -> str:
-    return "<u2" if max(word_bpe(path).size, end_id + 1) <= 1 << 16 else "<u4"
+    return "<u2" if _size(path, end_id) <= 1 << 16 else "<u4"
 
 
 def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id and the token ids of each whole text with ``end_id`` behind, as little-endian bytes.
 
-    Ids take two bytes where the vocabulary fits, else four.
+    Ids take two bytes where the vocabulary fits, else four. A task ends with a row of its own that has
+    no ids but how often it met each: 64-bit ``counts`` by id.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = _width(path, end_id)
         end = np.array([end_id], kind).tobytes()
+        total = np.zeros(_size(path, end_id), np.int64)
         for batch in batches:
             texts = text_bytes(batch.column(1))
             for a, b in chunks(texts, 8 << 20):
                 ids = [i.astype(kind).tobytes() + end for i in encode_texts(path, texts[a:b])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], ["doc_id", "ids"]
-                )
+                total += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(total))
+                given = [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary()), pa.nulls(b - a, pa.binary())]
+                yield pa.RecordBatch.from_arrays(given, ["doc_id", "ids", "counts"])
+        if total.any():
+            own = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()])]
+            yield pa.RecordBatch.from_arrays(own, ["doc_id", "ids", "counts"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_arrow(texts, run, "doc_id long, ids binary")
+    return map_arrow(texts, run, "doc_id long, ids binary, counts binary")
 
 
-def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
-    """id and count over all rows; a task sends at most one row for each id of the vocabulary."""
+def id_counts(tokens: DataFrame) -> DataFrame:
+    """id and count over all rows, from the rows of counts; a task sends at most one row for each id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            ids, _ = bytes_of(batch.column(0))
-            got = np.bincount(ids.view(kind), minlength=len(total))
-            got[: len(total)] += total
-            total = got
+            for counts in batch.column(0).to_pylist():
+                got = np.frombuffer(counts, "<i8")
+                total = total + got if len(total) else got
         (ids,) = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "count"])
 
-    partial = map_arrow(tokens.select("ids"), run, "id long, count long")
+    partial = map_arrow(tokens.select("counts").filter("counts is not null"), run, "id long, count long")
     return partial.groupBy("id").agg(F.sum("count").alias("count"))
 
 
-def _store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
-    return arrow_fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+def range_cuts(keys: DataFrame, parts: int) -> np.ndarray:
+    """Ascending values that cut ``keys`` (one column, not null) into ``parts`` about even ranges; a key that
+    fills several ranges is there several times. Quantiles are taken in double precision."""
+    shares = [i / parts for i in range(1, parts)]
+    if not shares:
+        return np.zeros(0, np.int64)
+    (cuts,) = keys.agg(F.percentile_approx(keys.columns[0], shares, max(10_000, 4 * parts))).first()
+    return np.sort(np.array(cuts or [], np.int64))
+
 
+def range_of(cuts: np.ndarray, keys: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Ascending range numbers of ``keys``; equal keys are dealt to the ranges they fill by ``tie``, 32 bits."""
+    low, high = np.searchsorted(cuts, keys, "left"), np.searchsorted(cuts, keys, "right")
+    return low + (tie.astype(np.int64) * (high - low + 1) >> 32)
 
-def _put(uri: str, pieces: list[bytes]) -> None:
+
+def _put(uri: str, pieces: Iterable[bytes]) -> None:
     """Write beside and rename, so that a reader never meets half a file and a repeated task
     puts the same bytes in place again."""
-    store, path = _store(uri)
+    files, path = store(uri)
     aside = f"{path}.{uuid.uuid4().hex}.writing"
-    with store.open_output_stream(aside) as out:
+    with files.open_output_stream(aside) as out:
         for piece in pieces:
             out.write(piece)
-    store.move(aside, path)
+    files.move(aside, path)
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into ``folder``; returns the manifest of its files.
 
-    The corpus is tokenised once. Rank counts go to the driver, one row for each id of the
-    vocabulary at most. Only coded documents are shuffled, by ranges of doc_id. Equal doc_ids are
-    ordered by their bytes; a null doc_id comes first. An empty table gives no file.
+    The corpus is tokenised and coded once. Rank counts go to the driver, one row for each id of the
+    vocabulary at most, and the cuts of the key ranges. Only coded documents are shuffled, by ranges of
+    doc_id; a doc_id that fills several ranges is dealt to them by a checksum of its ids. Equal doc_ids are
+    ordered by that checksum, then by their bytes; a null doc_id is ordered with the smallest one. Files
+    are written block by block, so no task holds a part. An empty table gives no file.
     """
     spark = docs.sparkSession
-    tokens = materialise(tokenise(docs, path, end_id), "tokens")
+    folder = qualified(spark, folder)
+    written = materialise(tokenise(docs, path, end_id), "tokens")
     kind = _width(path, end_id)
-    counts = id_counts(tokens, kind).orderBy(F.desc("count"), "id").collect()
-    size = max([end_id + 1, word_bpe(path).size])
+    counts = id_counts(written).orderBy(F.desc("count"), "id").collect()
     order = np.array([r["id"] for r in counts], np.uint32)
-    store, where = _store(folder)
-    store.create_dir(where, recursive=True)
+    files, where = store(folder)
+    files.create_dir(where, recursive=True)
     _put(f"{folder}/ranks.bin", [order.astype("<u4").tobytes()])
-    ranks = np.zeros(size, np.uint32)  # a table of the vocabulary's size travels with the tasks
+    ranks = np.zeros(_size(path, end_id), np.uint32)  # a table of the vocabulary's size travels with the tasks
     ranks[order] = np.arange(len(order), dtype=np.uint32)
+    tokens = written.filter("ids is not null").select("doc_id", "ids")
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = written.filter("counts is null").select(F.coalesce("doc_id", F.lit(SMALLEST)).alias("key"))
+    cuts = range_cuts(keys, parts)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sizes = bytes_of(batch.column(1))
+            tie = np.array([zlib.crc32(b) for b in batch.column(1).to_pylist()], np.uint32)
+            key = pc.fill_null(batch.column(0), SMALLEST).to_numpy()
             counts = sizes // np.dtype(kind).itemsize
             control, data, control_sizes, data_sizes = encode(ranks[ids.view(kind)], counts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pc.fill_null(batch.column(0), NO_ID),
+                    pa.array(range_of(cuts, key, tie).astype(np.int32)),
+                    batch.column(0),
+                    pa.array(tie.astype(np.int64)),
                     pa.array(counts),
                     binary(control, control_sizes),
                     binary(data, data_sizes),
                 ],
-                ["doc_id", "n", "control", "data"],
+                ["part", "doc_id", "tie", "n", "control", "data"],
             )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        control: list[bytes] = []
-        data: list[bytes] = []
-        for batch in batches:
-            ids.append(batch.column(0).to_numpy())
-            counts.append(batch.column(1).to_numpy())
-            control.extend(batch.column(2).to_pylist())
-            data.extend(batch.column(3).to_pylist())
-        if not ids:
+        total = np.zeros(2, np.int64)
+
+        def blocks() -> Iterator[bytes]:
+            yield MAGIC
+            for batch in filled:
+                given, counts = batch.column(0), batch.column(1).to_numpy().astype("<u8")
+                control, data = (b"".join(batch.column(i).to_pylist()) for i in (2, 3))
+                tokens = int(counts.sum())
+                yield struct.pack(BLOCK, len(counts), given.null_count, tokens, len(control), len(data))
+                yield pc.fill_null(given, 0).to_numpy().astype("<i8").tobytes()
+                yield counts.tobytes()
+                yield control
+                yield data
+                total[:] += len(counts), tokens
+
+        filled = (b for b in batches if b.num_rows)
+        first = next(filled, None)
+        if first is None:
             return
-        n, doc_id = np.concatenate(counts), np.concatenate(ids)
-        sizes = (len(n), int(n.sum()), sum(map(len, control)), sum(map(len, data)))
+        filled = chain([first], filled)
         name = f"part-{TaskContext.get().partitionId():05d}.tok"
-        head = [struct.pack(HEADER, MAGIC, *sizes), doc_id.astype("<i8").tobytes(), n.astype("<u8").tobytes()]
-        _put(f"{folder}/{name}", [*head, *control, *data])
+        _put(f"{folder}/{name}", blocks())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([name]), pa.array([sizes[0]]), pa.array([sizes[1]])], ["file", "documents", "tokens"]
+            [pa.array([name]), pa.array(total[:1]), pa.array(total[1:])], ["file", "documents", "tokens"]
         )
 
-    coded = map_arrow(tokens, code, "doc_id long, n long, control binary, data binary")
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = coded.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "control", "data")
-    return materialise(map_arrow(ordered, write, "file string, documents long, tokens long"), "manifest")
+    coded = map_arrow(tokens, code, "part int, doc_id long, tie long, n long, control binary, data binary")
+    ordered = coded.repartitionById(parts, "part").sortWithinPartitions("doc_id", "tie", "control", "data")
+    blocks = ordered.select("doc_id", "n", "control", "data")
+    return materialise(map_arrow(blocks, write, "file string, documents long, tokens long"), "manifest")
 
 
 # --- reading ------------------------------------------------------------------
@@ -240,10 +278,16 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     """doc_id, start (tokens of all documents before it), n_tokens and ids_le (unsigned 32-bit
     little-endian ids) of every document in the files of ``folder``.
 
-    The running total has one row for each file. Files are decoded in blocks of whole documents.
+    The running total has one row for each file, and so has a task that reads. Files are decoded in blocks
+    of whole documents.
     """
+    folder = qualified(manifest.sparkSession, folder)
     before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
-    files = manifest.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start"))
+    files = manifest.select(
+        "file",
+        F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start"),
+        F.row_number().over(W.orderBy("file")).alias("task"),
+    )
     n = max(1, manifest.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,47 +295,42 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
             for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 yield from read_file(f"{folder}/{name}", f"{folder}/ranks.bin", start)
 
-    spread = files.repartition(n, F.col("file"))
+    spread = files.repartitionById(n, F.col("task") - 1).select("file", "start")
     return map_arrow(spread, run, "doc_id long, start long, n_tokens long, ids_le binary")
 
 
 def read_file(uri: str, ranks_uri: str, start: int) -> Iterator[pa.RecordBatch]:
-    store, path = _store(ranks_uri)
-    with store.open_input_stream(path) as file:
+    files, path = store(ranks_uri)
+    with files.open_input_stream(path) as file:
         ids_by_rank = np.frombuffer(file.read(), "<u4")
-    store, path = _store(uri)
-    with store.open_input_file(path) as file:
-        magic, documents, _, control_bytes, _ = struct.unpack(HEADER, file.read(HEADER_BYTES))
-        if magic != MAGIC:
+    files, path = store(uri)
+    with files.open_input_stream(path) as file:
+        if file.read(len(MAGIC)) != MAGIC:
             raise ValueError(f"{uri} is no token file")
-        doc_id = np.frombuffer(file.read(8 * documents), "<i8")
-        counts = np.frombuffer(file.read(8 * documents), "<u8").astype(np.int64)
-        control_at = HEADER_BYTES + 16 * documents
-        data_at = control_at + control_bytes
-        # whole documents, about DECODE_TOKENS at a time
-        block = (np.cumsum(counts) - counts) // DECODE_TOKENS
-        edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), documents]
-        for a, b in zip(edges, edges[1:]):
-            n = counts[a:b]
-            size = int((-(-n // 4)).sum())
-            file.seek(control_at)
-            control = np.frombuffer(file.read(size), np.uint8)
-            control_at += size
-            size = int(byte_lengths(control, n).sum(dtype=np.int64))
-            file.seek(data_at)
-            data = np.frombuffer(file.read(size), np.uint8)
-            data_at += size
-            ids = ids_by_rank[decode(control, data, n)].astype("<u4")
-            ends = np.cumsum(n)
-            given = doc_id[a:b]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(given, mask=given == NO_ID),
-                    pa.array(start + ends - n),
-                    pa.array(n),
-                    binary(ids.view(np.uint8), 4 * n),
-                ],
-                ["doc_id", "start", "n_tokens", "ids_le"],
-            )
-            start += int(n.sum())
-
+        while head := file.read(BLOCK_BYTES):
+            documents, nulls, _, control_bytes, data_bytes = struct.unpack(BLOCK, head)
+            doc_id = np.frombuffer(file.read(8 * documents), "<i8")
+            counts = np.frombuffer(file.read(8 * documents), "<u8").astype(np.int64)
+            control = np.frombuffer(file.read(control_bytes), np.uint8)
+            data = np.frombuffer(file.read(data_bytes), np.uint8)
+            absent = np.arange(documents) < nulls
+            # whole documents, about DECODE_TOKENS at a time
+            block = (np.cumsum(counts) - counts) // DECODE_TOKENS
+            edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), documents]
+            for a, b in zip(edges, edges[1:]):
+                n = counts[a:b]
+                own, control = np.split(control, [int((-(-n // 4)).sum())])
+                size = int(byte_lengths(own, n).sum(dtype=np.int64))
+                ids = ids_by_rank[decode(own, data[:size], n)].astype("<u4")
+                data = data[size:]
+                ends = np.cumsum(n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(doc_id[a:b], mask=absent[a:b]),
+                        pa.array(start + ends - n),
+                        pa.array(n),
+                        binary(ids.view(np.uint8), 4 * n),
+                    ],
+                    ["doc_id", "start", "n_tokens", "ids_le"],
+                )
+                start += int(n.sum())

@@ -139,9 +139,36 @@ class WordCache(dict):
         return value
 
 
+_PUNCTUATION = punctuation.encode()
+
+
+class WordIds(WordCache):
+    """Token ids of words as little-endian bytes; ASCII letters, maybe with punctuation behind, never become a
+    string of their own: their letters in lower case and their tail are looked up apart (see ``WordBpe.plain``)."""
+
+    def __init__(self, bpe: WordBpe) -> None:
+        super().__init__(bpe.word)
+        tokenize = bpe.model.tokenize
+        self.parts = WordCache(lambda part: as_bytes([t.id for t in tokenize(part)]))
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(_PUNCTUATION)
+        if not core.isalpha():
+            return super().__missing__(word)
+        value = self.older.get(word)
+        if value is None:
+            value = self.parts[core.lower()]
+            if len(core) < len(word):
+                value += self.parts[word[len(core) :]]
+        if len(word) <= CACHED_WORD_BYTES:
+            if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = value
+        return value
 
 
 def encode_texts(path: str, texts: list[bytes]) -> list[np.ndarray]:
     """Token ids of every text, as unsigned 32-bit integers."""
-    known = worker_cache("bpe", ("ids", path), lambda: WordCache(word_bpe(path).word)).__getitem__
+    known = worker_cache("bpe", ("ids", path), lambda: WordIds(word_bpe(path))).__getitem__
     return [np.frombuffer(b"".join(map(known, text.split())), "<u4") for text in texts]

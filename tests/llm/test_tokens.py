@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from caseflow.llm import bpe_tree, token_counts, token_files
+from caseflow.llm.common import arrow_uri, qualified
 from caseflow.llm.queries import END_ID, TOKENIZER
 from caseflow.llm.wordbpe import encode_texts, word_bpe
 from caseflow.workspace import scratch
@@ -92,3 +93,37 @@ def test_token_files(spark, docs):
     assert {zlib.crc32(r[3]) for r in got} == want
     empty = f"file://{scratch(spark, 'tokens')}"
     assert token_files.read_tokens(token_files.write_tokens(docs(rows).limit(0), empty, TOKENIZER, END_ID), empty).count() == 0
+
+
+def test_token_file_parts(spark, docs):
+    """One doc_id on a third of the rows fills several parts; null and the smallest id stay apart."""
+    rows = [(i, f"text {i}") for i in range(60)] + [(7, f"copy {i}") for i in range(40)]
+    rows += [(None, "none"), (-(1 << 63), "least"), (None, "none")]
+    folder = scratch(spark, "tokens")  # no scheme: the file system that Spark takes it for
+    manifest = token_files.write_tokens(docs(rows).repartition(4), folder, TOKENIZER, END_ID)
+    got = sorted((tuple(r) for r in token_files.read_tokens(manifest, folder).collect()), key=lambda r: r[1])
+    key = [-(1 << 63) if r[0] is None else r[0] for r in got]
+    assert key == sorted(key) and [r[1] for r in got] == list(np.cumsum([0, *[r[2] for r in got]])[:-1])
+    code = lambda t: np.array([*library(t), END_ID], "<u4").tobytes()
+    assert sorted(((r[0] is None, r[0] or 0, bytes(r[3])) for r in got)) == sorted((i is None, i or 0, code(t)) for i, t in rows)
+
+
+def test_ranges_of_a_hot_key():
+    cuts = np.array([3, 7, 7, 7, 12])
+    ties = np.array([0, 1 << 30, 1 << 31, (1 << 32) - 1], np.uint32)
+    assert token_files.range_of(cuts, np.full(4, 7), ties).tolist() == [1, 2, 3, 4]
+    assert token_files.range_of(cuts, np.array([2, 5, 9, 13]), ties).tolist() == [0, 1, 4, 5]
+    assert token_files.range_of(cuts[:0], np.array([2]), ties[3:]).tolist() == [0]
+
+
+def test_uris():
+    assert arrow_uri("s3a://bucket/x") == "s3://bucket/x"
+    assert arrow_uri("file:/tmp/x") == arrow_uri("file:///tmp/x") == "file:///tmp/x"
+    assert arrow_uri("hdfs://name:8020/x") == "hdfs://name:8020/x"
+    with pytest.raises(ValueError):
+        arrow_uri("/tmp/x")
+
+
+def test_qualified_folder(spark):
+    assert qualified(spark, "/tmp/x") == "file:/tmp/x"
+    assert qualified(spark, "file:///tmp/x") in ("file:///tmp/x", "file:/tmp/x")
