@@ -142,26 +142,36 @@ class WordCache(dict):
 _PUNCTUATION = punctuation.encode()
 
 
+# Words of a generation where one cache holds all that a text is made of.
+CACHED_TEXT_WORDS = 400_000
+
+
 class WordIds(WordCache):
-    """Token ids of words as little-endian bytes; ASCII letters, maybe with punctuation behind, never become a
-    string of their own: their letters in lower case and their tail are looked up apart (see ``WordBpe.plain``)."""
+    """Token ids of words as little-endian bytes.
+
+    A word of ASCII letters, maybe with punctuation behind, is the word of its letters in lower case and that of
+    its tail (see ``WordBpe.plain``), so most words that are new in a text need no merging.
+    """
 
     def __init__(self, bpe: WordBpe) -> None:
         super().__init__(bpe.word)
-        tokenize = bpe.model.tokenize
-        self.parts = WordCache(lambda part: as_bytes([t.id for t in tokenize(part)]))
+        self.tokenize = bpe.model.tokenize
 
-    def __missing__(self, word: bytes) -> bytes:
+    def _value(self, word: bytes) -> bytes:
         core = word.rstrip(_PUNCTUATION)
         if not core.isalpha():
-            return super().__missing__(word)
+            return self.compute(word.decode("utf-8", "replace"))
+        lower = core.lower()
+        if lower == word:
+            return as_bytes([t.id for t in self.tokenize(word.decode())])
+        return self[lower] + self[word[len(core) :]] if len(core) < len(word) else self[lower]
+
+    def __missing__(self, word: bytes) -> bytes:
         value = self.older.get(word)
         if value is None:
-            value = self.parts[core.lower()]
-            if len(core) < len(word):
-                value += self.parts[word[len(core) :]]
+            value = self._value(word)
         if len(word) <= CACHED_WORD_BYTES:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= CACHED_TEXT_WORDS:
                 self.older = dict(self)
                 self.clear()
             self[word] = value
