@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.schemas import BUCKETS, HOURS
@@ -19,12 +21,60 @@ def ntz(moment: datetime) -> Column:
     return F.lit(moment.isoformat()).cast("timestamp_ntz")
 
 
-def parse_timestamp(col: Column) -> Column:
-    """ISO text to ``timestamp_ntz``; anything else is NULL, never an error.
+def parse_timestamp(col: Column, formats: Sequence[str] = ()) -> Column:
+    """ISO text to ``timestamp_ntz``, else the first of ``formats`` that reads it; anything else is NULL, never an error.
 
     The pattern keeps out what a plain cast would also take, such as a bare year.
     """
-    return F.when(col.rlike(ISO_TIMESTAMP), col.try_cast("timestamp_ntz"))
+    iso = F.when(col.rlike(ISO_TIMESTAMP), col.try_cast("timestamp_ntz"))
+    return F.coalesce(iso, *[parse_timestamp_as(col, f) for f in formats]) if formats else iso
+
+
+# Parts of a declared format, and the text that each stands for.
+_PARTS = {"yyyy": r"\d{4}", "MMM": r"[A-Za-z]{3}", "MM": r"\d{1,2}", "dd": r"\d{1,2}", "HH": r"\d{1,2}", "mm": r"\d{2}", "ss": r"\d{2}"}
+_PART = re.compile("|".join(_PARTS))
+_MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+
+
+def parse_timestamp_as(col: Column, form: str) -> Column:
+    """Text in a format of yyyy, MM or MMM, dd, HH, mm and ss (time parts may be absent) to ``timestamp_ntz``.
+
+    The parts are put together as ISO text, so no session time zone has a say; what does not fit is NULL.
+    """
+    parts = _PART.findall(form)
+    if len(set(parts)) < len(parts) or not {"yyyy", "dd"} < set(parts) or len({"MM", "MMM"} & set(parts)) != 1:
+        raise ValueError(f"{form!r} is no format of a moment")
+    between = _PART.split(form)
+    pattern = "^" + "".join(
+        re.escape(text) + (f"({_PARTS[part]})" if part else "") for text, part in zip(between, [*parts, ""], strict=True)
+    ) + "$"
+
+    def part(name: str) -> Column:
+        if name not in parts:
+            return F.lit("00")
+        return F.lpad(F.regexp_extract(col, pattern, parts.index(name) + 1), len(name), "0")
+
+    month = part("MM")
+    if "MMM" in parts:
+        at = F.position(F.upper(part("MMM")), F.lit(_MONTHS))
+        month = F.when(at % 3 == 1, F.lpad(((at + 2) / 3).cast("int").cast("string"), 2, "0"))
+    day = F.concat_ws("-", part("yyyy"), month, part("dd"))
+    time = F.concat_ws(":", part("HH"), part("mm"), part("ss"))
+    return F.when(col.rlike(pattern), F.concat(day, F.lit(" "), time).try_cast("timestamp_ntz"))
+
+
+def vote_formats(rows: DataFrame, columns: Sequence[str], formats: Sequence[str]) -> list[str]:
+    """``formats`` with the one first that reads most values of ``columns``; of equals, the one declared first.
+
+    One pass, one row to the driver. A feed that writes days before months is told from one that does not by
+    its days after the 12th.
+    """
+    if len(formats) < 2:
+        return list(formats)
+    reads = [sum((F.count(parse_timestamp_as(F.col(c), f)) for c in columns), F.lit(0)) for f in formats]
+    votes = rows.agg(*[n.alias(f"f{i}") for i, n in enumerate(reads)]).first()
+    best = max(range(len(formats)), key=lambda i: (votes[i], -i))
+    return [formats[best], *(f for i, f in enumerate(formats) if i != best)]
 
 
 def parse_date(col: Column) -> Column:

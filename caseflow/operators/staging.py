@@ -72,12 +72,12 @@ def stage_agents(raw: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def parse_cases(raw: DataFrame) -> DataFrame:
-    """Parse each timestamp once; the raw texts stay, because the flags ask about them."""
+def parse_cases(raw: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
+    """Parse each timestamp once, as ISO text or in one of ``formats``; the raw texts stay, because the flags ask about them."""
     return raw.filter(F.col("case_id").isNotNull()).select(
         "case_id",
-        parse_timestamp(F.col("created_at")).alias("created_at"),
-        parse_timestamp(F.col("closed_at")).alias("closed_at"),
+        parse_timestamp(F.col("created_at"), formats).alias("created_at"),
+        parse_timestamp(F.col("closed_at"), formats).alias("closed_at"),
         "customer_id",
         "agent_id",
         F.trim("category").alias("category"),
@@ -153,10 +153,10 @@ def with_flags(parsed: DataFrame) -> DataFrame:
 
 def stage_cases(
     raw: DataFrame, customer_orphans: DataFrame, agent_orphans: DataFrame, run_ts: datetime,
-    rules: Sequence[Rule] = (),
+    rules: Sequence[Rule] = (), formats: Sequence[str] = (),
 ) -> DataFrame:
     """Staged cases; the orphans come from :func:`orphan_keys`. Each of ``rules`` adds a flag."""
-    parsed = with_orphans(parse_cases(raw), customer_orphans, agent_orphans)
+    parsed = with_orphans(parse_cases(raw, formats), customer_orphans, agent_orphans)
     flagged = with_flags(with_resolution(parsed))
     flagged = flagged.withColumns({r.name: F.coalesce(r.when, F.lit(False)) for r in rules}) if rules else flagged
     flagged = flagged.withColumn("has_any_dq_flag", _any_flag(rules))

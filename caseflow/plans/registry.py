@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from caseflow.functions.text import clean_strings
 from caseflow.functions.time import date_key, ntz
 from caseflow.operators import calendar as cal
-from caseflow.operators import contracts, dims, staging
-from caseflow.operators.fact import FACT_COLUMNS, fact_source_as_of, load_fact
+from caseflow.operators import contracts, dims, sketches, staging
+from caseflow.operators.fact import FACT_COLUMNS, created_between, fact_source_as_of, load_fact
 from caseflow.operators.incremental import since_mark, since_watermark, upsert_latest
 from caseflow.operators.upsert import changes, upsert, upsert_with_audit
 from caseflow.plans import analytics, checks, reporting
@@ -232,6 +232,58 @@ def parse_timestamps(w: Warehouse) -> DataFrame:
     )
 
 
+DECLARED_FORMATS = ("MM/dd/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "yyyy/MM/dd HH:mm", "dd-MMM-yyyy HH:mm:ss")
+
+
+def _other_formats(cases: DataFrame, column: str) -> Column:
+    """The ISO text of most cases as another format; what is no time stays."""
+    text = F.col(column)
+    year, month, day = (F.substring(text, a, n) for a, n in ((1, 4), (6, 2), (9, 2)))
+    clock, kind = F.substring(text, 12, 8), F.substring("case_id", 2, 20).cast("long") % 10
+    names = F.array(*[F.lit(n) for n in "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()])
+    other = (
+        F.when(kind < 7, F.concat(day, F.lit("/"), month, F.lit("/"), year, F.lit(" "), clock))
+        .when(kind == 7, F.concat(year, F.lit("/"), month, F.lit("/"), day, F.lit(" "), F.substring(clock, 1, 5)))
+        .when(kind == 8, F.concat(day, F.lit("-"), F.get(names, month.try_cast("int") - 1), F.lit("-"), year, F.lit(" "), clock))
+    )
+    return F.when(text.rlike(r"^\d{4}-") & other.isNotNull(), other).otherwise(text)
+
+
+def parse_timestamp_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged times of an extract in four formats, of which the declared first also reads some days as months."""
+    feeds = source_feeds(spark, sf_dir)
+    cases = feeds["cases"]
+    feeds["cases"] = cases.withColumns({c: _other_formats(cases, c) for c in ("created_at", "closed_at")})
+    root = scratch(spark, "formats")
+    w = Warehouse(spark, landed(feeds, RUN_TS), root, RUN_TS, RUN_TS.date(), SPAN, formats=DECLARED_FORMATS)
+    return w.stg_cases.select("case_id", *_text("created_at", "closed_at"), *_double("resolution_hours"))
+
+
+RANGE = (199701, 199912)
+
+
+def agents_by_range_sketch(w: Warehouse) -> DataFrame:
+    """Cases of a range by region, and whether the agents of its merged sketches are within the stated error."""
+    found = sketches.range_estimates(w.sketches, *RANGE, ["region"])
+    exact = created_between(w.fact, RANGE[0] * 100 + 1, RANGE[1] * 100 + 31).groupBy(F.col("region").alias("r"))
+    agents = exact.agg(F.count_distinct("agent_name").alias("agents"))
+    near = F.abs(F.col("agent_count") - F.col("agents")) <= F.greatest(F.col("agents") * sketches.AGENT_ERROR, F.lit(0))
+    both = found.join(agents, F.col("region").eqNullSafe(F.col("r")))
+    return both.select("region", "total_cases", near.alias("agents_within_error"))
+
+
+def median_by_range_sketch(w: Warehouse) -> DataFrame:
+    """Timed cases of a range by team, and whether the rank of the merged median is within the stated error."""
+    found = sketches.range_estimates(w.sketches, *RANGE, ["team"])
+    cases = created_between(w.fact, RANGE[0] * 100 + 1, RANGE[1] * 100 + 31)
+    hours = cases.select(F.col("team").alias("t"), (sketches.hundredths() / 100).alias("h")).filter("h is not null")
+    placed = hours.join(found, F.col("team").eqNullSafe(F.col("t")))
+    below, upto = (F.count_if(c) / F.count("*") for c in (F.col("h") < F.col("median_hours"), F.col("h") <= F.col("median_hours")))
+    slack = sketches.RANK_ERROR + 1 / F.count("*")
+    near = (below <= 0.5 + slack) & (upto >= 0.5 - slack)
+    return placed.groupBy("team", "timed_cases").agg(near.alias("median_within_error"))
+
+
 def date_keys(w: Warehouse) -> DataFrame:
     return w.stg_cases.select(
         "case_id",
@@ -876,6 +928,9 @@ def all_queries() -> dict[str, Query]:
         "raw_bad_rows": raw_bad_rows,
         "raw_load_audit": raw_load_audit,
         "raw_quoted_lines": raw_quoted_lines,
+        "parse_timestamp_formats": parse_timestamp_formats,
+        "agents_by_range_sketch": _on_warehouse(agents_by_range_sketch),
+        "median_by_range_sketch": _on_warehouse(median_by_range_sketch),
         "dq_rules_custom": dq_rules_custom,
         "dq_drift_by_load": dq_drift_by_load,
         "sql_views": sql_views,

@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseflow.functions.time import vote_formats
 from caseflow.operators import calendar as cal
-from caseflow.operators import dims, fact, staging
+from caseflow.operators import dims, fact, sketches, staging
 from caseflow.operators.upsert import last_delivered, require_unique, upsert
 from caseflow.plans import reporting
 from caseflow.schemas import (
@@ -65,7 +66,8 @@ class Warehouse:
 
     ``extract`` holds the landed frames of this run: cases, customers and agents. ``policy`` replaces
     the built-in SLA targets: priority and target_resolution_hrs, one row per priority. ``rules`` are flags
-    beyond the built-in ones; they reach staging, the fact and the monitor.
+    beyond the built-in ones; they reach staging, the fact and the monitor. ``formats`` are those of the cases'
+    timestamps beside ISO, for example ``dd/MM/yyyy HH:mm``: the one that reads most values of an extract goes first.
     """
 
     spark: SparkSession
@@ -77,6 +79,7 @@ class Warehouse:
     run_id: int = 0
     policy: DataFrame | None = None
     rules: tuple[staging.Rule, ...] = ()
+    formats: tuple[str, ...] = ()
     _tables: dict[str, DataFrame] = field(default_factory=dict)
     _locks: dict[str, threading.Lock] = field(default_factory=dict)
 
@@ -237,7 +240,9 @@ class Warehouse:
             orphans = _side_by_side(
                 self.spark, *[lambda k=k, p=p: self._orphans(k, p()) for k, p in zip(keys, parents, strict=True)]
             )
-            staged = staging.stage_cases(self.landed("cases"), *orphans, self.run_ts, self.rules)
+            cases = self.landed("cases")
+            formats = vote_formats(cases, ("created_at", "closed_at"), self.formats)
+            staged = staging.stage_cases(cases, *orphans, self.run_ts, self.rules, formats)
             staged = staged.withColumn(MONTH, month_of(F.col("created_at")))
             if previous is None:
                 self._unique("cases")
@@ -319,6 +324,23 @@ class Warehouse:
 
         return self._by_month("fact_cases", build)
 
+    @property
+    def sketches(self) -> DataFrame:
+        """Sketches by month, region and team. A run writes the months that the fact has replaced since they were last written."""
+
+        def build(previous: DataFrame | None) -> tuple[DataFrame, set[int | None] | None]:
+            rows, touched = self.fact, None
+            if previous is not None:
+                months = MonthTable(self.spark, f"{self.root}/fact_cases")
+                last = max(r for r in MonthTable(self.spark, f"{self.root}/fact_sketches").runs() if r < self.run_id)
+                since = [months.touched(r) for r in months.runs() if last < r <= self.run_id]
+                touched = None if None in since else set().union(*since)
+            if touched is not None:
+                rows = rows.filter(in_months(touched))
+            return sketches.month_sketches(rows, ("region", "team")), touched
+
+        return self._by_month("fact_sketches", build)
+
     # RPT
     @property
     def enriched(self) -> DataFrame:

@@ -387,6 +387,21 @@ UNION ALL SELECT 'agents', 'agents.csv', count(*) FROM supplier""",
             STG,
             "SELECT case_id, CAST(opened AS VARCHAR) AS created_at, CAST(shut AS VARCHAR) AS closed_at, created_text FROM stg_cases",
         ),
+        "parse_timestamp_formats": _q(
+            STG,
+            "SELECT case_id, CAST(opened AS VARCHAR) AS created_at, CAST(shut AS VARCHAR) AS closed_at,"
+            " cents / 100.0 AS resolution_hours FROM stg_cases",
+        ),
+        "agents_by_range_sketch": _q(
+            FACT,
+            f"SELECT region, {TOTAL}, TRUE AS agents_within_error FROM fact"
+            " WHERE created_date_key BETWEEN 19970101 AND 19991231 GROUP BY region",
+        ),
+        "median_by_range_sketch": _q(
+            FACT,
+            "SELECT team, count(*) AS timed_cases, TRUE AS median_within_error FROM fact"
+            " WHERE created_date_key BETWEEN 19970101 AND 19991231 AND status = 'Closed' AND cents IS NOT NULL GROUP BY team",
+        ),
         "resolution_hours": _q(STG, "SELECT case_id, cents / 100.0 AS resolution_hours FROM stg_cases"),
         "resolution_bucket": _q(
             STG,

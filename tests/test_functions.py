@@ -123,3 +123,43 @@ def test_rates_round_half_away_from_zero(spark):
 def test_mean_is_exact_at_ties(spark):
     df = spark.createDataFrame([(Decimal("0.20"),), (Decimal("0.50"),), (None,)], "v decimal(10,2)")
     assert df.agg(mean_of(F.col("v"))).first()[0] == 0.4  # 0.35
+
+
+def test_declared_formats(spark):
+    from caseflow.functions.time import parse_timestamp, vote_formats
+
+    texts = ["2024-01-02T03:04:05", "31/12/2023 23:59:58", "01/02/2024 03:04:05", "1/2/2024 3:04:05", "31/02/2024 00:00:00", "5-mar-2024", "5-xyz-2024", "10/03/2024 02:30:00", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    declared = ("MM/dd/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "dd-MMM-yyyy")
+    order = vote_formats(df, ["t"], declared)
+    assert order == ["dd/MM/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "dd-MMM-yyyy"]
+    got = [r[0] for r in df.select(parse_timestamp(F.col("t"), order).cast("string")).collect()]
+    assert got == [
+        "2024-01-02 03:04:05", "2023-12-31 23:59:58", "2024-02-01 03:04:05", "2024-02-01 03:04:05", None,
+        "2024-03-05 00:00:00", None, "2024-03-10 02:30:00", None, None,
+    ]
+    assert vote_formats(df.limit(0), ["t"], declared) == list(declared) and vote_formats(df, ["t"], ()) == []
+    for wrong in ("yyyy", "dd/dd/yyyy", "MM/MMM/dd/yyyy"):
+        with pytest.raises(ValueError):
+            parse_timestamp(F.col("t"), [wrong])
+
+
+def test_sketches_merge(spark):
+    from caseflow.operators import sketches
+
+    rows = spark.range(60_000).selectExpr(
+        "cast(if(id % 11 = 0, null, 202401 + id % 6) as int) as created_month", "concat('r', id % 2) as region",
+        "if(id % 7 = 0, null, concat('a', id % 1500)) as agent_name", "'Closed' as status", "id % 5 < 4 as is_resolved",
+        "false as has_any_dq_flag", "cast(id % 997 as decimal(10,2)) as resolution_hours",
+    )
+    kept = sketches.month_sketches(rows, ["region"])
+    got = {r["region"]: r for r in sketches.range_estimates(kept, 202402, 202404, ["region"]).collect()}
+    exact = rows.filter("created_month between 202402 and 202404").toPandas()
+    for region, part in exact.groupby("region"):
+        hours = part[part.is_resolved].resolution_hours.astype(float)
+        assert got[region]["total_cases"] == len(part) and got[region]["timed_cases"] == len(hours)
+        assert abs(got[region]["agent_count"] - part.agent_name.nunique()) <= sketches.AGENT_ERROR * part.agent_name.nunique()
+        assert abs((hours <= got[region]["median_hours"]).mean() - 0.5) <= sketches.RANK_ERROR
+    untimed = sketches.month_sketches(rows.withColumn("resolution_hours", F.lit(None).cast("decimal(10,2)")), ["region"])
+    assert {r["median_hours"] for r in sketches.range_estimates(untimed, 202401, 202406, ["region"]).collect()} == {None}
+    assert sketches.range_estimates(kept.limit(0), 202401, 202406, ["region"]).count() == 0

@@ -173,3 +173,24 @@ def test_the_ledger_lists_a_replaced_file_again(spark, tmp_path):
     (folder / "b.csv").write_text("x\n2\n")
     (folder / "a.csv").write_text("x\n1\n3\n")
     assert sorted(r["path"][-5:] for r in ledger.new_files(spark, str(folder), first, 1).collect()) == ["a.csv", "b.csv"]
+
+
+def test_sketches_follow_the_months_of_all_runs_since(spark, tmp_path):
+    """Run 1 does not ask for the sketches; run 2 renews its months as well, and no others."""
+    feeds = {"customers": spark.createDataFrame([("u", "n", "r", None)], strings("customer_id", "customer_name", "region", "signup_date")),
+             "agents": spark.createDataFrame([("a", "n", "t")], strings("agent_id", "agent_name", "team"))}
+    schema = strings("case_id", "created_at", "closed_at", "customer_id", "agent_id", "category", "priority", "status")
+
+    def run(number, data):
+        ts = TS + timedelta(days=number)
+        cases = spark.createDataFrame([(i, at, None, "u", "a", "c", "p", "Open") for i, at in data], schema)
+        extract = {name: landing.land(df, ts, F.lit("f")) for name, df in (feeds | {"cases": cases}).items()}
+        return Warehouse(spark, extract, str(tmp_path), ts, ts.date(), run_id=number)
+
+    def counts(w):
+        return rows(w.sketches.select("created_month", "total_cases"))
+
+    assert counts(run(0, [("1", "2024-01-05"), ("2", "2024-02-06"), ("3", "bad")])) == [(202401, 1), (202402, 1), (None, 1)]
+    run(1, [("4", "2024-01-07"), ("3", "2024-03-01")]).fact  # noqa: B018
+    assert counts(run(2, [("5", "2024-04-01")])) == [(202401, 2), (202402, 1), (202403, 1), (202404, 1)]
+    assert MonthTable(spark, f"{tmp_path}/fact_sketches").touched(2) == {202401, 202403, 202404, None}
