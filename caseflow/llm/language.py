@@ -34,7 +34,7 @@ CACHED_WORDS = 200_000
 WORDS_AT_ONCE = 1 << 13
 # Bytes of text whose words a worker holds at once; a longer text is held alone.
 CHUNK_BYTES = 1 << 20
-_LETTERS = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -185,8 +185,17 @@ class Model:
     path: str
 
 
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters (Unicode category L). A word may hold numerals other than decimal digits, such as a half
+    or a Roman eight; these are no letters and part it."""
+    found = _WORD.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [run for word in found for run in "".join(c if c.isalpha() else " " for c in word).split()]
+
+
 def _words(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    return letter_runs(text.lower())
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -265,7 +274,7 @@ class Scorer:
         if len(self.row) > CACHED_WORDS:
             self.row, self.values = {}, self.values[:0]
         new = list({w for w in words if w not in self.row})
-        runs = [_LETTERS.findall(w) for w in new]
+        runs = [letter_runs(w) for w in new]
         parts = list({r for rs in runs for r in rs})
         scores = log_likelihoods(self.vocabulary, self.model.probability, [MARK + p for p in parts])
         at = {p: i for i, p in enumerate(parts)}

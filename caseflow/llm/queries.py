@@ -91,8 +91,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def held_out(doc_id: Column) -> Column:
-    """Rows that no language model may learn from."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    """Rows that no language model may learn from; a row without an id is none of them."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
