@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
@@ -25,7 +26,7 @@ from pyspark.sql.datasource import (
     StringStartsWith,
 )
 
-from caseflow.llm.common import materialise, ship
+from caseflow.llm.common import materialise, qualified, ship, store
 
 # Payloads from this size on are stored once; the others are all responses.
 REVISIT_BYTES = 1000
@@ -57,14 +58,16 @@ def _record_id(page_id: Column) -> Column:
     return F.concat(F.lit(_PAGE), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(">"))
 
 
-def write_warc(pages: DataFrame, folder: str) -> None:
-    """One record for each row of ``pages`` (page_id, url, html), the html as UTF-8 payload.
+def write_warc(pages: DataFrame, folder: str, written: datetime | None = None) -> None:
+    """One record for each row of ``pages`` (page_id, url, html), the html as UTF-8 payload. All records bear
+    the time ``written``, else that of the call, so a repeated task writes the same bytes.
 
     Of rows with equal payloads of REVISIT_BYTES or more, those with the largest page_id are
     responses and the others revisits that refer to it; all else are responses. A null html is an empty
     payload; line breaks in a url are escaped; a null url is left out. Spark commits the files, so
     a lost executor leaves no half-written archive. An empty table gives no record.
     """
+    moment = (written or datetime.now(UTC)).astimezone(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -96,6 +99,7 @@ def write_warc(pages: DataFrame, folder: str) -> None:
         F.lit("WARC/1.1" + CRLF),
         field("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         field("WARC-Record-ID", _record_id(F.col("page_id"))),
+        field("WARC-Date", F.lit(moment)),
         F.when(F.col("url").isNull(), nothing).otherwise(field("WARC-Target-URI", F.col("url"))),
         field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         field("X-Payload-Length", F.col("size").cast("string")),
@@ -189,6 +193,8 @@ def records(file, tests: Iterable[HeaderTest], payload: bool) -> Iterator[tuple]
         if not header.startswith(b"WARC/"):
             raise ValueError(f"no record at byte {at}")
         fields = parse_header(header)
+        if not fields.get("content-length", "").isdecimal():
+            raise ValueError(f"record without length at byte {at}")
         length = int(fields["content-length"])
         begin, at = end + 4, end + 4 + length
         row = {column: fields.get(name) for column, name in _FIELDS.items()}
@@ -228,8 +234,8 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[Files]:
         """Whole files, packed in order of name up to the partition size."""
-        store, path = _store(self.folder)
-        found = store.get_file_info(arrow_fs.FileSelector(path, recursive=False))
+        files_at, path = store(self.folder)
+        found = files_at.get_file_info(arrow_fs.FileSelector(path, recursive=False))
         files = [
             f for f in found
             if f.type == arrow_fs.FileType.File and f.size and not f.base_name.startswith(("_", "."))
@@ -245,11 +251,11 @@ class WarcReader(DataSourceReader):
         return packed or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
-        store, _ = _store(self.folder)
+        files_at, _ = store(self.folder)
         rows: list[tuple] = []
         size = 0
         for path in partition.paths:
-            with store.open_input_file(path) as file:
+            with files_at.open_input_file(path) as file:
                 for row in records(file, self.tests, self.payload):
                     rows.append(row)
                     size += 200 + len(row[-1] or b"")
@@ -270,12 +276,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
 
-def _store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
-    return arrow_fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 class WarcSource(DataSource):
-    """``spark.read.format("warc").load(folder)``; option ``payload`` false reads headers only, option
+    """``spark.read.format("warc").load(folder)`` of a folder with its scheme; option ``payload`` false reads headers only, option
     ``partitionBytes`` bounds the files of a partition."""
 
     @classmethod
@@ -296,7 +298,7 @@ def read_warc(spark: SparkSession, folder: str, payload: bool = True) -> DataFra
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(qualified(spark, folder))
 
 
 def page_of(record_id: Column) -> Column:

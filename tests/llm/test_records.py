@@ -5,6 +5,7 @@ import io
 import os
 import re
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -70,6 +71,8 @@ def test_warc_edges_and_pushdown(spark):
     }
     assert rows[1]["refers_to"] == "<urn:page:9>" and bytes(rows[9]["payload"]) == big.encode()
     assert bytes(rows[7]["payload"]) == b"WARC/1.1\r\n\r\n" and bytes(rows[5]["payload"]) == b""
+    text = "\n".join(r["value"] for r in spark.read.text(folder).collect())
+    assert len(re.findall(r"WARC-Date: \d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\r?$", text, re.M)) == 6
     chosen = warc.read_warc(spark, folder).filter("record_type = 'revisit' and target_uri like 'http://a/%'")
     assert [r["record_id"] for r in chosen.collect()] == ["<urn:page:1>"]
     empty = scratch(spark, "warc")
@@ -103,12 +106,21 @@ def test_language_held_out_accuracy_and_edges(spark, small, docs):
     rows = found.collect()
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.95 * len(rows) and rows
     model = language.train(given, queries.PIECES, train_rows=40, rounds=1)
-    odd = language.identify(docs([(1, None), (2, ""), (3, "123 !?"), (4, "das ist " * 30000), (5, "漢字")]), model).collect()
-    assert [r["lang_pred"] for r in odd[:3]] == ["und"] * 3 and all(0 <= r["score"] <= 1 for r in odd)
+    odd = language.identify(docs([(1, None), (2, ""), (3, "123 !?"), (4, "das ist " * 30000), (5, "漢字"), (6, "½ ²"), (7, "Ⅷ ①")]), model).collect()
+    assert [r["lang_pred"] for r in [*odd[:3], *odd[5:]]] == ["und"] * 5 and odd[3]["lang_pred"] != "und" and all(0 <= r["score"] <= 1 for r in odd)
     nothing = language.train(given.limit(0), queries.PIECES)
     assert language.identify(docs([(1, "a")]), nothing).first()["lang_pred"] == "und"
 
 
+def test_numerals_are_no_letters():
+    assert language.letter_runs("x²y ½ Ⅷa 12b_c é") == ["x", "y", "a", "b", "c", "é"]
+
+
+def test_record_without_length_is_an_error():
+    with pytest.raises(ValueError, match="byte 0"):
+        list(warc.records(pa.BufferReader(b"WARC/1.1\r\nWARC-Type: response\r\n\r\n"), [], True))
+
+
 def test_forward_sums_all_segmentations():
     import numpy as np
 
