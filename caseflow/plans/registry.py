@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -298,7 +299,7 @@ def date_keys(w: Warehouse) -> DataFrame:
 def first_extract(w: Warehouse) -> DataFrame:
     """Customers as first delivered: those of Asia come later."""
     known = w.stg_customers.select("customer_id", *CUSTOMER_ATTRIBUTES)
-    return known.filter(F.col("region") != "ASIA")
+    return known.filter(~F.col("region").eqNullSafe("ASIA"))
 
 
 def second_extract(w: Warehouse) -> DataFrame:
@@ -306,10 +307,10 @@ def second_extract(w: Warehouse) -> DataFrame:
     has lost its sign-up dates."""
     return (
         w.stg_customers.select("customer_id", *CUSTOMER_ATTRIBUTES)
-        .filter(F.col("region") != "AFRICA")
+        .filter(~F.col("region").eqNullSafe("AFRICA"))
         .withColumns(
             {
-                "signup_date": F.when(F.col("region") != "MIDDLE EAST", F.col("signup_date")),
+                "signup_date": F.when(~F.col("region").eqNullSafe("MIDDLE EAST"), F.col("signup_date")),
                 "region": F.when(F.col("region") == "EUROPE", "EMEA").otherwise(F.col("region")),
             }
         )
@@ -577,6 +578,29 @@ def dq_rules_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(monitored, F.lit(True))
 
 
+def sla_custom_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attainment under targets of the user's own: two priorities differ, one has no target, one is not in use."""
+    targets = [("Urgent", 400.0), ("High", 900.5), ("Low", 120.0), ("Planned", 2000.0)]
+    policy = spark.createDataFrame(targets, "priority string, target_resolution_hrs double")
+    extract = landed(source_feeds(spark, sf_dir), RUN_TS)
+    w = Warehouse(spark, extract, scratch(spark, "policy"), RUN_TS, RUN_TS.date(), SPAN, policy=policy)
+    used = reporting.policy_coverage(w.fact, w.sla).select("priority", "total_cases")
+    return used.join(priority_sla(w), "priority", "left")
+
+
+def pipeline_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries that hold a key twice: the latest row by an order column is merged, whatever the order they came in."""
+    w = warehouse(spark, sf_dir)
+    stored = w.stg_cases.select("case_id", "category", "status", F.col("created_at").alias("changed_at"))
+    later = stored.filter(F.col("category").isin("Billing", "Other") & F.col("changed_at").isNotNull())
+    again = [
+        later.withColumns({"status": F.lit(f"Delivery {n}"), "changed_at": F.col("changed_at") + F.expr(f"interval {n} day")})
+        for n in (2, 3, 1)
+    ]
+    merged = upsert_latest(stored, reduce(DataFrame.unionByName, again), ["case_id"], "changed_at")
+    return merged.groupBy("category", "status").agg(F.count("*").alias("cases"), F.countDistinct("case_id").alias("keys"))
+
+
 def dq_drift_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads by category; all customers of the last one are unknown."""
     feeds, root = source_feeds(spark, sf_dir), scratch(spark, "loads")
@@ -942,6 +966,8 @@ def all_queries() -> dict[str, Query]:
         "incremental_file_load": incremental_file_load,
         "incremental_upsert": incremental_upsert,
         "pipeline_from_csv": pipeline_from_csv,
+        "pipeline_repeated_keys": pipeline_repeated_keys,
+        "sla_custom_policy": sla_custom_policy,
         "pipeline_second_run": pipeline_second_run,
         "pipeline_late_parent": pipeline_late_parent,
         "pipeline_delta_checks": pipeline_delta_checks,

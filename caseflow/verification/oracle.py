@@ -104,6 +104,8 @@ fact AS (
 clean AS (SELECT * FROM fact WHERE NOT has_any_dq_flag AND is_resolved AND cents IS NOT NULL)"""
 )
 
+POLICY = "('Urgent', 8.0), ('High', 24.0), ('Medium', 72.0), ('Low', 120.0)"
+
 ENRICHED = (
     FACT
     + """,
@@ -111,7 +113,9 @@ calendar AS (
   SELECT CAST(d AS DATE) AS d FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2002-12-31', INTERVAL 1 DAY) t(d)
 ),
 policy AS (
-  SELECT * FROM (VALUES ('Urgent', 8.0), ('High', 24.0), ('Medium', 72.0), ('Low', 120.0)) p(priority, target)
+  SELECT * FROM (VALUES """
+    + POLICY
+    + """) p(priority, target)
 ),
 enriched AS (
   SELECT f.*, o.d AS created_date, year(o.d) AS created_year,
@@ -130,11 +134,11 @@ enriched AS (
 HISTORY = (
     FACT
     + """,
-extract_1 AS (SELECT * FROM stg_customers WHERE region <> 'ASIA'),
+extract_1 AS (SELECT * FROM stg_customers WHERE region IS DISTINCT FROM 'ASIA'),
 extract_2 AS (
   SELECT customer_id, customer_name, CASE WHEN region = 'EUROPE' THEN 'EMEA' ELSE region END AS region,
-    CASE WHEN region <> 'MIDDLE EAST' THEN signup_date END AS signup_date
-  FROM stg_customers WHERE region <> 'AFRICA'
+    CASE WHEN region IS DISTINCT FROM 'MIDDLE EAST' THEN signup_date END AS signup_date
+  FROM stg_customers WHERE region IS DISTINCT FROM 'AFRICA'
 ),
 moved AS (
   SELECT a.customer_id FROM extract_1 a JOIN extract_2 b USING (customer_id)
@@ -480,6 +484,23 @@ FROM first_cases WHERE case_id NOT IN (SELECT case_id FROM second_cases)""",
         "fact_reload_idempotent": "SELECT count(*) AS rows_before, count(*) AS rows_after,"
         " CAST(0 AS BIGINT) AS changed_rows FROM orders",
         "pipeline_from_csv": _q(FACT, REGION),
+        "pipeline_repeated_keys": _q(
+            STG,
+            """SELECT category, CASE WHEN category IN ('Billing', 'Other') AND opened IS NOT NULL THEN 'Delivery 3' ELSE status END
+  AS status, count(*) AS cases, count(DISTINCT case_id) AS keys FROM stg_cases GROUP BY 1, 2""",
+        ),
+        "sla_custom_policy": _q(
+            ENRICHED.replace(POLICY, "('Urgent', 400.0), ('High', 900.5), ('Low', 120.0), ('Planned', 2000.0)"),
+            f"""SELECT u.priority, u.n AS total_cases, s.* EXCLUDE (priority) FROM (
+  SELECT coalesce(f.priority, p.priority) AS priority, count(f.case_id) AS n
+  FROM fact f FULL JOIN policy p ON p.priority = f.priority GROUP BY 1
+) u LEFT JOIN (
+  SELECT priority, target_resolution_hrs, count(*) AS resolved_clean_cases, {AVG_CLEAN},
+    count(*) FILTER (sla_met) AS met_sla, count(*) FILTER (sla_met = FALSE) AS breached_sla,
+    {pct("count(*) FILTER (sla_met)", "count(*)")} AS sla_attainment_pct
+  FROM enriched WHERE NOT has_any_dq_flag AND is_resolved AND cents IS NOT NULL GROUP BY 1, 2
+) s ON s.priority = u.priority""",
+        ),
         "pipeline_second_run": _q(
             FACT,
             """SELECT region, status, CASE WHEN created_text < '1998' THEN '2001-09-01 00:00:00' ELSE '2001-09-02 00:00:00' END
