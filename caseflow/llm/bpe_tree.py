@@ -1,6 +1,6 @@
 """BPE encoding by tree concatenation, and decoding.
 
-Text that the pre-tokeniser does not split can be very long. Such a piece is cut into leaves, all
+Text that the pre-tokeniser does not split can be very long. A piece of it is cut into leaves, all
 leaves are encoded side by side, and neighbours are joined pairwise up a tree. Around each join a
 window of tokens of both sides is encoded again; while its first token differs from the left side's
 token there, or its last from the right side's, the window doubles. Two tokens may stand side by side
@@ -8,13 +8,16 @@ in an encoding exactly if encoding their joint text gives them back, and every p
 sequence lies in the left side, the window or the right side. So where both ends agree, the joined
 sequence is the encoding of the whole, and it is exact.
 
-Everything else goes word by word to the library (``wordbpe``).
+A piece is what the pre-tokeniser leaves unsplit, whatever its length. Leaves are as short
+as words, so longer words are joined from leaves too; words and pieces that come again are kept (``TreeWords``).
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,73 +27,85 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow.llm.common import chunks, map_arrow, text_bytes, worker_cache
-from caseflow.llm.wordbpe import WordBpe, WordCache, as_bytes, word_bpe
+from caseflow.llm.wordbpe import CACHED_WORD_BYTES, CACHED_WORDS, WordBpe, as_bytes, to_symbols, word_bpe
 
-# Bytes of a word from which it is looked at as possibly unsplit; symbols of a leaf; tokens of each
-# side in the first window.
-LONG_WORD = 2048
-LEAF = 512
-WINDOW = 8
+# Symbols of a leaf; tokens of each side in the first window. A piece has
+# at most MAX_LEAVES leaves, which grow with it. Bytes of words whose trees are built together.
+LEAF = 10
+WINDOW = 2
+MAX_LEAVES = 1 << 15
+GROUP_BYTES = 1 << 18
+# Symbols of a run whose ids are kept, and how many of these.
+KEPT_RUN = 12
+KEPT_RUNS = 100_000
 
 
-class Piece:
-    """Tokens of a run of symbols; ``at_end`` if it ends its word."""
+class Piece(NamedTuple):
+    """Tokens of a run of symbols; ``at_end`` if it ends its piece."""
 
-    def __init__(self, symbols: str, at_end: bool, ids: list[int]) -> None:
-        self.symbols, self.at_end, self.ids = symbols, at_end, ids
+    symbols: str
+    at_end: bool
+    ids: tuple[int, ...]
 
 
 class TreeEncoder:
     def __init__(self, bpe: WordBpe, leaf: int = LEAF, window: int = WINDOW) -> None:
         self.bpe, self.leaf, self.window = bpe, leaf, window
+        self.known: dict[str, bytes] = {}  # ids of pieces longer than a leaf
+        self.joins = 0
         suffix = bpe.end_of_word or ""
-        self.widths = np.array(
-            [len(t.removesuffix(suffix)) if suffix else len(t) for t in bpe.tokens], np.int64
-        )
+        self.widths = [len(t.removesuffix(suffix)) if suffix else len(t) for t in bpe.tokens]
+        self.runs: tuple[dict[str, tuple[int, ...]], ...] = ({}, {})  # short runs inside and at the end of a piece
 
-    def _encode(self, runs: list[tuple[str, bool]]) -> list[list[int]]:
-        """Every run as one unsplit piece; the library encodes the runs of a call in parallel."""
-        out: list[list[int]] = [[]] * len(runs)
+    def _encode(self, runs: list[tuple[str, bool]]) -> list[tuple[int, ...]]:
+        """Every run as one unsplit piece; short runs recur in many pieces and are kept."""
+        long: dict[tuple[str, bool], tuple[int, ...]] = {}
         for at_end in (False, True):
-            at = [i for i, run in enumerate(runs) if run[1] == at_end]
-            got = self.bpe.part(at_end).encode_batch_fast([runs[i][0] for i in at])
-            for i, encoding in zip(at, got, strict=True):
-                out[i] = encoding.ids
-        return out
+            kept = self.runs[at_end]
+            if len(kept) > KEPT_RUNS:
+                kept.clear()
+            new = list({symbols for symbols, end in runs if end == at_end and symbols not in kept})
+            coded = self.bpe.part(at_end).encode_batch_fast(new) if new else []
+            for symbols, encoding in zip(new, coded, strict=True):
+                if len(symbols) <= KEPT_RUN:
+                    kept[symbols] = tuple(encoding.ids)
+                else:
+                    long[symbols, at_end] = tuple(encoding.ids)
+        return [long[run] if len(run[0]) > KEPT_RUN else self.runs[run[1]][run[0]] for run in runs]
 
-    def encode(self, pieces: list[str]) -> list[list[int]]:
+    def encode(self, pieces: list[str]) -> list[tuple[int, ...]]:
         """Token ids of unsplit pieces of symbols; the joins of one level of all trees go together."""
-        level: list[list[Piece]] = []
+        runs, sizes = [], []
         for symbols in pieces:
-            cuts = list(range(0, len(symbols), self.leaf))
-            level.append(
-                [Piece(symbols[c : c + self.leaf], c == cuts[-1], []) for c in cuts]
-            )
-        leaves = [leaf for tree in level for leaf in tree]
-        for leaf, ids in zip(leaves, self._encode([(p.symbols, p.at_end) for p in leaves]), strict=True):
-            leaf.ids = ids
-        while any(len(tree) > 1 for tree in level):
-            pairs = [(t[i], t[i + 1]) for t in level for i in range(0, len(t) - 1, 2)]
-            joined = iter(self._join(pairs))
-            level = [
-                [next(joined) if i + 1 < len(t) else t[i] for i in range(0, len(t), 2)] for t in level
-            ]
-        return [tree[0].ids if tree else [] for tree in level]
+            leaf = max(self.leaf, -(-len(symbols) // MAX_LEAVES))
+            ends = range(leaf, len(symbols), leaf)
+            runs += [(symbols[end - leaf : end], False) for end in ends]
+            runs.append((symbols[len(ends) * leaf :], True))
+            sizes.append(len(ends) + 1)
+        leaves = iter([Piece(*run, ids) for run, ids in zip(runs, self._encode(runs), strict=True)])
+        trees = [list(islice(leaves, n)) for n in sizes]
+        growing = [tree for tree in trees if len(tree) > 1]
+        while growing:
+            joined = iter(self._join([(t[i], t[i + 1]) for t in growing for i in range(0, len(t) - 1, 2)]))
+            for tree in growing:
+                odd = tree[-1:] if len(tree) % 2 else []
+                tree[:] = [*islice(joined, len(tree) // 2), *odd]
+            growing = [tree for tree in growing if len(tree) > 1]
+        return [tree[0].ids for tree in trees]
 
     def _join(self, pairs: list[tuple[Piece, Piece]]) -> list[Piece]:
         out: list[Piece | None] = [None] * len(pairs)
         open_joins = list(range(len(pairs)))
-        width = self.window
+        self.joins += len(pairs)
+        width, widths = self.window, self.widths.__getitem__
         while open_joins:
             runs = []
             for i in open_joins:
                 left, right = pairs[i]
-                a = int(self.widths[left.ids[-width:]].sum())
-                b = int(self.widths[right.ids[:width]].sum())
+                a = sum(map(widths, left.ids[-width:]))
+                b = sum(map(widths, right.ids[:width]))
                 whole = width >= len(right.ids)
-                runs.append(
-                    (left.symbols[len(left.symbols) - a :] + right.symbols[:b], whole and right.at_end)
-                )
+                runs.append((left.symbols[len(left.symbols) - a :] + right.symbols[:b], whole and right.at_end))
             still = []
             for i, ids in zip(open_joins, self._encode(runs), strict=True):
                 left, right = pairs[i]
@@ -105,39 +120,87 @@ class TreeEncoder:
             width *= 2
         return out
 
-    def words(self, words: list[str]) -> list[list[int]]:
-        """Token ids of long words: special strings apart, then the library's own normaliser and
-        pre-tokeniser, then the tree for pieces beyond a leaf and the model for the rest."""
-        plan: list[list[tuple[str, object]]] = []
-        long: list[str] = []
-        specials = "|".join(re.escape(s) for s in sorted(self.bpe.specials, key=len, reverse=True))
-        tokenizer = self.bpe.tokenizer
+    def words(self, words: list[str]) -> list[bytes]:
+        """Token ids of words, little-endian bytes: special strings apart, then the library's own normaliser and
+        pre-tokeniser, then the tree for every piece longer than a leaf; a shorter one is a leaf by itself."""
+        plan: list[list[str]] = []
+        known, leaf, single = self.known, self.leaf, self.bpe.symbols
+        wanted: dict[str, None] = {}
         for word in words:
-            steps: list[tuple[str, object]] = []
-            for part in re.split(f"({specials})", word) if specials else [word]:
-                if part in self.bpe.specials:
-                    steps.append(("ids", [tokenizer.token_to_id(part)]))
-                    continue
-                normal = tokenizer.normalizer.normalize_str(part)
-                for symbols, _ in tokenizer.pre_tokenizer.pre_tokenize_str(normal):
-                    if len(symbols) > self.leaf:
-                        steps.append(("tree", len(long)))
-                        long.append(symbols)
-                    else:
-                        steps.append(("ids", [t.id for t in self.bpe.model.tokenize(symbols)]))
+            steps = self._pieces(word)
+            for symbols in steps:
+                if len(symbols) > leaf and symbols not in known:
+                    wanted[symbols] = None
             plan.append(steps)
-        trees = self.encode(long)
-        return [[i for kind, x in steps for i in (x if kind == "ids" else trees[x])] for steps in plan]
+        found = dict(zip(wanted, map(as_bytes, self.encode(list(wanted))), strict=True))
+
+        def ids(symbols: str) -> bytes:
+            if symbols in self.bpe.specials:
+                return as_bytes([self.bpe.tokenizer.token_to_id(symbols)])
+            if len(symbols) <= leaf:
+                return single(symbols)
+            return found.get(symbols) or known[symbols]
+
+        out = [b"".join(map(ids, steps)) for steps in plan]
+        if len(known) + len(found) > CACHED_WORDS:
+            known.clear()
+        known.update((k, v) for k, v in found.items() if len(k) <= CACHED_WORD_BYTES)
+        return out
+
+    def _pieces(self, word: str) -> list[str]:
+        """What the library leaves unsplit of a word, as symbols, and its special strings as they are."""
+        if plain := self.bpe.plain(word):
+            return [to_symbols(plain[0]), plain[1]] if plain[1] else [to_symbols(plain[0])]
+        specials, tokenizer, out = self.bpe.specials, self.bpe.tokenizer, []
+        pattern = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
+        for part in re.split(f"({pattern})", word) if specials else [word]:
+            if part in specials:
+                out.append(part)
+                continue
+            normal = tokenizer.normalizer.normalize_str(part)
+            out += [symbols for symbols, _ in tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+        return out
 
 
-def _cache(path: str, long_word: int, leaf: int) -> WordCache:
-    bpe = word_bpe(path)
-    tree = TreeEncoder(bpe, leaf)
+class TreeWords(dict):
+    """Token ids, as little-endian bytes, of the words of the texts at hand. Words that are new go through the
+    tree together, some at a time. When there are too many they become the older generation, from which words
+    that come again are taken over; long words are not kept."""
+
+    def __init__(self, tree: TreeEncoder) -> None:
+        super().__init__()
+        self.tree = tree
+        self.older: dict[bytes, bytes] = {}
+
+    def of(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The ids of every text, a list of its words."""
+        if len(self) > CACHED_WORDS:
+            self.older = dict(self)
+            self.clear()
+        wanted = set().union(*texts).difference(self)
+        again = wanted.intersection(self.older)
+        self.update((word, self.older[word]) for word in again)
+        new = list(wanted.difference(again))
+        for group in _groups(new):
+            self.update(zip(group, self.tree.words([word.decode("utf-8", "replace") for word in group]), strict=True))
+        out = [b"".join(map(self.__getitem__, words)) for words in texts]
+        for word in new:
+            if len(word) > CACHED_WORD_BYTES:
+                del self[word]
+        return out
 
-    def compute(word: str) -> bytes:
-        return as_bytes(tree.words([word])[0]) if len(word) > long_word else bpe.word(word)
 
-    return WordCache(compute)
+def _groups(words: list[bytes]) -> Iterator[list[bytes]]:
+    """``words`` in groups of about GROUP_BYTES, so that few leaves stand side by side in memory."""
+    group, size = [], 0
+    for word in words:
+        if group and size + len(word) > GROUP_BYTES:
+            yield group
+            group, size = [], 0
+        group.append(word)
+        size += len(word)
+    if group:
+        yield group
 
 
 def _joined(token: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
@@ -157,7 +220,6 @@ def encode(
     docs: DataFrame,
     path: str,
     text: str = "text",
-    long_word: int = LONG_WORD,
     leaf: int = LEAF,
     decoded: bool = False,
 ) -> DataFrame:
@@ -177,14 +239,12 @@ def encode(
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = worker_cache(
-            "bpe", ("tree", path, long_word, leaf), lambda: _cache(path, long_word, leaf)
-        ).__getitem__
+        words = worker_cache("bpe", ("tree", path, leaf), lambda: TreeWords(TreeEncoder(word_bpe(path), leaf)))
         strings = _strings(path) if decoded else None
         for batch in batches:
             texts = text_bytes(batch.column(len(names)))
             for a, b in chunks(texts):
-                coded = [b"".join(map(known, t.split())) for t in texts[a:b]]
+                coded = words.of([t.split() for t in texts[a:b]])
                 sizes = np.array([len(c) // 4 for c in coded], np.int32)
                 values = np.frombuffer(b"".join(coded), "<i4")
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)

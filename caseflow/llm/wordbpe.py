@@ -88,7 +88,7 @@ class WordBpe:
             return core.lower(), word[len(core) :]
         return None
 
-    def _symbols(self, symbols: str) -> bytes:
+    def symbols(self, symbols: str) -> bytes:
         """Token ids of one pre-token."""
         if (ids := self._pre_tokens.get(symbols)) is None:
             if len(self._pre_tokens) >= CACHED_WORDS:
@@ -101,8 +101,8 @@ class WordBpe:
     def word(self, word: str) -> bytes:
         """Token ids of a word without white space, as the library gives them: little-endian, four bytes each."""
         if plain := self.plain(word):
-            ids = self._symbols(to_symbols(plain[0]))
-            return ids + self._symbols(plain[1]) if plain[1] else ids
+            ids = self.symbols(to_symbols(plain[0]))
+            return ids + self.symbols(plain[1]) if plain[1] else ids
         return as_bytes(self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids)
 
 

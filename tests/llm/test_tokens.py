@@ -13,6 +13,7 @@ from caseflow.llm.common import arrow_uri, qualified
 from caseflow.llm.queries import END_ID, TOKENIZER
 from caseflow.llm.wordbpe import encode_texts, word_bpe
 from caseflow.workspace import scratch
+from tests.conftest import SMALL
 
 ODD = [
     None, "", " ", "\x0b\x0c\x1c\x85 ", "it's ''s don'T I'LL", "x<|endoftext|>y <|startoftext|>", "a., b!! c...",
@@ -43,13 +44,31 @@ def test_tree_joins_exactly(leaf):
     tree = bpe_tree.TreeEncoder(word_bpe(TOKENIZER), leaf, window=1)
     letters = ["ab", "aeiouthnsr", "!?.-=", "éàüß", "漢字", "x1"]
     words = ["".join(random.choices(random.choice(letters), k=random.randint(1, 300))) for _ in range(80)]
-    assert tree.words(words) == [library(w) for w in words]
+    assert [list(np.frombuffer(i, "<u4")) for i in tree.words(words)] == [library(w) for w in words]
+
+
+def test_documents_come_through_the_tree(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()
+    words = bpe_tree.TreeWords(bpe_tree.TreeEncoder(word_bpe(TOKENIZER)))
+    texts = [(r["text"] or "").encode() for r in rows]
+    got = words.of([t.split() for t in texts])
+    assert [list(np.frombuffer(i, "<u4")) for i in got] == [library(t.decode()) for t in texts]
+    long = {s for w in {w for t in texts for w in t.split()} for s in words.tree._pieces(w.decode()) if len(s) > bpe_tree.LEAF}
+    assert words.tree.joins >= len(long) > 100
+
+
+def test_a_long_word_has_few_leaves(monkeypatch):
+    monkeypatch.setattr(bpe_tree, "MAX_LEAVES", 16)
+    word = "".join(random.Random(1).choices("abcdefghij", k=20_000))
+    tree = bpe_tree.TreeEncoder(word_bpe(TOKENIZER))
+    assert list(np.frombuffer(tree.words([word])[0], "<u4")) == library(word)
+    assert tree.joins == 15
 
 
 def test_encode_decode_and_counts(spark, docs):
     table = docs([(i, t) for i, t in enumerate(ODD)] + [(3, "tie"), (3, "tie"), (None, "no id")])
-    coded = bpe_tree.decode(bpe_tree.encode(table, TOKENIZER, long_word=64, leaf=16), TOKENIZER).collect()
-    at_once = bpe_tree.encode(table, TOKENIZER, long_word=64, leaf=16, decoded=True)
+    coded = bpe_tree.decode(bpe_tree.encode(table, TOKENIZER, leaf=3), TOKENIZER).collect()
+    at_once = bpe_tree.encode(table, TOKENIZER, leaf=3, decoded=True)
     assert at_once.columns == [*[c for c in table.columns if c not in ("text", "ids")], "ids", "decoded"]
     assert sorted(map(repr, at_once.collect())) == sorted(map(repr, coded))
     assert bpe_tree.encode(table.limit(0), TOKENIZER, decoded=True).collect() == []
