@@ -33,6 +33,8 @@ BLOCK_CHARS = 4 << 20
 # Text of a batch that is looked at together, in bytes, and alignments made together.
 TEXT_AT_ONCE = 2 << 20
 ALIGN_AT_ONCE = 4096
+# Pairs of equal q-grams looked at together.
+PAIRS = 1 << 19
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _DOC_GAP, _ITEM_GAP = 1, 2  # characters that match nothing on the other side
 _FILTER_BITS = 22
@@ -125,22 +127,58 @@ def _filter_table(block: Block) -> np.ndarray:
 
 
 def shared_grams(block: Block, table: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every pair (document position, item position) with the same q-gram."""
+    """Document positions whose q-gram stands in the block, and its number there."""
     grams = _grams(chars)
     (at,) = np.nonzero(table[grams >> np.uint64(64 - _FILTER_BITS)])
-    place = np.searchsorted(block.grams, grams[at])
-    place[place == len(block.grams)] = 0
-    same = block.grams[place] == grams[at] if len(block.grams) else np.zeros(0, bool)
-    at, place = at[same], place[same]
-    count = block.first[place + 1] - block.first[place]
-    position = np.repeat(at, count)
-    nth = np.arange(len(position)) - np.repeat(np.cumsum(count) - count, count)
-    return position, block.places[np.repeat(block.first[place], count) + nth]
+    gram = np.searchsorted(block.grams, grams[at])
+    gram[gram == len(block.grams)] = 0
+    same = block.grams[gram] == grams[at] if len(block.grams) else np.zeros(0, bool)
+    return at[same], gram[same]
+
+
+def slices(block: Block, at: np.ndarray, gram: np.ndarray) -> Iterator[slice]:
+    """Cuts of the positions with about PAIRS pairs each. Neighbours overlap by what the q-grams of one window
+    and band can span, so each lies in a cut whole; a cut is at least twice that long."""
+    reach = int((block.window + 2 * (block.edits + 1)).max())
+    pairs = np.cumsum(block.first[gram + 1] - block.first[gram])
+    begin = 0
+    while True:
+        before = pairs[begin - 1] if begin else 0
+        end = int(np.searchsorted(pairs, before + PAIRS, side="right"))
+        end = max(end, int(np.searchsorted(at, at[begin] + 2 * reach)))
+        yield slice(begin, end)
+        if end >= len(at):
+            return
+        begin = max(begin + 1, int(np.searchsorted(at, at[end] - reach)))
+
+
+def pairs(block: Block, at: np.ndarray, gram: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(document position, item position) of equal q-grams, all of them, some at a time: beyond PAIRS the places
+    of the items are cut as well, again so that the q-grams of every window lie in one part."""
+    low, high = block.first[gram], block.first[gram + 1]
+    if (high - low).sum() <= PAIRS:
+        yield _pairs(block, at, low, high)
+        return
+    overlap = int(block.window.max())
+    step = max(overlap, PAIRS // len(at))
+    keys = np.repeat(np.arange(len(block.grams)), np.diff(block.first)) * len(block.chars) + block.places
+    for begin in range(0, len(block.chars), step):
+        end = min(begin + step + overlap, len(block.chars))
+        low = np.searchsorted(keys, gram * len(block.chars) + begin)
+        high = np.searchsorted(keys, gram * len(block.chars) + end)
+        if (high > low).any():
+            yield _pairs(block, at, low, high)
+
+
+def _pairs(block: Block, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    count = high - low
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(at, count), block.places[np.repeat(low, count) + nth]
 
 
 def candidates(block: Block, position: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Regions (item, first diagonal of the band, first and last window begin, hits) that may hold a
-    passage: runs of window begins of an item whose window has enough q-grams in the band."""
+    """Regions (item, first diagonal of the band, first and last window begin) that may hold a passage: runs
+    of window begins of an item whose window has enough q-grams in the band."""
     found = []
     item = block.item_of[place]
     # the band width follows the budget, which is one for all items as long as the window
@@ -157,14 +195,15 @@ def candidates(block: Block, position: np.ndarray, place: np.ndarray) -> np.ndar
             b, h = band[enough], g[enough]
             if not len(b):
                 continue
-            order = np.lexsort((h, b))
-            b, h = b[order], h[order]
+            both = np.sort(b * len(block.chars) + h)
+            new = np.append(True, np.diff(both) != 0)  # of equal hits the first reaches furthest
+            b, h = np.divmod(both, len(block.chars))
             which = block.item_of[h]
             needed, window = block.needed[which], block.window[which]
             last = np.arange(len(h)) + needed - 1
             inside = last < len(h)
             last = np.minimum(last, len(h) - 1)
-            ok = inside & (b[last] == b) & (which[last] == which) & (h[last] - h <= window - Q)
+            ok = new & inside & (b[last] == b) & (which[last] == which) & (h[last] - h <= window - Q)
             (at,) = np.nonzero(ok)
             if not len(at):
                 continue
@@ -173,22 +212,23 @@ def candidates(block: Block, position: np.ndarray, place: np.ndarray) -> np.ndar
             low_begin = np.maximum(h[last[at]] + Q - window[at], block.begin[which[at]])
             high_begin = np.minimum(h[at], (item_end[which] - window)[at])
             first_diagonal = b[at] * (2 * half) - shift - len(block.chars)
-            found.append(np.stack([which[at], first_diagonal, low_begin, high_begin, last[at] - at + 1]))
+            found.append(np.stack([which[at], first_diagonal, low_begin, high_begin]))
     if not found:
-        return np.zeros((5, 0), np.int64)
+        return np.zeros((4, 0), np.int64)
     rows = np.concatenate(found, axis=1)
-    return rows[:, rows[2] <= rows[3]]
+    return _merged(rows[:, rows[2] <= rows[3]])
 
 
-def _merged(regions: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Regions of one item and band that touch, as one: (item, first diagonal, first, last begin)."""
-    out: list[list[int]] = []
-    for item, diagonal, low, high, _ in sorted(map(tuple, regions.T.tolist())):
-        if out and out[-1][:2] == [item, diagonal] and low <= out[-1][3] + 1:
-            out[-1][3] = max(out[-1][3], high)
-        else:
-            out.append([item, diagonal, low, high])
-    return [tuple(r) for r in out]
+def _merged(regions: np.ndarray) -> np.ndarray:
+    """Regions of one item and band that touch, as one."""
+    if not regions.shape[1]:
+        return regions
+    item, diagonal, low, high = regions[:, np.lexsort((regions[2], regions[1], regions[0]))]
+    other = np.append(True, (np.diff(item) != 0) | (np.diff(diagonal) != 0))
+    base = np.cumsum(other) * (int(high.max()) + 2)
+    reached = np.maximum.accumulate(base + high) - base
+    (starts,) = np.nonzero(other | np.append(True, low[1:] > reached[:-1] + np.where(other[1:], 0, 1)))
+    return np.stack([item[starts], diagonal[starts], low[starts], np.maximum.reduceat(high, starts)])
 
 
 def align(
@@ -235,7 +275,8 @@ def passages(block: Block, table: np.ndarray, texts: list[bytes], best_only: boo
     """(text number, item_id, doc_start, doc_end, item_start, edits) for every text and item that share a
     passage; positions are code points of the text and characters of the normalised item, and among
     several windows the one with the fewest edits, then the first, is given, where it begins first in
-    the text, then ends first. Every window of every region is aligned, so neither the other texts nor
+    the text, then ends first. Every window of every region is aligned unless an exact one before it already
+    decides, so neither the other texts nor
     their order matter. Without ``best_only`` any window may stand for a text and item: enough for a yes."""
     parts, places = [], []
     for text in texts:
@@ -255,54 +296,83 @@ def passages(block: Block, table: np.ndarray, texts: list[bytes], best_only: boo
     chars = np.concatenate([x for p in parts for x in (p, gap)])
     if len(chars) < Q:
         return out
-    position, place = shared_grams(block, table, chars)
-    if not len(position):
+    at, gram = shared_grams(block, table, chars)
+    if not len(at):
         return out
-    best: dict[tuple[int, int], tuple] = {}
-
-    def take(regions: list[tuple[int, int, int, int]], pick) -> None:
-        """Align the windows that ``pick`` names in the regions; keep what fits the budget."""
-        tasks = [(r[0], r[1], b) for r in regions for b in pick(r)]
-        tasks.sort(key=lambda t: (int(block.edits[t[0]]), int(block.window[t[0]])))
-        for a in range(0, len(tasks), ALIGN_AT_ONCE):
-            group = tasks[a : a + ALIGN_AT_ONCE]
-            kinds = [(int(block.edits[t[0]]), int(block.window[t[0]])) for t in group]
-            for kind in sorted(set(kinds)):
-                some = [t for t, k in zip(group, kinds, strict=True) if k == kind]
-                begins = np.array([t[2] for t in some])
-                cost, start, end = align(block, chars, begins, np.array([t[1] for t in some]), *kind)
-                for t, c, s, e in zip(some, cost.tolist(), start.tolist(), end.tolist(), strict=True):
-                    if c > kind[0]:
-                        continue
-                    doc = int(np.searchsorted(begin, max(s, 0), side="right")) - 1
-                    s, e = s - int(begin[doc]), e - int(begin[doc])
-                    if not 0 <= s < e <= sizes[doc]:
-                        continue
-                    item_start = t[2] - int(block.begin[t[0]])
-                    at = places[doc]
-                    row = (c, item_start, int(at[s]), int(at[e - 1]) + 1)
-                    key = (doc, t[0])
-                    best[key] = min(best.get(key, row), row)
-
-    regions = candidates(block, position, place)
-    if regions.shape[1]:
-        merged = _merged(regions)
-
-        def open_region(r: tuple[int, int, int, int]) -> bool:
-            item, diagonal, low, high = r
-            last_diagonal = diagonal + 2 * (int(block.edits[item]) + 1)
-            ends = np.clip([low + diagonal, high + last_diagonal + int(block.window[item])], 0, len(chars) - 1)
-            first, last = np.searchsorted(begin, ends, side="right") - 1
-            return any((doc, item) not in best for doc in range(first, last + 1))
-
+    best: dict[tuple[int, int], tuple] = {}  # edits, item_start, begin and end among the document's characters
+
+    def reach(regions: np.ndarray) -> tuple[list[int], list[int]]:
+        """First and last document that the windows of each region can touch."""
+        item, diagonal, low, high = regions
+        last = high + diagonal + 2 * (block.edits[item] + 1) + block.window[item]
+        return tuple(
+            (np.searchsorted(begin, np.clip(x, 0, len(chars) - 1), side="right") - 1).tolist() for x in (low + diagonal, last)
+        )
+
+    def still_open(regions: np.ndarray, nth: int) -> np.ndarray:
+        """Regions whose windows from the nth on may give a better row than the texts in reach have."""
+        if not best:
+            return regions
+        keep = np.ones(regions.shape[1], bool)
+        item, diagonal, low, _ = regions
+        starts = low + nth - block.begin[item]
+        floor = low + nth + diagonal - block.edits[item]
+        rows = zip(item.tolist(), starts.tolist(), floor.tolist(), *reach(regions), strict=True)
+        for i, (k, start, least, first, last) in enumerate(rows):
+            if best_only:
+                keep[i] = any(
+                    best.get((d, k), (1,)) >= (0, start, least - int(begin[d])) for d in range(first, last + 1)
+                )
+            else:
+                keep[i] = any((d, k) not in best for d in range(first, last + 1))
+        return regions[:, keep]
+
+    def align_windows(item: np.ndarray, diagonal: np.ndarray, window_begin: np.ndarray) -> None:
+        for edits, window in sorted(set(zip(block.edits[item].tolist(), block.window[item].tolist(), strict=True))):
+            (own,) = np.nonzero((block.edits[item] == edits) & (block.window[item] == window))
+            cost, start, end = align(block, chars, window_begin[own], diagonal[own], edits, window)
+            (fit,) = np.nonzero(cost <= edits)
+            docs = np.searchsorted(begin, np.maximum(start, 0), side="right") - 1
+            for i in fit.tolist():
+                doc, k = int(docs[i]), int(item[own[i]])
+                s, e = int(start[i] - begin[doc]), int(end[i] - begin[doc])
+                if 0 <= s < e <= sizes[doc]:
+                    row = (int(cost[i]), int(window_begin[own[i]] - block.begin[k]), s, e)
+                    best[doc, k] = min(best.get((doc, k), row), row)
+
+    def take(regions: np.ndarray) -> None:
+        """Align the windows of the regions, the first of each, then the second of each and so on, some at a
+        time; regions that can give no better row any more are left out."""
+        nth, waiting, count = 0, [], 0
+        while regions.shape[1]:
+            for a in range(0, regions.shape[1], ALIGN_AT_ONCE):
+                part = regions[:, a : a + ALIGN_AT_ONCE]
+                if a:
+                    part = still_open(part, nth)
+                waiting.append(part[:3] + np.array([[0], [0], [nth]]))
+                count += part.shape[1]
+                if count >= ALIGN_AT_ONCE:
+                    align_windows(*np.concatenate(waiting, axis=1))
+                    waiting, count = [], 0
+            nth += 1
+            regions = regions[:, regions[2] + nth <= regions[3]]
+            if not count:
+                regions = still_open(regions, nth)
+        if count:
+            align_windows(*np.concatenate(waiting, axis=1))
+
+    for cut in slices(block, at, gram):
+        found = [candidates(block, p, g) for p, g in pairs(block, at[cut], gram[cut])]
+        regions = _merged(np.concatenate(found, axis=1)) if found else np.zeros((4, 0), np.int64)
         if not best_only:
             # first the middle window of each region, then every window of the regions of items and
             # documents without a passage yet
-            take(merged, lambda r: ((r[2] + r[3]) // 2,))
-            merged = [r for r in merged if open_region(r)]
-        take(merged, lambda r: range(r[2], r[3] + 1))
+            middle = regions.copy()
+            middle[2] = middle[3] = (regions[2] + regions[3]) // 2
+            take(middle)
+        take(still_open(regions, 0))
     for (doc, item), (c, item_start, s, e) in best.items():
-        out.append((doc, block.item_id[item], s, e, item_start, c))
+        out.append((doc, block.item_id[item], int(places[doc][s]), int(places[doc][e - 1]) + 1, item_start, c))
     return out
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -153,3 +154,34 @@ def test_sensitivity_takes_the_next_document(spark, docs):
     assert fingerprints.sensitivity(docs([]), 4).count() == 0
     assert fingerprints.sensitivity(docs([(2, "only")]), 4).first()["near_next"] == 1.0
     assert fingerprints.fingerprint(docs([(1, None), (2, "")])).select("fingerprint").distinct().count() == 1
+
+
+def test_passages_cut_into_parts_are_the_same(monkeypatch):
+    random.seed(8)
+    items = [(1, "a" * 230), (2, "ab" * 90), (3, "x" * 30 + "a" * 70 + "y" * 20), (4, "abcdefgh" * 20), (5, "a" * 40)]
+    texts = ["a" * 700, "z" + "ab" * 300, "c" * 20 + "x" * 28 + "a" * 72 + "y" * 20, "q" * 50, "aab" * 90, "abcdefgh" * 31, "a" * 41]
+    texts += ["".join(random.choices("ab", [9, 1], k=300)) for _ in range(3)]
+    block = dc.build_block(items, 60, 0.1)
+    coded = [t.encode() for t in texts]
+    whole = sorted(dc.passages(block, dc._filter_table(block), coded))
+    want = {
+        (n, k) for n, text in enumerate(texts) for k, item in items
+        if any(edits(item[b : b + 60], text) <= dc.budget(min(60, len(item)), 0.1) for b in range(max(1, len(item) - 59)))
+    }
+    assert {h[:2] for h in whole} == want
+    monkeypatch.setattr(dc, "PAIRS", 500)
+    monkeypatch.setattr(dc, "ALIGN_AT_ONCE", 64)
+    assert sorted(dc.passages(block, dc._filter_table(block), coded)) == whole
+    assert {h[:2] for h in dc.passages(block, dc._filter_table(block), coded, best_only=False)} == want
+    # alone or beside others, a text has the same passages
+    alone = [(n, *h[1:]) for n, t in enumerate(coded) for h in dc.passages(block, dc._filter_table(block), [t])]
+    assert sorted(alone) == whole
+
+
+def test_runs_of_one_character_need_little_memory():
+    block = dc.build_block([(1, "a" * 1500)])
+    tracemalloc.start()
+    hits = dc.passages(block, dc._filter_table(block), [b"-" + b"a" * 6000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hits == [(0, 1, 1, 101, 0, 0)] and peak < 400 << 20
