@@ -24,15 +24,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+# Whether the shuffle files of a query go as soon as it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back.
 
     It cuts the lineage: what is built on the result never runs ``df`` again, and a lost
-    executor costs a re-read.
+    executor costs a re-read. With ``tidy``, what ``df`` has shuffled goes once it is written,
+    not only when the driver's garbage is collected.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, str(tidy or before == "true").lower())
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

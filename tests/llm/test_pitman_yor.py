@@ -58,6 +58,25 @@ def test_large_dishes_keep_their_customers_and_order():
     assert (seated.sizes > 0).sum() == tables.sum()
 
 
+@pytest.mark.parametrize("customers, weight", [(20, 3.0), (700, 4.0), (1500, 5.0), (6000, 12.0)])
+def test_tables_follow_their_law(customers, weight):
+    """All customers of a dish are seated anew, however many they are: the odds of t tables come customer by customer."""
+    discount, dishes = 0.8, 400
+    odds, t = np.zeros(200), np.arange(200)
+    odds[1] = 1
+    for n in range(1, customers):
+        odds[1:] = np.maximum(n - discount * t[1:], 0) * odds[1:] + weight * odds[:-1]
+        odds /= odds.sum()
+    mean = (odds * t).sum()
+    error = np.sqrt((odds * (t - mean) ** 2).sum() / dishes)
+    rng, each = np.random.default_rng(11), np.full(dishes, weight)
+    seated = Seating(np.full(dishes, customers), discount, each, rng, 3)
+    assert abs(seated.tables().mean() - mean) < 4 * error
+    seated.sweep(each, rng)
+    assert abs(seated.tables().mean() - mean) < 4 * error
+    assert seated.sizes.sum() == customers * dishes and (seated.sizes > 0).all() and len(seated.sizes) == seated.tables().sum()
+
+
 def brute(rows):
     words = [(t or "").encode().lower().split() + [py.END] for _, t, _ in rows]
     counts = Counter(w for ws, (_, _, out) in zip(words, rows, strict=True) if not out for w in ws)
@@ -92,6 +111,20 @@ def test_counts_and_base(spark, buckets, deal):
     assert {(r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in unlearned} == {(0, 0, 0.0, 0.0)}
 
 
+def test_every_word_is_a_context_of_its_own(spark):
+    """Whether sums of a context travel in the vector or by the shuffle, its restaurant is the same."""
+    rng = np.random.default_rng(4)
+    words = [f"{a}{b}ing" for a in "bcdfgh" for b in "aeiou"]
+    rows = [(i, " ".join(words[(i + step) % len(words)] for step in (0, 7, 15)), False) for i in range(15)]  # no pair twice
+    rows += [(i, " ".join(rng.permutation(words)[:9]), True) for i in range(15, 20)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
+    scores = []
+    for contexts in (0, 1000):
+        found = py.score_documents(given, 3, py.Settings(contexts=contexts)).collect()
+        scores.append([r["score"] for r in sorted(found, key=lambda r: r["doc_id"])])
+    assert scores[0] == pytest.approx(scores[1], rel=1e-9)
+
+
 def test_probabilities_sum_to_one():
     """Over all training words and one for the rest, in the parent and in every restaurant."""
     rng = np.random.default_rng(2)
