@@ -30,7 +30,8 @@ ROUNDS = 2
 # Expected counts added to every piece; keeps unseen pieces possible in every language.
 SMOOTHING = 0.05
 MARK = "▁"
-CACHED_WORDS = 200_000
+# Words of a generation of a worker's cache.
+CACHED_WORDS = 100_000
 WORDS_AT_ONCE = 1 << 13
 # Bytes of text whose words a worker holds at once; a longer text is held alone.
 CHUNK_BYTES = 1 << 20
@@ -40,10 +41,10 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass
 class Pieces:
-    """All pieces of letters, the longest included, as sorted hashes by length; an unknown single character
-    is the last piece."""
+    """What pieces of letters begin with, the longest piece included, as sorted hashes by length; an unknown single
+    character is the last piece."""
 
-    by_length: list[tuple[np.ndarray, np.ndarray]]  # hashes, piece numbers
+    by_length: list[tuple[np.ndarray, np.ndarray]]  # hashes, numbers of those that are pieces, else -1
     size: int
 
 
@@ -66,38 +67,37 @@ def pieces(path: str) -> Pieces:
             kept.add(piece)
     kept.add(MARK)
     ordered = sorted(kept)
+    number = {p: n for n, p in enumerate(ordered)}
     by_length = []
     for length in range(1, max(map(len, ordered)) + 1):
-        own = [(n, p) for n, p in enumerate(ordered) if len(p) == length]
-        columns = [np.array([ord(p[i]) for _, p in own], np.uint64) for i in range(length)]
-        hashes = _hash(columns) if own else np.zeros(0, np.uint64)
+        own = sorted({p[:length] for p in ordered if len(p) >= length})
+        hashes = _hash([np.array([ord(p[i]) for p in own], np.uint64) for i in range(length)])
         order = np.argsort(hashes)
-        by_length.append((hashes[order], np.array([n for n, _ in own], np.int64)[order]))
+        by_length.append((hashes[order], np.array([number.get(p, -1) for p in own], np.int64)[order]))
     return Pieces(by_length, len(ordered) + 1)
 
 
 def lattice(vocabulary: Pieces, points: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
     """For words of one length (rows of code points), the pieces found at each (begin, length): the
-    rows and their piece numbers."""
+    rows and their piece numbers. Rows with which no longer piece begins are left out of the next length."""
     found = {}
     width, longest = points.shape[1], len(vocabulary.by_length)
     for begin in range(width):
-        value = np.zeros(len(points), np.uint64)
+        rows, value = np.arange(len(points)), np.zeros(len(points), np.uint64)
         for length in range(1, min(longest, width - begin) + 1):
-            value = (value + points[:, begin + length - 1]) * _FACTOR
+            value = (value + points[rows, begin + length - 1]) * _FACTOR
             value ^= value >> np.uint64(29)
             hashes, numbers = vocabulary.by_length[length - 1]
-            if len(hashes):
-                at = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
-                hit = hashes[at] == value
-            else:
-                at, hit = np.zeros(len(points), np.int64), np.zeros(len(points), bool)
+            at = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
+            known = hashes[at] == value
+            number = np.where(known, numbers[at], -1)
             if length == 1:
-                number = np.where(hit, numbers[at], vocabulary.size - 1)
-                found[begin, 1] = np.arange(len(points)), number
-            elif hit.any():
-                (rows,) = np.nonzero(hit)
-                found[begin, length] = rows, numbers[at[rows]]
+                found[begin, 1] = rows, np.where(number >= 0, number, vocabulary.size - 1)
+            elif (number >= 0).any():
+                found[begin, length] = rows[number >= 0], number[number >= 0]
+            rows, value = rows[known], value[known]
+            if not len(rows):
+                break
     return found
 
 
@@ -125,6 +125,25 @@ def forward(
     return sums, scale
 
 
+def plain_forward(
+    cells: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]], n: int, width: int, probability: np.ndarray
+) -> np.ndarray:
+    """The forward sums of whole words that are too short to need a scale."""
+    sums = np.zeros((width + 1, n, probability.shape[1]))
+    sums[0] = 1
+    longest = max((length for _, length in cells), default=1)
+    for end in range(1, width + 1):
+        for length in range(1, min(longest, end) + 1):
+            if (end - length, length) not in cells:
+                continue
+            rows, numbers = cells[end - length, length]
+            if len(rows) == n:
+                sums[end] += sums[end - length] * probability[numbers]
+            else:
+                sums[end, rows] += sums[end - length, rows] * probability[numbers]
+    return sums[width]
+
+
 def _code_rows(words: list[str]) -> np.ndarray:
     flat = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
     return flat.reshape(len(words), -1).astype(np.uint64)
@@ -145,10 +164,14 @@ def _by_length(words: list[str]) -> Iterator[tuple[list[int], list[str]]]:
 def log_likelihoods(vocabulary: Pieces, probability: np.ndarray, words: list[str]) -> np.ndarray:
     """Natural logarithm of each marked word's probability in every language."""
     out = np.zeros((len(words), probability.shape[1]))
+    least = probability.min() if probability.size else 0
     for places, some in _by_length(words):
         points = _code_rows(some)
-        width = points.shape[1]
-        sums, scale = forward(lattice(vocabulary, points), len(some), width, probability)
+        width, cells = points.shape[1], lattice(vocabulary, points)
+        if least > 0 and width * -np.log10(least) < 290:
+            out[places] = np.log(plain_forward(cells, len(some), width, probability))
+            continue
+        sums, scale = forward(cells, len(some), width, probability)
         out[places] = np.log(np.maximum(sums[width], 1e-300)) + scale[width]
     return out
 
@@ -263,27 +286,39 @@ def train(docs: DataFrame, path: str, train_rows: int = TRAIN_ROWS, rounds: int
 
 
 class Scorer:
-    """Log-likelihoods of whole texts; white-space words a worker has met are looked up."""
+    """Log-likelihoods of whole texts; white-space words a worker has met are looked up. When there are too many they
+    become the older generation, from which words that come again are taken over."""
 
     def __init__(self, model: Model) -> None:
         self.model, self.vocabulary = model, pieces(model.path)
         self.row: dict[str, int] = {}
         self.values = np.zeros((0, len(model.languages)))
+        self.older = self.row, self.values
 
     def add(self, words: list[str]) -> None:
         if len(self.row) > CACHED_WORDS:
+            self.older = self.row, self.values
             self.row, self.values = {}, self.values[:0]
-        new = list({w for w in words if w not in self.row})
+        wanted = set(words).difference(self.row)
+        again = list(wanted.intersection(self.older[0]))
+        self._keep(again, self.older[1][[self.older[0][w] for w in again]])
+        new = list(wanted.difference(again))
         runs = [letter_runs(w) for w in new]
         parts = list({r for rs in runs for r in rs})
         scores = log_likelihoods(self.vocabulary, self.model.probability, [MARK + p for p in parts])
         at = {p: i for i, p in enumerate(parts)}
-        sums = np.array([scores[[at[r] for r in rs]].sum(axis=0) for rs in runs])
-        sums = sums.reshape(len(new), self.values.shape[1])
+        sizes = np.array([len(rs) for rs in runs], np.int64)
+        sums = np.zeros((len(new), self.values.shape[1]))
+        if sizes.any():
+            own = np.array([at[r] for rs in runs for r in rs])
+            sums[sizes > 0] = np.add.reduceat(scores[own], (np.cumsum(sizes) - sizes)[sizes > 0])
+        self._keep(new, sums)
+
+    def _keep(self, words: list[str], values: np.ndarray) -> None:
         begin = len(self.values)
-        if len(new):
-            self.values = np.concatenate([self.values, sums])
-            self.row.update(zip(new, range(begin, begin + len(new)), strict=True))
+        if words:
+            self.values = np.concatenate([self.values, values])
+            self.row.update(zip(words, range(begin, begin + len(words)), strict=True))
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], list[float]]:
         if not self.model.languages:
