@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow.llm.common import chunks, map_arrow, text_bytes, worker_cache
-from caseflow.llm.wordbpe import CACHED_WORD_BYTES, CACHED_WORDS, WordBpe, as_bytes, to_symbols, word_bpe
+from caseflow.llm.wordbpe import CACHED_WORD_BYTES, WordBpe, as_bytes, to_symbols, word_bpe
 
 # Symbols of a leaf; tokens of each side in the first window. A piece has
 # at most MAX_LEAVES leaves, which grow with it. Bytes of words whose trees are built together.
@@ -37,7 +37,10 @@ MAX_LEAVES = 1 << 15
 GROUP_BYTES = 1 << 18
 # Symbols of a run whose ids are kept, and how many of these.
 KEPT_RUN = 12
-KEPT_RUNS = 100_000
+KEPT_RUNS = 30_000
+# Words of a generation of a worker's cache, and long pieces of it; bytes of text whose words are coded together.
+CACHED_WORDS = 100_000
+CHUNK_BYTES = 1 << 20
 
 
 class Piece(NamedTuple):
@@ -243,7 +246,7 @@ def encode(
         strings = _strings(path) if decoded else None
         for batch in batches:
             texts = text_bytes(batch.column(len(names)))
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK_BYTES):
                 coded = words.of([t.split() for t in texts[a:b]])
                 sizes = np.array([len(c) // 4 for c in coded], np.int32)
                 values = np.frombuffer(b"".join(coded), "<i4")
