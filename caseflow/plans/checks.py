@@ -17,7 +17,7 @@ from caseflow.functions.measures import (
 )
 from caseflow.functions.time import parse_timestamp
 from caseflow.operators.contracts import rows_where
-from caseflow.operators.joins import lookup_join
+from caseflow.operators.joins import NULL_SPREAD, lookup_join
 from caseflow.plans.analytics import created_period
 from caseflow.schemas import RESOLVED_STATUS, UNRESOLVED_STATUSES
 
@@ -184,19 +184,14 @@ def recomputed_cases(
             "_open": parse_timestamp(F.col("created_at")),
             "_close": parse_timestamp(F.col("closed_at")),
             "_status": F.trim("status"),
-            "priority": F.trim("priority"),
         }
     )
-    joined = lookup_join(cases, customers, "customer_id", "_cu", "case_id")
-    joined = lookup_join(joined, agents, "agent_id", "_ag", "case_id")
     closed = F.coalesce(F.col("_status") == RESOLVED_STATUS, F.lit(False))
     open_like = F.coalesce(F.col("_status").isin(*UNRESOLVED_STATUSES), F.lit(False))
     flagged = (
         (closed & F.col("closed_at").isNull())
         | (open_like & F.col("closed_at").isNotNull())
         | F.col("_open").isNull()
-        | F.col("_cu").isNull()
-        | F.col("_ag").isNull()
     )
     # whole seconds of both ends, as an exact decimal: no sum depends on the order of its rows
     opened, shut = (F.date_trunc("second", F.col(c)).cast("timestamp_ntz") for c in ("_open", "_close"))
@@ -208,13 +203,25 @@ def recomputed_cases(
         + F.extract(F.lit("SECOND"), elapsed).cast("decimal(4,0)")
     )
     hours = (seconds / F.lit(3600)).cast("decimal(18,6)")
+    # what the lookups may have to shuffle: results of the case, none of its texts but the keys
+    narrow = cases.select(
+        "customer_id",
+        "agent_id",
+        F.trim("priority").alias("priority"),
+        closed.alias("is_resolved"),
+        flagged.alias("_flagged"),
+        F.when(closed & (F.col("_close") > F.col("_open")), hours).alias("hours"),
+        F.pmod(F.xxhash64("case_id"), F.lit(NULL_SPREAD)).cast("int").alias("_spread"),
+    )
+    joined = lookup_join(narrow, customers, "customer_id", "_cu", "_spread")
+    joined = lookup_join(joined, agents, "agent_id", "_ag", "_spread")
     return joined.select(
         "priority",
         "region",
         "team",
-        closed.alias("is_resolved"),
-        flagged.alias("flagged"),
-        F.when(closed & (F.col("_close") > F.col("_open")), hours).alias("hours"),
+        "is_resolved",
+        (F.col("_flagged") | F.col("_cu").isNull() | F.col("_ag").isNull()).alias("flagged"),
+        "hours",
     )
 
 
