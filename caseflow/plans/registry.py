@@ -18,7 +18,7 @@ from caseflow.operators.fact import FACT_COLUMNS, created_between, fact_source_a
 from caseflow.operators.incremental import since_mark, since_watermark, upsert_latest
 from caseflow.operators.upsert import changes, upsert, upsert_with_audit
 from caseflow.plans import analytics, checks, reporting
-from caseflow.plans.warehouse import RUN_TS, SPAN, Warehouse, landed, source_feeds, warehouse
+from caseflow.plans.warehouse import RUN_TS, SPAN, Warehouse, landed, source_feeds, stored_feeds, warehouse
 from caseflow.schemas import (
     ACCEPTED_CATEGORIES,
     ACCEPTED_PRIORITIES,
@@ -499,7 +499,7 @@ def _later_parents(spark: SparkSession, sf_dir: str, again: Column) -> Warehouse
     """The second of two runs: the first lacks a third of the customers, the second delivers only
     these, the cases that are new and those that ``again`` selects, and no agent."""
     root = scratch(spark, "parents")
-    feeds = source_feeds(spark, sf_dir)
+    feeds = stored_feeds(spark, sf_dir)
     known = F.coalesce(F.col("created_at") < "1998", F.lit(False))
     withheld = F.pmod(F.xxhash64("customer_id"), F.lit(3)) == 0
     cases, customers = feeds["cases"], feeds["customers"]
@@ -546,7 +546,7 @@ def pipeline_delta_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def touched_runs(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The second of two runs: the first has the cases of 1998 as open, the second delivers these again and
     gives three customers a new name."""
-    feeds, root = source_feeds(spark, sf_dir), scratch(spark, "touched")
+    feeds, root = stored_feeds(spark, sf_dir), scratch(spark, "touched")
     of_1998 = F.coalesce(F.substring("created_at", 1, 4) == "1998", F.lit(False))
     first = feeds["cases"].withColumn("status", F.when(of_1998, "Open").otherwise(F.col("status")))
     renamed = F.col("customer_id").isin("CU1", "CU2", "CU3")
@@ -574,8 +574,8 @@ def dq_rules_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     extract = landed(source_feeds(spark, sf_dir), RUN_TS)
     w = Warehouse(spark, extract, scratch(spark, "rules"), RUN_TS, RUN_TS.date(), SPAN, rules=rules)
     counted = w.fact.groupBy(*[r.name for r in rules], "has_any_dq_flag").agg(F.count("*").alias("cases"))
-    monitored = w.monitor.select("dq_flagged", *[F.col(r.name).alias(f"all_{r.name}") for r in rules])
-    return counted.join(monitored, F.lit(True))
+    monitored = F.struct("dq_flagged", *[F.col(r.name).alias(f"all_{r.name}") for r in rules])
+    return counted.withColumn("_all", w.monitor.select(monitored).scalar()).select("*", "_all.*").drop("_all")
 
 
 def sla_custom_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -603,7 +603,7 @@ def pipeline_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_drift_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads by category; all customers of the last one are unknown."""
-    feeds, root = source_feeds(spark, sf_dir), scratch(spark, "loads")
+    feeds, root = stored_feeds(spark, sf_dir), scratch(spark, "loads")
     cases = feeds["cases"]
     lost = F.concat(F.lit("lost-"), "customer_id")
     for run, category in enumerate(("Technical", "Account", "Billing")):

@@ -398,6 +398,14 @@ def source_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def stored_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The feeds for several runs that each take a part of the cases: these join the largest tables, so they are
+    derived once and read by every run."""
+    feeds, path = source_feeds(spark, sf_dir), scratch(spark, "case-feed")
+    feeds["cases"].write.parquet(path)
+    return feeds | {"cases": spark.read.schema(feeds["cases"].schema).parquet(path)}
+
+
 def landed(feeds: dict[str, DataFrame], run_ts: datetime) -> dict[str, DataFrame]:
     return {name: land(feed, run_ts, F.lit(f"{name}.csv")) for name, feed in feeds.items()}
 
