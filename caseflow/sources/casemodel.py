@@ -27,9 +27,15 @@ def _pick(index: Column, names) -> Column:
 
 
 def source_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One shuffle of the pre-aggregated lines; the join then reuses their partitioning."""
+    """One shuffle of the lines; the join then reuses their partitioning.
+
+    An order has few lines and they lie far apart, so combining them as they are read would hold about as many
+    groups as rows, and spill them, before any are left out. They are shuffled as they come and combined by key.
+    """
     lines = (
         table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_shipdate", "l_suppkey")
+        .repartition("l_orderkey")
         .groupBy("l_orderkey")
         .agg(F.max("l_shipdate").alias("ship"), F.min("l_suppkey").alias("supp"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from caseflow.operators import dims
 from caseflow.operators.fact import clustered_by_month
 from caseflow.operators.joins import lookup_join, unmatched_counts
+from caseflow.sources import casemodel
 from tests.conftest import rows
 
 N = 60_000
@@ -96,3 +97,24 @@ def test_a_hot_month_is_written_by_many_tasks(small_skew_limits, tmp_path):
     others = [len(list(f.glob("*.parquet"))) for f in (tmp_path / "fact").glob("created_month=2024*")]
     assert hot >= 3 and hot > max(others)
     assert spark.read.parquet(f"{tmp_path}/fact").count() == N
+
+
+def test_lines_are_not_combined_before_their_shuffle(no_broadcast, tmp_path):
+    """Orders with few lines that lie apart: groups held while reading would spill on a large table."""
+    spark = no_broadcast
+    keys = [1, 2, 1, None, 2, None, 4]
+    lines = [(k, 10 - i, f"1998-01-0{i + 1}") for i, k in enumerate(keys)] + [(1, None, None)]
+    orders = [(1, 5, "F"), (2, 5, "O"), (2, 5, "O"), (3, 6, "P"), (None, 6, "F")]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, ship string").selectExpr(
+        "l_orderkey", "l_suppkey", "cast(ship as timestamp) as l_shipdate"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string").selectExpr(
+        "*", "timestamp'1997-01-01' as o_orderdate", "'1-URGENT' as o_orderpriority"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    found = casemodel.source_cases(spark, str(tmp_path))
+    lines_side = found._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(l_orderkey")
+    assert len(lines_side) == 2 and "Aggregate" not in lines_side[1]
+    assert rows(found, "case_id", "agent_id", "closed_at") == [
+        ("C1", "AG8", "1998-01-03T07:00:00"), ("C2", "AG6", "1998-01-05T14:00:00"), ("C2", "AG6", "1998-01-05T14:00:00"),
+        ("C3", None, None), (None, None, None),
+    ]
