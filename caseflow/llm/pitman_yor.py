@@ -67,42 +67,12 @@ class Known(NamedTuple):
     hot_counts: np.ndarray
 
 
-class Vocabulary(dict):
-    """Ids of the words a task meets, their hashes and, once the contexts are known, their restaurants: places in the
-    vector, or ids behind it."""
-
-    def __init__(self, settings: Settings, contexts: np.ndarray | None) -> None:
-        super().__init__()
-        self._settings, self._contexts = settings, contexts
-        self._names: list[bytes] = []
-        self._hashes = np.zeros(0, np.uint64)
-        self._restaurants = np.zeros(0, np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self._names)
-        self._names.append(word)
-        return number
+class Words(NamedTuple):
+    """The different words of a chunk by their place: hashes, and the restaurants that they lead to, places in the vector
+    or a word's own place behind it."""
 
-    @property
-    def vector(self) -> int:
-        """Ids of restaurants outside the vector begin here."""
-        return self._settings.restaurants
-
-    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
-        new = self._names[len(self._hashes) :]
-        if new:
-            hashes = np.fromiter(map(word_hash, new), np.uint64, len(new))
-            self._hashes = np.concatenate([self._hashes, hashes])
-            if self._contexts is not None:
-                s = self._settings
-                if s.endings:
-                    rest = 1 + np.array([xxhash.xxh64_intdigest(w[-s.ending_bytes :]) % s.endings for w in new], np.int64)
-                else:
-                    rest = s.restaurants + np.arange(len(self._names) - len(new), len(self._names))
-                own, found = among(self._contexts, hashes)
-                places = np.where(found, 1 + s.endings + own, rest)
-                self._restaurants = np.concatenate([self._restaurants, places])
-        return self._hashes, self._restaurants
+    hashes: np.ndarray
+    restaurants: np.ndarray
 
 
 def word_hash(word: bytes) -> int:
@@ -116,56 +86,97 @@ def among(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
     return place, (sorted_keys[place] == keys if len(sorted_keys) else np.zeros(len(keys), bool))
 
 
+def _words(names: list[bytes], settings: Settings, contexts: np.ndarray) -> Words:
+    hashes = np.fromiter(map(word_hash, names), np.uint64, len(names))
+    if settings.endings:
+        rest = 1 + np.array([xxhash.xxh64_intdigest(w[-settings.ending_bytes :]) % settings.endings for w in names], np.int64)
+    else:
+        rest = settings.restaurants + np.arange(len(names))
+    own, found = among(contexts, hashes)
+    return Words(hashes, np.where(found, 1 + settings.endings + own, rest))
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The different ones of many whole numbers, ascending; a sort is much faster here than numpy's table of hashes."""
+    ordered = np.sort(keys)
+    return ordered[runs(ordered)]
+
+
 class Chunk(NamedTuple):
-    """Documents of a task: ``ids`` of all their tokens, ends included, and how many each document has."""
+    """Documents of a task: ``names`` are their different words, ``ids`` the places there of all their tokens, ends
+    included, and ``counts`` how many each document has."""
 
+    names: list[bytes]
     ids: np.ndarray
     counts: np.ndarray
     doc_ids: list[int | None]
     held_out: np.ndarray
 
 
-def _chunks(given: Iterator[pa.RecordBatch], words: Vocabulary, limit: int) -> Iterator[Chunk]:
-    held: list[tuple[np.ndarray, int | None, bool]] = []
-    size = 0
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, and how many each text has. Null counts as empty."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words = lists.flatten()
+    whole = pc.greater(pc.binary_length(words), 0)  # white space at either end of a text splits off an empty string
+    counts = np.bincount(pc.list_parent_indices(lists).filter(whole).to_numpy(), minlength=len(lists))
+    return words.filter(whole).cast(pa.binary()), counts.astype(np.int64)
+
 
-    def whole() -> Chunk:
-        return Chunk(
-            np.concatenate([ids for ids, _, _ in held]), np.array([len(ids) for ids, _, _ in held], np.int64),
-            [doc_id for _, doc_id, _ in held], np.array([out for _, _, out in held], bool),
-        )
+def _chunk(held: list[tuple[pa.Array, np.ndarray, list, list]]) -> Chunk:
+    """The words of a chunk are told apart by a table of its own, which is small enough to be fast."""
+    coded = pa.chunked_array([words for words, *_ in held], pa.binary()).dictionary_encode().unify_dictionaries().chunks
+    names = coded[0].dictionary.to_pylist() if coded else []
+    counts = np.concatenate([n for _, n, _, _ in held]) + 1
+    ends = np.cumsum(counts) - 1
+    within = np.ones(int(counts.sum()), bool)
+    within[ends] = False
+    ids = np.full(len(within), len(names), np.int64)
+    ids[within] = np.concatenate([np.zeros(0, np.int64), *(part.indices.to_numpy() for part in coded)])
+    flags = [out for *_, held_out in held for out in held_out]
+    return Chunk([*names, END], ids, counts, [i for _, _, doc_ids, _ in held for i in doc_ids], np.array(flags, bool))
 
+
+def _chunks(given: Iterator[pa.RecordBatch], limit: int) -> Iterator[Chunk]:
+    held: list[tuple[pa.Array, np.ndarray, list, list]] = []
+    size = 0
     for batch in given:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        rest = (batch.column(name).to_pylist() for name in ("doc_id", "held_out"))
-        for text, doc_id, held_out in zip(texts, *rest, strict=True):
-            found = (text or b"").lower().split()
-            if held and size + len(found) > 2 * limit:  # a text of very many words makes a chunk of its own
-                yield whole()
+        words, counts = _split(batch.column("text"))
+        doc_ids, held_out = (batch.column(name).to_pylist() for name in ("doc_id", "held_out"))
+        ends = np.concatenate([[0], np.cumsum(counts)]).tolist()
+        begin = 0
+
+        def hold(end: int) -> None:
+            nonlocal begin
+            if end > begin:
+                some = words.slice(ends[begin], ends[end] - ends[begin])
+                held.append((some, counts[begin:end], doc_ids[begin:end], held_out[begin:end]))
+            begin = end
+
+        for at, found in enumerate(counts.tolist()):
+            if size and size + found > 2 * limit:  # a text of very many words makes a chunk of its own
+                hold(at)
+                yield _chunk(held)
                 held, size = [], 0
-            ids = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
-            held.append((np.append(ids, words[END]), doc_id, bool(held_out)))
-            size += len(found) + 1
+            size += found + 1
             if size >= limit:
-                yield whole()
+                hold(at + 1)
+                yield _chunk(held)
                 held, size = [], 0
+        hold(len(counts))
     if held:
-        yield whole()
+        yield _chunk(held)
 
 
 def _word_counts(settings: Settings):
     """``w, n``: training tokens of every chunk by word hash."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(settings, None)
-        for chunk in _chunks(given, words, 4 * settings.chunk_words):
+        for chunk in _chunks(given, 4 * settings.chunk_words):
             learned = chunk.ids[np.repeat(~chunk.held_out, chunk.counts)]
-            counts = np.bincount(learned, minlength=len(words))
+            counts = np.bincount(learned, minlength=len(chunk.names))
             seen = np.flatnonzero(counts)
-            hashes = words.arrays()[0][seen].view(np.int64)
+            hashes = np.fromiter((word_hash(chunk.names[i]) for i in seen.tolist()), np.uint64, len(seen)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(counts[seen])], names=["w", "n"])
-            if len(words) > settings.chunk_words:
-                words.__init__(settings, None)
 
     return run
 
@@ -206,11 +217,10 @@ _GATHERED_ARROW = pa.schema(
 DOCUMENT, WHOLE, CHANGING, SUM, ASKS, ASKS_ALL, LACK, SIZE, ANSWER = range(9)
 
 
-def _pair_blocks(chunk: Chunk, words: Vocabulary, hot: np.ndarray, buckets: int) -> Iterator[dict]:
+def _pair_blocks(chunk: Chunk, words: Words, vector: int, hot: np.ndarray, buckets: int) -> Iterator[dict]:
     """Blocks of a chunk by bucket: ``pairs`` are its words, each with its contexts and their training tokens,
     ``entries`` the pairs of every document."""
-    hashes, restaurants = words.arrays()
-    vector = words.vector
+    hashes, restaurants = words
     context = np.empty(len(chunk.ids), np.int64)
     context[1:] = restaurants[chunk.ids[:-1]]
     context[np.cumsum(chunk.counts) - chunk.counts] = 0
@@ -266,17 +276,15 @@ def _pairing(settings: Settings, known, buckets: int):
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("words", "none", dict)  # what other operators keep in the process goes
         facts: Known = known.value
-        words = Vocabulary(settings, facts.contexts)
-        for name, chunk in zip(chunk_numbers(), _chunks(given, words, settings.chunk_words)):
+        for name, chunk in zip(chunk_numbers(), _chunks(given, settings.chunk_words)):
+            words = _words(chunk.names, settings, facts.contexts)
             documents = zip(chunk.doc_ids, chunk.held_out.tolist(), chunk.counts.tolist(), strict=True)
             rows = [
                 {"bucket": (name + at) % buckets, "chunk": name, "at": at, "doc_id": i, "held_out": out, "n_tokens": n}
                 for at, (i, out, n) in enumerate(documents)
             ]
-            rows += [row | {"chunk": name} for row in _pair_blocks(chunk, words, facts.hot, buckets)]
+            rows += [row | {"chunk": name} for row in _pair_blocks(chunk, words, settings.restaurants, facts.hot, buckets)]
             yield from batches(rows, _MAPPED_ARROW)
-            if len(words) > settings.chunk_words:
-                words.__init__(settings, facts.contexts)
 
     return run
 
@@ -306,8 +314,8 @@ def _merged(held: list[dict], vector: int, buckets: int) -> tuple[list[np.ndarra
     """The pairs of all blocks of a bucket: hashes of the words, contexts of each, contexts, training tokens, hashes of the
     contexts outside the vector by owner; and the blocks with the places of their pairs among these."""
     parts = [unpack(row.pop("pairs")) for row in held]
-    hashes = np.unique(np.concatenate([p[0] for p in parts]))
-    apart = np.unique(np.concatenate([p[4] for p in parts]))
+    hashes = distinct(np.concatenate([p[0] for p in parts]))
+    apart = distinct(np.concatenate([p[4] for p in parts]))
     order = np.argsort(_owners_of(apart, buckets), kind="stable")
     rank = np.empty(len(apart), np.int64)
     rank[order] = np.arange(len(apart))
@@ -319,7 +327,7 @@ def _merged(held: list[dict], vector: int, buckets: int) -> tuple[list[np.ndarra
         behind = context >= vector
         context[behind] = vector + rank[np.searchsorted(apart, rest)][context[behind] - vector]
         codes.append((word << bits) | context)
-    pairs = np.unique(np.concatenate(codes))
+    pairs = distinct(np.concatenate(codes))
     learned = np.zeros(len(pairs), np.int64)
     blocks = []
     for row, code, (_, _, _, counts, _) in zip(held, codes, parts, strict=True):
@@ -340,7 +348,7 @@ def _changing(hashes: np.ndarray, sizes: np.ndarray, context: np.ndarray, learne
     known = (single > 0) | (sizes > 0)
     context = context[several]
     behind = context >= vector
-    rest = np.unique(context[behind])
+    rest = distinct(context[behind])
     context[behind] = vector + np.searchsorted(rest, context[behind])
     return [hashes[known], sizes[known], context, learned[several], apart[rest - vector], single[known]]
 

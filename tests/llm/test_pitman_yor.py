@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,26 @@ def test_held_out_texts_are_likelier_than_by_counts(spark, small):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2) for r in found)
     test = [r for r in found if r["held_out"]]
     assert sum(r["score"] for r in test) > sum(r["base_score"] for r in test) + 0.2 * sum(r["n_tokens"] for r in test)
+
+
+@pytest.mark.parametrize("limit, rows_at_once", [(1, 1), (6, 2), (7, 5), (1000, 3)])
+def test_chunks_hold_every_word_in_order(limit, rows_at_once):
+    """Words are split and told apart by Arrow, as their definition says; a chunk has names of its own."""
+    texts = [None, "", " \t\n", " The cat\x0bTHE\x0c\r\n ", "ÄB é\x1cx \x85 \xa0", "a " * 20, "the end", None, "Z z"]
+    table = pa.table({"text": pa.array(texts, pa.string()), "doc_id": [*range(8), None], "held_out": [i % 2 == 0 for i in range(9)]})
+    chunks = list(py._chunks(iter(table.to_batches(max_chunksize=rows_at_once)), limit))
+    found = []
+    for chunk in chunks:
+        assert len(set(chunk.names)) == len(chunk.names) and chunk.counts.sum() == len(chunk.ids)
+        assert len(chunk.counts) == 1 or chunk.counts.sum() <= 2 * limit + len(chunk.counts)
+        words = [chunk.names[i] for i in chunk.ids]
+        ends = np.cumsum(chunk.counts)
+        found += [(d, out, words[e - n : e]) for d, out, n, e in zip(chunk.doc_ids, chunk.held_out, chunk.counts, ends, strict=True)]
+    expected = [(t or "").encode().lower().split() + [py.END] for t in texts]
+    assert found == [(None if i == 8 else i, i % 2 == 0, ws) for i, ws in enumerate(expected)]
+
+
+def test_distinct_keys_ascend():
+    keys = np.array([5, 1, 5, 2**63, 0, 1], np.uint64)
+    assert py.distinct(keys).tolist() == [0, 1, 5, 2**63] and py.distinct(keys).dtype == np.uint64
+    assert py.distinct(keys[:0]).tolist() == []
