@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.llm.common import chunks, map_arrow, text_bytes, worker_cache
+from caseflow.llm.common import chunks, map_arrow, return_free_memory, text_bytes, worker_cache
 from caseflow.llm.wordbpe import CACHED_WORD_BYTES, WordBpe, as_bytes, to_symbols, word_bpe
 
 # Symbols of a leaf; tokens of each side in the first window. A piece has
@@ -256,6 +256,8 @@ def encode(
                 if decoded:
                     columns.append(pa.array(_joined(strings, values, sizes), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
+                del coded, values, columns
+                return_free_memory()
 
     given = docs.select(*[F.col(f"`{n}`") for n in names], F.col(text).cast("string"))
     return map_arrow(given, run, schema)

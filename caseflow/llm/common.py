@@ -138,8 +138,9 @@ _held: dict[object, object] = {}
 _family: list[str] = []
 
 
-def _return_free_memory() -> None:
-    """Freed small objects go back to the system, where the C library can do that."""
+def return_free_memory() -> None:
+    """What is free goes back to the system: Arrow's memory and, where the C library can do that, small objects."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
@@ -152,8 +153,12 @@ def worker_cache(family: str, key: object, make: Callable[[], object]):
         _held.clear()
         _family[:] = [family]
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        _return_free_memory()
+        return_free_memory()
     if key not in _held:
         _held[key] = make()
     return _held[key]
+
+
+def without_caches(family: str) -> None:
+    """What other operators keep in the process goes; for a family that keeps nothing itself."""
+    worker_cache(family, "none", dict)

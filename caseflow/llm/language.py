@@ -21,7 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.llm.common import chunks, map_arrow, materialise, text_bytes, worker_cache
+from caseflow.llm.common import (
+    chunks,
+    map_arrow,
+    materialise,
+    return_free_memory,
+    text_bytes,
+    without_caches,
+    worker_cache,
+)
 
 UNDETERMINED = "und"
 # Rows of each language that the fit reads, on average; which ones follows from a hash of doc_id.
@@ -225,6 +233,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """lang, word, n over the texts of ``rows`` (lang, text), summed within tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_caches("language")
         for batch in batches:
             counts: dict[tuple[str, str], int] = {}
             for lang, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
@@ -265,6 +274,7 @@ def train(docs: DataFrame, path: str, train_rows: int = TRAIN_ROWS, rounds: int
     for _ in range(rounds):
 
         def run(batches: Iterator[pa.RecordBatch], probability=probability) -> Iterator[pa.RecordBatch]:
+            without_caches("language")
             known = pieces(path)
             total = np.zeros((known.size, len(languages)))
             for batch in batches:
@@ -350,10 +360,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     names = [f.name for f in kept]
     at = names.index(text)
     held = docs.sparkSession.sparkContext.broadcast(model)  # pieces by languages, whatever the corpus
-    key = uuid.uuid4().hex
+    family = f"language {uuid.uuid4().hex}"  # another model's words go
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = worker_cache("language", key, lambda: Scorer(held.value))
+        scorer = worker_cache(family, "scorer", lambda: Scorer(held.value))
         for batch in batches:
             languages, scores = [], []
             texts = text_bytes(batch.column(at))
@@ -361,6 +371,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 some = scorer.predict(texts[a:b])
                 languages += some[0]
                 scores += some[1]
+                return_free_memory()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
                 [*names, *results],

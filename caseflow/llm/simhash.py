@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.llm.common import map_arrow, materialise, text_bytes
+from caseflow.llm.common import map_arrow, materialise, text_bytes, without_caches
 from caseflow.llm.components import connected_components
 
 SEED = 42
@@ -56,6 +56,7 @@ def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: st
     """doc_id and fp (the 64 bits as a signed long) of every whole text; null counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_caches("simhash")
         for batch in batches:
             values = [fingerprint(t, shingle) for t in text_bytes(batch.column(1))]
             fps = pa.array(np.array(values, np.uint64).view(np.int64))
@@ -72,6 +73,7 @@ def with_fingerprints(docs: DataFrame, shingle: int, text: str = "text") -> Data
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_caches("simhash")
         for batch in batches:
             values = [fingerprint(t, shingle) for t in text_bytes(batch.column(at))]
             fps = pa.array(np.array(values, np.uint64).view(np.int64))
@@ -132,6 +134,7 @@ def links(distinct: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     pairs = pairs.filter("not inside or a_block <= b_block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_caches("simhash")
         for batch in batches:
             found = []
             for a, b, same in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):

@@ -9,6 +9,7 @@ and only new words reach the library.
 from __future__ import annotations
 
 import json
+import os
 import struct
 from collections.abc import Callable
 from functools import cache
@@ -111,7 +112,9 @@ def as_bytes(ids: list[int]) -> bytes:
 
 
 def word_bpe(path: str) -> WordBpe:
-    """One instance for each process."""
+    """One instance for each process. A task has one core, so the library's threads, each of which
+    would hold memory of its own, are left out."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return worker_cache("bpe", ("file", path), lambda: WordBpe(path))
 
 
