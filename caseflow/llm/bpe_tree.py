@@ -9,7 +9,7 @@ sequence lies in the left side, the window or the right side. So where both ends
 sequence is the encoding of the whole, and it is exact.
 
 A piece is what the pre-tokeniser leaves unsplit, whatever its length. Leaves are as short
-as words, so longer words are joined from leaves too; words and pieces that come again are kept (``TreeWords``).
+as words, so longer words are joined from leaves too; words that come again are kept (``TreeWords``).
 """
 
 from __future__ import annotations
@@ -26,20 +26,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.llm.common import chunks, map_arrow, return_free_memory, text_bytes, worker_cache
-from caseflow.llm.wordbpe import CACHED_WORD_BYTES, WordBpe, as_bytes, to_symbols, word_bpe
+from caseflow.llm.common import map_arrow, ranges, return_free_memory, worker_cache
+from caseflow.llm.wordbpe import WordBpe, WordIds, as_bytes, to_symbols, word_bpe
 
 # Symbols of a leaf; tokens of each side in the first window. A piece has
-# at most MAX_LEAVES leaves, which grow with it. Bytes of words whose trees are built together.
+# at most MAX_LEAVES leaves, which grow with it.
 LEAF = 10
 WINDOW = 2
 MAX_LEAVES = 1 << 15
-GROUP_BYTES = 1 << 18
 # Symbols of a run whose ids are kept, and how many of these.
 KEPT_RUN = 12
 KEPT_RUNS = 30_000
-# Words of a generation of a worker's cache, and long pieces of it; bytes of text whose words are coded together.
-CACHED_WORDS = 100_000
+# Bytes of text whose words are coded together.
 CHUNK_BYTES = 1 << 20
 
 
@@ -54,10 +52,8 @@ class Piece(NamedTuple):
 class TreeEncoder:
     def __init__(self, bpe: WordBpe, leaf: int = LEAF, window: int = WINDOW) -> None:
         self.bpe, self.leaf, self.window = bpe, leaf, window
-        self.known: dict[str, bytes] = {}  # ids of pieces longer than a leaf
         self.joins = 0
-        suffix = bpe.end_of_word or ""
-        self.widths = [len(t.removesuffix(suffix)) if suffix else len(t) for t in bpe.tokens]
+        self.widths = bpe.widths.tolist()
         self.runs: tuple[dict[str, tuple[int, ...]], ...] = ({}, {})  # short runs inside and at the end of a piece
 
     def _encode(self, runs: list[tuple[str, bool]]) -> list[tuple[int, ...]]:
@@ -68,12 +64,14 @@ class TreeEncoder:
             if len(kept) > KEPT_RUNS:
                 kept.clear()
             new = list({symbols for symbols, end in runs if end == at_end and symbols not in kept})
-            coded = self.bpe.part(at_end).encode_batch_fast(new) if new else []
-            for symbols, encoding in zip(new, coded, strict=True):
+            if not new:
+                continue
+            ids, ends = (found.tolist() for found in self.bpe.pieces(new, at_end))
+            for symbols, begin, end in zip(new, [0, *ends], ends):
                 if len(symbols) <= KEPT_RUN:
-                    kept[symbols] = tuple(encoding.ids)
+                    kept[symbols] = tuple(ids[begin:end])
                 else:
-                    long[symbols, at_end] = tuple(encoding.ids)
+                    long[symbols, at_end] = tuple(ids[begin:end])
         return [long[run] if len(run[0]) > KEPT_RUN else self.runs[run[1]][run[0]] for run in runs]
 
     def encode(self, pieces: list[str]) -> list[tuple[int, ...]]:
@@ -123,32 +121,27 @@ class TreeEncoder:
             width *= 2
         return out
 
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """Token ids of different pieces, little-endian bytes: the tree for every piece longer than a leaf; a shorter
+        one is a leaf by itself."""
+        long = [symbols for symbols in pieces if len(symbols) > self.leaf]
+        found = dict(zip(long, map(as_bytes, self.encode(long)), strict=True))
+        short = [symbols for symbols in pieces if len(symbols) <= self.leaf]
+        if short:
+            ids, ends = self.bpe.pieces(short)
+            body, ends = ids.astype("<u4").tobytes(), (ends * 4).tolist()
+            found.update((symbols, body[a:b]) for symbols, a, b in zip(short, [0, *ends], ends))
+        return [found[symbols] for symbols in pieces]
+
     def words(self, words: list[str]) -> list[bytes]:
         """Token ids of words, little-endian bytes: special strings apart, then the library's own normaliser and
-        pre-tokeniser, then the tree for every piece longer than a leaf; a shorter one is a leaf by itself."""
-        plan: list[list[str]] = []
-        known, leaf, single = self.known, self.leaf, self.bpe.symbols
-        wanted: dict[str, None] = {}
-        for word in words:
-            steps = self._pieces(word)
-            for symbols in steps:
-                if len(symbols) > leaf and symbols not in known:
-                    wanted[symbols] = None
-            plan.append(steps)
-        found = dict(zip(wanted, map(as_bytes, self.encode(list(wanted))), strict=True))
-
-        def ids(symbols: str) -> bytes:
-            if symbols in self.bpe.specials:
-                return as_bytes([self.bpe.tokenizer.token_to_id(symbols)])
-            if len(symbols) <= leaf:
-                return single(symbols)
-            return found.get(symbols) or known[symbols]
-
-        out = [b"".join(map(ids, steps)) for steps in plan]
-        if len(known) + len(found) > CACHED_WORDS:
-            known.clear()
-        known.update((k, v) for k, v in found.items() if len(k) <= CACHED_WORD_BYTES)
-        return out
+        pre-tokeniser, then ``pieces``."""
+        plan = [self._pieces(word) for word in words]
+        specials, tokenizer = self.bpe.specials, self.bpe.tokenizer
+        wanted = list(dict.fromkeys(symbols for steps in plan for symbols in steps if symbols not in specials))
+        found = dict(zip(wanted, self.pieces(wanted), strict=True))
+        found |= {symbols: as_bytes([tokenizer.token_to_id(symbols)]) for symbols in specials}
+        return [b"".join(map(found.__getitem__, steps)) for steps in plan]
 
     def _pieces(self, word: str) -> list[str]:
         """What the library leaves unsplit of a word, as symbols, and its special strings as they are."""
@@ -165,58 +158,35 @@ class TreeEncoder:
         return out
 
 
-class TreeWords(dict):
-    """Token ids, as little-endian bytes, of the words of the texts at hand. Words that are new go through the
-    tree together, some at a time. When there are too many they become the older generation, from which words
-    that come again are taken over; long words are not kept."""
+class TreeWords(WordIds):
+    """Token ids of the words of the texts at hand; what is new of a group goes through the tree together."""
 
     def __init__(self, tree: TreeEncoder) -> None:
-        super().__init__()
+        super().__init__(tree.bpe)
         self.tree = tree
-        self.older: dict[bytes, bytes] = {}
-
-    def of(self, texts: list[list[bytes]]) -> list[bytes]:
-        """The ids of every text, a list of its words."""
-        if len(self) > CACHED_WORDS:
-            self.older = dict(self)
-            self.clear()
-        wanted = set().union(*texts).difference(self)
-        again = wanted.intersection(self.older)
-        self.update((word, self.older[word]) for word in again)
-        new = list(wanted.difference(again))
-        for group in _groups(new):
-            self.update(zip(group, self.tree.words([word.decode("utf-8", "replace") for word in group]), strict=True))
-        out = [b"".join(map(self.__getitem__, words)) for words in texts]
-        for word in new:
-            if len(word) > CACHED_WORD_BYTES:
-                del self[word]
-        return out
 
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        return self.tree.pieces(pieces)
 
-def _groups(words: list[bytes]) -> Iterator[list[bytes]]:
-    """``words`` in groups of about GROUP_BYTES, so that few leaves stand side by side in memory."""
-    group, size = [], 0
-    for word in words:
-        if group and size + len(word) > GROUP_BYTES:
-            yield group
-            group, size = [], 0
-        group.append(word)
-        size += len(word)
-    if group:
-        yield group
+    def others(self, words: list[str]) -> list[bytes]:
+        return self.tree.words(words)
 
 
-def _joined(token: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
-    """The texts of rows of ids, laid end to end; ``token`` has the string of each id and, last, the
-    empty string for ids outside the vocabulary."""
-    known = (ids >= 0) & (ids < len(token) - 1)
-    tokens = token[np.where(known, ids, -1)].tolist()
-    ends = np.cumsum(sizes, dtype=np.int64).tolist()
-    return [" ".join(filter(None, tokens[e - n : e])) for e, n in zip(ends, sizes.tolist(), strict=True)]
+def _joined(token: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The texts of rows of ids, laid end to end; ``token`` has the string of each id. An id outside the
+    vocabulary or without a string gives nothing."""
+    known = (ids >= 0) & (ids < len(token))
+    known[known] = pc.greater(pc.binary_length(token), 0).to_numpy(zero_copy_only=False)[ids[known]]
+    if not known.all():
+        before = np.append(0, np.cumsum(known))
+        ends = np.cumsum(sizes, dtype=np.int64)
+        ids, sizes = ids[known], before[ends] - before[ends - sizes]
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), token.take(pa.array(ids))), " ")
 
 
-def _strings(path: str) -> np.ndarray:
-    return np.array([*word_bpe(path).tokens, ""], object)
+def _strings(path: str) -> pa.Array:
+    return pa.array(word_bpe(path).tokens, pa.string())
 
 
 def encode(
@@ -245,18 +215,17 @@ def encode(
         words = worker_cache("bpe", ("tree", path, leaf), lambda: TreeWords(TreeEncoder(word_bpe(path), leaf)))
         strings = _strings(path) if decoded else None
         for batch in batches:
-            texts = text_bytes(batch.column(len(names)))
-            for a, b in chunks(texts, CHUNK_BYTES):
-                coded = words.of([t.split() for t in texts[a:b]])
-                sizes = np.array([len(c) // 4 for c in coded], np.int32)
-                values = np.frombuffer(b"".join(coded), "<i4")
-                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            texts = batch.column(len(names))
+            for a, b in ranges(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), CHUNK_BYTES):
+                values, sizes = words.texts(texts.slice(a, b - a))
+                values = values.view("<i4")
+                ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
                 columns = [batch.column(i).slice(a, b - a) for i in range(len(names))]
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values)))
                 if decoded:
-                    columns.append(pa.array(_joined(strings, values, sizes), pa.string()))
+                    columns.append(_joined(strings, values, sizes))
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
-                del coded, values, columns
+                del values, columns
                 return_free_memory()
 
     given = docs.select(*[F.col(f"`{n}`") for n in names], F.col(text).cast("string"))
@@ -283,7 +252,6 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 column = part.column(at)
                 ids = column.flatten().to_numpy(zero_copy_only=False)
                 sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-                texts = _joined(strings, ids, sizes)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, _joined(strings, ids, sizes)], [*names, "decoded"])
 
     return map_arrow(encoded.select(*[F.col(f"`{n}`") for n in names]), run, schema)

@@ -8,7 +8,7 @@ import io
 import os
 import threading
 import zipfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
@@ -82,16 +82,21 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def ranges(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of values of these sizes, each of about ``limit`` in all, so that no working set follows the batch."""
+    begin = end = total = 0
+    for end, size in enumerate(sizes, 1):
+        total += size
+        if total >= limit:
+            yield begin, end
+            begin, total = end, 0
+    if begin < end:
+        yield begin, end
+
+
 def chunks(values: Sequence[bytes], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of ``values`` of about ``limit`` bytes, so that no working set follows the batch."""
-    begin = size = 0
-    for i, value in enumerate(values):
-        size += len(value)
-        if size >= limit:
-            yield begin, i + 1
-            begin, size = i + 1, 0
-    if begin < len(values):
-        yield begin, len(values)
+    """Ranges of ``values`` of about ``limit`` bytes."""
+    return ranges(map(len, values), limit)
 
 
 _shipped: set[str] = set()
