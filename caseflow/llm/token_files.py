@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import chunks, map_arrow, materialise, qualified, store, text_bytes
-from caseflow.llm.wordbpe import encode_texts, word_bpe
+from caseflow.llm.common import map_arrow, materialise, qualified, ranges, store
+from caseflow.llm.wordbpe import text_ids, word_bpe
 
 MAGIC = b"VBTOKEN2"
 BLOCK = "<5Q"
@@ -134,14 +134,15 @@ def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = _width(path, end_id)
-        end = np.array([end_id], kind).tobytes()
         total = np.zeros(_size(path, end_id), np.int64)
         for batch in batches:
-            texts = text_bytes(batch.column(1))
-            for a, b in chunks(texts, 8 << 20):
-                ids = [i.astype(kind).tobytes() + end for i in encode_texts(path, texts[a:b])]
-                total += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(total))
-                given = [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary()), pa.nulls(b - a, pa.binary())]
+            texts = batch.column(1)
+            for a, b in ranges(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 4 << 20):
+                ids, sizes = text_ids(path, texts.slice(a, b - a))
+                ids = np.insert(ids.astype(kind), np.cumsum(sizes), end_id)
+                total += np.bincount(ids, minlength=len(total))
+                coded = binary(ids.view(np.uint8), (sizes + 1) * ids.itemsize)
+                given = [batch.column(0).slice(a, b - a), coded, pa.nulls(b - a, pa.binary())]
                 yield pa.RecordBatch.from_arrays(given, ["doc_id", "ids", "counts"])
         if total.any():
             own = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()])]

@@ -6,9 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from caseflow.llm import bpe_tree, wordbpe
+from caseflow.llm import bpe_tree, token_files, wordbpe
 from caseflow.llm.common import worker_cache
-from caseflow.llm.queries import TOKENIZER
+from caseflow.llm.queries import END_ID, TOKENIZER
 from caseflow.llm.wordbpe import WordBpe, WordIds, word_bpe
 
 FORMS = ["Wanderlustig", "wanderlustig,", "WANDERLUSTIG!!", "Übermütigkeiten", "übermütigkeiten.", "ÜBERMÜTIGKEITEN?"]
@@ -21,6 +21,14 @@ def no_cache():
     worker_cache("none", "none", dict)
 
 
+@pytest.fixture
+def asked(monkeypatch):
+    """The pieces of each call that reaches the library."""
+    calls, pieces = [], WordBpe.pieces
+    monkeypatch.setattr(WordBpe, "pieces", lambda self, given, *a: calls.append(list(given)) or pieces(self, given, *a))
+    return calls
+
+
 def library(text):
     return word_bpe(TOKENIZER).tokenizer.encode(text or "", add_special_tokens=False).ids
 
@@ -51,6 +59,17 @@ def test_forms_of_a_word_go_through_the_tree_once(spark, monkeypatch):
     assert not any(c.isalpha() for word in others for c in word)
 
 
+def test_new_words_reach_the_library_together(spark, monkeypatch, asked):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    run = given_to_workers(token_files, monkeypatch, lambda: token_files.tokenise(docs, TOKENIZER, END_ID))
+    texts = [" ".join(f"{a}{b}{c}," for b in "abcdefgh" for c in "klmnop") for a in "qrstuvwxyz"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})
+    *rows, counts = [row for out in run(iter([batch])) for row in out.to_pylist()]
+    assert [np.frombuffer(r["ids"], "<u2").tolist() for r in rows] == [[*library(t), END_ID] for t in texts]
+    assert int(np.frombuffer(counts["counts"], "<i8").sum()) == sum(len(library(t)) + 1 for t in texts)
+    assert [len(pieces) for pieces in asked] == [480]
+
+
 @pytest.mark.parametrize("words", [WordIds, lambda bpe: bpe_tree.TreeWords(bpe_tree.TreeEncoder(bpe))])
 def test_small_caches_and_odd_texts(monkeypatch, words):
     monkeypatch.setattr(wordbpe, "CACHED_TEXT_WORDS", 3)
